@@ -38,7 +38,7 @@ TOLERANCE = 1e-6
 ROWS, BANDS = 4, 30
 HASHES = ROWS * BANDS
 STEP = 8
-SMALL, CHUNK = 32, 256
+SMALL, CHUNK = 32, 1024
 BLOCK_BYTES = 16 << 20
 
 _INSIDE = separators()
