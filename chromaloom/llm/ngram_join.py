@@ -39,7 +39,7 @@ ROWS, BANDS = 4, 30
 HASHES = ROWS * BANDS
 STEP = 8
 SMALL, CHUNK = 32, 1024
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 2 << 20
 
 _INSIDE = separators()
 _rng = np.random.default_rng(3)
@@ -208,7 +208,7 @@ def _blocks(threshold: float, tolerance: float):
         owner = np.repeat(np.arange(len(used)), size)
         by = np.argsort(code, kind="stable")
         code, owner = code[by], owner[by]
-        shared = np.zeros((len(used), len(used)), np.float64)
+        shared = np.zeros((len(used), len(used)), np.float32)  # counts below 2^24 are exact
         for begin in range(0, int(code[-1]) + 1, 4096):
             x, y = np.searchsorted(code, [begin, begin + 4096])
             held = np.zeros((len(used), 4096), np.float32)
@@ -270,7 +270,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float
     space = Workspace(spark, "near")
     texts = docs.select("doc_id", F.xxhash64("text").alias("_nj_x"), F.col("text").alias("_nj_text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = space.table(texts.mapInArrow(_signed, f"doc_id {kind}, _nj_x long, tid long, n long, sig binary"), "rows")
+    rows = space.table(texts.mapInArrow(_signed, f"doc_id {kind}, _nj_x long, tid long, n long, sig binary"), "rows", 2000)
     lead = F.min(F.struct("doc_id", "_nj_x"))
     reps = space.table(
         rows.filter("tid is not null").groupBy("tid").agg(F.count("*").alias("m"), F.first("n").alias("n"), lead.alias("lead"), F.min("doc_id").alias("low"), F.first("sig").alias("sig")),
@@ -294,7 +294,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float
     cand = space.table(reps.drop("low").join(space.table(named, "named"), "tid").join(masks, "tid", "left").fillna({"wide": 0}), "cand")
     signed = lambda x: cand.select(F.col("tid").alias(x), F.col("sig").alias(f"sig_{x}"), F.col("wide").alias(f"wide_{x}"))
     alive = space.table(
-        pairs.join(signed("a"), "a").join(signed("b").drop("wide_b"), "b").mapInArrow(_pruner(threshold, tolerance), "a long, b long"), "alive"
+        pairs.join(signed("a"), "a").join(signed("b").drop("wide_b"), "b").mapInArrow(_pruner(threshold, tolerance), "a long, b long"), "alive", 5000
     )
     # Texts of what is still a candidate, each read once.
     needed = alive.select(F.explode(F.array("a", "b")).alias("tid")).unionByName(cand.filter("wide <> 0").select("tid")).distinct()
@@ -302,9 +302,9 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float
     found = join_checked(texts, leads, texts["doc_id"].eqNullSafe(leads["_nj_id"]) & (texts["_nj_x"] == leads["_nj_lx"]))
     sets = found.select("tid", "_nj_text").mapInArrow(_shingle_sets, "tid long, shingles binary")
     repeated = rows.groupBy("doc_id", "_nj_x").count().filter("count > 1").limit(1).count() > 0
-    sets = space.table(sets.dropDuplicates(["tid"]) if repeated else sets, "sets")
+    sets = space.table(sets.dropDuplicates(["tid"]) if repeated else sets, "sets", 1000)
     named_set = lambda x: sets.select(F.col("tid").alias(x), F.col("shingles").alias(f"set_{x}"))
-    links = space.table(alive.join(named_set("a"), "a").join(named_set("b"), "b").mapInArrow(_verifier(threshold), "a long, b long"), "links")
+    links = space.table(alive.join(named_set("a"), "a").join(named_set("b"), "b").mapInArrow(_verifier(threshold), "a long, b long"), "links", 250)
     chunks = F.greatest(F.ceil(F.col("size") / CHUNK), F.ceil(F.col("size") * F.col("longest") * 8 / BLOCK_BYTES)).cast("int")
     dealt = (
         wide.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64(F.lit("chunk"), "tid"), F.col("chunks")).cast("int"))
@@ -312,7 +312,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float
         .select("key", "band", "tid", "chunk", F.least("chunk", "with").alias("low"), F.greatest("chunk", "with").alias("high"))
         .join(cand.select("tid", "sig", "wide", "m"), "tid").join(sets, "tid")
     )
-    blocks = space.table(dealt.groupBy("key", "low", "high").applyInPandas(_blocks(threshold, tolerance), "tid long, links long, root long"), "blocks")
+    blocks = space.table(dealt.groupBy("key", "low", "high").applyInPandas(_blocks(threshold, tolerance), "tid long, links long, root long"), "blocks", 250)
     edges = links.unionByName(blocks.select(F.col("tid").alias("a"), F.col("root").alias("b")))
     roots = components(edges, space)
     copies = reps.select(F.col("tid"), "m")

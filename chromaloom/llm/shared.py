@@ -10,6 +10,7 @@ without making a Python object for each word.
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import uuid
 
@@ -51,6 +52,18 @@ def _sweep() -> None:
             _delete(spark, path)
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, most: int):
+    """Jobs run inside hand at most so many rows at a time to Python, so that long rows fit."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, was)
+
+
 class Workspace:
     """A folder of Parquet tables below the shared folder, removed when Python ends."""
 
@@ -59,10 +72,11 @@ class Workspace:
         self.path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
         _opened.append((spark, self.path))
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
-        """Write df and read it again: its lineage ends here."""
+    def table(self, df: DataFrame, name: str, rows: int = 0) -> DataFrame:
+        """Write df and read it again: its lineage ends here.  rows: most in a batch to Python."""
         at = f"{self.path}/{name}"
-        df.write.mode("overwrite").parquet(at)
+        with arrow_rows(self.spark, rows) if rows else contextlib.nullcontext():
+            df.write.mode("overwrite").parquet(at)
         return self.spark.read.schema(df.schema).parquet(at)
 
     def drop(self, *names: str) -> None:
