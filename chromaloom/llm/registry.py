@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from .ngram_join import op3_ngram_jaccard_join
+from . import decontaminate, line_dedup, mixture, ngram_join
 
 QUERIES = {
-    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op2_mixing": mixture.op2_mixing,
+    "op3_ngram_jaccard_join": ngram_join.op3_ngram_jaccard_join,
+    "op9_decontamination": decontaminate.op9_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_line_dedup": line_dedup.ORACLE,
+    "op2_mixing": mixture.ORACLE,
+}
