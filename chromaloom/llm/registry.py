@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, line_dedup, mixture, ngram_join
+from . import decontaminate, line_dedup, mixture, ngram_join, quality, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_mixing": mixture.op2_mixing,
     "op3_ngram_jaccard_join": ngram_join.op3_ngram_jaccard_join,
+    "op5_quality_rules": quality.op5_quality_rules,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op9_decontamination": decontaminate.op9_decontamination,
 }
 
