@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
-from . import decontaminate, line_dedup, mixture, ngram_join, quality, toxicity
+from . import chat, decontaminate, line_dedup, mixture, ngram_join, pseudonyms, quality, token_counts, toxicity, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_mixing": mixture.op2_mixing,
     "op3_ngram_jaccard_join": ngram_join.op3_ngram_jaccard_join,
+    "op4_chat_rotation": chat.op4_chat_rotation,
     "op5_quality_rules": quality.op5_quality_rules,
+    "op6_warc_packages": warc.op6_warc_packages,
     "op7_toxicity": toxicity.op7_toxicity,
+    "op8_pseudonyms": pseudonyms.op8_pseudonyms,
     "op9_decontamination": decontaminate.op9_decontamination,
+    "op10_token_counts": token_counts.op10_token_counts,
 }
 
 ORACLES: dict[str, str] = {
     "op1_line_dedup": line_dedup.ORACLE,
     "op2_mixing": mixture.ORACLE,
+    "op4_chat_rotation": chat.ORACLE,
+    "op6_warc_packages": warc.ORACLE,
 }
