@@ -14,6 +14,8 @@ input other than ``text`` and ``n_chars`` pass unchanged; names starting with ``
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,29 +24,46 @@ from .shared import BROADCAST_ROWS, Workspace
 BLANKS = " \t\x0b\x0c\r"
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """Bind a value that a lambda uses, so that it is not computed again for every element."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
 def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def _filled(lines: Column) -> Column:
-    """Positions of the lines that are not blank."""
-    every = F.sequence(F.lit(0), F.size(lines) - 1)
-    return F.filter(every, lambda i: F.btrim(F.get(lines, i), F.lit(BLANKS)) != "")
+def _blank(line: Column) -> Column:
+    return F.btrim(line, F.lit(BLANKS)) == ""
 
 
 def _windows(text: Column) -> Column:
-    kept = F.filter(F.transform(_lines(text), lambda x: F.btrim(x, F.lit(BLANKS))), lambda x: x != "")
-    return kept
+    """(i, h, g) of every window of a text: its ordinal and two hashes."""
+    filled = F.filter(F.transform(_lines(text), lambda x: F.btrim(x, F.lit(BLANKS))), lambda x: x != "")
+
+    def hashed(lines: Column) -> Column:
+        triple = lambda i: [F.get(lines, i + k) for k in range(3)]
+        every = F.when(F.size(lines) >= 3, F.sequence(F.lit(0), F.size(lines) - 3))
+        return F.transform(every, lambda i: F.struct(i.alias("i"), F.xxhash64(*triple(i)).alias("h"), F.xxhash64(F.lit(1), *triple(i)).alias("g")))
+
+    return let(filled, hashed)
+
+
+def _rest(text: Column, covered: Column) -> Column:
+    """The text without the lines whose ordinals among those that are not blank are covered."""
+
+    def without(lines: Column) -> Column:
+        every = F.sequence(F.lit(0), F.size(lines) - 1)
+        filled = F.filter(every, lambda i: ~_blank(F.get(lines, i)))
+        gone = let(filled, lambda f: F.transform(covered, lambda k: F.get(f, k)))
+        return F.array_join(F.transform(F.array_except(every, gone), lambda i: F.get(lines, i)), "\n")
+
+    return let(_lines(text), without)
 
 
 def removed_lines(docs: DataFrame, space: Workspace) -> DataFrame:
     """Written table (_ld_id, _ld_lx, covered): ordinals of the lines to remove, per document."""
-    lines = docs.select("doc_id", F.xxhash64("text").alias("x"), _windows(F.col("text")).alias("w")).filter(F.size("w") >= 3)
-    triple = [F.get("w", F.col("i") + k) for k in range(3)]
-    windows = (
-        lines.select("doc_id", "x", "w", F.explode(F.sequence(F.lit(0), F.size("w") - 3)).alias("i"))
-        .select("doc_id", "x", "i", F.xxhash64(*triple).alias("h"), F.xxhash64(F.lit(1), *triple).alias("g"))
-    )
+    windows = docs.select("doc_id", F.xxhash64("text").alias("x"), F.inline(_windows(F.col("text"))))
     windows = space.table(windows, "windows")
     first = F.min(F.struct("doc_id", "x", "i"))
     repeats = space.table(windows.groupBy("h", "g").agg(F.count("*").alias("n"), first.alias("first")).filter("n > 1").drop("n"), "repeats")
@@ -68,15 +87,14 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     named = docs.withColumn("_ld_x", F.xxhash64("text"))
     side = F.broadcast(covered) if positions <= 4 * BROADCAST_ROWS else covered
     out = named.join(side, named["doc_id"].eqNullSafe(covered["_ld_id"]) & (named["_ld_x"] == covered["_ld_lx"]), "left")
-    lines, filled = _lines(F.col("text")), _filled(_lines(F.col("text")))
-    gone = F.transform("covered", lambda k: F.get(filled, k))
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
-    text = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
+    lines = _lines(F.col("text"))
+    text = _rest(F.col("text"), F.col("covered"))
+    filled = F.size(F.filter(lines, lambda x: ~_blank(x)))
     touched = F.col("covered").isNotNull()
     return (
         out.withColumn("_ld_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long"))
         .withColumn("_ld_removed", F.when(touched, F.size("covered")).otherwise(0).cast("long"))
-        .withColumn("_ld_all", F.when(touched, F.size("covered") == F.size(filled)).otherwise(F.lit(False)))
+        .withColumn("_ld_all", F.when(touched, F.size("covered") == filled).otherwise(F.lit(False)))
         .withColumn("text", F.when(touched, text).otherwise(F.col("text")))
         .withColumns({"n_chars": F.when(touched, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {})
         .select(*docs.columns, "_ld_lines", "_ld_removed", "_ld_all")
