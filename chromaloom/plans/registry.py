@@ -1,4 +1,370 @@
 """Queries over the operators of this library, and the DuckDB SQL they must agree with."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.alignments import ALIASES, query_length, reference_length
+from ..functions.sites import ENZYMES, expand, reverse_complement
+from ..operators import asof, digest, models, pairs, reads, stats, trim
+from ..sources import files, sinks
+from . import surrogate
+from .surrogate import CUTS, GENOME, PAIRS, READS, SITES
+
+ENZYME_ROWS = sorted(ENZYMES.items())
+
+
+class Run:
+    """The chain from tables to pairs; parts are built when they are asked for, and only once."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir, self._made = spark, sf_dir, {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        make = {
+            "genome": lambda: surrogate.genome(self.spark, self.sf_dir),
+            "chunks": lambda: digest.chunked(self.genome),
+            "frags": lambda: digest.fragments(self.chunks, SITES),
+            "sequences": lambda: digest.sequence_table(self.chunks, self.frags),
+            "names": lambda: digest.lengths(self.chunks),
+            "records": lambda: surrogate.reads(self.spark, self.sf_dir),
+            "classified": lambda: reads.classify(self.records, self.names, self.frags),
+            "good": lambda: reads.good_reads(self.classified),
+            "pairs": lambda: pairs.pair_reads(self.good),
+            "final": lambda: pairs.with_final_class(self.classified, self.good, self.pairs),
+        }.get(name)
+        if make is None:
+            raise AttributeError(name)
+        if name not in self._made:
+            self._made[name] = make()
+        return self._made[name]
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def add(f: Callable[[Run], DataFrame]):
+        QUERIES[name] = lambda spark, sf_dir: f(Run(spark, sf_dir))
+        if sql:
+            ORACLES[name] = f"with {sql.strip().lstrip(',')}"
+        return f
+
+    return add
+
+
+def _values(rows: list[tuple[str, ...]]) -> str:
+    return ", ".join("(" + ", ".join(f"'{x}'" for x in r) + ")" for r in rows)
+
+
+@query("rc_sites", f"""v(enzyme, site) as (values {_values(ENZYME_ROWS)})
+select enzyme, site, translate(reverse(site), 'ACGTWSMKRYBDHVN^_', 'TGCAWSKMYRVHDBN_^') as rev_comp,
+       translate(site, '^_', '') as bases from v""")
+def rc_sites(run: Run) -> DataFrame:
+    rows = [(e, s, reverse_complement(s), s.replace("^", "").replace("_", "")) for e, s in ENZYME_ROWS]
+    return run.spark.createDataFrame(rows, "enzyme string, site string, rev_comp string, bases string")
+
+
+@query("site_patterns", f"""v(enzyme, site) as (values {_values(ENZYME_ROWS)}),
+c as (select enzyme, unnest(string_split(translate(site, '^_', ''), '')) as b,
+             generate_subscripts(string_split(translate(site, '^_', ''), ''), 1) as i from v),
+d(b, s) as (values ('W','[AT]'),('S','[CG]'),('M','[AC]'),('K','[GT]'),('R','[AG]'),('Y','[CT]'),
+                   ('B','[CGT]'),('D','[AGT]'),('H','[ACT]'),('V','[ACG]'),('N','[ACGT]'))
+select enzyme, string_agg(coalesce(d.s, c.b), '' order by i) as pattern from c left join d on c.b = d.b group by enzyme""")
+def site_patterns(run: Run) -> DataFrame:
+    return run.spark.createDataFrame([(e, expand(s)) for e, s in ENZYME_ROWS], "enzyme string, pattern string")
+
+
+@query("digest_cuts", CUTS + " select seq_idx, cut from cu")
+def digest_cuts(run: Run) -> DataFrame:
+    return digest.cuts(run.chunks, SITES)
+
+
+@query("digest_fragments", CUTS + " select * from fr")
+def digest_fragments(run: Run) -> DataFrame:
+    return run.frags
+
+
+@query("fragments_per_sequence", CUTS + " select sq.seq_idx, sq.name, length, (count(*) - 1)::bigint as n_sites from fr join sq on fr.seq_idx = sq.seq_idx group by sq.seq_idx, sq.name, length")
+def fragments_per_sequence(run: Run) -> DataFrame:
+    return run.sequences
+
+
+@query("site_summary", CUTS + """ select count(*)::bigint as n_sequences, sum(n)::bigint as n_sites, sum(length)::bigint as bases,
+  sum(n)::double / count(*) as mean_sites, sum(length)::double / sum(n) as bases_per_site
+  from (select seq_idx, count(*) - 1 as n from fr group by seq_idx) c join sq on c.seq_idx = sq.seq_idx""")
+def site_summary(run: Run) -> DataFrame:
+    return digest.site_summary(run.sequences)
+
+
+@query("genome_totals", GENOME + " select count(*)::bigint as n_sequences, sum(length)::bigint as total_length from sq")
+def genome_totals(run: Run) -> DataFrame:
+    return stats.genome_totals(run.names)
+
+
+@query("cigar_lengths", READS + " select qname, line_no, cigar, ref_len, query_len from rl")
+def cigar_lengths(run: Run) -> DataFrame:
+    return run.records.select("qname", "line_no", "cigar", reference_length(F.col("cigar")).alias("ref_len"), query_length(F.col("cigar")).alias("query_len"))
+
+
+@query("asof_fragments", READS + " select qname, line_no, fi as frag_id, fs as frag_start, fn as frag_next from lk")
+def asof_fragments(run: Run) -> DataFrame:
+    names = run.names.select(F.col("name").alias("rname"), "seq_idx")
+    able = reads.classify(run.records, run.names, None).filter("hc is null or hc = 'RS'").select("qname", "line_no", "flag", "pos", "rname", "ref_len")
+    from ..functions.alignments import five_prime
+
+    points = able.join(names, "rname").select("qname", "line_no", "seq_idx", five_prime(F.col("pos"), F.col("flag"), F.col("ref_len")).alias("at"))
+    return asof.lookup(points, run.frags, "at", "window").select("qname", "line_no", "frag_id", "frag_start", "frag_next")
+
+
+@query("flag_counts", READS + """ select count(*)::bigint as reads, count_if(flag & 1 = 0)::bigint as "UP", count_if(flag & 4 <> 0)::bigint as "UM",
+  count_if(flag & 256 <> 0)::bigint as "SE", count_if(flag & 512 <> 0)::bigint as "QC", count_if(flag & 1024 <> 0)::bigint as "DP", count_if(flag & 2048 <> 0)::bigint as "SP" from rd""")
+def flag_counts(run: Run) -> DataFrame:
+    return reads.flag_counts(run.records)
+
+
+@query("read_classes", READS + " select coalesce(hc, 'good') as hc, count(*)::bigint as reads from cl group by 1")
+def read_classes(run: Run) -> DataFrame:
+    return run.classified.groupBy(F.coalesce("hc", F.lit("good")).alias("hc")).agg(F.count("*").alias("reads"))
+
+
+@query("site_distance", READS + " select qname, line_no, read_start, frag_id, site_dist from cl where hc is null")
+def site_distance(run: Run) -> DataFrame:
+    return run.good.select("qname", "line_no", "read_start", "frag_id", "site_dist")
+
+
+FINAL = PAIRS + """,
+pc as (select qname, r1.line_no as line_no, hc as p from pr union all select qname, r2.line_no, hc from pr),
+fc as (select cl.* exclude (hc), coalesce(cl.hc, p, 'DM') as hc from cl left join pc on cl.qname = pc.qname and cl.line_no = pc.line_no)"""
+
+
+@query("tagged_reads", FINAL + """ select qname, line_no, 'hc:Z:' || hc || case when fr.frag_id is null then '' else chr(9) || 'rf:B:I,' || fr.frag_id || ',' || fr.frag_start || ',' || frag_end end as tags
+  from fc left join fr on fc.frag_id = fr.frag_id""")
+def tagged_reads(run: Run) -> DataFrame:
+    return reads.tags(run.final, run.frags).select("qname", "line_no", "tags")
+
+
+@query("pair_classes", PAIRS + " select hc, count(*)::bigint as pairs from pr group by hc")
+def pair_classes(run: Run) -> DataFrame:
+    return run.pairs.groupBy("hc").agg(F.count("*").alias("pairs"))
+
+
+@query("pair_details", PAIRS + " select qname, hc, intra, pair_sep, frag_sep, r1.line_no as r1_line_no, r2.line_no as r2_line_no from pr")
+def pair_details(run: Run) -> DataFrame:
+    return run.pairs.select("qname", "hc", "intra", "pair_sep", "frag_sep", "r1_line_no", "r2_line_no")
+
+
+@query("dumped_reads", FINAL + " select qname, line_no from fc where hc = 'DM'")
+def dumped_reads(run: Run) -> DataFrame:
+    return pairs.dumped(run.good).select("qname", "line_no")
+
+
+COUNTS = PAIRS + """,
+rc as (select count_if(flag & 1 = 0) as "UP", count_if(flag & 4 <> 0) as "UM", count_if(flag & 256 <> 0) as "SE", count_if(flag & 512 <> 0) as "QC",
+              count_if(flag & 1024 <> 0) as "DP", count_if(flag & 2048 <> 0) as "SP", count_if(hc = 'IR') as "IR", count_if(hc = 'MQ') as "MQ",
+              count_if(hc = 'RS') as "RS", count_if(hc is null) as passed from cl),
+rw(type, code, class) as (values """ + _values([(a, b, "valid_pairs" if b == "good" else "invalid") for a, b in stats.READ_ROWS]) + """),
+pw(type, code, class) as (values """ + _values([(a, b, "valid_pairs" if b in stats.VALID else "invalid") for a, b in stats.PAIR_ROWS]) + """),
+sr as (select type, class, (case code when 'UP' then "UP" when 'UM' then "UM" when 'SE' then "SE" when 'QC' then "QC" when 'DP' then "DP" when 'SP' then "SP" when 'IR' then "IR"
+          when 'MQ' then "MQ" when 'RS' then "RS" when 'DM' then passed - 2 * (select count(*) from pr) else 2 * (select count(*) from pr) end)::bigint as counts from rw, rc),
+sp as (select type, class, (select count(*) from pr where hc = code)::bigint as counts from pw)"""
+
+
+@query("read_summary", COUNTS + " select * from sr")
+def read_summary(run: Run) -> DataFrame:
+    return stats.read_summary(run.classified, run.pairs)
+
+
+@query("pair_summary", COUNTS + " select * from sp")
+def pair_summary(run: Run) -> DataFrame:
+    return stats.pair_summary(run.pairs)
+
+
+@query("class_totals", COUNTS + " select class, sum(counts)::bigint as counts from sp group by class")
+def class_totals(run: Run) -> DataFrame:
+    return stats.class_totals(stats.pair_summary(run.pairs))
+
+
+@query("valid_pct", PAIRS + """ select v.hc, 100.0::double * count_if(pr.hc = v.hc) / nullif(count_if(pr.hc in ('FF','FR','RF','RR')), 0) as percent
+  from (values ('FF'), ('FR'), ('RF'), ('RR')) v(hc), pr group by v.hc""")
+def valid_pct(run: Run) -> DataFrame:
+    return stats.valid_percentages(run.pairs)
+
+
+@query("intra_inter", PAIRS + """ select lower(v.hc) as class, case when k then 'intra' else 'inter' end as type, count_if(pr.hc = v.hc and intra = k)::bigint as count
+  from (values ('FF'), ('FR'), ('RF'), ('RR')) v(hc), (values (true), (false)) t(k), pr group by v.hc, k""")
+def intra_inter(run: Run) -> DataFrame:
+    return stats.intra_inter(run.pairs)
+
+
+BAD = PAIRS + """,
+iv as (select sq.seq_idx, sq.name, sq.length, count_if(hc = 'SC')::bigint as "SC", count_if(hc = 'DE')::bigint as "DE", count_if(hc = 'SS')::bigint as "SS", count_if(hc = 'RL')::bigint as "RL"
+       from sq left join pr on pr.r1.seq_idx = sq.seq_idx group by all)"""
+
+
+@query("invalid_per_sequence", BAD + " select * exclude (length) from iv")
+def invalid_per_sequence(run: Run) -> DataFrame:
+    return stats.invalid_per_sequence(run.pairs, run.names)
+
+
+CONTACTS = PAIRS + """,
+cm as (select least(r1.seq_idx, r2.seq_idx) as seq1, greatest(r1.seq_idx, r2.seq_idx) as seq2, hc, count(*)::bigint as count
+       from pr where hc in ('FF','FR','RF','RR') group by all)"""
+
+
+@query("contact_matrix", CONTACTS + " select * from cm")
+def contact_matrix(run: Run) -> DataFrame:
+    return stats.contact_matrix(run.pairs)
+
+
+SEQUENCE = BAD + """,
+sc as (select iv.*, n_sites, "SC" + "DE" + "SS" + "RL" as invalid from iv join (select seq_idx, count(*) - 1 as n_sites from fr group by seq_idx) f on iv.seq_idx = f.seq_idx),
+rows as (select name, 'length' as statistic, length::double as count, 'basic' as type, false as total, false as pair from sc
+""" + "".join(
+    f"union all select name, '{label}', {c}, '{t}', {str(total).lower()}, {str(pair).lower()} from sc\n"
+    for label, col, total, pair in stats.SEQUENCE_ROWS
+    for q in [f'"{col}"']
+    for t, c in (("raw count", f"{q}::double"), ("norm count", f"case when length > 0 then {q}::double / length end"))
+) + ")"
+
+
+@query("sequence_stats", SEQUENCE + " select * from rows")
+def sequence_stats(run: Run) -> DataFrame:
+    return stats.sequence_stats(run.pairs, run.sequences)
+
+
+def _scaffolds(run: Run) -> tuple[DataFrame, DataFrame]:
+    """Contacts and sequences merged by the documents' sources."""
+    docs = run.spark.read.parquet(f"{run.sf_dir}/documents.parquet").select(F.col("doc_id").cast("int").alias("seq_idx"), F.coalesce("source", F.lit("none")).alias("group_name"))
+    names = docs.select("group_name").distinct()
+    from pyspark.sql import Window as W
+
+    order = names.withColumn("group_idx", (F.row_number().over(W.orderBy("group_name")) - 1).cast("int"))  # one row per source
+    return stats.to_groups(stats.contact_matrix(run.pairs), run.sequences, docs.join(F.broadcast(order), "group_name"))
+
+
+SCAFFOLDS = CONTACTS + """,
+gn as (select doc_id::int as seq_idx, coalesce(source, 'none') as gname, (dense_rank() over (order by coalesce(source, 'none')) - 1)::int as gidx from documents),
+gs as (select gidx, gname, sum(length) as length from gn join sq on gn.seq_idx = sq.seq_idx group by all),
+gc as (select least(x.gidx, y.gidx) as g1, greatest(x.gidx, y.gidx) as g2, hc, sum(count) as count from cm join gn x on seq1 = x.seq_idx join gn y on seq2 = y.seq_idx group by all),
+ev as (select x.gname as id1, y.gname as id2, x.length::double * y.length as area, t.t as type,
+              coalesce((select sum(count) from gc where g1 = x.gidx and g2 = y.gidx and (lower(hc) = t.t or t.t = 'total')), 0)::double as c
+       from gs x, gs y, (values ('ff'), ('fr'), ('rf'), ('rr'), ('total')) t(t) where x.gidx <= y.gidx)"""
+
+
+@query("valid_pairs_dense", SCAFFOLDS + " select id1, id2, type, false as norm, c as count from ev union all select id1, id2, type, true, case when area > 0 then c / area end from ev")
+def valid_pairs_dense(run: Run) -> DataFrame:
+    return stats.valid_pairs_dense(*_scaffolds(run))
+
+
+@query("inter_sequence_index", CONTACTS + """,
+bo as (select seq1, seq2, count from cm union all select seq2, seq1, count from cm where seq1 <> seq2),
+su as (select seq1, sum(count) as n, sum(case when seq1 <> seq2 then count else 0 end) as ni from bo group by seq1)
+select name, case when n > 0 and length > 0 then (select sum(length) from sq)::double * ni / (n::double * length) end as "index" from sq left join su on su.seq1 = sq.seq_idx""")
+def inter_sequence_index(run: Run) -> DataFrame:
+    return stats.inter_sequence_index(stats.contact_matrix(run.pairs), run.names)
+
+
+DISTANCES = PAIRS + """,
+nu as (select *, (row_number() over (order by list_position(['ff','fr','rf','rr','sc','de','ss','rl'], lower(hc)), substring(qname, 1, 4), qname, r1.line_no) - 1)::bigint as id from pr),
+en as (select hc, id, r1 as r from nu union all select hc, id, r2 from nu),
+df as (select lower(hc) as class, hc in ('FF','FR','RF','RR') as valid, id, case when hc in ('SS','RL') then 'UKN' when r.rev then 'R' else 'F' end as dir, r.site_dist as dis from en)"""
+
+
+@query("site_distance_frame", DISTANCES + " select * from df")
+def site_distance_frame(run: Run) -> DataFrame:
+    return stats.site_distance_frame(run.pairs)
+
+
+@query("valid_forward_distances", DISTANCES + " select class, id, dis from df where valid and dir = 'F'")
+def valid_forward_distances(run: Run) -> DataFrame:
+    return stats.strand_distances(stats.site_distance_frame(run.pairs), True, "F")
+
+
+@query("read_separations", PAIRS + " select lower(hc) as class, pair_sep as dis from pr where intra and hc in ('FF','FR','RF','RR')")
+def read_separations(run: Run) -> DataFrame:
+    return stats.separations(run.pairs, "pair_sep")
+
+
+@query("fragment_separations", PAIRS + " select lower(hc) as class, frag_sep as dis from pr where intra and hc in ('FF','FR','RF','RR')")
+def fragment_separations(run: Run) -> DataFrame:
+    return stats.separations(run.pairs, "frag_sep")
+
+
+@query("separation_counts", PAIRS + """ select pair_sep as dis, count(*)::bigint as n, count_if(hc = 'FF')::bigint as ff, count_if(hc = 'FR')::bigint as fr, count_if(hc = 'RF')::bigint as rf, count_if(hc = 'RR')::bigint as rr
+  from pr where intra and hc in ('FF','FR','RF','RR') group by 1""")
+def separation_counts(run: Run) -> DataFrame:
+    return models.frequencies(stats.separations(run.pairs))
+
+
+@query("loglog_fit", PAIRS + """,
+bi as (select floor(pair_sep / 100.0) as b, count(*) as n from pr where intra and hc in ('FF','FR','RF','RR') group by 1),
+xy as (select ln((b + 0.5) * 100) as x, ln(n::double / 100) as y from bi)
+select count(*)::bigint as bins, round(regr_slope(y, x), 6) as slope, round(regr_intercept(y, x), 6) as intercept from xy""")
+def loglog_fit(run: Run) -> DataFrame:
+    out = models.log_log_fit(stats.separations(run.pairs))
+    return out.select("bins", F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"))
+
+
+@query("separation_hist")
+def separation_hist(run: Run) -> DataFrame:
+    return models.contact_models(stats.separations(run.pairs))[0]
+
+
+@query("model_f_tests")
+def model_f_tests(run: Run) -> DataFrame:
+    return models.contact_models(stats.separations(run.pairs))[1]
+
+
+@query("five_end_filter", READS + """,
+fv as (select *, flag & 4 = 0 and case when flag & 16 = 0 then regexp_matches(cigar, '^[0-9]*M') else regexp_matches(cigar, 'M$') end as five from rd),
+fw as (select *, count(*) over w as n, count_if(five) over w as fives, row_number() over (partition by qname, flag & 64 <> 0 order by line_no) as k from fv window w as (partition by qname, flag & 64 <> 0))
+select qname, line_no, ((case when n <= 2 and fives = 1 then flag else flag | 4 end) & ~2048)::int as flag from fw where case when n <= 2 and fives = 1 then five else k = 1 end""")
+def five_end_filter(run: Run) -> DataFrame:
+    return pairs.five_end(run.records).select("qname", "line_no", "flag")
+
+
+@query("duplicate_marking", READS + """,
+pm as (select qname, mapq, flag & 64 <> 0 as one, {'rname': rname, 'p': case when flag & 16 <> 0 then pos + ref_len - 2 else pos - 1 end, 'rev': flag & 16 <> 0} as e from rl where flag & 2308 = 0),
+te as (select qname, min(e) filter (where one) as a, min(e) filter (where not one) as b, sum(mapq) as q from pm group by qname),
+ke as (select qname, q, least(a, b) as lo, greatest(a, b) as hi, a is null or b is null as single from te),
+ra as (select qname, row_number() over (partition by lo, hi, single order by q desc, qname) as k from ke)
+select rd.qname, line_no, (case when flag & 2308 = 0 and coalesce(k, 1) > 1 then flag | 1024 else flag end)::int as flag from rd left join ra on rd.qname = ra.qname""")
+def duplicate_marking(run: Run) -> DataFrame:
+    return pairs.mark_duplicates(run.records).select("qname", "line_no", "flag")
+
+
+@query("primary_reads", READS + " select qname, line_no, case when flag & 64 <> 0 then 1 when flag & 128 <> 0 then 2 else 0 end as mate from rd where flag & 2304 = 0")
+def primary_reads(run: Run) -> DataFrame:
+    out = files.sam_to_fastq(run.records.withColumn("rest", F.concat(F.lit("*\t0\t0\t*\t*\tln:i:"), F.col("line_no").cast("string"))), ["ln"])
+    return out.select("qname", F.substring_index("comment", ":", -1).cast("long").alias("line_no"), "mate")
+
+
+@query("aligner_digest")
+def aligner_digest(run: Run) -> DataFrame:
+    return digest.aligner_digest(run.genome, SITES)
+
+
+@query("trim_reads")
+def trim_reads(run: Run) -> DataFrame:
+    """Primary reads clipped to fragments: each contig is taken as one fragment with overhangs of 4 and 3 bases."""
+    frags = run.names.select(F.col("name").alias("rname"), "length", F.lit(4).cast("long").alias("front"), F.lit(True).alias("front_fwd"), F.lit(3).cast("long").alias("end"), F.lit(False).alias("end_fwd"))
+    primary = run.records.filter(F.col("flag").bitwiseAND(0x900) == 0)
+    bases = F.repeat(F.lit("A"), query_length(F.col("cigar")).cast("int"))
+    return trim.trim(primary.withColumn("seq", bases).withColumn("qual", bases), frags).select("qname", "line_no", "cigar", F.length("seq").cast("long").alias("bases"))
+
+
+def _output(alias: str) -> None:
+    listed = ", ".join(f"'{c}'" for c in ALIASES[alias])
+
+    @query(f"output_{alias}", FINAL + f" select qname, line_no, flag, rname, pos, hc from fc where hc in ({listed})")
+    def output(run: Run) -> DataFrame:
+        return sinks.route(run.final, alias).select("qname", "line_no", "flag", "rname", "pos", "hc")
+
+
+for _alias in ALIASES:
+    _output(_alias)
