@@ -33,28 +33,34 @@ def mated(good: DataFrame) -> DataFrame:
     return out.withColumn("mate", mate).drop("_first", "_last", "_run")
 
 
+def _settled(df: DataFrame, *columns) -> DataFrame:
+    """A projection that the optimizer does not merge with the next, which would repeat its expressions."""
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
 def classify_pairs(mates: DataFrame) -> DataFrame:
     """One row per pair: qname, hc, intra, pair_sep, frag_sep, and CARRIED of both reads as r1_*, r2_*.
 
     r1 is read 1, unless both reads lie on one sequence and read 2 begins before it.
     """
     pairs = mates.filter("closes")
-    own = F.struct(*CARRIED)
-    theirs = F.struct(*[F.col(f"mate.{c}").alias(c) for c in CARRIED])
-    one, two = F.when(F.col("is_read1"), own).otherwise(theirs), F.when(F.col("is_read1"), theirs).otherwise(own)
-    pairs = pairs.select("qname", one.alias("a"), two.alias("b"))
-    intra = F.col("a.seq_idx") == F.col("b.seq_idx")
-    swap = intra & (F.col("a.read_start") > F.col("b.read_start"))
-    pairs = pairs.select("qname", intra.alias("intra"), F.when(swap, F.col("b")).otherwise(F.col("a")).alias("r1"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("r2"))
-    sep = F.col("r2.read_start") - F.col("r1.read_start")
-    frag_sep = F.when(F.col("r1.frag_id").isNull(), sep).when(F.col("r1.frag_next").isNull(), F.lit(0).cast("long")).otherwise(F.col("r2.frag_start") - F.col("r1.frag_next"))
-    rev1, rev2 = F.col("r1.is_reverse"), F.col("r2.is_reverse")
+    mine, theirs = F.col("is_read1"), F.col("mate.is_read1")
+    ends = [F.when(mine == first, F.col(c)).otherwise(F.col(f"mate.{c}")).alias(f"{r}_{c}") for r, first in (("a", True), ("b", False)) for c in CARRIED]
+    pairs = _settled(pairs.filter(mine != theirs), F.col("qname"), *ends)
+    intra = F.col("a_seq_idx") == F.col("b_seq_idx")
+    swap = intra & (F.col("a_read_start") > F.col("b_read_start"))
+    pairs = pairs.withColumns({"intra": intra, "_swap": swap})
+    turned = [F.when(F.col("_swap"), F.col(f"{y}_{c}")).otherwise(F.col(f"{x}_{c}")).alias(f"{r}_{c}") for r, x, y in (("r1", "a", "b"), ("r2", "b", "a")) for c in CARRIED]
+    pairs = _settled(pairs, F.col("qname"), F.col("intra"), *turned)
+    sep = F.col("r2_read_start") - F.col("r1_read_start")
+    frag_sep = F.when(F.col("r1_frag_id").isNull(), sep).when(F.col("r1_frag_next").isNull(), F.lit(0).cast("long")).otherwise(F.col("r2_frag_start") - F.col("r1_frag_next"))
+    rev1, rev2 = F.col("r1_is_reverse"), F.col("r2_is_reverse")
     hc = (
-        F.when(F.col("r1.frag_id") == F.col("r2.frag_id"), F.when(rev1 & ~rev2, "SC").when(~rev1 & rev2, "DE").otherwise("SS"))
-        .when(F.col("intra") & (F.col("r1.frag_next") == F.col("r2.frag_start")), "RL")
+        F.when(F.col("r1_frag_id") == F.col("r2_frag_id"), F.when(rev1 & ~rev2, "SC").when(~rev1 & rev2, "DE").otherwise("SS"))
+        .when(F.col("intra") & (F.col("r1_frag_next") == F.col("r2_frag_start")), "RL")
         .otherwise(F.concat(F.when(rev1, "R").otherwise("F"), F.when(rev2, "R").otherwise("F")))
     )
-    both = [F.col(f"{r}.{c}").alias(f"{r}_{c}") for r in ("r1", "r2") for c in CARRIED]
+    both = [f"{r}_{c}" for r in ("r1", "r2") for c in CARRIED]
     return pairs.select("qname", hc.alias("hc"), "intra", F.when(F.col("intra"), sep).alias("pair_sep"), F.when(F.col("intra"), frag_sep).alias("frag_sep"), *both)
 
 
