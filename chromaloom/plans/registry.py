@@ -202,7 +202,7 @@ def intra_inter(run: Run) -> DataFrame:
 
 
 BAD = PAIRS + """,
-iv as (select sq.seq_idx, sq.name, sq.length, count_if(hc = 'SC')::bigint as "SC", count_if(hc = 'DE')::bigint as "DE", count_if(hc = 'SS')::bigint as "SS", count_if(hc = 'RL')::bigint as "RL"
+iv as (select sq.seq_idx, sq.name, sq.length, count(*) filter (where hc = 'SC')::bigint as "SC", count(*) filter (where hc = 'DE')::bigint as "DE", count(*) filter (where hc = 'SS')::bigint as "SS", count(*) filter (where hc = 'RL')::bigint as "RL"
        from sq left join pr on pr.r1.seq_idx = sq.seq_idx group by all)"""
 
 
