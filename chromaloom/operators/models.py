@@ -21,13 +21,16 @@ CLASSES = ["ff", "fr", "rf", "rr"]
 
 
 def bin_count(n: int, low: float, high: float, q1: float, q3: float) -> int:
-    """Bins that the narrower of the Sturges and Freedman-Diaconis widths gives; widths are 1 at least."""
+    """Bins that the narrower of the Sturges and Freedman-Diaconis widths gives.
+
+    The latter counts as half the square-root width at least, and widths of whole numbers as 1.
+    """
     if n == 0 or high <= low:
         return 1
     span = high - low
     width = span / (math.log2(n) + 1)
-    fd = 2 * (q3 - q1) / n ** (1 / 3)
-    width = max(min(width, fd) if fd else width, 1.0)
+    fd = max(2 * (q3 - q1) / n ** (1 / 3), span / math.sqrt(n) / 2)
+    width = max(min(width, fd), 1.0)
     return min(max(math.ceil(span / width), 1), MAX_BINS)
 
 

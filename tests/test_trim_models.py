@@ -1,0 +1,109 @@
+import math
+import random
+
+import numpy as np
+import pytest
+
+from chromaloom.operators import models, trim
+
+READ = "qname string, flag int, rname string, pos long, cigar string, seq string, qual string"
+FRAGS = [("s_0_2+_3+", 50), ("s_9_2-_3-", 50), ("s_7_0-_0-", 20)]
+
+
+def clip(spark, *reads):
+    frags = trim.parse_fragment_names(spark.createDataFrame(FRAGS, "rname string, length long"))
+    out = trim.trim(spark.createDataFrame(list(reads), READ), frags)
+    return {r["qname"]: (r["cigar"], r["seq"]) for r in out.collect()}
+
+
+def seq(n):
+    return "".join("ACGT"[i % 4] for i in range(n))
+
+
+def reference(flag, pos, cigar, bases, length, front, front_fwd, end, end_fwd):
+    """The same as a loop."""
+    import re
+
+    rev = bool(flag & 16)
+    front, end = (0 if rev == front_fwd else front), (0 if rev == end_fwd else end)
+    ops = [(int(n or 1), k) for n, k in re.findall(r"(\d*)([MIDNSHPX=])", cigar)]
+    lead = 0
+    for n, k in ops:
+        if k in "MDN=X":
+            break
+        lead += n
+    skip = max(0, lead + front - (pos - 1))
+    at = 0 if skip else pos - 1 - front
+    keep = max(0, max(0, max(0, length - front) - end) - at)
+    if not keep:
+        return None
+    head = tail = 0
+    out = ""
+    for n, k in ops:
+        cut = min(skip, n)
+        head += cut if k in "MIS=X" else 0
+        skip, n = skip - cut, n - cut
+        if not skip:
+            taken = min(n, keep)
+            tail += n - taken if k in "MIS=X" else 0
+            keep -= taken
+            out += f"{taken}{k}" if taken else ""
+    return (out, bases[head : len(bases) - tail]) if head + tail < len(bases) else None
+
+
+def test_trim_against_a_loop(spark):
+    rng = random.Random(2)
+    parsed = [(2, True, 3, True), (2, False, 3, False), (0, False, 0, False)]
+    reads, want = [], {}
+    for i in range(200):
+        ops = [(rng.randint(1, 12), rng.choice("MIDS=XNHP")) for _ in range(rng.randint(1, 5))]
+        cigar = "".join(f"{n}{k}" for n, k in ops)
+        bases = seq(sum(n for n, k in ops if k in "MIS=X"))
+        which, flag, pos = rng.randrange(3), rng.choice([0, 16]), rng.randint(1, 45)
+        if not bases:
+            continue
+        reads.append((f"q{i}", flag, FRAGS[which][0], pos, cigar, bases, bases))
+        found = reference(flag, pos, cigar, bases, FRAGS[which][1], *parsed[which])
+        if found:
+            want[f"q{i}"] = found
+    assert clip(spark, *reads) == want
+
+
+def test_unchanged_reads(spark):
+    got = clip(spark, ("a", 0, "other", 5, "10M", seq(10), seq(10)), ("b", 0, FRAGS[0][0], 0, "10M", seq(10), seq(10)), ("c", 0, FRAGS[0][0], 5, "*", seq(10), seq(10)))
+    assert got == {"a": ("10M", seq(10)), "b": ("10M", seq(10)), "c": ("*", seq(10))}
+
+
+@pytest.mark.parametrize(("f", "a", "b", "p"), [(1.0, 1, 1, 0.5), (4.0, 2, 10, 0.052922), (161.45, 1, 1, 0.05), (2.71, 5, 20, 0.05), (0.0, 3, 4, 1.0)])
+def test_f_survival(f, a, b, p):
+    assert abs(models.f_survival(f, a, b) - p) < 2e-4
+
+
+def test_edges_like_numpy(spark):
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.integers(0, 5000, 3000), np.exp(rng.uniform(np.log(1e3), np.log(7e6), 4000)).astype(int)])
+    df = spark.createDataFrame([(("ff", "fr", "rf", "rr")[i % 4], int(v)) for i, v in enumerate(x)], "class string, dis long")
+    counted = models.frequencies(df).persist()
+    edges = models.equal_edges(counted)
+    n = min(max(len(np.histogram_bin_edges(x, bins="auto")) - 1, 1), models.MAX_BINS)
+    want = np.interp(np.linspace(0, len(x), n + 1), np.arange(len(x)), np.sort(x))
+    assert np.allclose(edges, want)
+    table = models.histogram(counted, edges)
+    assert np.array_equal(table["n"].to_numpy(), np.histogram(x, bins=want)[0])
+    assert (table[models.CLASSES].sum(axis=1) == table["n"]).all()
+
+
+def test_slope_of_scaling_distances(spark):
+    rng = np.random.default_rng(4)
+    x = np.exp(rng.uniform(np.log(1e3), np.log(7e6), 20000)).astype(int)  # density 1 / s
+    df = spark.createDataFrame([("ff", int(v)) for v in x], "class string, dis long")
+    probs, tests = models.contact_models(df)
+    rows = [(math.log(r["sep"]), math.log(r["prob"])) for r in probs.filter("type = 'poly model deg 1' and class = 'all'").collect()]
+    assert abs((rows[-1][1] - rows[0][1]) / (rows[-1][0] - rows[0][0]) + 1) < 0.05
+    p = {(r["model1"], r["model2"]): r["p_value"] for r in tests.filter("class = 'all'").collect()}
+    assert len(p) == 25 and p["poly model deg 1", "poly model deg 0"] < 1e-6 and p["poly model deg 0", "poly model deg 1"] is None
+
+
+def test_empty_distances(spark):
+    probs, tests = models.contact_models(spark.createDataFrame([], "class string, dis long"))
+    assert probs.filter("type = 'histogram'").count() == 0 and tests.filter("p_value is not null").count() == 0
