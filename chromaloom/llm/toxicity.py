@@ -12,7 +12,8 @@ its embedding), and just this table of fixed size, 512 KB, is sent to the worker
 every whole text.
 
 Training takes at most ``MOST[label]`` labelled documents per label, those with the least
-md5(seed, doc_id), and of each at most ``SEGMENTS[label]`` segments, drawn by seed.  Rows with
+md5(seed, doc_id), and of all at most about ``SEGMENTS[label]`` segments, as many of each document,
+drawn by seed.  Rows with
 crc32(doc_id as text) mod 4 = 2 are never used.  Labels, lang, source and doc_id are no inputs.
 
 Defined results: a null or wordless text scores the base rate of the labels; so does every text
@@ -31,9 +32,9 @@ from .shared import SPACES, arrow_text, mix, pieces
 
 BUCKETS, WIDTH, SEGMENT = 1 << 17, 8, 16
 GRAMS = (3, 4, 5)
-MOST = {1: 2500, 0: 4000}
-SEGMENTS = {1: 120, 0: 10}
-EPOCHS, UPDATES, BATCH, RATE = 6, 400, 256, 0.5
+MOST = {1: 2000, 0: 4000}
+SEGMENTS = {1: 60_000, 0: 32_000}
+EPOCHS, UPDATES, BATCH, RATE = 6, 150, 256, 1.0
 THRESHOLD = 0.3
 SEED = "tox-1"
 
@@ -101,6 +102,7 @@ class Bags:
     def __init__(self, texts: list[str], label: np.ndarray, seed: int):
         rng = np.random.default_rng(seed)
         ids, size, doc = [], [], []
+        share = {k: max(4, SEGMENTS[k] // max(1, int((label == k).sum()))) for k in (0, 1)}
         for a in range(0, len(texts), 64):
             grams, row = grams_of(texts[a : a + 64])
             segment, of = segments_of(row)
@@ -108,7 +110,7 @@ class Bags:
             keep = np.zeros(len(of), bool)
             for r in np.unique(of):
                 mine = np.flatnonzero(of == r)
-                keep[mine[np.argsort(chance[mine])[: SEGMENTS[int(label[a + r])]]]] = True
+                keep[mine[np.argsort(chance[mine])[: share[int(label[a + r])]]]] = True
             new = np.cumsum(keep) - 1
             seg = np.concatenate([segment[w] for w, _ in grams]) if grams else np.zeros(0, int)
             flat = np.concatenate([i for _, i in grams]) if grams else np.zeros(0, np.int32)
@@ -121,6 +123,15 @@ class Bags:
         self.doc = np.concatenate(doc)
         self.begin = np.cumsum(self.size) - self.size
 
+    def means(self, value: np.ndarray) -> np.ndarray:
+        """The mean of a number per n-gram over every segment, a slice of segments at a time."""
+        out = np.zeros(len(self.size))
+        for a in range(0, len(out), 8192):
+            ids, seg = self.pick(np.arange(a, min(a + 8192, len(out))))
+            part = self.size[a : a + 8192]
+            out[a : a + 8192] = np.bincount(seg, value[ids], len(part)) / np.maximum(part, 1)
+        return out
+
     def pick(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         size = self.size[which]
         at = np.repeat(self.begin[which] - (np.cumsum(size) - size), size) + np.arange(size.sum())
@@ -140,8 +151,7 @@ def train(texts: list[str], label: np.ndarray, base: float, seed: int = 7) -> di
     for epoch in range(max(EPOCHS, min(40, UPDATES // batches))):  # small samples pass more often
         if epoch:  # toxic documents stand for their most toxic segments
             collapsed = table @ (soft[:, 1] - soft[:, 0])
-            total = np.add.reduceat(np.append(collapsed[bags.ids], 0), np.minimum(bags.begin, len(bags.ids))) if len(bags.ids) else np.zeros(len(bags.size))
-            score = total / np.maximum(bags.size, 1) + bias[1] - bias[0]
+            score = bags.means(collapsed) + bias[1] - bias[0]
             top = np.full(len(texts), -np.inf)
             np.maximum.at(top, bags.doc, np.where(bags.size > 0, score, -np.inf))
             chosen = full[(target[full] == 0) | (score[full] >= np.minimum(top[bags.doc[full]], 2.0))]
