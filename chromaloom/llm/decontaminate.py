@@ -184,7 +184,7 @@ def _searcher(items: Items):
         for batch in batches:
             data, ends = arrow_text(batch.column("_dc_text"))
             rows, ids, distances, sizes = [], [], [], []
-            for a, b in pieces(ends, 4 << 20):
+            for a, b in pieces(ends, 2 << 20):
                 base = ends[a]
                 _, row, word = words_of(data[base : ends[b]], ends[a : b + 1] - base, _INSIDE)
                 if len(row):
@@ -235,7 +235,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that leak no item, with all their columns."""
     space = Workspace(docs.sparkSession, "clean")
     bad = leaks(docs, benchmark).select(F.col("doc_id").alias("_dc_id"), F.col("_dc_x").alias("_dc_lx")).distinct()
-    bad = space.table(bad, "bad")
+    bad = space.table(bad, "bad", 2000)
     named = docs.withColumn("_dc_x", F.xxhash64("text"))
     return join_checked(named, bad, named["doc_id"].eqNullSafe(bad["_dc_id"]) & (named["_dc_x"] == bad["_dc_lx"]), "left_anti").select(*docs.columns)
 

@@ -159,7 +159,7 @@ def words_of(data: np.ndarray, ends: np.ndarray, inside: np.ndarray) -> tuple[np
     if not len(starts):
         return starts, starts, np.zeros(0, np.uint64)
     lengths = np.diff(np.append(starts, len(data)))
-    at = np.arange(starts[0], len(data)) - np.repeat(starts, lengths)
+    at = np.arange(starts[0], len(data), dtype=np.int32) - np.repeat(starts.astype(np.int32), lengths)
     value = np.where(held[starts[0] :], _BYTE[data[starts[0] :]], np.uint64(0)) * powers(int(lengths.max()))[at]
     hashes = mix(np.add.reduceat(value, starts - starts[0]))
     return starts, np.searchsorted(ends, starts, "right") - 1, hashes
