@@ -56,9 +56,9 @@ def shingles_of(row: np.ndarray, word: np.ndarray, size: int = WORDS) -> tuple[n
     length = np.diff(np.append(begin, count))
     left = np.repeat(begin + length, length) - np.arange(count)  # words from here to the row's end
     total = np.zeros(count, np.uint64)
-    for k in range(size):
+    for k in range(min(size, count)):
         there = np.zeros(count, np.uint64)
-        there[: count - k or None] = word[k:] * _PLACE[k]
+        there[: count - k] = word[k:] * _PLACE[k]
         total += np.where(left > k, there, np.uint64(0))
     first = np.zeros(count, bool)
     first[begin] = True
