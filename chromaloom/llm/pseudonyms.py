@@ -36,7 +36,7 @@ _DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|
 _IPV4 = r"(?<![0-9.])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![0-9]|\.[0-9])"
 _CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4} [0-9]{4} [0-9]{4} [0-9]{1,7}|[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{1,7})(?![0-9])"
 _SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-_PHONE = r"(?:\+1[ .-]?)?\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9-])(?:\+1[ .-])?[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9])|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![0-9])"
+_PHONE = r"(?:\+1[ .-]?)?\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9-])(?:\+1[ .-])?[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9])|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![0-9]|[/.-][0-9])"
 PATTERN = "|".join([_EMAIL, _IBAN, _DATE, _IPV4, _CARD, _SSN, _PHONE])
 
 

@@ -17,7 +17,7 @@ drawn by seed.  Rows with
 crc32(doc_id as text) mod 4 = 2 are never used.  Labels, lang, source and doc_id are no inputs.
 
 Defined results: a null or wordless text scores the base rate of the labels; so does every text
-if the labels hold only one class or none (base rate 0 without labels).  A doc_id labelled more
+if the labels of the documents there are of one class or none (base rate 0 without labels).  A doc_id labelled more
 than once counts as toxic if any label says so; null labels are ignored.
 """
 
@@ -205,8 +205,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     counts = {r[0]: r[1] for r in told.groupBy("toxic").count().collect()}
     ones, zeros = counts.get(1, 0), counts.get(0, 0)
     base = ones / (ones + zeros) if ones + zeros else 0.0
+    flat = {"table": np.zeros(BUCKETS, np.float32), "slope": 0.0, "offset": -30.0, "base": base, "flat": True}
     if not ones or not zeros:
-        return {"table": np.zeros(BUCKETS, np.float32), "slope": 0.0, "offset": -30.0, "base": base, "flat": True}
+        return flat
     order = F.md5(F.concat(F.lit(SEED), F.col("doc_id").cast("string")))
     told = told.withColumn("order", order)
     some = [told.filter(f"toxic = {k}").orderBy("order", "doc_id").limit(MOST[k]) for k in (0, 1)]
@@ -214,6 +215,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")  # at most the sum of MOST
     rows = rows.orderBy("toxic", "order", "doc_id", F.xxhash64("text")).limit(sum(MOST.values()))
     rows = rows.select("toxic", F.lower("text").alias("text")).collect()
+    if len({r["toxic"] for r in rows if r["text"]}) < 2:
+        return flat
     return train([r["text"] or "" for r in rows], np.array([r["toxic"] for r in rows], int), base)
 
 
