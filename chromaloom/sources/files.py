@@ -23,10 +23,10 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     A record begins at ``>``; its name ends at the first blank or control character, the rest
     of that line is a comment; every byte of later lines is a base, line ends excepted.
     """
-    parts = spark.read.text(path, lineSep=">").withColumn("_at", F.monotonically_increasing_id())
+    parts = spark.read.text(path, lineSep=">").filter("value <> ''").withColumn("_at", F.monotonically_increasing_id())
     parts = parts.withColumn("_whole", F.col("value").contains("\n"))
     # A '>' inside a header line splits it: pieces without a line end belong to the next piece.
-    if parts.filter((F.col("value") != "") & ~F.col("_whole")).limit(2).count():
+    if parts.filter(~F.col("_whole")).limit(1).count():
         order = W.orderBy("_at")
         parts = parts.withColumn("_group", F.coalesce(F.sum(F.col("_whole").cast("int")).over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
         parts = parts.groupBy("_group").agg(F.min("_at").alias("_at"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_at", "value"))), lambda x: x["value"]), ">").alias("value"))
