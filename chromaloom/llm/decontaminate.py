@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Workspace, arrow_text, firsts, join_checked, mix, pieces, separators, words_of
+from .shared import arrow_text, firsts, for_python, join_checked, mix, pieces, separators, words_of, Workspace
 
 RATE = 0.2
 WALKS, PER_WALK, SAMPLED = 3, 8, 4
@@ -227,7 +227,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", F.xxhash64("text").alias("_dc_x"), F.lower("text").alias("_dc_text"))
     out = docs.sparkSession.createDataFrame([], HITS.format(kind))
     for items in item_blocks(benchmark):
-        out = out.unionByName(texts.mapInArrow(_searcher(items), HITS.format(kind)))
+        out = out.unionByName(for_python(texts).mapInArrow(_searcher(items), HITS.format(kind)))
     return out
 
 

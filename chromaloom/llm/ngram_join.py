@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Workspace, arrow_text, firsts, join_checked, mix, pieces, powers, separators, words_of
+from .shared import Workspace, arrow_binaries, arrow_text, firsts, join_checked, mix, pieces, powers, separators, words_of
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -163,7 +163,7 @@ def _verifier(threshold: float):
     def verify(batches):
         for batch in batches:
             good = []
-            for i, (x, y) in enumerate(zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist())):
+            for i, (x, y) in enumerate(zip(arrow_binaries(batch.column("set_a")), arrow_binaries(batch.column("set_b")))):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 if min(len(x), len(y)) >= threshold * max(len(x), len(y)):
                     same = len(np.intersect1d(x, y, assume_unique=True))
@@ -270,7 +270,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float
     space = Workspace(spark, "near")
     texts = docs.select("doc_id", F.xxhash64("text").alias("_nj_x"), F.col("text").alias("_nj_text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = space.table(texts.mapInArrow(_signed, f"doc_id {kind}, _nj_x long, tid long, n long, sig binary"), "rows", 2000)
+    rows = space.table(texts.mapInArrow(_signed, f"doc_id {kind}, _nj_x long, tid long, n long, sig binary"), "rows", 500)
     lead = F.min(F.struct("doc_id", "_nj_x"))
     reps = space.table(
         rows.filter("tid is not null").groupBy("tid").agg(F.count("*").alias("m"), F.first("n").alias("n"), lead.alias("lead"), F.min("doc_id").alias("low"), F.first("sig").alias("sig")),
@@ -302,9 +302,9 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float
     found = join_checked(texts, leads, texts["doc_id"].eqNullSafe(leads["_nj_id"]) & (texts["_nj_x"] == leads["_nj_lx"]))
     sets = found.select("tid", "_nj_text").mapInArrow(_shingle_sets, "tid long, shingles binary")
     repeated = rows.groupBy("doc_id", "_nj_x").count().filter("count > 1").limit(1).count() > 0
-    sets = space.table(sets.dropDuplicates(["tid"]) if repeated else sets, "sets", 1000)
+    sets = space.table(sets.dropDuplicates(["tid"]) if repeated else sets, "sets", 250)
     named_set = lambda x: sets.select(F.col("tid").alias(x), F.col("shingles").alias(f"set_{x}"))
-    links = space.table(alive.join(named_set("a"), "a").join(named_set("b"), "b").mapInArrow(_verifier(threshold), "a long, b long"), "links", 250)
+    links = space.table(alive.join(named_set("a"), "a").join(named_set("b"), "b").mapInArrow(_verifier(threshold), "a long, b long"), "links", 32)
     chunks = F.greatest(F.ceil(F.col("size") / CHUNK), F.ceil(F.col("size") * F.col("longest") * 8 / BLOCK_BYTES)).cast("int")
     dealt = (
         wide.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64(F.lit("chunk"), "tid"), F.col("chunks")).cast("int"))

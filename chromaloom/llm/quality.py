@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .shared import BROADCAST_ROWS, Workspace, arrow_text, mix, pieces, separators, words_of
+from .shared import BROADCAST_ROWS, arrow_text, for_python, mix, pieces, separators, words_of, Workspace
 
 MIN_WORDS = 50
 MAX_REPEATED = 50  # per cent of words
@@ -102,7 +102,7 @@ def _measured(batches):
 
 def measured(docs: DataFrame) -> DataFrame:
     kinds = ", ".join(f"{x} {docs.schema[x].dataType.simpleString()}" for x in ("doc_id", "lang", "source"))
-    out = docs.select("doc_id", "lang", "source", "text").mapInArrow(_measured, f"{kinds}, {', '.join(f'{x} long' for x in COUNTS)}")
+    out = for_python(docs.select("doc_id", "lang", "source", "text")).mapInArrow(_measured, f"{kinds}, {', '.join(f'{x} long' for x in COUNTS)}")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     return out.withColumn("base_failed", failed)
 

@@ -64,6 +64,18 @@ def arrow_rows(spark: SparkSession, most: int):
         spark.conf.set(name, was)
 
 
+def for_python(texts: DataFrame, most: int = 1000) -> DataFrame:
+    """``texts``, after lowering Spark's default number of rows in a batch to Python.
+
+    Frames that are returned unevaluated run with the session's setting, and 10,000 long texts
+    would not fit a worker; a number that the user has chosen is left alone.
+    """
+    conf, name = texts.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(name) == "10000":
+        conf.set(name, str(most))
+    return texts
+
+
 class Workspace:
     """A folder of Parquet tables below the shared folder, removed when Python ends."""
 
@@ -105,6 +117,15 @@ def arrow_text(column) -> tuple[np.ndarray, np.ndarray]:
     return data[first : int(ends[-1]) if len(ends) else 0], ends - first
 
 
+def arrow_binaries(column) -> list[np.ndarray]:
+    """The bytes of each row of an Arrow binary column, as views that copy nothing."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+    return [data[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+
 def pieces(ends: np.ndarray, most: int = 1 << 20):
     """Ranges of rows with about ``most`` bytes, at least one row each."""
     rows, at = len(ends) - 1, 0

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .shared import arrow_text
+from .shared import arrow_text, for_python
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pattern that the vocabulary was made for (a fixed value).
@@ -108,7 +108,7 @@ def section_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, rule: str = "f
         raise ValueError(f"rule is first, last or share, not {rule}")
     kind = docs.schema["doc_id"].dataType.simpleString()
     shape = f"doc_id {kind}, section long, char_begin long, char_end long, n_tokens double, n_touching long, doc_tokens long"
-    return docs.select("doc_id", "text").mapInArrow(_counter(vocabulary, rule), shape)
+    return for_python(docs.select("doc_id", "text")).mapInArrow(_counter(vocabulary, rule), shape)
 
 
 def op10_token_counts(spark, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import SPACES, arrow_text, mix, pieces
+from .shared import SPACES, arrow_text, for_python, mix, pieces
 
 BUCKETS, WIDTH, SEGMENT = 1 << 17, 8, 16
 GRAMS = (3, 4, 5)
@@ -248,7 +248,7 @@ def scored(docs: DataFrame, labels: DataFrame, carry: list[str]) -> DataFrame:
     """The columns ``carry`` of every document and its _tx_score."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
     kinds = ", ".join(f"`{x}` {docs.schema[x].dataType.simpleString()}" for x in carry)
-    return docs.select(*carry, F.lower("text").alias("_tx_text")).mapInArrow(_scorer(model), f"{kinds}, _tx_score double")
+    return for_python(docs.select(*carry, F.lower("text").alias("_tx_text"))).mapInArrow(_scorer(model), f"{kinds}, _tx_score double")
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
