@@ -42,7 +42,9 @@ def lookup(points: DataFrame, fragments: DataFrame, at: str, strategy: str = "bi
         table = binned(slim, shift)
         ends = slim.filter("frag_next is null").select(F.col("seq_idx").alias("_s"), F.shiftright(F.greatest("frag_end", "frag_start"), shift).alias("_top"))
         small_ends = F.broadcast(ends) if ends.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else ends
-        small = F.broadcast(table) if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else table
+        # rows of the binned table: one per fragment and one per edge of a bin
+        size = slim.agg(F.count("*") + F.sum(F.col("frag_end") - F.col("frag_start")) / (1 << shift)).first()[0] or 0
+        small = F.broadcast(table) if size <= BROADCAST_ROWS else table
         keyed = points.join(small_ends, F.col("seq_idx") == F.col("_s"), "left").withColumn("_bin", F.least(F.shiftright(at, shift), F.col("_top")))
         held = (keyed[at] >= small["frag_start"]) & (small["frag_next"].isNull() | (keyed[at] < small["frag_next"]))
         out = keyed.join(small.drop("frag_end"), (keyed["seq_idx"] == small["seq_idx"]) & (keyed["_bin"] == small["bin"]) & held, "left")

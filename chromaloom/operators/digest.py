@@ -17,6 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.sites import RestrictionSite, scan_patterns
+from .tables import Workspace
 
 CHUNK = 16_384
 REACH = 63  # bases of `after`; the longest pattern has one base more at most
@@ -65,23 +66,37 @@ def find_all(data: np.ndarray, begin: int, patterns: list[tuple[list[np.ndarray]
     return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
-def cuts(chunks: DataFrame, sites: frozenset[RestrictionSite]) -> DataFrame:
-    """Distinct (seq_idx, cut), the start 0 of every sequence included."""
+def scanned(chunks: DataFrame, sites: frozenset[RestrictionSite]) -> DataFrame:
+    """(seq_idx, name, cut, bases): the distinct cuts, and one row without cut that holds the length.
+
+    Chunks are dealt out evenly before they are scanned, whatever files they came from.
+    """
     patterns = [(_tables(s.pattern), s.loc) for s in scan_patterns(sites)]
 
     def scan(batches):
         for batch in batches:
-            seq, at = [], []
-            for idx, start, bases, after in zip(*[batch.column(x).to_pylist() for x in ("seq_idx", "chunk_start", "bases", "after")]):
+            seq, names, at, size = [], [], [], []
+            for idx, name, start, bases, after in zip(*[batch.column(x).to_pylist() for x in ("seq_idx", "name", "chunk_start", "bases", "after")]):
                 data = np.frombuffer((bases + after).encode("latin-1", "replace"), np.uint8)
                 hit = find_all(data, len(bases), patterns) + start
                 hit = np.append(0, hit) if start == 0 else hit
-                seq.append(np.full(len(hit), idx, np.int32))
-                at.append(hit.astype(np.int64))
+                seq.append(np.full(len(hit) + 1, idx, np.int32))
+                names += [name] * (len(hit) + 1)
+                at.append(np.append(hit, -1))
+                size.append(np.append(np.zeros(len(hit), np.int64), len(bases)))
             if seq:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(seq)), pa.array(np.concatenate(at))], names=["seq_idx", "cut"])
+                cut = np.concatenate(at).astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(seq)), pa.array(names, pa.string()), pa.array(cut, mask=cut < 0), pa.array(np.concatenate(size))], names=["seq_idx", "name", "cut", "bases"]
+                )
 
-    return chunks.mapInArrow(scan, "seq_idx int, cut long").distinct()
+    dealt = chunks.repartition("seq_idx", "chunk_start")
+    return dealt.mapInArrow(scan, "seq_idx int, name string, cut long, bases long").groupBy("seq_idx", "name", "cut").agg(F.sum("bases").alias("bases"))
+
+
+def cuts(chunks: DataFrame, sites: frozenset[RestrictionSite]) -> DataFrame:
+    """Distinct (seq_idx, cut), the start 0 of every sequence included."""
+    return scanned(chunks, sites).filter("cut is not null").select("seq_idx", "cut")
 
 
 def lengths(chunks: DataFrame) -> DataFrame:
@@ -92,28 +107,31 @@ def lengths(chunks: DataFrame) -> DataFrame:
 def fragments(chunks: DataFrame, sites: frozenset[RestrictionSite]) -> DataFrame:
     """frag_id, seq_idx, name, frag_start, frag_next (null for the last), frag_end.
 
-    Ids run over all sequences in order: a number within the sequence and a prefix sum over
-    the number of fragments of earlier sequences, so no window runs over all fragments.
+    Written as a table: one scan of the genome, numbered within each sequence; the ids add a prefix
+    sum over the numbers of fragments of earlier sequences, so no window runs over all fragments.
     """
-    at = cuts(chunks, sites)
-    within = W.partitionBy("seq_idx").orderBy("cut")
-    numbered = at.withColumn("frag_next", F.lead("cut").over(within)).withColumn("_n", F.row_number().over(within) - 1)
-    earlier = at.groupBy("seq_idx").agg(F.count("*").alias("_count"))
+    space = Workspace(chunks.sparkSession, "digest")
+    by = W.partitionBy("seq_idx")
+    within = by.orderBy(F.col("cut").asc_nulls_last())
+    numbered = scanned(chunks, sites).withColumn("_len", F.max("bases").over(by)).withColumn("_next", F.lead("cut").over(within)).withColumn("_n", F.row_number().over(within) - 1)
+    numbered = space.table(numbered.filter("cut is not null"), "numbered", 256)
+    earlier = numbered.groupBy("seq_idx").agg(F.count("*").alias("_count"))
     earlier = earlier.withColumn("_base", F.coalesce(F.sum("_count").over(W.orderBy("seq_idx").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    out = numbered.join(earlier, "seq_idx").join(lengths(chunks), "seq_idx")
-    return out.select(
+    out = numbered.join(earlier, "seq_idx")
+    out = out.select(
         (F.col("_base") + F.col("_n")).cast("long").alias("frag_id"), "seq_idx", "name",
-        F.col("cut").alias("frag_start"), "frag_next", F.coalesce("frag_next", "length").alias("frag_end"),
+        F.col("cut").alias("frag_start"), F.col("_next").alias("frag_next"), F.coalesce("_next", "_len").alias("frag_end"),
     )
+    out = space.table(out, "fragments")
+    space.drop("numbered")
+    return out
 
 
 def sequence_table(chunks: DataFrame, frags: DataFrame | None) -> DataFrame:
     """seq_idx, name, length, n_sites (fragments but one; 0 without a digest)."""
-    base = lengths(chunks)
     if frags is None:
-        return base.withColumn("n_sites", F.lit(0).cast("long"))
-    counts = frags.groupBy("seq_idx").agg((F.count("*") - 1).alias("n_sites"))
-    return base.join(counts, "seq_idx", "left").fillna({"n_sites": 0})
+        return lengths(chunks).withColumn("n_sites", F.lit(0).cast("long"))
+    return frags.groupBy("seq_idx", "name").agg(F.max("frag_end").alias("length"), (F.count("*") - 1).alias("n_sites"))
 
 
 def site_summary(sequences: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.sites import RestrictionSite, compile_sites
 from ..operators import digest, models, pairs, reads, stats
+from ..operators.tables import Workspace
 from ..sources import files, header, sinks
 
 
@@ -203,8 +204,7 @@ class Pipeline:
             return None
         if self._input is None:
             raise SettingError("no input is registered")
-        frags = frags.persist() if frags is not None else None
-        sequences = digest.sequence_table(chunks, frags).persist()
+        sequences = Workspace(self.spark, "sequences").table(digest.sequence_table(chunks, frags), "sequences")
         classified = reads.classify(self._input(), sequences, frags, self.min_mapq)
         good = reads.good_reads(classified)
         found = pairs.pair_reads(good)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.alignments import ALIASES, query_length, reference_length
 from ..functions.sites import ENZYMES, expand, reverse_complement
 from ..operators import asof, digest, models, pairs, reads, stats, trim
+from ..operators.tables import Workspace
 from ..sources import files, sinks
 from . import surrogate
 from .surrogate import CUTS, GENOME, PAIRS, READS, SITES
@@ -29,9 +30,11 @@ class Run:
             "chunks": lambda: digest.chunked(self.genome),
             "frags": lambda: digest.fragments(self.chunks, SITES),
             "sequences": lambda: digest.sequence_table(self.chunks, self.frags),
-            "names": lambda: digest.lengths(self.chunks),
-            "records": lambda: surrogate.reads(self.spark, self.sf_dir),
-            "classified": lambda: reads.classify(self.records, self.names, self.frags),
+            "lengths": lambda: Workspace(self.spark, "names").table(digest.lengths(self.chunks), "names"),
+            # with a digest at hand the lengths are known; without one the genome is only measured
+            "names": lambda: self.sequences.drop("n_sites") if "frags" in self._made else self.lengths,
+            "records": lambda: surrogate.reads(self.spark, self.sf_dir, self.names),
+            "classified": lambda: self._classified(),
             "good": lambda: reads.good_reads(self.classified),
             "pairs": lambda: pairs.pair_reads(self.good),
             "final": lambda: pairs.with_final_class(self.classified, self.good, self.pairs),
@@ -42,6 +45,10 @@ class Run:
             self._made[name] = make()
         return self._made[name]
 
+    def _classified(self) -> DataFrame:
+        frags = self.frags  # first, as the names come from it
+        return reads.classify(self.records, self.names, frags)
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}

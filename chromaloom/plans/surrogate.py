@@ -24,10 +24,12 @@ def genome(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("int").alias("seq_idx"), F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("name"), F.translate(F.coalesce(kept, F.lit("")), LETTERS, BASES).alias("seq"))
 
 
-def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """line_no, qname, flag, rname, pos, mapq, cigar, rest."""
+def reads(spark: SparkSession, sf_dir: str, names: DataFrame | None = None) -> DataFrame:
+    """line_no, qname, flag, rname, pos, mapq, cigar, rest; names: (seq_idx, name, length) if known."""
     item = spark.read.parquet(f"{sf_dir}/lineitem.parquet").drop("l_shipdate")
-    sizes = genome(spark, sf_dir).select(F.col("seq_idx").alias("s"), F.greatest(F.length("seq"), F.lit(1)).cast("long").alias("len"))
+    if names is None:
+        names = genome(spark, sf_dir).select("seq_idx", F.length("seq").alias("length"))
+    sizes = names.select(F.col("seq_idx").alias("s"), F.greatest("length", F.lit(1)).cast("long").alias("len"))
     total = sizes.agg(F.count("*").alias("n_seq"))
     order = W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     a = item.withColumn("rn", F.row_number().over(order)).join(F.broadcast(total))
