@@ -1,69 +1,28 @@
 """Helpers shared by the training-data operators.
 
-``Workspace`` keeps intermediate results as Parquet tables in the folder that the
-cluster shares (``spark.checkpoint.dir``), which cuts lineage and survives the loss of
-an executor.  ``join_checked`` broadcasts a side only after its rows were counted.
+``join_checked`` broadcasts a side only after its rows were counted.
 ``arrow_text`` and ``words_of`` turn an Arrow string column into word tables with numpy,
 without making a Python object for each word.
 """
 
 from __future__ import annotations
 
-import atexit
-import contextlib
-import os
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.tables import Workspace, arrow_rows, shared_dir
+
+__all__ = ["Workspace", "arrow_rows", "shared_dir"]
+
 #: Most rows of a side that is broadcast; with rows of at most 64 bytes that is 16 MB.
 BROADCAST_ROWS = 250_000
 
 #: Bytes that end a word: U+0020 and U+0009 to U+000D.
 SPACES = b" \t\n\x0b\x0c\r"
 
-_opened: list[tuple[SparkSession, str]] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a folder of our own only where none is set."""
-    conf = spark.sparkContext.getConf()
-    base = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = f"/tmp/checkpoints/{os.getpid()}"
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
-@atexit.register
-def _sweep() -> None:
-    for spark, path in _opened:
-        if getattr(spark.sparkContext, "_jsc", None) is not None:
-            _delete(spark, path)
-
-
-@contextlib.contextmanager
-def arrow_rows(spark: SparkSession, most: int):
-    """Jobs run inside hand at most so many rows at a time to Python, so that long rows fit."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    was = spark.conf.get(name)
-    spark.conf.set(name, str(most))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, was)
-
-
 def for_python(texts: DataFrame, most: int = 1000) -> DataFrame:
     """``texts``, after lowering Spark's default number of rows in a batch to Python.
 
@@ -76,26 +35,6 @@ def for_python(texts: DataFrame, most: int = 1000) -> DataFrame:
     return texts
 
 
-class Workspace:
-    """A folder of Parquet tables below the shared folder, removed when Python ends."""
-
-    def __init__(self, spark: SparkSession, what: str):
-        self.spark = spark
-        self.path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-        _opened.append((spark, self.path))
-
-    def table(self, df: DataFrame, name: str, rows: int = 0) -> DataFrame:
-        """Write df and read it again: its lineage ends here.  rows: most in a batch to Python."""
-        at = f"{self.path}/{name}"
-        with arrow_rows(self.spark, rows) if rows else contextlib.nullcontext():
-            df.write.mode("overwrite").parquet(at)
-        return self.spark.read.schema(df.schema).parquet(at)
-
-    def drop(self, *names: str) -> None:
-        for name in names:
-            _delete(self.spark, f"{self.path}/{name}")
-
-
 def join_checked(left: DataFrame, right: DataFrame, on, how: str = "inner", most: int = BROADCAST_ROWS) -> DataFrame:
     """Join that broadcasts ``right`` only if it was counted to hold at most ``most`` rows.
 
