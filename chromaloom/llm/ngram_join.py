@@ -40,6 +40,7 @@ HASHES = ROWS * BANDS
 STEP = 8
 SMALL, CHUNK = 32, 1024
 BLOCK_BYTES = 2 << 20
+SLACK = 1e-6  # counts are whole numbers: only keeps pairs at exactly the threshold from rounding
 
 _INSIDE = separators()
 _rng = np.random.default_rng(3)
@@ -165,9 +166,9 @@ def _verifier(threshold: float):
             good = []
             for i, (x, y) in enumerate(zip(arrow_binaries(batch.column("set_a")), arrow_binaries(batch.column("set_b")))):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if min(len(x), len(y)) >= threshold * max(len(x), len(y)):
+                if min(len(x), len(y)) >= threshold * max(len(x), len(y)) - SLACK:
                     same = len(np.intersect1d(x, y, assume_unique=True))
-                    if same >= threshold * (len(x) + len(y) - same):
+                    if same >= threshold * (len(x) + len(y) - same) - SLACK:
                         good.append(i)
             yield batch.select(["a", "b"]).take(pa.array(good, pa.int64()))
 
@@ -215,7 +216,7 @@ def _blocks(threshold: float, tolerance: float):
             held[owner[x:y], code[x:y] - begin] = 1
             shared += held @ held.T
         same = shared[place[a], place[b]]
-        good = same >= threshold * (size[place[a]] + size[place[b]] - same)
+        good = same >= threshold * (size[place[a]] + size[place[b]] - same) - SLACK
         a, b = a[good], b[good]
         links = np.bincount(a, copies[b], len(tid)) + np.bincount(b, copies[a], len(tid))
         root = np.arange(len(tid))
@@ -361,3 +362,20 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
 def op3_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return near_classes(docs).select("doc_id", "class_id", "n_links")
+
+
+ORACLE = r"""
+with recursive d as (select doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w from documents),
+s as (select doc_id, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                 when len(w) > 0 then [array_to_string(w, ' ')] end) as sh from d),
+u as (select distinct doc_id, sh from s),
+n as (select doc_id, count(*) as n from u group by doc_id),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as k from u a join u b on a.sh = b.sh and a.doc_id < b.doc_id group by 1, 2),
+l as (select a, b from p join n x on a = x.doc_id join n y on b = y.doc_id where 5 * k >= 4 * (x.n + y.n - k)),
+e as (select a, b from l union all select b, a from l),
+r as (select doc_id as node, doc_id as root from documents union select e.b, r.root from r join e on r.node = e.a),
+c as (select node, min(root) as class_id from r group by node),
+k as (select a, count(*) as n_links from e group by a)
+select doc_id, class_id, coalesce(n_links, 0)::bigint as n_links
+from documents join c on doc_id = c.node left join k on doc_id = k.a
+"""

@@ -20,6 +20,7 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op1_line_dedup": line_dedup.ORACLE,
     "op2_mixing": mixture.ORACLE,
+    "op3_ngram_jaccard_join": ngram_join.ORACLE,
     "op4_chat_rotation": chat.ORACLE,
     "op6_warc_packages": warc.ORACLE,
 }

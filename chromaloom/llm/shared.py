@@ -23,6 +23,7 @@ BROADCAST_ROWS = 250_000
 #: Bytes that end a word: U+0020 and U+0009 to U+000D.
 SPACES = b" \t\n\x0b\x0c\r"
 
+
 def for_python(texts: DataFrame, most: int = 1000) -> DataFrame:
     """``texts``, after lowering Spark's default number of rows in a batch to Python.
 
