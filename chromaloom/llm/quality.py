@@ -167,3 +167,44 @@ def apply_rules(docs: DataFrame) -> DataFrame:
 
 def op5_quality_rules(spark, sf_dir: str) -> DataFrame:
     return apply_rules(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("n_lines", "n_marks", "n_capitals", "lang", "source")
+
+
+def _oracle() -> str:
+    """DuckDB SQL of op5: the same counts, buckets, fences and choice of level."""
+    unpivot = "\n  union all ".join(f"select doc_id, lang, source, base_failed, {i} as o, '{k}' as measure, ({x.replace(' / ', '::double / ')}) as v, {s} as slack, {str(b).lower()} as two from b" for i, (k, (x, s, b)) in enumerate(MEASURES.items()))
+    return r"""
+with d as (select doc_id, lang, source, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+l as (select doc_id, unnest(string_split(text, chr(10))) as line from d),
+ln as (select doc_id, count(*) as n_lines, count(*) - count(distinct line) as n_dup_lines from l where regexp_matches(line, '[^\x20\x09-\x0D]') group by doc_id),
+t as (select doc_id, i, w[i] as x, w[i + 1] as y, w[i + 2] as z from (select doc_id, w, unnest(range(1, len(w) - 1)) as i from d where len(w) >= 3)),
+r as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, x, y, z) as k from t) where k > 1),
+rw as (select doc_id, count(*) as n_repeat_words from (select distinct doc_id, i + o as i from r, (values (0), (1), (2)) v(o)) group by doc_id),
+c as (select d.doc_id, lang, source, len(w)::bigint as n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars,
+             len(regexp_extract_all(text, '[#*$%&|<>]'))::bigint as n_symbols, coalesce(n_dup_lines, 0)::bigint as n_dup_lines,
+             coalesce(n_repeat_words, 0)::bigint as n_repeat_words, coalesce(n_lines, 0)::bigint as n_lines,
+             len(regexp_extract_all(text, '[!"''()+,\-./:;=?@\[\\\]^_`{}~]'))::bigint as n_marks, len(regexp_extract_all(text, '[A-Z]'))::bigint as n_capitals
+      from d left join ln on d.doc_id = ln.doc_id left join rw on d.doc_id = rw.doc_id),
+b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from c),
+m as (""" + unpivot.replace(" from b", " from b where not base_failed") + r"""),
+k as (select *, case when v <= 0 then 0 else greatest(1, ceil(ln(v * 1e6) / ln(1.02::double)))::int end as bucket from m),
+s as (select 0 as level, lang, source, measure, slack, two, bucket, count(*) as n from k group by all
+      union all select 1, lang, null, measure, slack, two, bucket, count(*) from k group by all
+      union all select 2, null, null, measure, slack, two, bucket, count(*) from k group by all),
+q as (select *, sum(n) over (partition by level, lang, source, measure order by bucket) as upto, sum(n) over (partition by level, lang, source, measure) as total,
+             case when bucket = 0 then 0 else pow(1.02::double, bucket - 0.5) / 1e6 end as val from s),
+f as (select level, lang, source, measure, slack, two, max(total) as total, min(case when upto >= total * 0.25 then val end) as q1, min(case when upto >= total * 0.75 then val end) as q3
+      from q group by all),
+h as (select *, q3 + 3 * (q3 - q1 + slack) as high, case when two then q1 - 3 * (q3 - q1 + slack) end as low from f),
+x as (select k.doc_id, k.o, k.measure,
+             case when h0.total >= 200 then h0.high when h1.total >= 200 then h1.high else h2.high end as high,
+             case when h0.total >= 200 then h0.low when h1.total >= 200 then h1.low else h2.low end as low, v
+      from k join h h0 on h0.level = 0 and h0.lang is not distinct from k.lang and h0.source is not distinct from k.source and h0.measure = k.measure
+      join h h1 on h1.level = 1 and h1.lang is not distinct from k.lang and h1.measure = k.measure
+      join h h2 on h2.level = 2 and h2.measure = k.measure),
+w as (select doc_id, arg_min(measure, o) as failed_measure from x where v > high or v < low group by doc_id)
+select b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and failed_measure is null as kept, failed_measure
+from b left join w on b.doc_id = w.doc_id
+"""
+
+
+ORACLE = _oracle()

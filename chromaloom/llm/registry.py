@@ -22,5 +22,6 @@ ORACLES: dict[str, str] = {
     "op2_mixing": mixture.ORACLE,
     "op3_ngram_jaccard_join": ngram_join.ORACLE,
     "op4_chat_rotation": chat.ORACLE,
+    "op5_quality_rules": quality.ORACLE,
     "op6_warc_packages": warc.ORACLE,
 }
