@@ -27,6 +27,15 @@ ALIASES = {
     "all_reads": ["FF", "FR", "RF", "RR", "SC", "DE", "SS", "RL", "DM", *READ_CLASSES],
 }
 
+# Names of outputs, with the classes they hold.
+OUTPUTS = {
+    **{name.replace("_", "-"): codes for name, codes in ALIASES.items()},
+    **{f"valid-{code.lower()}": [code] for code in VALID_PAIRS},
+    "re-ligated": ["RL"], "same-frag-and-strand": ["SS"], "dangling-end": ["DE"], "self-circle": ["SC"], "dumped": ["DM"],
+    "too-far-from-restriction-site": ["RS"], "low-mapq": ["MQ"], "bad-reference": ["IR"], "supplementary": ["SP"], "duplicate": ["DP"],
+    "qc-fail": ["QC"], "secondary": ["SE"], "unmapped": ["UM"], "unpaired": ["UP"],
+}
+
 
 def has(flag: Column, bit: int) -> Column:
     return flag.bitwiseAND(bit) != 0

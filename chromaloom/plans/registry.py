@@ -251,7 +251,7 @@ def _scaffolds(run: Run) -> tuple[DataFrame, DataFrame]:
     from pyspark.sql import Window as W
 
     order = names.withColumn("group_idx", (F.row_number().over(W.orderBy("group_name")) - 1).cast("int"))  # one row per source
-    return stats.to_groups(stats.contact_matrix(run.pairs), run.sequences, docs.join(F.broadcast(order), "group_name"))
+    return stats.to_groups(stats.contact_matrix(run.pairs), run.sequences, docs.join(order, "group_name"))
 
 
 SCAFFOLDS = CONTACTS + """,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.alignments import ALIASES
+from ..functions.alignments import ALIASES, OUTPUTS
 
 
 class RouteError(ValueError):
@@ -15,6 +15,8 @@ class RouteError(ValueError):
 def classes_of(name: str) -> list[str]:
     if name in ALIASES:
         return ALIASES[name]
+    if name in OUTPUTS:
+        return OUTPUTS[name]
     if name in ALIASES["all_reads"]:
         return [name]
     raise RouteError(f"{name} is no class of reads")

@@ -127,3 +127,15 @@ def test_pipeline_object(spark, tmp_path):
     assert stats.pair_count("c1", "c1").first()["count"] == 1.0
     sinks.write_csv(stats.reads, str(tmp_path / "csv"))
     assert spark.read.csv(str(tmp_path / "csv"), header=True).count() == 11
+
+
+def test_command_line(spark, tmp_path):
+    from chromaloom.__main__ import main
+
+    (tmp_path / "ref.fa").write_text(">c1\n" + "A" * 100 + "GATC" + "A" * 96 + "GATC" + "A" * 96 + "\n")
+    (tmp_path / "a.sam").write_text("\n".join(SAM[:5]) + "\n")
+    main(["--reference", str(tmp_path / "ref.fa"), "--sites", "DpnII", "--sam", str(tmp_path / "a.sam"), "--out", f"valid-ff={tmp_path / 'ff'}", "--out", f"bad-reads={tmp_path / 'bad'}"])
+    assert spark.read.parquet(str(tmp_path / "ff")).count() == 2
+    main(["--reference", str(tmp_path / "ref.fa"), "--sites", "DpnII", "--index-only", "--save-stats", str(tmp_path / "index")])
+    (folder,) = (tmp_path / "index").iterdir()
+    assert spark.read.parquet(str(folder)).count() == 3
