@@ -90,7 +90,8 @@ def scanned(chunks: DataFrame, sites: frozenset[RestrictionSite]) -> DataFrame:
                     [pa.array(np.concatenate(seq)), pa.array(names, pa.string()), pa.array(cut, mask=cut < 0), pa.array(np.concatenate(size))], names=["seq_idx", "name", "cut", "bases"]
                 )
 
-    dealt = chunks.repartition("seq_idx", "chunk_start")
+    # a fixed number of tasks: by size alone, adaptive execution would join them for their few bytes
+    dealt = chunks.repartition(int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")), "seq_idx", "chunk_start")
     return dealt.mapInArrow(scan, "seq_idx int, name string, cut long, bases long").groupBy("seq_idx", "name", "cut").agg(F.sum("bases").alias("bases"))
 
 

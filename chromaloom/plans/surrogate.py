@@ -20,6 +20,7 @@ BASES = "ACGTACGTACGTACGTACGTACGTAC" * 2 + "N"
 def genome(spark: SparkSession, sf_dir: str) -> DataFrame:
     """seq_idx, name, seq."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = docs.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id")  # one file may be one task
     kept = F.regexp_replace(F.regexp_replace("text", "[^a-zA-Z\\n]", ""), "[^\\n-~]", "")
     return docs.select(F.col("doc_id").cast("int").alias("seq_idx"), F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("name"), F.translate(F.coalesce(kept, F.lit("")), LETTERS, BASES).alias("seq"))
 
