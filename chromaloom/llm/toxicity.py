@@ -201,7 +201,7 @@ def train(texts: list[str], label: np.ndarray, base: float, seed: int = 7) -> di
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
     """Train on a bounded sample of the labelled documents that are not held out."""
     told = labels.filter("doc_id is not null and toxic is not null").filter(~_held_out())
-    told = told.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    told = told.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     counts = {r[0]: r[1] for r in told.groupBy("toxic").count().collect()}
     ones, zeros = counts.get(1, 0), counts.get(0, 0)
     base = ones / (ones + zeros) if ones + zeros else 0.0
