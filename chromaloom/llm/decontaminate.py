@@ -4,14 +4,12 @@ A document leaks an item if some stretch of its words is within edit distance
 ``floor(0.2 * words of the item)`` of the whole item.  Words are runs of letters, digits and
 non-ASCII characters of the lower-cased text.
 
-The CGK random walk embeds a sequence of words so that a small edit distance becomes a small
-Hamming distance: at step t the word under the pointer is emitted, and the pointer advances
-if bit t of the word's hash is set.  Windows of the documents begin at every ``stride``-th word;
-of the items, at every word, so some pair is aligned whatever the offset.  Items are grouped
-into classes of doubling length; stride and window length follow the class.  Each of
-``REPEATS`` samples of ``SAMPLED`` steps gives a key; equal keys give candidates, whose exact
-semi-global edit distance is then computed over whole words.  ``REPEATS`` is chosen so that
-recall on items with the greatest allowed number of random edits is at least 0.95 (tested).
+An item with at most k edits, cut into k + 1 pieces, keeps one piece whole wherever the edits
+fall, so no leak of any length is lost (tested from 1 to 1000 words).  The pieces are 4 words
+long, fewer in items of less than 20 words; the words of a piece are hashed together and looked up
+at every word of the documents.  Places that share a piece are candidates; begins that differ by
+less than k are one.  Those whose words, different words and triples of words allow k edits get
+the exact semi-global edit distance over whole words.
 
 Items are handled in blocks of ``BLOCK_WORDS`` words, each sent to the workers once per pass,
 so what is broadcast has a fixed bound however many items there are.
@@ -27,86 +25,51 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import arrow_text, firsts, for_python, join_checked, mix, pieces, separators, words_of, Workspace
+from .shared import arrow_text, for_python, join_checked, mix, pieces, separators, words_of, Workspace
 
 RATE = 0.2
-WALKS, PER_WALK, SAMPLED = 3, 8, 4
-REPEATS = WALKS * PER_WALK
 BLOCK_WORDS = 1 << 20
+AT_ONCE = 1 << 18  # candidates
 
 _ASCII_BETWEEN = bytes(x for x in range(128) if not chr(x).isalnum())
 _INSIDE = separators(_ASCII_BETWEEN)
-_FACTOR = np.random.default_rng(9).integers(1, 1 << 62, (REPEATS, 8), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def class_of(words: int) -> tuple[int, int]:
-    """Stride and window length of items of so many words: the stride is a power of two."""
-    if words < 3:
-        return 1, 1
-    stride = 1 << (words // 3).bit_length() - 1
-    return stride, 2 * stride + 1
+def pieces_of(words: int) -> tuple[int, np.ndarray]:
+    """Length of the pieces of an item of so many words, and where they begin: one more than its edits."""
+    count = int(RATE * words) + 1
+    return words // count, np.arange(count) * words // count
 
 
-def steps_of(window: int) -> int:
-    """Steps of the walk: few enough that the pointer seldom leaves the window."""
-    return 1 if window == 1 else round(1.4 * window)
-
-
-def sampled_steps(window: int) -> np.ndarray:
-    """The steps of each repetition, [REPEATS, up to SAMPLED]."""
-    steps = steps_of(window)
-    rng = np.random.default_rng([9, window])
-    return np.sort(np.array([rng.choice(steps, min(SAMPLED, steps), replace=False) for _ in range(REPEATS)]), 1)
-
-
-def keys_of(word: np.ndarray, begin: np.ndarray, window: int):
-    """For each repetition, the key of the window that begins at each of some words."""
-    plan = sampled_steps(window)
-    padded = np.append(word, np.zeros(steps_of(window) + 1, np.uint64))
-    for walk in range(WALKS):
-        of = range(walk * PER_WALK, (walk + 1) * PER_WALK)
-        at = begin.astype(np.int32)
-        keys = [np.zeros(len(begin), np.uint64) for _ in of]
-        for step in range(int(plan[of.start : of.stop].max()) + 1):
-            if step % 64 == 0:  # each 64 steps and each walk have random bits of their own
-                bits = mix(padded ^ np.uint64((walk << 32) + step + 1))
-            seen = bits[at]
-            for r, key in zip(of, keys):
-                for j in np.flatnonzero(plan[r] == step):
-                    key += seen * _FACTOR[r, j]
-            at += ((seen >> np.uint64(step % 64)) & np.uint64(1)).astype(np.int32)
-        yield from zip(of, keys)
+def grams(word: np.ndarray, size: int) -> np.ndarray:
+    """A key of the ``size`` words that begin at each word, along the last axis."""
+    key = word
+    for j in range(1, size):
+        key = mix(key[..., :-1]) + word[..., j:]
+    return key
 
 
 class Items:
-    """A block of items with the keys of their windows, for the workers."""
+    """A block of items with the keys of their pieces, for the workers."""
 
     def __init__(self, ids: list, words: list[np.ndarray]):
         self.ids, self.words = ids, words
-        self.classes: dict[tuple[int, int], tuple] = {}
+        self.tables: dict[int, tuple] = {}
         self.size = np.array([len(x) for x in words])
         self.known = np.zeros((len(words), 1024), bool)  # by the first ten bits of a word's hash
+        by: dict[int, list[tuple]] = {}
         for i, x in enumerate(words):
             self.known[i, x >> np.uint64(54)] = True
-        by: dict[tuple[int, int], list[int]] = {}
-        for i, x in enumerate(words):
             if len(x):
-                by.setdefault(class_of(len(x)), []).append(i)
-        for (stride, window), members in sorted(by.items()):
-            flat = np.concatenate([words[i] for i in members])
-            size = np.array([len(words[i]) for i in members])
-            base = np.cumsum(size) - size
-            offsets = size - window + 1
-            item = np.repeat(np.arange(len(members)), offsets)
-            offset = np.arange(len(item)) - np.repeat(np.cumsum(offsets) - offsets, offsets)
-            bits = max(16, int(4 * len(item)).bit_length())
-            tables = []
-            for _, key in keys_of(flat, base[item] + offset, window):
-                by_key = np.argsort(key, kind="stable")
-                held = np.zeros(1 << bits, bool)
-                held[mix(key) >> np.uint64(64 - bits)] = True
-                tables.append((held, key[by_key], np.array(members)[item[by_key]], offset[by_key]))
-            self.classes[stride, window] = (bits, tables)
+                length, offset = pieces_of(len(x))
+                by.setdefault(length, []).append((grams(x, length)[offset], np.full(len(offset), i), offset))
+        for length, members in sorted(by.items()):
+            key, item, offset = map(np.concatenate, zip(*members))
+            by_key = np.argsort(key, kind="stable")
+            bits = max(16, int(4 * len(key)).bit_length())
+            held = np.zeros(1 << bits, bool)
+            held[mix(key) >> np.uint64(64 - bits)] = True
+            self.tables[length] = (bits, held, key[by_key], item[by_key], offset[by_key])
 
 
 def edit_distances(regions: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -121,64 +84,74 @@ def edit_distances(regions: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, n
     return row.min(1), row.argmin(1)
 
 
+def _candidates(batch_word: np.ndarray, row: np.ndarray, items: Items):
+    """Arrays of item, row and place where the item may begin, of places that share a piece with it."""
+    for length, (bits, held, keys, item, offset) in items.tables.items():
+        key = grams(batch_word, length)
+        hit = np.flatnonzero(held[mix(key) >> np.uint64(64 - bits)] & (row[: len(key)] == row[length - 1 :]))
+        low, high = np.searchsorted(keys, key[hit], "left"), np.searchsorted(keys, key[hit], "right")
+        hit, low, count = hit[high > low], low[high > low], (high - low)[high > low]
+        for a, b in pieces(np.append(0, np.cumsum(count)), AT_ONCE):
+            n = count[a:b]
+            which = np.repeat(low[a:b] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            at = np.repeat(hit[a:b], n)
+            yield item[which], row[at], at - offset[which]
+
+
 def _search(batch_word: np.ndarray, row: np.ndarray, items: Items):
-    """(row, item, distance) of every item that is near some stretch of a row's words."""
-    begin = firsts(row)
-    length = np.diff(np.append(begin, len(row)))
-    place = np.arange(len(row)) - np.repeat(begin, length)
-    found = []
-    for (stride, window), (bits, tables) in items.classes.items():
-        starts = np.flatnonzero((place & (stride - 1)) == 0)
-        for r, key in keys_of(batch_word, starts, window):
-            held, sorted_keys, item, offset = tables[r]
-            hit = np.flatnonzero(held[mix(key) >> np.uint64(64 - bits)])
-            low, high = np.searchsorted(sorted_keys, key[hit], "left"), np.searchsorted(sorted_keys, key[hit], "right")
-            count = high - low
-            hit, low, count = hit[count > 0], low[count > 0], count[count > 0]
-            which = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            found.append(np.stack([item[which], np.repeat(starts[hit], count) - offset[which]], 1))
-    found = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-    _, first = np.unique(found[:, 0] * (len(row) * 4) + found[:, 1] + len(row), return_index=True)
-    found = found[first]
-    # Within `most` edits, all but `most` of an item's words are matched by a word of the region.
-    most = (RATE * items.size).astype(np.int64)[found[:, 0]]
-    width, matched = items.size[found[:, 0]] + 2 * most, np.zeros(len(found), np.int64)
-    known, code, of = items.known.ravel(), (batch_word >> np.uint64(54)).astype(np.int64), found[:, 0] * 1024
-    for j in range(int(width.max(initial=0))):
-        matched += known[of + code[np.clip(found[:, 1] - most + j, 0, len(row) - 1)]] & (j < width)
-    found = found[matched >= items.size[found[:, 0]] - most]
-    out = []
-    for i in np.unique(found[:, 0]):
-        words, at = items.words[i], found[found[:, 0] == i, 1]
-        most = int(RATE * len(words))
-        vocabulary = np.unique(words)
-        # An alignment within `most` edits that holds an aligned window begins within `most` of it.
-        width = len(words) + 2 * most
-        for part in range(0, len(at), max(1, (1 << 21) // (width + 1))):
-            p = at[part : part + max(1, (1 << 21) // (width + 1))]
-            home = row[np.clip(p + len(words) // 2, 0, len(row) - 1)]
-            for shift in (home, row[np.clip(p, 0, len(row) - 1)], row[np.clip(p + len(words) - 1, 0, len(row) - 1)]):
-                index = p[:, None] - most + np.arange(width)
+    """Distance of every item that is near some stretch of a row's words, by (row, item)."""
+    best: dict[tuple[int, int], int] = {}
+    code = (batch_word >> np.uint64(54)).astype(np.int64)
+    for item, home, at in _candidates(batch_word, row, items):
+        most = (RATE * items.size).astype(np.int64)[item]
+        # An alignment within `most` edits that holds a whole piece begins within `most` of `at`,
+        # which is rounded down to a multiple of `most`.
+        grid = np.maximum(most, 1)
+        at = at // grid * grid
+        width = items.size[item] + 2 * most + grid - 1
+        order = np.lexsort((at, home, item, -width))
+        item, home, at, most, width = item[order], home[order], at[order], most[order], width[order]
+        new = np.append(True, (item[1:] != item[:-1]) | (home[1:] != home[:-1]) | (at[1:] != at[:-1]))
+        item, home, at, most, width = item[new], home[new], at[new], most[new], width[new]
+        # Within `most` edits, all but `most` of an item's words are matched by a word of the region.
+        matched, of, begin = np.zeros(len(item), np.int64), item * 1024, at - most
+        for j in range(int(width[0])):
+            m = int(np.searchsorted(-width, -j, "left"))  # those that are wider than j
+            matched[:m] += items.known.ravel()[of[:m] + code[np.clip(begin[:m] + j, 0, len(row) - 1)]]
+        able = np.flatnonzero(matched >= items.size[item] - most)
+        able = able[np.argsort(item[able], kind="stable")]
+        for of_item in np.split(able, np.flatnonzero(np.diff(item[able])) + 1) if len(able) else []:
+            for part in range(0, len(of_item), max(1, (1 << 20) // int(width[of_item[0]]))):
+                p = of_item[part : part + max(1, (1 << 20) // int(width[of_item[0]]))]
+                i, edits = int(item[p[0]]), int(most[p[0]])
+                index = begin[p, None] + np.arange(int(width[p[0]]))
                 inside = (index >= 0) & (index < len(row))
                 index = np.clip(index, 0, len(row) - 1)
-                region = np.where(inside & (row[index] == shift[:, None]), batch_word[index], np.uint64(0))
-                # The same exactly, and all but `most` of its different words occur.
-                code = np.minimum(np.searchsorted(vocabulary, region), len(vocabulary) - 1)
-                code[vocabulary[code] != region] = -1
-                able = np.flatnonzero((code >= 0).sum(1) >= len(words) - most)
-                code = np.sort(code[able], 1)
-                able = able[((code[:, 1:] != code[:, :-1]).sum(1) + (code[:, 0] >= 0)) >= len(vocabulary) - most]
-                distance, _ = edit_distances(region[able], words)
-                good = distance <= most
-                out += zip(shift[able[good]].tolist(), [int(i)] * int(good.sum()), distance[good].tolist())
-                if (home == row[np.clip(p, 0, len(row) - 1)]).all() and (home == row[np.clip(p + len(words) - 1, 0, len(row) - 1)]).all():
-                    break
-    best: dict[tuple[int, int], int] = {}
-    for r, i, d in out:
-        best[r, i] = min(d, best.get((r, i), d))
+                region = np.where(inside & (row[index] == home[p, None]), batch_word[index], np.uint64(0))
+                near, distance = _distances(region, items.words[i], edits)
+                for r, d in zip(home[p[near]].tolist(), distance.tolist()):
+                    best[r, i] = min(d, best.get((r, i), d))
     return best
 
 
+def _distances(region: np.ndarray, words: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The regions with a stretch within ``most`` edits of an item, and the least distances."""
+    # All but `most` of the item's words, and of its different words, occur.
+    vocabulary = np.unique(words)
+    code = np.minimum(np.searchsorted(vocabulary, region), len(vocabulary) - 1)
+    code[vocabulary[code] != region] = -1
+    able = np.flatnonzero((code >= 0).sum(1) >= len(words) - most)
+    code = np.sort(code[able], 1)
+    able = able[((code[:, 1:] != code[:, :-1]).sum(1) + (code[:, 0] >= 0)) >= len(vocabulary) - most]
+    if len(words) >= 3:  # an edit changes three triples at most
+        triples = np.sort(grams(words, 3))
+        key = grams(region[able], 3)
+        same = triples[np.minimum(np.searchsorted(triples, key), len(triples) - 1)] == key
+        able = able[same.sum(1) >= len(triples) - 3 * most]
+    distance, _ = edit_distances(region[able], words)
+    return able[distance <= most], distance[distance <= most]
+
+
 def _searcher(items: Items):
     def search(batches):
         for batch in batches:

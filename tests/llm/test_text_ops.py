@@ -91,6 +91,24 @@ def test_recall_of_random_edits():
     assert found >= 0.95 * held
 
 
+@pytest.mark.parametrize("substituted", [1.0, 0.5])
+def test_no_leak_is_lost_at_the_greatest_distance(substituted):
+    rng = np.random.default_rng(3)
+    vocabulary = rng.integers(1, 2**63, 3000, dtype=np.uint64)
+    sizes = [*range(1, 31), 48, 60, 96, 192, 384, 768, 1000] * 2
+    items = decontaminate.Items(list(range(len(sizes))), [rng.choice(vocabulary, n) for n in sizes])
+    for i, words in enumerate(items.words):
+        most = int(0.2 * len(words))
+        edited = [[x] for x in words]
+        for p in rng.choice(len(words), most, replace=False):
+            kind = 0 if rng.random() < substituted else rng.integers(1, 3)
+            edited[p] = [[rng.choice(vocabulary)], [], [words[p], rng.choice(vocabulary)]][kind]
+        text = np.concatenate([rng.choice(vocabulary, rng.integers(0, 40)), np.array(sum(edited, []), np.uint64), rng.choice(vocabulary, rng.integers(0, 40))])
+        distance = decontaminate.edit_distances(text[None], words)[0][0]
+        assert distance <= most
+        assert decontaminate._search(text, np.zeros(len(text), int), items).get((0, i)) == distance
+
+
 def test_measures_like_brute_force(spark):
     rng = random.Random(2)
     texts = [None, "", "  \n", "a", "a b a b a b", "x\nx\n x\n\n\nx", "#*$%&|<> é ü", "a b\x1cc\x85d", *(prose(rng, n) for n in (49, 50, 51, 200))]
