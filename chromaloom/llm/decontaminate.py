@@ -15,7 +15,8 @@ Items are handled in blocks of ``BLOCK_WORDS`` words, each sent to the workers o
 so what is broadcast has a fixed bound however many items there are.
 
 Defined results: null or wordless documents and items never match.  Repeated rows each get their
-own results.  Items of equal text all match.  Columns other than ids and texts are not touched.
+own results.  Items of equal text all match.  Items without an id match like others, under a null
+item_id.  Columns other than ids and texts are not touched.
 """
 
 from __future__ import annotations
@@ -178,7 +179,7 @@ def _searcher(items: Items):
 def item_blocks(benchmark: DataFrame, most: int = BLOCK_WORDS):
     """Blocks of items (id, words), each of at most ``most`` words or one item."""
     ids, words, held = [], [], 0
-    for item_id, text in benchmark.select("item_id", F.lower("text")).filter("item_id is not null").sort("item_id", F.lower("text")).toLocalIterator():
+    for item_id, text in benchmark.select("item_id", F.lower("text")).sort("item_id", F.lower("text")).toLocalIterator():
         data = np.frombuffer((text or "").encode(), np.uint8)
         _, _, word = words_of(data, np.array([0, len(data)]), _INSIDE)
         if held and held + len(word) > most:

@@ -73,6 +73,15 @@ def test_item_blocks_give_the_same(spark, monkeypatch):
     assert decontaminate.leaks(docs(spark, rows), benchmark(spark, [])).count() == 0
 
 
+def test_items_without_an_id_leak_too(spark):
+    rng = random.Random(8)
+    items = [(None, prose(rng, 20)), (None, prose(rng, 30)), (1, prose(rng, 20)), (None, None)]
+    rows = [(k, prose(rng, 10) + " " + items[k % 3][1]) for k in range(6)] + [(9, prose(rng, 40))]
+    got = sorted((r["doc_id"], r["item_id"], r["item_words"]) for r in decontaminate.leaks(docs(spark, rows), benchmark(spark, items)).collect())
+    assert got == [(k, (None, None, 1)[k % 3], (20, 30, 20)[k % 3]) for k in range(6)]
+    assert [r["doc_id"] for r in decontaminate.without_leaks(docs(spark, rows), benchmark(spark, items)).collect()] == [9]
+
+
 def test_recall_of_random_edits():
     rng = np.random.default_rng(1)
     vocabulary = rng.integers(1, 2**63, 3000, dtype=np.uint64)
