@@ -133,6 +133,7 @@ class Pipeline:
         def read() -> DataFrame:
             if path.endswith(".bam"):
                 records = files.read_bam(self.spark, path)
+                self._header = files.read_bam_header(self.spark, path)
             else:
                 records, head, _ = files.read_sam(self.spark, path)
                 self._header = [r["value"] for r in head.orderBy("line_no").collect()]

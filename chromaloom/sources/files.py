@@ -98,9 +98,12 @@ def sam_to_fastq(records: DataFrame, keep_tags: list[str] | None = None) -> Data
 _CIGAR, _BASES = "MIDNSHP=X", "=ACMGRSVTWYHKDBN"
 
 
-def _bam_records(content: bytes):
-    """(header text, records) of the bytes of a BAM file."""
-    data, at = bytearray(), 0
+_TAG_NUMBERS = {"c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
+
+
+def _bgzf_blocks(content: bytes):
+    """The unpacked blocks of a BGZF file."""
+    at = 0
     while at < len(content):
         extra = struct.unpack_from("<H", content, at + 10)[0]
         field, size = at + 12, 0
@@ -109,19 +112,56 @@ def _bam_records(content: bytes):
             if (a, b) == (66, 67):
                 size = struct.unpack_from("<H", content, field + 4)[0] + 1
             field += 4 + n
-        data += zlib.decompress(content[at + 12 + extra : at + size - 8], wbits=-15)
+        yield zlib.decompress(content[at + 12 + extra : at + size - 8], wbits=-15)
         at += size
+
+
+def _bam_header(data: bytes):
+    """(header text, names and lengths of sequences, where records begin) of unpacked bytes of a BAM file."""
     if data[:4] != b"BAM\x01":
         raise ValueError("not a BAM file")
     text = struct.unpack_from("<i", data, 4)[0]
     head = data[8 : 8 + text].rstrip(b"\0").decode()
     at = 8 + text
-    names, count = [], struct.unpack_from("<i", data, at)[0]
+    known, count = [], struct.unpack_from("<i", data, at)[0]
     at += 4
     for _ in range(count):
         n = struct.unpack_from("<i", data, at)[0]
-        names.append(data[at + 4 : at + 3 + n].decode())
+        known.append((data[at + 4 : at + 3 + n].decode(), struct.unpack_from("<i", data, at + 4 + n)[0]))
         at += 8 + n
+    return head, known, at
+
+
+def _bam_tags(data: bytes, p: int, end: int) -> list[str]:
+    """The optional fields of a record, as SAM writes them."""
+    tags = []
+    shown = lambda kind, x: f"{x:g}" if kind == "f" else str(x)
+    while p < end:
+        tag, kind = data[p : p + 2].decode(), chr(data[p + 2])
+        p += 3
+        if kind == "A":
+            value, p = chr(data[p]), p + 1
+        elif kind in "ZH":
+            stop = data.index(0, p)
+            value, p = data[p:stop].decode(), stop + 1
+        elif kind == "B":
+            of, n = chr(data[p]), struct.unpack_from("<i", data, p + 1)[0]
+            form = f"<{n}{_TAG_NUMBERS[of]}"
+            value = ",".join([of, *(shown(of, x) for x in struct.unpack_from(form, data, p + 5))])
+            p += 5 + struct.calcsize(form)
+        else:
+            form = f"<{_TAG_NUMBERS[kind]}"
+            value, p = shown(kind, struct.unpack_from(form, data, p)[0]), p + struct.calcsize(form)
+            kind = "f" if kind == "f" else "i"
+        tags.append(f"{tag}:{kind}:{value}")
+    return tags
+
+
+def _bam_records(content: bytes):
+    """(header text, records) of the bytes of a BAM file."""
+    data = bytearray().join(_bgzf_blocks(content))
+    head, known, at = _bam_header(data)
+    names = [x for x, _ in known]
     rows = []
     while at < len(data):
         size, ref, pos, nl, mapq, _, ops, flag, bases, mref, mpos, tlen = struct.unpack_from("<iiiBBHHHiiii", data, at)
@@ -136,13 +176,13 @@ def _bam_records(content: bytes):
         qual = "*" if not bases or raw[0] == 255 else "".join(chr(x + 33) for x in raw)
         name = lambda i: names[i] if i >= 0 else "*"
         mate = "=" if mref == ref and ref >= 0 else name(mref)
-        rows.append((qname, flag, name(ref), pos + 1, mapq, cigar, "\t".join([mate, str(mpos + 1), str(tlen), seq, qual])))
+        rows.append((qname, flag, name(ref), pos + 1, mapq, cigar, "\t".join([mate, str(mpos + 1), str(tlen), seq, qual, *_bam_tags(data, p + bases, at + 4 + size)])))
         at += 4 + size
     return head, rows
 
 
 def read_bam(spark: SparkSession, path: str) -> DataFrame:
-    """Records of BAM files, as read_sam gives them (optional fields are left out); one task per file."""
+    """Records of BAM files, as read_sam gives them; one task per file."""
 
     def decode(batches):
         for batch in batches:
@@ -155,3 +195,28 @@ def read_bam(spark: SparkSession, path: str) -> DataFrame:
 
     files = spark.read.format("binaryFile").load(path).select("content")
     return files.mapInArrow(decode, "line_no long, qname string, flag int, rname string, pos long, mapq int, cigar string, rest string")
+
+
+def read_bam_header(spark: SparkSession, path: str) -> list[str]:
+    """Header lines of BAM files, each once; sequences without an @SQ line get one."""
+
+    def decode(batches):
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+                data = bytearray()
+                for block in _bgzf_blocks(content):
+                    data += block
+                    try:
+                        head, known, at = _bam_header(data)
+                    except (struct.error, UnicodeDecodeError):  # goes on in the next block
+                        continue
+                    if at <= len(data):
+                        break
+                lines = head.splitlines()
+                if not any(x.startswith("@SQ") for x in lines):
+                    lines += [f"@SQ\tSN:{name}\tLN:{length}" for name, length in known]
+                yield pa.RecordBatch.from_pydict({"path": pa.array([path] * len(lines), pa.string()), "line_no": pa.array(range(len(lines)), pa.int64()), "value": pa.array(lines, pa.string())})
+
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    lines = files.mapInArrow(decode, "path string, line_no long, value string").orderBy("path", "line_no").collect()
+    return list(dict.fromkeys(r["value"] for r in lines))

@@ -75,6 +75,42 @@ def test_bam(spark, tmp_path):
     assert got == [(0, "r1", 65, "c1", 5, 60, "4M", "=\t8\t0\tACGT\t????"), (1, "r2", 77, "*", 0, 60, "*", "*\t8\t0\t*\t*")]
 
 
+def bam_of(lines, text, tags=b""):
+    """A BAM file of SAM lines of 20 matched bases on c1, with tags after each."""
+    data = b"BAM\x01" + struct.pack("<i", len(text)) + text + struct.pack("<i", 1) + struct.pack("<i", 3) + b"c1\0" + struct.pack("<i", 300)
+    for name, flag, pos in lines:
+        body = struct.pack("<iiBBHHHiiii", 0, pos - 1, len(name) + 1, 60, 0, 1, flag, 20, 0, 0, 0) + name + b"\0" + struct.pack("<I", 20 << 4) + bytes([0x12] * 10) + bytes([30] * 20) + tags
+        data += struct.pack("<i", len(body)) + body
+    return bgzf(data)
+
+
+TAGS = b"XAAqXcc\xffXCC\xffXss\xfe\xffXSS\xff\xffXii\xfd\xff\xff\xffXII\xff\xff\xff\xffXff\x00\x00\xc0\x3fRGZa b\0XHH1AFF\0"
+TAGS += b"XBBs" + struct.pack("<i2h", 2, -1, 300) + b"XFBf" + struct.pack("<if", 1, 0.5) + b"XEBC" + struct.pack("<i", 0) + b"NMC\x02"
+SHOWN = ["XA:A:q", "Xc:i:-1", "XC:i:255", "Xs:i:-2", "XS:i:65535", "Xi:i:-3", "XI:i:4294967295", "Xf:f:1.5", "RG:Z:a b", "XH:H:1AFF", "XB:B:s,-1,300", "XF:B:f,0.5", "XE:B:C", "NM:i:2"]
+
+
+def test_bam_optional_fields(spark, tmp_path):
+    (tmp_path / "a.bam").write_bytes(bam_of([(b"r1", 65, 5), (b"r1", 129, 205)], b"", TAGS))
+    records = files.read_bam(spark, str(tmp_path / "a.bam"))
+    assert [r["rest"].split("\t")[5:] for r in records.collect()] == [SHOWN, SHOWN]
+    assert [r["comment"] for r in files.sam_to_fastq(records, ["RG", "NM"]).collect()] == ["RG:Z:a b\tNM:i:2"] * 2
+
+
+def test_bam_header_goes_to_the_output(spark, tmp_path):
+    (tmp_path / "ref.fa").write_text(">c1\n" + "A" * 100 + "GATC" + "A" * 96 + "GATC" + "A" * 96 + "\n")
+    long = "@CO\t" + "é" * 200
+    for name, text, want in (("a", "\n".join([*SAM[:3], long]) + "\n", [*SAM[:2], long]), ("b", "@HD\tVN:1.6\n", SAM[:2])):
+        (tmp_path / f"{name}.bam").write_bytes(bam_of([(b"r1", 65, 5), (b"r1", 129, 205)], text.encode()))
+        p = Pipeline(spark)
+        p.reference, p.restriction_sites = str(tmp_path / "ref.fa"), "DpnII"
+        p.register_sam_input(str(tmp_path / f"{name}.bam"))
+        p.register_output_file(str(tmp_path / f"{name}.sam"), ["valid_pairs"])
+        p.run()
+        lines = "".join(f.read_text() for f in sorted((tmp_path / f"{name}.sam").glob("part-*"))).splitlines()
+        assert lines[: len(want)] == want
+        assert [x.split("\t")[1] for x in lines if x.startswith("@PG")] == (["ID:x", "ID:chromaloom"] if name == "a" else ["ID:chromaloom"])
+
+
 def test_program_chain():
     chain = header.ProgramChain(["@PG\tID:a\tPN:a", "@PG\tID:b\tPP:a\tVN:1"])
     chain.append("@PG\tID:a\tPN:again")
