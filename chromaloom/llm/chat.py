@@ -7,6 +7,7 @@ with its end mark.
 
 A dialogue is rendered in parts of ``PART`` consecutive turn numbers, so that a conversation
 that holds a large share of all rows is spread over many tasks; offsets count from the part.
+``with_begins`` tells where each part begins in the whole dialogue.
 
 Defined results: a null or empty role speaks as ``unknown`` and is no participant; a null text is
 an empty turn; null turns come last, in a part of their own; ties are ordered by role and text,
@@ -18,6 +19,7 @@ text can end a turn.  Extra columns are ignored.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 PART = 512
@@ -52,6 +54,20 @@ def rotate(conversations: DataFrame, part: int = PART) -> DataFrame:
     return each.select("conv_id", "participant", "part", F.size("turns").cast("long").alias("n_turns"), text.alias("text"), spans.alias("spans"))
 
 
+def with_begins(parts: DataFrame) -> DataFrame:
+    """``rotate``'s rows with ``begin``, where the part begins in the whole rendering of its participant.
+
+    The whole rendering is the texts in order of ``begin``, and a span of it is a span of a part
+    plus ``begin``: a prefix sum of lengths, without moving texts.  Part -1, of the null turns, is
+    the last one, so turn numbers must not be negative.
+    """
+    order = W.partitionBy("conv_id", "participant").orderBy(F.col("part") < 0, "part")
+    size = parts.select("conv_id", "participant", "part", F.length("text").cast("long").alias("size"))
+    begins = size.select(F.col("conv_id").alias("_c"), F.col("participant").alias("_p"), F.col("part").alias("_n"), (F.sum("size").over(order) - F.col("size")).alias("begin"))
+    on = F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("participant") == F.col("_p")) & (F.col("part") == F.col("_n"))
+    return parts.join(begins, on).drop("_c", "_p", "_n")
+
+
 def op4_chat_rotation(spark, sf_dir: str) -> DataFrame:
     out = rotate(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     mask = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["begin"].cast("string"), s["end"].cast("string"))), ";")

@@ -168,3 +168,23 @@ def test_rotation_like_a_loop(spark):
             want[c, who, part] = (so_far + f"<|im_start|>{shown}\n{body}\n", spans + ([(begin, begin + len(body))] if name == who else []))
     assert {k: (r["text"], [(s["begin"], s["end"]) for s in r["spans"]]) for k, r in got.items()} == want
     assert chat.rotate(df.limit(0)).count() == 0
+
+
+def test_parts_join_to_the_whole_dialogue(spark):
+    rows = [(c, t, ("ann", "bob", "system")[t % 3], f"<|{c} {t} é") for c in (1, None) for t in range(0, 1300, 7)] + [(1, None, "ann", "last"), (2, 3, "ann", "short")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat.with_begins(chat.rotate(df)).collect()
+    assert len(got) == 4 + 4 + 3 + 3 + 1
+    for c, who in {(r["conv_id"], r["participant"]) for r in got}:
+        whole, targets, spans, texts = "", [], [], ""
+        for _, turn, role, text in sorted((r for r in rows if r[0] == c), key=lambda r: (r[1] is None, r[1] or 0)):
+            shown = "system" if role == "system" else "assistant" if role == who else f"user name={role}"
+            whole += f"<|im_start|>{shown}\n"
+            body = text.replace("<|", "<\\|") + "<|im_end|>"
+            targets += [(len(whole), len(whole) + len(body))] if role == who else []
+            whole += body + "\n"
+        for r in sorted((r for r in got if (r["conv_id"], r["participant"]) == (c, who)), key=lambda r: r["begin"]):
+            assert r["begin"] == len(texts)
+            texts += r["text"]
+            spans += [(s["begin"] + r["begin"], s["end"] + r["begin"]) for s in r["spans"]]
+        assert (texts, spans) == (whole, targets)
