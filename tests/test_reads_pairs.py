@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from chromaloom.functions.alignments import query_length, reference_length
 from chromaloom.functions.sites import compile_sites
-from chromaloom.operators import digest, pairs, reads
+from chromaloom.operators import digest, pairs, reads, stats
 
 COLUMNS = "line_no long, qname string, flag int, rname string, pos long, mapq int, cigar string"
 
@@ -142,3 +142,18 @@ def test_stream_pairs_like_batch(spark, tmp_path):
     run.stop()
     got = {tuple(r) for r in spark.table("paired").collect()}
     assert got == {("a", 0, None), ("a", 1, 2), ("b", 1, 0)}
+
+
+def test_dense_frame_of_unmerged_sequences(spark):
+    sequences = spark.createDataFrame([(k, f"c{k}", n) for k, n in enumerate((10, 20, 0, 40))], "seq_idx int, name string, length long")
+    held = {(0, 0, "FF"): 3, (0, 1, "FF"): 1, (0, 1, "RR"): 4, (1, 3, "FR"): 2, (3, 3, "RF"): 5}
+    contacts = spark.createDataFrame([(*k, n) for k, n in held.items()], "seq1 int, seq2 int, hc string, count long")
+    got = stats.valid_pairs_dense(contacts, sequences).collect()
+    size, want = (10, 20, 0, 40), {}
+    for a in range(4):
+        for b in range(a, 4):
+            for kind in ("FF", "FR", "RF", "RR", "total"):
+                n = sum(x for (i, j, hc), x in held.items() if (i, j) == (a, b) and kind in (hc, "total"))
+                want[f"c{a}", f"c{b}", kind.lower(), False] = float(n)
+                want[f"c{a}", f"c{b}", kind.lower(), True] = n / (size[a] * size[b]) if size[a] * size[b] else None
+    assert len(got) == len(want) and {tuple(r)[:4]: r["count"] for r in got} == want
