@@ -358,9 +358,20 @@ def aligner_digest(run: Run) -> DataFrame:
 
 @query("trim_reads")
 def trim_reads(run: Run) -> DataFrame:
-    """Primary reads clipped to fragments: each contig is taken as one fragment with overhangs of 4 and 3 bases."""
-    frags = run.names.select(F.col("name").alias("rname"), "length", F.lit(4).cast("long").alias("front"), F.lit(True).alias("front_fwd"), F.lit(3).cast("long").alias("end"), F.lit(False).alias("end_fwd"))
+    """Primary reads clipped to the digest fragment that holds their position, with its overhangs.
+
+    Positions count within the fragment, filled bases included; those past the end of a contig
+    belong to its last fragment, and reads of unknown contigs pass unchanged.
+    """
+    cut = digest.aligner_digest(run.genome, SITES).filter("frag_end > frag_start").withColumn("length", F.length("bases").cast("long")).drop("bases")
+    cut = Workspace(run.spark, "trimmed").table(cut, "fragments")
+    contigs = run.names.select(F.col("name").alias("rname"), "seq_idx", F.col("length").alias("_contig"))
     primary = run.records.filter(F.col("flag").bitwiseAND(0x900) == 0)
+    placed = primary.join(contigs, "rname", "left").withColumn("_at", F.when(F.col("pos") > 0, F.least(F.col("pos"), F.col("_contig")) - 1))
+    filled = F.when(F.col("front_fwd"), F.col("front")).otherwise(0).cast("long")
+    held = asof.lookup(placed, cut.select("seq_idx", F.struct("frag_name", filled.alias("filled")).alias("frag_id"), "frag_start", "frag_end", F.col("frag_end").alias("frag_next")), "_at")
+    primary = held.withColumn("rname", F.coalesce("frag_id.frag_name", "rname")).withColumn("pos", F.coalesce(F.col("pos") - F.col("frag_start") + F.col("frag_id.filled"), "pos"))
+    frags = cut.select(F.col("frag_name").alias("rname"), "length", F.col("front").cast("long").alias("front"), "front_fwd", F.col("end").cast("long").alias("end"), "end_fwd")
     bases = F.repeat(F.lit("A"), query_length(F.col("cigar")).cast("int"))
     return trim.trim(primary.withColumn("seq", bases).withColumn("qual", bases), frags).select("qname", "line_no", "cigar", F.length("seq").cast("long").alias("bases"))
 

@@ -1,10 +1,13 @@
 import math
+import os
 import random
+import re
 
 import numpy as np
 import pytest
 
-from chromaloom.operators import models, trim
+from chromaloom.operators import digest, models, trim
+from chromaloom.plans import registry
 
 READ = "qname string, flag int, rname string, pos long, cigar string, seq string, qual string"
 FRAGS = [("s_0_2+_3+", 50), ("s_9_2-_3-", 50), ("s_7_0-_0-", 20)]
@@ -69,6 +72,28 @@ def test_trim_against_a_loop(spark):
     assert clip(spark, *reads) == want
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="the generated tables are not here")
+def test_query_clips_to_the_fragments_of_the_digest(spark):
+    run = registry.Run(spark, "/root/testdata/sf0.001")
+    cut, size = {}, {r["name"]: r["length"] for r in run.names.collect()}
+    for f in digest.aligner_digest(run.genome, registry.SITES).filter("frag_end > frag_start").collect():
+        cut.setdefault(f["name"], []).append(f)
+    want, clipped = {}, set()
+    for r in run.records.filter("flag & 2304 = 0").collect():
+        n = sum(int(n or 1) for n, k in re.findall(r"(\d*)([MIDNSHPX=])", r["cigar"]) if k in "MIS=X")
+        want[r["qname"], r["line_no"]] = (r["cigar"], n)
+        if r["pos"] > 0 and r["rname"] in cut and r["cigar"] != "*":
+            at = min(r["pos"], size[r["rname"]]) - 1
+            (f,) = [f for f in cut[r["rname"]] if f["frag_start"] <= at < f["frag_end"]]
+            pos = r["pos"] - f["frag_start"] + (f["front"] if f["front_fwd"] else 0)
+            found = reference(r["flag"], pos, r["cigar"], seq(n), len(f["bases"]), f["front"], f["front_fwd"], f["end"], f["end_fwd"])
+            if found and found[0] != r["cigar"] and f["frag_end"] < size[r["rname"]] and f["frag_start"] > 0:
+                clipped.add(f["frag_name"])
+            want[r["qname"], r["line_no"]] = found and (found[0], len(found[1]))
+    got = {(r["qname"], r["line_no"]): (r["cigar"], r["bases"]) for r in registry.QUERIES["trim_reads"](spark, "/root/testdata/sf0.001").collect()}
+    assert len(clipped) > 20 and got == {k: v for k, v in want.items() if v}
+
+
 def test_unchanged_reads(spark):
     got = clip(spark, ("a", 0, "other", 5, "10M", seq(10), seq(10)), ("b", 0, FRAGS[0][0], 0, "10M", seq(10), seq(10)), ("c", 0, FRAGS[0][0], 5, "*", seq(10), seq(10)))
     assert got == {"a": ("10M", seq(10)), "b": ("10M", seq(10)), "c": ("*", seq(10))}
