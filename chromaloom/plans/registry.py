@@ -32,7 +32,8 @@ class Run:
             "sequences": lambda: digest.sequence_table(self.chunks, self.frags),
             "lengths": lambda: Workspace(self.spark, "names").table(digest.lengths(self.chunks), "names"),
             # with a digest at hand the lengths are known; without one the genome is only measured
-            "names": lambda: self.sequences.drop("n_sites") if "frags" in self._made else self.lengths,
+            "names": lambda: self.sequences.drop("n_sites") if "frags" in self._made else self._ends() if "cut" in self._made else self.lengths,
+            "cut": lambda: Workspace(self.spark, "cut").table(digest.aligner_digest(self.genome, SITES).withColumn("length", F.length("bases").cast("long")).drop("bases"), "cut"),
             "records": lambda: surrogate.reads(self.spark, self.sf_dir, self.names),
             "classified": lambda: self._classified(),
             "good": lambda: reads.good_reads(self.classified),
@@ -45,6 +46,10 @@ class Run:
             self._made[name] = make()
         return self._made[name]
 
+    def _ends(self) -> DataFrame:
+        """Lengths by the ends of the aligner's fragments."""
+        return Workspace(self.spark, "names").table(self.cut.groupBy("seq_idx", "name").agg(F.max("frag_end").alias("length")), "names")
+
     def _classified(self) -> DataFrame:
         frags = self.frags  # first, as the names come from it
         return reads.classify(self.records, self.names, frags)
@@ -363,8 +368,7 @@ def trim_reads(run: Run) -> DataFrame:
     Positions count within the fragment, filled bases included; those past the end of a contig
     belong to its last fragment, and reads of unknown contigs pass unchanged.
     """
-    cut = digest.aligner_digest(run.genome, SITES).filter("frag_end > frag_start").withColumn("length", F.length("bases").cast("long")).drop("bases")
-    cut = Workspace(run.spark, "trimmed").table(cut, "fragments")
+    cut = run.cut.filter("frag_end > frag_start")  # first, as the names come from it
     contigs = run.names.select(F.col("name").alias("rname"), "seq_idx", F.col("length").alias("_contig"))
     primary = run.records.filter(F.col("flag").bitwiseAND(0x900) == 0)
     placed = primary.join(contigs, "rname", "left").withColumn("_at", F.when(F.col("pos") > 0, F.least(F.col("pos"), F.col("_contig")) - 1))
