@@ -13,9 +13,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.tables import Workspace, arrow_rows, shared_dir
+from ..operators.tables import Workspace, shared_dir
 
-__all__ = ["Workspace", "arrow_rows", "shared_dir"]
+__all__ = ["Workspace", "shared_dir"]
 
 #: Most rows of a side that is broadcast; with rows of at most 64 bytes that is 16 MB.
 BROADCAST_ROWS = 250_000
@@ -24,25 +24,20 @@ BROADCAST_ROWS = 250_000
 SPACES = b" \t\n\x0b\x0c\r"
 
 
-def for_python(texts: DataFrame, most: int = 1000) -> DataFrame:
-    """``texts``, after lowering Spark's default number of rows in a batch to Python.
-
-    Frames that are returned unevaluated run with the session's setting, and 10,000 long texts
-    would not fit a worker; a number that the user has chosen is left alone.
-    """
-    conf, name = texts.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if conf.get(name) == "10000":
-        conf.set(name, str(most))
-    return texts
+def refuse(docs: DataFrame, prefix: str) -> None:
+    """Columns of the input must not clash with those that an operator adds."""
+    clash = [c for c in docs.columns if c.lower().startswith(prefix)]
+    if clash:
+        raise ValueError(f"columns {clash} clash: names starting with {prefix} are reserved")
 
 
-def join_checked(left: DataFrame, right: DataFrame, on, how: str = "inner", most: int = BROADCAST_ROWS) -> DataFrame:
-    """Join that broadcasts ``right`` only if it was counted to hold at most ``most`` rows.
+def join_checked(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join that broadcasts ``right`` only if it was counted to hold at most ``BROADCAST_ROWS`` rows.
 
     Beyond that it is a shuffled join, whose skewed partitions adaptive execution splits.
     ``right`` is a written table, so that the count reads only Parquet footers.
     """
-    return left.join(F.broadcast(right) if right.count() <= most else right, on, how)
+    return left.join(F.broadcast(right) if right.count() <= BROADCAST_ROWS else right, on, how)
 
 
 def arrow_text(column) -> tuple[np.ndarray, np.ndarray]:
@@ -66,7 +61,7 @@ def arrow_binaries(column) -> list[np.ndarray]:
     return [data[a:b] for a, b in zip(ends[:-1], ends[1:])]
 
 
-def pieces(ends: np.ndarray, most: int = 1 << 20):
+def pieces(ends: np.ndarray, most: int = 1 << 18):
     """Ranges of rows with about ``most`` bytes, at least one row each."""
     rows, at = len(ends) - 1, 0
     while at < rows:
