@@ -19,18 +19,18 @@ A pair at exactly 0.8 shares no band with probability (1 - 0.8^4)^30 = 1.4e-7.
 Defined results: a null or wordless text has no shingle, is linked to nothing and is its own
 class.  Rows with equal words, repeated rows included, are linked to each other.  ``n_links``
 counts other rows; ``class_id`` is the smallest non-null doc_id of the class (null if there is
-none).  Extra columns are not touched; names starting with ``_nj_`` are reserved.
+none).  Extra columns are not touched; names starting with ``_nj_`` are refused.  An empty table
+gives no row.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Workspace, arrow_binaries, arrow_text, firsts, join_checked, mix, pieces, powers, separators, words_of
+from .shared import Workspace, arrow_binaries, arrow_text, firsts, join_checked, mix, pieces, powers, refuse, separators, words_of
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -139,7 +139,15 @@ def bayes_alive(left: np.ndarray, right: np.ndarray, need: dict[int, int]) -> np
 
 
 def _values(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.uint32).reshape(-1, HASHES)
+    """The MinHash values of an Arrow column of signatures, as a view."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    if not len(column):
+        return np.zeros((0, HASHES), np.uint32)
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    first = int(np.frombuffer(offsets, np.int64)[column.offset])
+    return np.frombuffer(data, np.uint32, len(column) * HASHES, first).reshape(-1, HASHES)
 
 
 def _pruner(threshold: float, tolerance: float):
@@ -147,8 +155,8 @@ def _pruner(threshold: float, tolerance: float):
 
     def prune(batches):
         for batch in batches:
-            a, b = _values(batch.column("sig_a").to_pylist()), _values(batch.column("sig_b").to_pylist())
-            wide = np.array(batch.column("wide_a").to_pylist(), np.int64)
+            a, b = _values(batch.column("sig_a")), _values(batch.column("sig_b"))
+            wide = batch.column("wide_a").to_numpy(zero_copy_only=False).astype(np.int64)
             elsewhere = np.zeros(len(a), bool)  # pairs that meet in a large bucket are counted there
             if wide.any():
                 for band in range(BANDS):
@@ -178,11 +186,12 @@ def _verifier(threshold: float):
 def _blocks(threshold: float, tolerance: float):
     need = least_matches(threshold, tolerance)
 
-    def block(pdf: pd.DataFrame) -> pd.DataFrame:
+    def block(table: pa.Table) -> pa.Table:
         """Compare two chunks of one bucket (or one with itself): counts and spanning links."""
-        band, low, high = int(pdf["band"].iloc[0]), int(pdf["low"].iloc[0]), int(pdf["high"].iloc[0])
-        tid, own = pdf["tid"].to_numpy(), pdf["chunk"].to_numpy()
-        sig, wide, copies = _values(pdf["sig"]), pdf["wide"].to_numpy().astype(np.int64), pdf["m"].to_numpy()
+        band, low, high = (table.column(x)[0].as_py() for x in ("band", "low", "high"))
+        tid, own, wide, copies = (table.column(x).to_numpy() for x in ("tid", "chunk", "wide", "m"))
+        sig, shingles = _values(table.column("sig")), table.column("shingles").combine_chunks()
+        shaped = lambda *columns: pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["tid", "links", "root"])
         one, two = np.flatnonzero(own == low), np.flatnonzero(own == high)
         found_a, found_b = [], []
         for i in one:
@@ -198,11 +207,11 @@ def _blocks(threshold: float, tolerance: float):
             found_b.append(other)
         a, b = np.concatenate(found_a or [[]]).astype(int), np.concatenate(found_b or [[]]).astype(int)
         if not len(a):
-            return pd.DataFrame({"tid": [], "links": [], "root": []}).astype("int64")
+            return shaped([], [], [])
         used = np.unique(np.append(a, b))
         place = np.zeros(len(tid), int)
         place[used] = np.arange(len(used))
-        sets = [np.frombuffer(pdf["shingles"].iloc[i], np.uint64) for i in used]
+        sets = [x.view(np.uint64) for x in arrow_binaries(shingles.take(pa.array(used)))]
         size = np.array([len(x) for x in sets])
         # Exact sizes of intersections: products of slices of the incidence matrix.
         _, code = np.unique(np.concatenate(sets), return_inverse=True)
@@ -229,7 +238,7 @@ def _blocks(threshold: float, tolerance: float):
                 break
             root = new
         keep = np.flatnonzero(links > 0)
-        return pd.DataFrame({"tid": tid[keep], "links": links[keep].astype("int64"), "root": tid[root[keep]]})
+        return shaped(tid[keep], links[keep].astype(np.int64), tid[root[keep]])
 
     return block
 
@@ -267,11 +276,10 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float
     ``_nj_x`` is xxhash64 of the row's own text; ``leads`` tells whether the row has the
     smallest (doc_id, text hash) of its class.
     """
-    spark = docs.sparkSession
-    space = Workspace(spark, "near")
+    space = Workspace(docs.sparkSession, "near")
     texts = docs.select("doc_id", F.xxhash64("text").alias("_nj_x"), F.col("text").alias("_nj_text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = space.table(texts.mapInArrow(_signed, f"doc_id {kind}, _nj_x long, tid long, n long, sig binary"), "rows", 500)
+    rows = space.table(texts.mapInArrow(_signed, f"doc_id {kind}, _nj_x long, tid long, n long, sig binary"), "rows")
     lead = F.min(F.struct("doc_id", "_nj_x"))
     reps = space.table(
         rows.filter("tid is not null").groupBy("tid").agg(F.count("*").alias("m"), F.first("n").alias("n"), lead.alias("lead"), F.min("doc_id").alias("low"), F.first("sig").alias("sig")),
@@ -295,7 +303,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float
     cand = space.table(reps.drop("low").join(space.table(named, "named"), "tid").join(masks, "tid", "left").fillna({"wide": 0}), "cand")
     signed = lambda x: cand.select(F.col("tid").alias(x), F.col("sig").alias(f"sig_{x}"), F.col("wide").alias(f"wide_{x}"))
     alive = space.table(
-        pairs.join(signed("a"), "a").join(signed("b").drop("wide_b"), "b").mapInArrow(_pruner(threshold, tolerance), "a long, b long"), "alive", 5000
+        pairs.join(signed("a"), "a").join(signed("b").drop("wide_b"), "b").mapInArrow(_pruner(threshold, tolerance), "a long, b long"), "alive"
     )
     # Texts of what is still a candidate, each read once.
     needed = alive.select(F.explode(F.array("a", "b")).alias("tid")).unionByName(cand.filter("wide <> 0").select("tid")).distinct()
@@ -303,9 +311,9 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float
     found = join_checked(texts, leads, texts["doc_id"].eqNullSafe(leads["_nj_id"]) & (texts["_nj_x"] == leads["_nj_lx"]))
     sets = found.select("tid", "_nj_text").mapInArrow(_shingle_sets, "tid long, shingles binary")
     repeated = rows.groupBy("doc_id", "_nj_x").count().filter("count > 1").limit(1).count() > 0
-    sets = space.table(sets.dropDuplicates(["tid"]) if repeated else sets, "sets", 250)
+    sets = space.table(sets.dropDuplicates(["tid"]) if repeated else sets, "sets")
     named_set = lambda x: sets.select(F.col("tid").alias(x), F.col("shingles").alias(f"set_{x}"))
-    links = space.table(alive.join(named_set("a"), "a").join(named_set("b"), "b").mapInArrow(_verifier(threshold), "a long, b long"), "links", 32)
+    links = space.table(alive.join(named_set("a"), "a").join(named_set("b"), "b").mapInArrow(_verifier(threshold), "a long, b long"), "links")
     chunks = F.greatest(F.ceil(F.col("size") / CHUNK), F.ceil(F.col("size") * F.col("longest") * 8 / BLOCK_BYTES)).cast("int")
     dealt = (
         wide.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64(F.lit("chunk"), "tid"), F.col("chunks")).cast("int"))
@@ -313,7 +321,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float
         .select("key", "band", "tid", "chunk", F.least("chunk", "with").alias("low"), F.greatest("chunk", "with").alias("high"))
         .join(cand.select("tid", "sig", "wide", "m"), "tid").join(sets, "tid")
     )
-    blocks = space.table(dealt.groupBy("key", "low", "high").applyInPandas(_blocks(threshold, tolerance), "tid long, links long, root long"), "blocks", 250)
+    blocks = space.table(dealt.groupBy("key", "low", "high").applyInArrow(_blocks(threshold, tolerance), "tid long, links long, root long"), "blocks")
     edges = links.unionByName(blocks.select(F.col("tid").alias("a"), F.col("root").alias("b")))
     roots = components(edges, space)
     copies = reps.select(F.col("tid"), "m")
@@ -347,6 +355,7 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
 
     Of repeated rows with words one stays, too.  Texts without words all stay.
     """
+    refuse(docs, "_nj_")
     space = Workspace(docs.sparkSession, "kept")
     drop = near_classes(docs).filter("not leads or n_links > 0").groupBy("doc_id", "_nj_x").agg(F.count("*").alias("_nj_n"), F.max("leads").alias("_nj_leads"))
     drop = space.table(drop.filter("not _nj_leads or _nj_n > 1").withColumnRenamed("doc_id", "_nj_id").withColumnRenamed("_nj_x", "_nj_lx"), "drop")
