@@ -12,28 +12,35 @@ its embedding), and just this table of fixed size, 512 KB, is sent to the worker
 every whole text.
 
 Training takes at most ``MOST[label]`` labelled documents per label, those with the least
-md5(seed, doc_id), and of all at most about ``SEGMENTS[label]`` segments, as many of each document,
-drawn by seed.  Rows with
+md5(seed, doc_id), one text of each (that with the least hash among rows that repeat a doc_id), and of
+all at most about ``SEGMENTS[label]`` segments of up to ``LONGEST`` characters, as many of each
+document, drawn by seed.  Executors cut and draw the segments and score the documents for the
+calibration; the driver gets segments (about 12 MB) and one number per document.  Rows with
 crc32(doc_id as text) mod 4 = 2 are never used.  Labels, lang, source and doc_id are no inputs.
 
 Defined results: a null or wordless text scores the base rate of the labels; so does every text
 if the labels of the documents there are of one class or none (base rate 0 without labels).  A doc_id labelled more
-than once counts as toxic if any label says so; null labels are ignored.
+than once counts as toxic if any label says so; null labels are ignored.  Repeated rows count once
+in training and score alike.  Columns of the input are not touched; names starting with ``_tx_`` are refused.
+An empty table gives no row.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import SPACES, arrow_text, for_python, mix, pieces
+from .shared import SPACES, Workspace, arrow_text, mix, pieces, refuse
 
 BUCKETS, WIDTH, SEGMENT = 1 << 17, 8, 16
 GRAMS = (3, 4, 5)
 MOST = {1: 2000, 0: 4000}
 SEGMENTS = {1: 60_000, 0: 32_000}
+LONGEST = 4096
 EPOCHS, UPDATES, BATCH, RATE = 6, 150, 256, 1.0
 THRESHOLD = 0.3
 SEED = "tox-1"
@@ -41,6 +48,7 @@ SEED = "tox-1"
 _rng = np.random.default_rng(7)
 _FACTOR = _rng.integers(1, 1 << 62, max(GRAMS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SPACE = np.array(list(SPACES) + [0x85, 0xA0], np.uint32)
+_BETWEEN = re.compile("[" + re.escape("".join(map(chr, _SPACE))) + "]+")
 
 
 def grams_of(texts: list[str]):
@@ -96,31 +104,31 @@ def highest(texts: list[str], table: np.ndarray) -> np.ndarray:
     return best
 
 
+def drawn(text: str, share: int, seed: int) -> list[str]:
+    """Up to ``share`` segments of a text, in order, drawn by seed."""
+    words = [w for w in _BETWEEN.split(text) if w]
+    every = [" ".join(words[a : a + SEGMENT]) for a in range(0, len(words), SEGMENT)]
+    every = [x for x in every if len(x) <= LONGEST]
+    if len(every) > share:
+        every = [every[i] for i in np.sort(np.random.default_rng(seed).choice(len(every), share, replace=False))]
+    return every
+
+
 class Bags:
     """n-gram ids of training segments, flat."""
 
-    def __init__(self, texts: list[str], label: np.ndarray, seed: int):
-        rng = np.random.default_rng(seed)
-        ids, size, doc = [], [], []
-        share = {k: max(4, SEGMENTS[k] // max(1, int((label == k).sum()))) for k in (0, 1)}
-        for a in range(0, len(texts), 64):
-            grams, row = grams_of(texts[a : a + 64])
-            segment, of = segments_of(row)
-            chance = rng.random(len(of))
-            keep = np.zeros(len(of), bool)
-            for r in np.unique(of):
-                mine = np.flatnonzero(of == r)
-                keep[mine[np.argsort(chance[mine])[: share[int(label[a + r])]]]] = True
-            new = np.cumsum(keep) - 1
-            seg = np.concatenate([segment[w] for w, _ in grams]) if grams else np.zeros(0, int)
-            flat = np.concatenate([i for _, i in grams]) if grams else np.zeros(0, np.int32)
-            flat, seg = flat[keep[seg]], new[seg[keep[seg]]]
-            order = np.argsort(seg, kind="stable")
-            ids.append(flat[order])
-            size.append(np.bincount(seg, minlength=int(keep.sum())))
-            doc.append(of[keep] + a)
+    def __init__(self, segments: list[list[str]]):
+        texts = [x for several in segments for x in several]
+        self.doc = np.repeat(np.arange(len(segments)), [len(x) for x in segments])
+        ids, size = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for a in range(0, len(texts), 1024):
+            part = texts[a : a + 1024]
+            grams, row = grams_of(part)
+            segment = np.concatenate([row[w] for w, _ in grams])
+            flat = np.concatenate([i for _, i in grams])
+            ids.append(flat[np.argsort(segment, kind="stable")])
+            size.append(np.bincount(segment, minlength=len(part)))
         self.ids, self.size = np.concatenate(ids), np.concatenate(size).astype(np.int64)
-        self.doc = np.concatenate(doc)
         self.begin = np.cumsum(self.size) - self.size
 
     def means(self, value: np.ndarray) -> np.ndarray:
@@ -138,9 +146,9 @@ class Bags:
         return self.ids[at], np.repeat(np.arange(len(which)), size)
 
 
-def train(texts: list[str], label: np.ndarray, base: float, seed: int = 7) -> dict:
-    """Fit embeddings and softmax jointly, then calibrate: table, slope and offset."""
-    bags = Bags(texts, label, seed)
+def train(segments: list[list[str]], label: np.ndarray, seed: int = 7) -> np.ndarray:
+    """Fit embeddings and softmax jointly: the logit of each n-gram."""
+    bags = Bags(segments)
     rng = np.random.default_rng(seed)
     target = label[bags.doc]
     table = rng.normal(0, 0.1, (BUCKETS, WIDTH)).astype(np.float32)
@@ -152,7 +160,7 @@ def train(texts: list[str], label: np.ndarray, base: float, seed: int = 7) -> di
         if epoch:  # toxic documents stand for their most toxic segments
             collapsed = table @ (soft[:, 1] - soft[:, 0])
             score = bags.means(collapsed) + bias[1] - bias[0]
-            top = np.full(len(texts), -np.inf)
+            top = np.full(len(segments), -np.inf)
             np.maximum.at(top, bags.doc, np.where(bags.size > 0, score, -np.inf))
             chosen = full[(target[full] == 0) | (score[full] >= np.minimum(top[bags.doc[full]], 2.0))]
         else:
@@ -179,8 +187,11 @@ def train(texts: list[str], label: np.ndarray, base: float, seed: int = 7) -> di
             for x, g, s, rate in zip((table, soft, bias), grads, squares, (RATE, 0.05, 0.05)):
                 s += g * g
                 x -= rate * g / np.sqrt(s)
-    flat = (table @ (soft[:, 1] - soft[:, 0])).astype(np.float32)
-    top = np.concatenate([highest(texts[a : a + 64], flat) for a in range(0, len(texts), 64)])
+    return (table @ (soft[:, 1] - soft[:, 0])).astype(np.float32)
+
+
+def calibrate(top: np.ndarray, label: np.ndarray, base: float) -> tuple[float, float]:
+    """Slope and offset of a logistic function of the highest segments' logits."""
     known = ~np.isnan(top)
     x, y = top[known], label[known]
     # Each label weighs what it weighs among all labelled documents.
@@ -195,7 +206,7 @@ def train(texts: list[str], label: np.ndarray, base: float, seed: int = 7) -> di
         step = np.linalg.solve(hess, g)
         step *= min(1.0, 2.0 / np.abs(step).max()) if np.abs(step).max() > 0 else 1.0
         slope, offset = slope - step[0], offset - step[1]
-    return {"table": flat, "slope": slope / spread, "offset": offset - slope * middle / spread, "base": base}
+    return slope / spread, offset - slope * middle / spread
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
@@ -211,29 +222,56 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     order = F.md5(F.concat(F.lit(SEED), F.col("doc_id").cast("string")))
     told = told.withColumn("order", order)
     some = [told.filter(f"toxic = {k}").orderBy("order", "doc_id").limit(MOST[k]) for k in (0, 1)]
-    some = some[0].unionByName(some[1])
-    rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")  # at most the sum of MOST
-    rows = rows.orderBy("toxic", "order", "doc_id", F.xxhash64("text")).limit(sum(MOST.values()))
-    rows = rows.select("toxic", F.lower("text").alias("text")).collect()
-    if len({r["toxic"] for r in rows if r["text"]}) < 2:
+    some = F.broadcast(some[0].unionByName(some[1]))  # at most the sum of MOST
+    space = Workspace(docs.sparkSession, "toxic")
+    rows = docs.select("doc_id", F.lower("text").alias("text")).filter("text is not null").join(some, "doc_id")
+    sample = space.table(rows.groupBy("doc_id", "toxic", "order").agg(F.min_by("text", F.xxhash64("text")).alias("text")), "sample")
+    held = dict(sample.groupBy("toxic").count().collect())
+    if len(held) < 2:
+        return flat
+    share = {k: max(4, SEGMENTS[k] // n) for k, n in held.items()}
+    rows = space.table(sample.mapInArrow(_drawer(share), "toxic int, order string, segments array<string>"), "segments").orderBy("toxic", "order").collect()
+    label = np.array([r["toxic"] for r in rows], int)
+    model = flat | {"table": train([r["segments"] for r in rows], label)}
+    handle = docs.sparkSession.sparkContext.broadcast(model)
+    tops = space.table(sample.select("toxic", F.col("text").alias("_tx_text")).mapInArrow(_scorer(handle, raw=True), "toxic int, _tx_score double"), "tops").toArrow()
+    space.drop("sample", "segments", "tops")
+    top, label = (tops.column(x).to_numpy() for x in ("_tx_score", "toxic"))
+    if len(np.unique(label[~np.isnan(top)])) < 2:
         return flat
-    return train([r["text"] or "" for r in rows], np.array([r["toxic"] for r in rows], int), base)
+    slope, offset = calibrate(top, label.astype(int), base)
+    return model | {"slope": slope, "offset": offset, "flat": False}
+
+
+def _drawer(share: dict[int, int]):
+    def draw(batches):
+        for batch in batches:
+            toxic, order = batch.column("toxic").to_pylist(), batch.column("order").to_pylist()
+            out = [drawn(text.as_py(), share[k], int(o[:15], 16)) for text, k, o in zip(batch.column("text"), toxic, order)]
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), batch.column("order"), pa.array(out, pa.list_(pa.string()))], names=["toxic", "order", "segments"])
+
+    return draw
 
 
 def _held_out():
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
 
 
-def _scorer(handle):
+def _scorer(handle, raw: bool = False):
+    """Adds the score of ``_tx_text``, or the logit of its highest segment if raw."""
+
     def score(batches):
         model = handle.value
         for batch in batches:
             data, ends = arrow_text(batch.column("_tx_text"))
             out = []
             for a, b in pieces(ends):
-                raw = data[ends[a] : ends[b]].tobytes()
+                part = data[ends[a] : ends[b]].tobytes()
                 cut = ends[a : b + 1] - ends[a]
-                top = highest([raw[x:y].decode("utf-8", "replace") for x, y in zip(cut[:-1], cut[1:])], model["table"])
+                top = highest([part[x:y].decode("utf-8", "replace") for x, y in zip(cut[:-1], cut[1:])], model["table"])
+                if raw:
+                    out.append(top)
+                    continue
                 p = 1 / (1 + np.exp(-np.clip(model["slope"] * top + model["offset"], -30, 30)))
                 out.append(np.full(len(top), model["base"]) if model.get("flat") else np.where(np.isnan(top), model["base"], p))
             yield pa.RecordBatch.from_arrays(
@@ -245,15 +283,22 @@ def _scorer(handle):
 
 
 def scored(docs: DataFrame, labels: DataFrame, carry: list[str]) -> DataFrame:
-    """The columns ``carry`` of every document and its _tx_score."""
+    """A written table of the columns ``carry`` of every document and its _tx_score."""
+    return _scored(docs, labels, carry, Workspace(docs.sparkSession, "scored"), lambda x: x)
+
+
+def _scored(docs: DataFrame, labels: DataFrame, carry: list[str], space: Workspace, keep) -> DataFrame:
+    refuse(docs, "_tx_")
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
     kinds = ", ".join(f"`{x}` {docs.schema[x].dataType.simpleString()}" for x in carry)
-    return for_python(docs.select(*carry, F.lower("text").alias("_tx_text"))).mapInArrow(_scorer(model), f"{kinds}, _tx_score double")
+    texts = docs.select(*[F.col(f"`{x}`") for x in carry], F.lower("text").alias("_tx_text"))
+    return space.table(keep(texts.mapInArrow(_scorer(model), f"{kinds}, _tx_score double")), "scored")
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that score below the threshold, with all their columns."""
-    return scored(docs, labels, docs.columns).filter(F.col("_tx_score") < threshold).select(*docs.columns)
+    """The documents that score below the threshold, with all their columns: a written table."""
+    space = Workspace(docs.sparkSession, "clean")
+    return _scored(docs, labels, docs.columns, space, lambda x: x.filter(F.col("_tx_score") < threshold).drop("_tx_score"))
 
 
 def op7_toxicity(spark, sf_dir: str) -> DataFrame:
