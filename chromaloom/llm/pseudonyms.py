@@ -9,32 +9,36 @@ documents, different ones stay different, and ``inverse=True`` with the key rest
 | kind | validated by | permuted |
 |-|-|-|
 | email | shape | letters and digits of the local part, case and marks kept |
-| card | 13 to 19 digits, Luhn | all digits but the last, which is computed anew |
-| iban | letters, length, check digits mod 97 | letters and digits of the account, check computed anew |
+| card | 13 to 19 digits, plain or in printed groups, Luhn | all digits but the last, which is computed anew |
+| iban | letters, length, check digits mod 97, plain or in printed groups of four | letters and digits of the account, check computed anew |
 | ssn | nnn-nn-nnnn, no reserved group | digits, walking until valid |
 | phone | (nnn) nnn-nnnn or nnn-nnn-nnnn, with or without +1; or + and 8 to 15 digits | digits after the country code |
 | ipv4 | four numbers up to 255 | the four numbers |
-| date | a real day as yyyy-mm-dd, dd/mm/yyyy or dd.mm.yyyy; or else mm/dd/yyyy | the day within its cycle of 400 years |
+| date | a real day as yyyy-mm-dd, dd/mm/yyyy or dd.mm.yyyy; or else mm/dd/yyyy; years 0001 to 9999 | the day within its cycle of 400 years, walking until the year has four digits |
 
 Defined results: null stays null, texts without valid matches stay as they are; candidates that
-fail validation are left alone.  Repeated rows get equal results.  Other columns pass unchanged.
+fail validation are left alone (also a printed IBAN that runs on into a further group of capitals and
+digits).  Repeated rows get equal results.  Columns other than the text pass unchanged; names
+starting with ``_pii`` are refused.  An empty table gives no row.  IPv6 addresses are no kind.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import refuse
+
 ROUNDS = 8
-KEY = "pseudonym-key-1"
 
 _EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"
-_IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])"
+_IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
 _DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9/-])"
 _IPV4 = r"(?<![0-9.])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![0-9]|\.[0-9])"
-_CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4} [0-9]{4} [0-9]{4} [0-9]{1,7}|[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{1,7})(?![0-9])"
+_CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4} [0-9]{4} [0-9]{4} [0-9]{1,7}|[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{1,7}|[0-9]{4} [0-9]{6} [0-9]{5}|[0-9]{4}-[0-9]{6}-[0-9]{5})(?![0-9])"
 _SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 _PHONE = r"(?:\+1[ .-]?)?\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9-])(?:\+1[ .-])?[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9])|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![0-9]|[/.-][0-9])"
 PATTERN = "|".join([_EMAIL, _IBAN, _DATE, _IPV4, _CARD, _SSN, _PHONE])
@@ -126,10 +130,11 @@ def _card(text: Column, key: Column, inverse: bool) -> Column:
     def change(d: Column) -> Column:
         head = _permuted(F.substr(d, F.lit(1), F.length(d) - 1), _never, key, inverse)
         whole = let(head, lambda h: F.concat(h, F.pmod(-_luhn_sum(h, 0), F.lit(10)).cast("string")))
-        # separators return to their places: groups of four
+        # separators return to their places: groups of four, or of four, six and five
         mark = F.regexp_extract(text, "[ -]", 0)
-        grouped = lambda w: F.concat(F.substr(w, F.lit(1), F.lit(4)), mark, F.substr(w, F.lit(5), F.lit(4)), mark, F.substr(w, F.lit(9), F.lit(4)), mark, F.substr(w, F.lit(13), F.lit(9)))
-        return let(whole, lambda w: F.when(mark == "", w).otherwise(grouped(w)))
+        cut = lambda w, *sizes: F.concat(*[y for i, n in enumerate(sizes) for y in (mark, F.substr(w, F.lit(1 + sum(sizes[:i])), F.lit(n)))][1:])
+        three = text.rlike("^[0-9]{4}[ -][0-9]{6}[ -]")
+        return let(whole, lambda w: F.when(mark == "", w).when(three, cut(w, 4, 6, 5)).otherwise(cut(w, 4, 4, 4, 7)))
 
     size = F.length(digits)
     return F.when((size >= 13) & (size <= 19) & (_luhn_sum(digits, 1) % 10 == 0), let(digits, change)).otherwise(text)
@@ -143,10 +148,12 @@ def _mod97(text: Column) -> Column:
 
 def _iban(text: Column, key: Column, inverse: bool) -> Column:
     country, account = F.substr(text, F.lit(1), F.lit(2)), F.substr(text, F.lit(5), F.length(text))
-    valid = _mod97(F.concat(account, F.substr(text, F.lit(1), F.lit(4)))) == 1
+    plain = lambda x: F.replace(x, F.lit(" "), F.lit(""))
+    size = F.length(plain(text))
+    valid = (size >= 15) & (size <= 34) & (_mod97(F.concat(plain(account), F.substr(text, F.lit(1), F.lit(4)))) == 1)
 
     def change(a: Column) -> Column:
-        check = F.lpad((98 - _mod97(F.concat(a, country, F.lit("00")))).cast("string"), 2, "0")
+        check = F.lpad((98 - _mod97(F.concat(plain(a), country, F.lit("00")))).cast("string"), 2, "0")
         return F.concat(country, check, a)
 
     return F.when(valid, let(_permuted(account, _never, F.concat(key, country), inverse), change)).otherwise(text)
@@ -181,9 +188,14 @@ def _ipv4(text: Column, key: Column, inverse: bool) -> Column:
     return F.when(valid, F.array_join(new.cast("array<string>"), ".")).otherwise(text)
 
 
+_DAY_0 = date(1800, 1, 1)
+_FIRST, _LAST = (date.min - _DAY_0).days, (date.max - _DAY_0).days
+
+
 def _day(year: Column, month: Column, day: Column) -> Column:
-    """Days since 1800-01-01, or null if there is no such day."""
-    return F.datediff(F.try_to_date(F.concat_ws("-", year, month, day), "yyyy-MM-dd"), F.lit("1800-01-01").cast("date"))
+    """Days since 1800-01-01, or null if there is no such day in the years 0001 to 9999."""
+    n = F.datediff(F.try_to_date(F.concat_ws("-", year, month, day), "yyyy-MM-dd"), F.lit(_DAY_0))
+    return F.when(n.between(_FIRST, _LAST), n)
 
 
 def _date(text: Column, key: Column, inverse: bool) -> Column:
@@ -200,11 +212,13 @@ def _date(text: Column, key: Column, inverse: bool) -> Column:
         new = feistel(F.array(F.floor(at / 773).cast("int"), at % 773), F.array(F.lit(189), F.lit(773)), F.concat(key, cycle.cast("string")), inverse)
         return let(new, lambda d: cycle * 146097 + F.get(d, 0) * 773 + F.get(d, 1))
 
-    shown = lambda n, form: F.date_format(F.date_add(F.lit("1800-01-01").cast("date"), n), form)
+    shown = lambda n, form: F.date_format(F.date_add(F.lit(_DAY_0), n), form)
     european = lambda n: F.concat(shown(n, "dd"), sep, shown(n, "MM"), sep, shown(n, "yyyy"))
-    months_first = walk(american, once, lambda n: shown(n, "dd").cast("int") > 12)
+    four_digits = lambda n: n.between(_FIRST, _LAST)
+    days_first = walk(day, once, four_digits)
+    months_first = walk(american, once, lambda n: four_digits(n) & (shown(n, "dd").cast("int") > 12))
     return (
-        F.when(day.isNotNull(), let(once(day), lambda n: F.when(iso, shown(n, "yyyy-MM-dd")).otherwise(european(n))))
+        F.when(day.isNotNull(), let(days_first, lambda n: F.when(iso, shown(n, "yyyy-MM-dd")).otherwise(european(n))))
         .when(~iso & american.isNotNull(), let(months_first, lambda n: F.concat(shown(n, "MM"), sep, shown(n, "dd"), sep, shown(n, "yyyy"))))
         .otherwise(text)
     )
@@ -225,8 +239,9 @@ def pseudonym(match: Column, key: Column, inverse: bool = False) -> Column:
     return out
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, column: str = "text", inverse: bool = False) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, column: str = "text", inverse: bool = False) -> DataFrame:
     """``docs`` with the matches in ``column`` replaced, and _pii_found, the number that changed."""
+    refuse(docs, "_pii")
     text = F.col(column)
     likely = text.rlike("[0-9@]")
     found = F.when(likely, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
@@ -240,6 +255,10 @@ def pseudonymise(docs: DataFrame, key: str = KEY, column: str = "text", inverse:
     return docs.withColumn("_pii_found", F.when(some, changed).otherwise(0).cast("long")).withColumn(column, F.when(some, joined).otherwise(text)).drop("_pii", "_pii_new")
 
 
+#: The query's key; whoever uses the operator brings a secret one.
+QUERY_KEY = "pseudonym-key-1"
+
+
 def op8_pseudonyms(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return pseudonymise(docs).select("doc_id", "text", F.col("_pii_found").alias("n_replaced"))
+    return pseudonymise(docs, QUERY_KEY).select("doc_id", "text", F.col("_pii_found").alias("n_replaced"))
