@@ -2,17 +2,19 @@
 
 One pass over whole texts measures each document.  Mergeable quantile sketches (logarithmic
 buckets of relative width ``GROWTH``, merged by adding counts) hold the distribution of each
-measure per language and source; a group of fewer than ``LEAST`` documents borrows the merged
-sketch of its language, or else of all documents.  From the quartiles q1 and q3 of its sketch
-every group gets its own fences, q3 + ``REACH`` (q3 - q1 + slack) and, for word length, also
-q1 - REACH (q3 - q1 + slack); the thresholds are joined to the documents and filter them.
+measure per language and source.  To each group's sketch that of its language is added as if it
+were ``PRIOR`` more documents, to that of a language the sketch of all documents in the same way: a small
+group leans on its language, a large one on itself, without a switch at some size.  From the
+quartiles q1 and q3 of its sketch every group gets its own fences, q3 + ``REACH``
+(q3 - q1 + slack) and, for word length, also q1 - REACH (q3 - q1 + slack); the thresholds are
+joined to the documents and filter them.
 
 Measures: symbols, repeated lines, words in repeated triples, punctuation marks and capitals,
 each as a share, and characters per word.
 
 Defined results: a null, empty or wordless text has counts 0 and fails the base rules.  A null
 language or source is a group of its own.  Repeated rows are measured alike.  Only documents
-that pass the base rules enter the sketches.  Extra columns are ignored.
+that pass the base rules enter the sketches.  Extra columns are ignored.  An empty table gives no row.
 """
 
 from __future__ import annotations
@@ -23,12 +25,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .shared import BROADCAST_ROWS, arrow_text, for_python, mix, pieces, separators, words_of, Workspace
+from .shared import BROADCAST_ROWS, arrow_text, mix, pieces, separators, words_of, Workspace
 
 MIN_WORDS = 50
 MAX_REPEATED = 50  # per cent of words
 GROWTH = 1.02
-LEAST = 200
+PRIOR = 100  # documents
 REACH = 3.0
 #: Measure: column expression, slack, whether low values fail too.
 MEASURES: dict[str, tuple[str, float, bool]] = {
@@ -94,7 +96,7 @@ def measure(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
 def _measured(batches):
     for batch in batches:
         data, ends = arrow_text(batch.column("text"))
-        parts = [measure(data[ends[a] : ends[b]], ends[a : b + 1] - ends[a]) for a, b in pieces(ends, 1 << 21)]
+        parts = [measure(data[ends[a] : ends[b]], ends[a : b + 1] - ends[a]) for a, b in pieces(ends)]
         counts = np.concatenate(parts, 1) if parts else np.zeros((len(COUNTS), 0), np.int64)
         keep = [batch.column(x) for x in ("doc_id", "lang", "source")]
         yield pa.RecordBatch.from_arrays([*keep, *map(pa.array, counts)], names=["doc_id", "lang", "source", *COUNTS])
@@ -102,7 +104,7 @@ def _measured(batches):
 
 def measured(docs: DataFrame) -> DataFrame:
     kinds = ", ".join(f"{x} {docs.schema[x].dataType.simpleString()}" for x in ("doc_id", "lang", "source"))
-    out = for_python(docs.select("doc_id", "lang", "source", "text")).mapInArrow(_measured, f"{kinds}, {', '.join(f'{x} long' for x in COUNTS)}")
+    out = docs.select("doc_id", "lang", "source", "text").mapInArrow(_measured, f"{kinds}, {', '.join(f'{x} long' for x in COUNTS)}")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     return out.withColumn("base_failed", failed)
 
@@ -121,41 +123,50 @@ def sketches(table: DataFrame) -> DataFrame:
 def thresholds(sketch: DataFrame, groups: DataFrame) -> DataFrame:
     """One row per (lang, source) with a lower and an upper fence for every measure.
 
-    All windows run over buckets of sketches, whose number does not depend on the documents.
+    All windows run over buckets of one sketch, whose number does not depend on the documents.
+    Weights are whole numbers: counts times the size of the sketch above, so that sums are exact.
     """
-    own = sketch.select("measure", "bucket", "lang", "source", "n", F.lit(0).alias("level"))
-    lang = sketch.groupBy("measure", "bucket", "lang").agg(F.sum("n").alias("n")).select("measure", "bucket", "lang", F.lit(None).cast("string").alias("source"), "n", F.lit(1).alias("level"))
-    every = lang.groupBy("measure", "bucket").agg(F.sum("n").alias("n")).select("measure", "bucket", F.lit(None).cast("string").alias("lang"), F.lit(None).cast("string").alias("source"), "n", F.lit(2).alias("level"))
-    levels = own.unionByName(lang).unionByName(every)
-    key = ["level", "lang", "source", "measure"]
-    by = W.partitionBy(*key)
-    levels = levels.withColumn("upto", F.sum("n").over(by.orderBy("bucket"))).withColumn("all", F.sum("n").over(by))
+    whole = lambda c: c.cast("decimal(38,0)")
+    every = sketch.groupBy("measure", "bucket").agg(F.sum("n").alias("na"))
+    langs = sketch.groupBy("lang", "measure", "bucket").agg(F.sum("n").alias("nl"))
+    size_all = sketch.groupBy(F.col("measure").alias("_m")).agg(whole(F.sum("n")).alias("size_a"))
+    size_lang = sketch.groupBy(F.col("lang").alias("_l"), F.col("measure").alias("_m2")).agg(whole(F.sum("n")).alias("size_l"))
+    size_own = sketch.groupBy(F.col("lang").alias("_l3"), F.col("source").alias("_s3"), F.col("measure").alias("_m3")).agg(whole(F.sum("n")).alias("size_o"))
+    every = every.join(size_all, F.col("measure") == F.col("_m")).drop("_m")
+    # Every group has all buckets of the sketch of all documents.
+    table = (
+        groups.select("lang", "source", F.explode(F.array(*map(F.lit, MEASURES))).alias("measure"))
+        .join(size_lang, F.col("lang").eqNullSafe(F.col("_l")) & (F.col("measure") == F.col("_m2")), "left")
+        .join(size_own, F.col("lang").eqNullSafe(F.col("_l3")) & F.col("source").eqNullSafe(F.col("_s3")) & (F.col("measure") == F.col("_m3")), "left")
+        .select("lang", "source", "measure", F.coalesce("size_l", whole(F.lit(0))).alias("size_l"), F.coalesce("size_o", whole(F.lit(0))).alias("size_o"))
+        .join(every, "measure")
+    )
+    langs = langs.select(F.col("lang").alias("_l"), F.col("measure").alias("_m"), F.col("bucket").alias("_b"), "nl")
+    own = sketch.select(F.col("lang").alias("_l2"), F.col("source").alias("_s2"), F.col("measure").alias("_m2"), F.col("bucket").alias("_b2"), "n")
+    table = table.join(langs, F.col("lang").eqNullSafe(F.col("_l")) & (F.col("measure") == F.col("_m")) & (F.col("bucket") == F.col("_b")), "left")
+    table = table.join(own, F.col("lang").eqNullSafe(F.col("_l2")) & F.col("source").eqNullSafe(F.col("_s2")) & (F.col("measure") == F.col("_m2")) & (F.col("bucket") == F.col("_b2")), "left")
+    zero = F.lit(0).cast("long")
+    of_lang = F.coalesce("nl", zero) * F.col("size_a") + PRIOR * F.col("na")
+    scale = F.col("size_a") * (F.col("size_l") + PRIOR)
+    table = table.withColumn("weight", whole(F.coalesce("n", zero) * whole(scale) + PRIOR * whole(of_lang))).withColumn("all", whole(whole(scale) * (F.col("size_o") + PRIOR)))
+    key = ["lang", "source", "measure"]
+    table = table.withColumn("upto", whole(F.sum("weight").over(W.partitionBy(*key).orderBy("bucket"))))
     value = F.when(F.col("bucket") == 0, 0.0).otherwise(F.pow(F.lit(GROWTH), F.col("bucket") - 0.5) / 1e6)
-    quartile = lambda q: F.min(F.when(F.col("upto") >= F.col("all") * q, value))
-    fences = levels.groupBy(*key).agg(F.first("all").alias("all"), quartile(0.25).alias("q1"), quartile(0.75).alias("q3"))
+    quartile = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("all") * q, value))
+    fences = table.groupBy(*key).agg(quartile(1).alias("q1"), quartile(3).alias("q3"))
     slack = F.create_map(*[F.lit(y) for k, (_, s, _) in MEASURES.items() for y in (k, s)])[F.col("measure")]
     low = F.create_map(*[F.lit(y) for k, (_, _, b) in MEASURES.items() for y in (k, b)])[F.col("measure")]
     reach = REACH * (F.col("q3") - F.col("q1") + slack)
     fences = fences.withColumn("high", F.col("q3") + reach).withColumn("low", F.when(low, F.col("q1") - reach))
-    wide = fences.groupBy("level", "lang", "source").agg(
-        F.max("all").alias("all"), *[F.max(F.when(F.col("measure") == k, F.col(side))).alias(f"{k}_{side}") for k in MEASURES for side in ("low", "high")]
+    return fences.groupBy(F.col("lang").alias("_lang"), F.col("source").alias("_source")).agg(
+        *[F.max(F.when(F.col("measure") == k, F.col(side))).alias(f"{k}_{side}") for k in MEASURES for side in ("low", "high")]
     )
-    names = [c for c in wide.columns if c.endswith(("_low", "_high"))]
-    packed = wide.select("level", "lang", "source", "all", F.struct(*names).alias("f"))
-    level = lambda n, *on: packed.filter(f"level = {n}").select(*[F.col(x).alias(f"{x}{n}") for x in on], F.col("f").alias(f"f{n}"), F.col("all").alias(f"all{n}"))
-    out = (
-        groups.join(level(0, "lang", "source"), F.col("lang").eqNullSafe(F.col("lang0")) & F.col("source").eqNullSafe(F.col("source0")), "left")
-        .join(level(1, "lang"), F.col("lang").eqNullSafe(F.col("lang1")), "left")
-        .join(level(2).withColumn("one", F.lit(1)), F.lit(1) == F.col("one"), "left")
-    )
-    chosen = F.when(F.col("all0") >= LEAST, F.col("f0")).when(F.col("all1") >= LEAST, F.col("f1")).otherwise(F.coalesce("f2", "f1", "f0"))
-    return out.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), chosen.alias("f")).select("_lang", "_source", "f.*")
 
 
 def apply_rules(docs: DataFrame) -> DataFrame:
     """doc_id, lang, source, the counts, base_failed, kept and the measure that failed first."""
     space = Workspace(docs.sparkSession, "quality")
-    table = space.table(measured(docs), "table", 2000)
+    table = space.table(measured(docs), "table")
     sketch = space.table(sketches(table), "sketch")
     limits = space.table(thresholds(sketch, table.select("lang", "source").distinct()), "limits")
     small = F.broadcast(limits) if limits.count() <= BROADCAST_ROWS // 4 else limits
@@ -170,7 +181,7 @@ def op5_quality_rules(spark, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    """DuckDB SQL of op5: the same counts, buckets, fences and choice of level."""
+    """DuckDB SQL of op5: the same counts, buckets, blended sketches and fences."""
     unpivot = "\n  union all ".join(f"select doc_id, lang, source, base_failed, {i} as o, '{k}' as measure, ({x.replace(' / ', '::double / ')}) as v, {s} as slack, {str(b).lower()} as two from b" for i, (k, (x, s, b)) in enumerate(MEASURES.items()))
     return r"""
 with d as (select doc_id, lang, source, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
@@ -187,20 +198,27 @@ c as (select d.doc_id, lang, source, len(w)::bigint as n_words, coalesce(list_su
 b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from c),
 m as (""" + unpivot.replace(" from b", " from b where not base_failed") + r"""),
 k as (select *, case when v <= 0 then 0 else greatest(1, ceil(ln(v * 1e6) / ln(1.02::double)))::int end as bucket from m),
-s as (select 0 as level, lang, source, measure, slack, two, bucket, count(*) as n from k group by all
-      union all select 1, lang, null, measure, slack, two, bucket, count(*) from k group by all
-      union all select 2, null, null, measure, slack, two, bucket, count(*) from k group by all),
-q as (select *, sum(n) over (partition by level, lang, source, measure order by bucket) as upto, sum(n) over (partition by level, lang, source, measure) as total,
-             case when bucket = 0 then 0 else pow(1.02::double, bucket - 0.5) / 1e6 end as val from s),
-f as (select level, lang, source, measure, slack, two, max(total) as total, min(case when upto >= total * 0.25 then val end) as q1, min(case when upto >= total * 0.75 then val end) as q3
+o as (select lang, source, measure, bucket, count(*)::hugeint as n from k group by all),
+la as (select lang, measure, bucket, sum(n)::hugeint as n from o group by all),
+al as (select measure, bucket, sum(n)::hugeint as n from o group by all),
+so as (select lang, source, measure, sum(n)::hugeint as n from o group by all),
+sl as (select lang, measure, sum(n)::hugeint as n from o group by all),
+sa as (select measure, sum(n)::hugeint as n from o group by all),
+g as (select distinct lang, source, measure, slack, two from k),
+q as (select g.*, al.bucket, sa.n * (sl.n + 100) * (so.n + 100) as total,
+             sum(coalesce(o.n, 0) * sa.n * (sl.n + 100) + 100 * (coalesce(la.n, 0) * sa.n + 100 * al.n))
+               over (partition by g.lang, g.source, g.measure order by al.bucket) as upto,
+             case when al.bucket = 0 then 0 else pow(1.02::double, al.bucket - 0.5) / 1e6 end as val
+      from g join sa on sa.measure = g.measure join al on al.measure = g.measure
+      join sl on sl.lang is not distinct from g.lang and sl.measure = g.measure
+      join so on so.lang is not distinct from g.lang and so.source is not distinct from g.source and so.measure = g.measure
+      left join la on la.lang is not distinct from g.lang and la.measure = g.measure and la.bucket = al.bucket
+      left join o on o.lang is not distinct from g.lang and o.source is not distinct from g.source and o.measure = g.measure and o.bucket = al.bucket),
+f as (select lang, source, measure, slack, two, min(case when upto * 4 >= total then val end) as q1, min(case when upto * 4 >= total * 3 then val end) as q3
       from q group by all),
 h as (select *, q3 + 3 * (q3 - q1 + slack) as high, case when two then q1 - 3 * (q3 - q1 + slack) end as low from f),
-x as (select k.doc_id, k.o, k.measure,
-             case when h0.total >= 200 then h0.high when h1.total >= 200 then h1.high else h2.high end as high,
-             case when h0.total >= 200 then h0.low when h1.total >= 200 then h1.low else h2.low end as low, v
-      from k join h h0 on h0.level = 0 and h0.lang is not distinct from k.lang and h0.source is not distinct from k.source and h0.measure = k.measure
-      join h h1 on h1.level = 1 and h1.lang is not distinct from k.lang and h1.measure = k.measure
-      join h h2 on h2.level = 2 and h2.measure = k.measure),
+x as (select k.doc_id, k.o, k.measure, h.high, h.low, v
+      from k join h on h.lang is not distinct from k.lang and h.source is not distinct from k.source and h.measure = k.measure),
 w as (select doc_id, arg_min(measure, o) as failed_measure from x where v > high or v < low group by doc_id)
 select b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and failed_measure is null as kept, failed_measure
 from b left join w on b.doc_id = w.doc_id
