@@ -9,7 +9,8 @@ overlap, are removed with their line ends.
 Defined results: null texts stay null and have no lines.  Texts of fewer than three lines that
 are not blank are unchanged.  Rows equal in doc_id and text are one document: both get the same
 result.  A null doc_id sorts first.  Windows are compared by 128 bits of hash.  Columns of the
-input other than ``text`` and ``n_chars`` pass unchanged; names starting with ``_ld_`` are reserved.
+input other than ``text`` and ``n_chars`` pass unchanged; names starting with ``_ld_`` are refused.
+An empty table gives no row.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import BROADCAST_ROWS, Workspace
+from .shared import BROADCAST_ROWS, Workspace, refuse
 
 BLANKS = " \t\x0b\x0c\r"
 
@@ -81,6 +82,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
     ``n_chars``, if there is such a column, follows the text.
     """
+    refuse(docs, "_ld_")
     space = Workspace(docs.sparkSession, "lines")
     covered = removed_lines(docs.select("doc_id", "text"), space)
     positions = covered.agg(F.sum(F.size("covered"))).first()[0] or 0

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .shared import arrow_text, for_python
+from .shared import Workspace, arrow_text
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pattern that the vocabulary was made for (a fixed value).
@@ -103,12 +103,12 @@ def _counter(path: str, rule: str):
 
 
 def section_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, rule: str = "first") -> DataFrame:
-    """One row per section: doc_id, section, char_begin, char_end, n_tokens, n_touching, doc_tokens."""
+    """A written table with one row per section: doc_id, section, char_begin, char_end, n_tokens, n_touching, doc_tokens."""
     if rule not in ("first", "last", "share"):
         raise ValueError(f"rule is first, last or share, not {rule}")
     kind = docs.schema["doc_id"].dataType.simpleString()
     shape = f"doc_id {kind}, section long, char_begin long, char_end long, n_tokens double, n_touching long, doc_tokens long"
-    return for_python(docs.select("doc_id", "text")).mapInArrow(_counter(vocabulary, rule), shape)
+    return Workspace(docs.sparkSession, "tokens").table(docs.select("doc_id", "text").mapInArrow(_counter(vocabulary, rule), shape), "sections")
 
 
 def op10_token_counts(spark, sf_dir: str) -> DataFrame:

@@ -210,7 +210,7 @@ def write_packages(pages: DataFrame, folder: str, least: int = LEAST, zip64: boo
     out = named.join(F.broadcast(same) if same.count() <= BROADCAST_ROWS else same, "digest", "left")
     revisit = F.coalesce("known", F.lit(False)) & ~F.col("page_id").eqNullSafe(F.col("keeper"))
     out = out.select("page_id", "url", "html", "digest", "keeper", revisit.alias("revisit"))
-    return space.table(out.mapInArrow(_writer(folder, zip64), "path string, records long"), "packages", 2000)
+    return space.table(out.mapInArrow(_writer(folder, zip64), "path string, records long"), "packages")
 
 
 def _ranges(batches):

@@ -3,6 +3,7 @@ import io
 import random
 import re
 import zipfile
+from datetime import date, timedelta
 
 import pytest
 from helpers import docs, prose
@@ -38,7 +39,7 @@ def test_pseudonyms_keep_formats_and_links(spark):
     bad = ["4041894974608796", "300.1.1.1", "1985-02-29", "31/02/2000", "000-12-3456", "DE89370400440532013001", "1.2.3", "v1.2.3.4.5"]
     rows = [(i, f"see {v}, or {v}; {prose(rng, 3)}") for i, v in enumerate(values)] + [(1000 + i, f"the {v} stays") for i, v in enumerate(bad)]
     rows += [(2000, None), (2001, ""), (2002, "é" * 50), (2003, " ".join(values)), (2004, "a" * 200_000), (0, rows[0][1])]
-    out = pseudonyms.pseudonymise(docs(spark, rows)).persist()
+    out = pseudonyms.pseudonymise(docs(spark, rows), "k1").persist()
     assert out.columns == [*docs(spark, []).columns, "_pii_found"]
     text = {r["doc_id"]: r["text"] for r in out.collect()}
     new = {}
@@ -62,12 +63,108 @@ def test_pseudonyms_keep_formats_and_links(spark):
     for i, v in enumerate(bad):
         assert text[1000 + i] == f"the {v} stays"
     assert text[2000] is None and text[2001] == "" and text[2003] == " ".join(new[v] for v in values)
-    back = pseudonyms.pseudonymise(out.drop("_pii_found"), inverse=True)
+    back = pseudonyms.pseudonymise(out.drop("_pii_found"), "k1", inverse=True)
     assert sorted(map(str, back.drop("_pii_found").collect())) == sorted(map(str, docs(spark, rows).collect()))
-    other = pseudonyms.pseudonymise(docs(spark, rows), key="another").filter("doc_id = 2003").first()["text"]
+    other = pseudonyms.pseudonymise(docs(spark, rows), "another").filter("doc_id = 2003").first()["text"]
     assert other != text[2003]
 
 
+def own_feistel(digits, radices, key):
+    """The network as plain Python."""
+    half = len(digits) // 2
+    left, right = list(digits[:half]), list(digits[half:])
+    for k in range(8):
+        mac = lambda side: hashlib.sha256(f"{key}|{k}|{','.join(map(str, side))}".encode()).hexdigest()
+        part = lambda h, i: int(h[i % 15 * 4 : i % 15 * 4 + 4], 16)
+        if k % 2 == 0:
+            h = mac(right)
+            left = [(x + part(h, i)) % radices[i] for i, x in enumerate(left)]
+        else:
+            h = mac(left)
+            right = [(x + part(h, i)) % radices[half + i] for i, x in enumerate(right)]
+    return left + right
+
+
+def own_characters(text, key):
+    ranges = [(48, 10), (65, 26), (97, 26)]
+    home = [next(((b, r) for b, r in ranges if b <= ord(c) < b + r), None) for c in text]
+    new = iter(own_feistel([ord(c) - h[0] for c, h in zip(text, home) if h], [h[1] for h in home if h], key))
+    return "".join(chr(h[0] + next(new)) if h else c for c, h in zip(text, home))
+
+
+def own_day(n, key):
+    low, high = (date.min - date(1800, 1, 1)).days, (date.max - date(1800, 1, 1)).days
+    while True:
+        cycle, at = divmod(n, 146097)
+        a, b = own_feistel([at // 773, at % 773], [189, 773], f"{key}{cycle}")
+        n = cycle * 146097 + a * 773 + b
+        if low <= n <= high:
+            return n
+
+
+def own_pseudonym(kind, v, key):
+    key = f"{key}|{kind}"
+    if kind == "date":
+        new = date(1800, 1, 1) + timedelta(own_day((date.fromisoformat(v) - date(1800, 1, 1)).days, key))
+        return new.isoformat()
+    if kind == "ipv4":
+        return ".".join(map(str, own_feistel(list(map(int, v.split("."))), [256] * 4, key)))
+    if kind == "card":
+        digits = re.sub(r"\D", "", v)
+        head = own_characters(digits[:-1], key)
+        whole = iter(next(head + str(k) for k in range(10) if luhn(head + str(k))))
+        return "".join(next(whole) if c.isdigit() else c for c in v)
+    if kind == "iban":
+        account = own_characters(v[4:], key + v[:2])
+        check = next(f"{k:02}" for k in range(2, 99) if iban_valid((v[:2] + f"{k:02}" + account).replace(" ", "")))
+        return v[:2] + check + account
+    if kind == "email":
+        local, domain = v.split("@")
+        return own_characters(local, key + domain.lower()) + "@" + domain
+    if kind == "ssn":
+        while True:
+            v = own_characters(v, key)
+            if not re.match("000|666|9", v) and "-00-" not in v and not v.endswith("-0000"):
+                return v
+    raise ValueError(kind)
+
+
+def test_pseudonyms_like_brute_force(spark):
+    rng = random.Random(4)
+    edges = ["0001-01-01", "0001-12-31", "0100-03-01", "0200-02-28", "9800-01-01", "9900-05-05", "9998-01-01", "9999-01-01", "9999-12-31", "1800-01-01", "2199-12-31", "2200-01-01"]
+    of = [("date", x) for x in edges] + [("date", f"{rng.randint(1, 9999):04}-{rng.randint(1, 12):02}-{rng.randint(1, 28):02}") for _ in range(200)]
+    of += [("ipv4", ".".join(str(rng.randrange(256)) for _ in range(4))) for _ in range(10)]
+    of += [("card", x) for x in ("3782 822463 10005", "3782-822463-10005", "378282246310005", "4111 1111 1111 1111", "4222222222222", card(rng), card(rng, 19))]
+    of += [("iban", x) for x in ("DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "GB82WEST12345698765432")]
+    of += [("email", "Jane.Doe-42@Mail.example.org"), ("email", "x9@y.io"), ("ssn", "123-45-6789"), ("ssn", "665-01-0001")]
+    table = docs(spark, [(i, f"on {v} ,") for i, (_, v) in enumerate(of)])
+    out = pseudonyms.pseudonymise(table, "secret").persist()
+    got = {r["doc_id"]: r["text"][3:-2] for r in out.collect()}
+    for i, (kind, v) in enumerate(of):
+        assert got[i] == own_pseudonym(kind, v, "secret"), (kind, v, got[i])
+        assert kind == "ipv4" or len(got[i]) == len(v)
+    named = {v: got[i] for i, (_, v) in enumerate(of)}
+    assert named["DE89 3704 0044 0532 0130 00"].replace(" ", "") == named["DE89370400440532013000"]
+    assert named["3782 822463 10005"].replace(" ", "") == named["378282246310005"] == named["3782-822463-10005"].replace("-", "")
+    back = pseudonyms.pseudonymise(out.drop("_pii_found"), "secret", inverse=True).drop("_pii_found")
+    assert sorted(map(str, back.collect())) == sorted(map(str, table.collect()))
+
+
+def test_other_days_of_the_edges_come_back(spark):
+    values = ["31.12.9999", "01/01/0001", "12/31/9999", "01/13/0001", "12/31/9900", "02.03.9850", "0000-01-01", "00.01.2000", "31/12/0000"]
+    table = docs(spark, [(i, v) for i, v in enumerate(values)])
+    out = pseudonyms.pseudonymise(table, "secret").persist()
+    got = {r["doc_id"]: r["text"] for r in out.collect()}
+    for i, v in enumerate(values):
+        assert (got[i] == v) == (i >= 6) and re.sub(r"\d", "9", got[i]) == re.sub(r"\d", "9", v)
+    back = pseudonyms.pseudonymise(out.drop("_pii_found"), "secret", inverse=True)
+    assert {r["doc_id"]: r["text"] for r in back.collect()} == dict(enumerate(values))
+    with pytest.raises(ValueError, match="_pii_new"):
+        pseudonyms.pseudonymise(docs(spark, []).withColumn("_pii_new", F.lit(1)), "k")
+    with pytest.raises(TypeError):
+        pseudonyms.pseudonymise(table)
+
+
 def test_feistel_is_a_permutation(spark):
     all_of_them = spark.range(6 * 7 * 5).select(F.array((F.col("id") % 6).cast("int"), (F.floor(F.col("id") / 6) % 7).cast("int"), (F.floor(F.col("id") / 42)).cast("int")).alias("d"))
     radices = F.array(*map(F.lit, (6, 7, 5)))
@@ -147,44 +244,46 @@ def test_many_members_need_zip64():
 
 TURNS = [
     (1, 0, "system", "be kind"), (1, 1, "ann", "hi"), (1, 2, "bob", "hello <|im_end|>"), (1, 3, "ann", None), (1, 3, "", "who"), (1, None, "bob", "late"),
-    (2, 0, "system", "only"), (3, 0, None, "nobody"), (None, 0, "ann", "no id"), (4, 5, "bob", "x"), (4, 600, "bob", "y"), (4, 600, "bob", "y"),
+    (2, 0, "system", "only"), (3, 0, None, "nobody"), (None, 0, "ann", "no id"), (4, 5, "bob", "x"), (4, 600, "bob", "y"), (4, 600, "bob", "y"), (4, -3, "bob", "before"),
+    (5, 0, None, "same"), (5, 0, "unknown", "same"), (5, 1, "unknown", "mine"), (5, 2, None, "not mine"), (5, 3, "un\nkno|wn", "é" * 50_000),
+    *((6, t, ("ann", "bob", "system")[t % 3], f"<|{t} é") for t in range(0, 1300, 7)), (6, None, "ann", "last"), (6, None, "ann", "last"),
 ]
 
 
-def test_rotation_like_a_loop(spark):
-    df = spark.createDataFrame([(*t, 1) for t in TURNS], "conv_id long, turn long, role string, text string, part int")
-    got = {(r["conv_id"], r["participant"], r["part"]): r for r in chat.rotate(df).collect()}
+def rendered():
     cast = {(c, r) for c, _, r, _ in TURNS if r not in (None, "", "system")}
     want = {}
     for c, who in cast:
-        mine = sorted((t for t in TURNS if t[0] == c), key=lambda t: (t[1] is None, t[1] or 0, t[2] or "unknown", t[3] or ""))
-        for _, turn, role, text in mine:
-            part = -1 if turn is None else turn // 512
-            name = role or "unknown"
-            shown = "system" if name == "system" else "assistant" if name == who else f"user name={name}"
-            body = (text or "").replace("<|", "<\\|") + "<|im_end|>"
-            so_far, spans = want.get((c, who, part), ("", []))
-            begin = len(so_far) + len(f"<|im_start|>{shown}\n")
-            want[c, who, part] = (so_far + f"<|im_start|>{shown}\n{body}\n", spans + ([(begin, begin + len(body))] if name == who else []))
-    assert {k: (r["text"], [(s["begin"], s["end"]) for s in r["spans"]]) for k, r in got.items()} == want
-    assert chat.rotate(df.limit(0)).count() == 0
-
-
-def test_parts_join_to_the_whole_dialogue(spark):
-    rows = [(c, t, ("ann", "bob", "system")[t % 3], f"<|{c} {t} é") for c in (1, None) for t in range(0, 1300, 7)] + [(1, None, "ann", "last"), (2, 3, "ann", "short")]
-    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    got = chat.with_begins(chat.rotate(df)).collect()
-    assert len(got) == 4 + 4 + 3 + 3 + 1
-    for c, who in {(r["conv_id"], r["participant"]) for r in got}:
-        whole, targets, spans, texts = "", [], [], ""
-        for _, turn, role, text in sorted((r for r in rows if r[0] == c), key=lambda r: (r[1] is None, r[1] or 0)):
-            shown = "system" if role == "system" else "assistant" if role == who else f"user name={role}"
-            whole += f"<|im_start|>{shown}\n"
-            body = text.replace("<|", "<\\|") + "<|im_end|>"
-            targets += [(len(whole), len(whole) + len(body))] if role == who else []
-            whole += body + "\n"
-        for r in sorted((r for r in got if (r["conv_id"], r["participant"]) == (c, who)), key=lambda r: r["begin"]):
-            assert r["begin"] == len(texts)
-            texts += r["text"]
-            spans += [(s["begin"] + r["begin"], s["end"] + r["begin"]) for s in r["spans"]]
-        assert (texts, spans) == (whole, targets)
+        text, spans = "", []
+        for _, turn, role, said in sorted((t for t in TURNS if t[0] == c), key=lambda t: (t[1] is None, t[1] or 0, t[2] or "unknown", t[3] or "", bool(t[2]))):
+            shown = "system" if role == "system" else "assistant" if role == who else "user name=" + (role or "unknown").replace("\n", " ")
+            text += f"<|im_start|>{shown}\n"
+            body = (said or "").replace("<|", "<\\|") + "<|im_end|>"
+            spans += [(len(text), len(text) + len(body))] if role == who else []
+            text += body + "\n"
+        want[c, who] = (text, spans)
+    return want
+
+
+@pytest.mark.parametrize("part", [4, 512, 100_000])
+def test_rotation_like_a_loop(spark, part):
+    df = spark.createDataFrame([(*t, 1) for t in TURNS], "conv_id long, turn long, role string, text string, part int")
+    rows = chat.rotate(df, part).collect()
+    want = rendered()
+    assert len(rows) == len(want)
+    for r in rows:
+        assert (r["text"], [(s["begin"], s["end"]) for s in r["spans"]]) == want[r["conv_id"], r["participant"]]
+        assert r["n_turns"] == sum(t[0] == r["conv_id"] for t in TURNS)
+    assert ("unknown" in {r["participant"] for r in rows}) and not any(r["participant"] in ("", None) for r in rows)
+    assert chat.rotate(df.limit(0)).count() == 0 == chat.rotate_parts(df.limit(0)).count()
+
+
+@pytest.mark.parametrize("part", [4, 512])
+def test_parts_join_to_the_whole_dialogue(spark, part):
+    df = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string")
+    got = chat.rotate_parts(df, part).collect()
+    for key, (text, spans) in rendered().items():
+        parts = sorted((r for r in got if (r["conv_id"], r["participant"]) == key), key=lambda r: r["begin"])
+        assert "".join(r["text"] for r in parts) == text
+        assert [(s["begin"], s["end"]) for r in parts for s in r["spans"]] == spans
+    assert len({(r["conv_id"], r["participant"], r["part"]) for r in got}) == len(got)

@@ -6,9 +6,10 @@ import zlib
 import numpy as np
 import pytest
 from helpers import docs, prose
+from pyspark.sql import functions as F
 
-from chromaloom.llm import decontaminate, quality, token_counts, toxicity
-from chromaloom.llm.shared import words_of
+from chromaloom.llm import decontaminate, line_dedup, mixture, ngram_join, quality, shared, token_counts, toxicity, warc
+from chromaloom.llm.shared import Workspace, mix, words_of
 
 VOCABULARY = token_counts.VOCABULARY
 
@@ -62,13 +63,12 @@ def test_leaks_like_brute_force(spark):
     assert {r["doc_id"] for r in left.collect()} == {d for d, _ in rows} - {d for d, _, _ in got}
 
 
-def test_item_blocks_give_the_same(spark, monkeypatch):
+def test_item_blocks_give_the_same(spark):
     rng = random.Random(6)
     items = [(i, prose(rng, 20)) for i in range(8)]
     rows = [(i, prose(rng, 10) + " " + items[i % 8][1]) for i in range(16)]
     one = sorted(map(tuple, decontaminate.leaks(docs(spark, rows), benchmark(spark, items)).collect()))
-    monkeypatch.setattr(decontaminate.item_blocks, "__defaults__", (40,))
-    assert one == sorted(map(tuple, decontaminate.leaks(docs(spark, rows), benchmark(spark, items)).collect()))
+    assert one == sorted(map(tuple, decontaminate.leaks(docs(spark, rows), benchmark(spark, items), block_words=40).collect()))
     assert decontaminate.leaks(docs(spark, []), benchmark(spark, items)).count() == 0
     assert decontaminate.leaks(docs(spark, rows), benchmark(spark, [])).count() == 0
 
@@ -82,40 +82,56 @@ def test_items_without_an_id_leak_too(spark):
     assert [r["doc_id"] for r in decontaminate.without_leaks(docs(spark, rows), benchmark(spark, items)).collect()] == [9]
 
 
-def test_recall_of_random_edits():
-    rng = np.random.default_rng(1)
-    vocabulary = rng.integers(1, 2**63, 3000, dtype=np.uint64)
-    items = decontaminate.Items(list(range(60)), [rng.choice(vocabulary, n) for n in rng.integers(12, 61, 60)])
-    found = held = 0
-    for i, words in enumerate(items.words):
-        for _ in range(3):
-            edited = list(words)
-            for _ in range(int(0.2 * len(words))):
-                p = rng.integers(len(edited))
-                edited[p : p + rng.integers(0, 2)] = [rng.choice(vocabulary)] if rng.random() < 0.7 else []
-            text = np.concatenate([rng.choice(vocabulary, rng.integers(0, 40)), np.array(edited, np.uint64), rng.choice(vocabulary, 30)])
-            if decontaminate.edit_distances(text[None], words)[0][0] <= int(0.2 * len(words)):
-                held += 1
-                found += (0, i) in decontaminate._search(text, np.zeros(len(text), int), items)
-    assert found >= 0.95 * held
+def distance_of(text, words):
+    return decontaminate.edit_distances(text[None], words[None], np.array([len(words)]))[0]
 
 
+@pytest.mark.parametrize("where", ["random", "head", "tail", "spread"])
 @pytest.mark.parametrize("substituted", [1.0, 0.5])
-def test_no_leak_is_lost_at_the_greatest_distance(substituted):
+def test_recall_at_the_greatest_distance(substituted, where):
     rng = np.random.default_rng(3)
     vocabulary = rng.integers(1, 2**63, 3000, dtype=np.uint64)
-    sizes = [*range(1, 31), 48, 60, 96, 192, 384, 768, 1000] * 2
+    sizes = [*range(1, 31), 48, 60, 63, 64, 96, 192, 384, 768, 1000] * 2
     items = decontaminate.Items(list(range(len(sizes))), [rng.choice(vocabulary, n) for n in sizes])
+    found = 0
     for i, words in enumerate(items.words):
         most = int(0.2 * len(words))
         edited = [[x] for x in words]
-        for p in rng.choice(len(words), most, replace=False):
+        places = {"random": rng.choice(len(words), most, replace=False), "head": np.arange(most), "tail": np.arange(len(words) - most, len(words)), "spread": np.arange(most) * len(words) // max(1, most)}
+        for p in places[where]:
             kind = 0 if rng.random() < substituted else rng.integers(1, 3)
             edited[p] = [[rng.choice(vocabulary)], [], [words[p], rng.choice(vocabulary)]][kind]
         text = np.concatenate([rng.choice(vocabulary, rng.integers(0, 40)), np.array(sum(edited, []), np.uint64), rng.choice(vocabulary, rng.integers(0, 40))])
-        distance = decontaminate.edit_distances(text[None], words)[0][0]
+        distance = distance_of(text, words)
         assert distance <= most
-        assert decontaminate._search(text, np.zeros(len(text), int), items).get((0, i)) == distance
+        found += decontaminate._search(text, np.zeros(len(text), int), items).get((0, i)) == distance
+    assert found >= 0.95 * len(sizes)
+
+
+def words_hashed(text):
+    data = np.frombuffer((text or "").lower().encode(), np.uint8)
+    return words_of(data, np.array([0, len(data)]), decontaminate._INSIDE)[2]
+
+
+@pytest.mark.parametrize("block_words", [1 << 16, 300])
+def test_recall_on_the_tables(spark, block_words):
+    """Every leak of sf0.01, found by the distance of every item to every document."""
+    there = "/root/testdata/sf0.01"
+    texts, bench = (spark.read.parquet(f"{there}/{t}.parquet") for t in ("documents", "benchmark"))
+    items = [(r["item_id"], words_hashed(r["text"])) for r in bench.collect()]
+    width = np.array([len(w) for _, w in items])
+    order = np.argsort(-width, kind="stable")
+    padded = np.zeros((len(items), width.max()), np.uint64)
+    for k, i in enumerate(order):
+        padded[k, : width[i]] = items[i][1]
+    want = {}
+    for r in texts.collect():
+        text = words_hashed(r["text"])
+        distance = decontaminate.edit_distances(np.repeat(text[None], len(items), 0), padded, width[order])
+        want |= {(r["doc_id"], items[i][0]): int(d) for i, d in zip(order, distance) if d <= int(0.2 * width[i])}
+    got = {(r["doc_id"], r["item_id"]): r["distance"] for r in decontaminate.leaks(texts, bench, block_words=block_words).collect()}
+    assert set(got) <= set(want) and all(want[k] == d for k, d in got.items())
+    assert len(want) > 10 and len(got) >= 0.95 * len(want)
 
 
 def test_measures_like_brute_force(spark):
@@ -178,6 +194,95 @@ def test_toxicity_on_held_out_documents(spark):
     assert kept.columns == docs(spark, rows).columns and kept.count() == sum(s < 0.3 for s in score.values())
 
 
+def test_repeated_rows_and_long_texts_do_not_change_toxicity(spark):
+    rows, labels, told = labelled(spark, 900)
+    clean = {i for i, _, t in told if not t}
+    one = {r["doc_id"]: r["_tx_score"] for r in toxicity.scored(docs(spark, rows), labels, ["doc_id"]).collect()}
+    more = rows + [r for r in rows if r[0] in clean for _ in range(7)] + [(7000, "w" * 300_000 + " " + "plain words " * 40_000), (7001, None)]
+    again = toxicity.scored(docs(spark, more), labels, ["doc_id"]).collect()
+    assert len(again) == len(more)
+    for r in again:
+        assert abs(one.get(r["doc_id"], r["_tx_score"]) - r["_tx_score"]) < 1e-9
+    assert 0.5 * sum(t for *_, t in told) < sum(s >= 0.3 for s in one.values()) < 1.5 * sum(t for *_, t in told)
+
+
+def test_scores_like_plain_python(spark):
+    """The trained table applied word by word, n-gram by n-gram."""
+    rng = np.random.default_rng(2)
+    table = rng.normal(0, 1, toxicity.BUCKETS).astype(np.float32)
+
+    def ids(word):
+        code = [32, *map(ord, word), 32]
+        value = mix(np.array(code, np.uint64))
+        for n in toxicity.GRAMS:
+            for k in range(len(code) - n + 1):
+                total = np.uint64(0)
+                for j in range(n):
+                    total = total + value[k + j] * toxicity._FACTOR[j]
+                yield int(mix(np.array([total + np.uint64(n)]))[0] >> np.uint64(64 - 17))
+
+    with np.errstate(over="ignore"):
+        for text in ["a", "ab cd", "one two\tthree\nünï 日本語", " ".join(f"w{i}x" for i in range(50)), ""]:
+            words = text.split()
+            best = [np.mean([table[x] for w in words[a : a + toxicity.SEGMENT] for x in ids(w)]) for a in range(0, len(words), toxicity.SEGMENT)]
+            got = toxicity.highest(["other words", text, ""], table)[1]
+            assert np.isnan(got) if not best else abs(got - max(best)) < 1e-4
+
+
+@pytest.mark.parametrize("prefix, run", [
+    ("_tx_text", lambda d, s: toxicity.scored(d, s.createDataFrame([], "doc_id long, toxic int"), ["doc_id"])),
+    ("_dc_x", lambda d, s: decontaminate.without_leaks(d, benchmark(s, []))),
+    ("_nj_x", lambda d, s: ngram_join.keep_one_of_each(d)),
+    ("_ld_x", lambda d, s: line_dedup.dedup_lines(d)),
+])
+def test_clashing_names_are_refused(spark, prefix, run):
+    with pytest.raises(ValueError, match=prefix):
+        run(docs(spark, [(1, "a b")]).withColumn(prefix, F.lit(1)), spark)
+
+
+def long_rows():
+    rng = random.Random(9)
+    text = prose(rng, 40_000)
+    return [(1, text), (2, text + " more"), (3, "short text of a few words"), (4, "x" * 500_000), (5, None), (6, "\n".join(prose(rng, 3) for _ in range(20_000)))]
+
+
+def test_very_long_texts(spark):
+    table = docs(spark, long_rows())
+    assert {r["doc_id"]: r["class_id"] for r in ngram_join.near_classes(table).collect()} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 6: 6}
+    measured = {r["doc_id"]: r["n_words"] for r in quality.apply_rules(table).collect()}
+    assert measured == {i: len((t or "").split()) for i, t in long_rows()}
+    item = " ".join(long_rows()[0][1].split()[30_000:30_020])
+    assert {r["doc_id"] for r in decontaminate.leaks(table, benchmark(spark, [(7, item)])).collect()} == {1, 2}
+    lines = {r["doc_id"]: r["_ld_removed"] for r in line_dedup.dedup_lines(table).collect()}
+    assert lines == dict.fromkeys(range(1, 7), 0)
+
+
+def test_the_shuffled_ways_give_the_same(spark, monkeypatch):
+    """No side may be broadcast: every join falls back to a shuffle."""
+    rng = random.Random(12)
+    base = [prose(rng, 80) for _ in range(12)]
+    rows = [(i, t, "en", f"s{i % 3}") for i, t in enumerate(base)] + [(100 + i, t + " end", "en", f"s{i % 2}") for i, t in enumerate(base[:6])]
+    rows += [(200 + i, "\n".join(["a b c", "d e f", "g h i", prose(rng, 4)]), "de", None) for i in range(5)]
+    pages = spark.createDataFrame([(i, "u", base[i % 4] * 4) for i in range(12)], "page_id long, url string, html string")
+    items = benchmark(spark, [(1, " ".join(base[2].split()[5:40])), (2, base[3])])
+
+    def everything():
+        table = docs(spark, rows)
+        yield line_dedup.dedup_lines(table)
+        yield mixture.mix_sources(table)
+        yield ngram_join.near_classes(table)
+        yield ngram_join.keep_one_of_each(table)
+        yield quality.apply_rules(table)
+        yield decontaminate.without_leaks(table, items)
+        space = Workspace(spark, "pages")
+        yield warc.read_packages(spark, warc.write_packages(pages, f"{space.path}/files", space=space)).drop("payload")
+
+    usual = [sorted(map(str, x.collect())) for x in everything()]
+    for module in (shared, line_dedup, mixture, quality, warc):
+        monkeypatch.setattr(module, "BROADCAST_ROWS", -1)
+    assert usual == [sorted(map(str, x.collect())) for x in everything()]
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 1, 0)], [(1, 1, 1)]])
 def test_toxicity_without_two_classes(spark, labels):
     table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
