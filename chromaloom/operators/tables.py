@@ -7,19 +7,28 @@ its rows are counted from file footers.
 from __future__ import annotations
 
 import atexit
-import contextlib
 import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of a batch that written tables hand to Python at most (one row more at least).
+BATCH_BYTES = 4 << 20
+
 _opened: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a folder of our own only where none is set."""
+    """The folder all executors share: that of ``spark.checkpoint.dir``.
+
+    Where it is unset, a single-machine session gets a folder of its own; a cluster raises an error,
+    since executors would write to disks that others do not see.
+    """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir names no folder that all executors of {master} share")
         base = f"/tmp/checkpoints/{os.getpid()}"
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
@@ -37,16 +46,15 @@ def _sweep() -> None:
             _delete(spark, path)
 
 
-@contextlib.contextmanager
-def arrow_rows(spark: SparkSession, most: int):
-    """Jobs run inside hand at most so many rows at a time to Python, so that long rows fit."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    was = spark.conf.get(name)
-    spark.conf.set(name, str(most))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, was)
+def _bounded(df: DataFrame):
+    """``df`` planned in a clone of its session, in which batches to Python are bounded by bytes.
+
+    The settings of the user's session stay as they are, also while the job runs.
+    """
+    clone = df.sparkSession._jsparkSession.cloneSession()
+    clone.conf().set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    plan = df._jdf.queryExecution().logical()
+    return df.sparkSession._jvm.org.apache.spark.sql.classic.Dataset.ofRows(clone, plan)
 
 
 class Workspace:
@@ -57,11 +65,10 @@ class Workspace:
         self.path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
         _opened.append((spark, self.path))
 
-    def table(self, df: DataFrame, name: str, rows: int = 0) -> DataFrame:
-        """Write df and read it again: its lineage ends here.  rows: most in a batch to Python."""
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        """Write df and read it again: its lineage ends here."""
         at = f"{self.path}/{name}"
-        with arrow_rows(self.spark, rows) if rows else contextlib.nullcontext():
-            df.write.mode("overwrite").parquet(at)
+        _bounded(df).write().mode("overwrite").parquet(at)
         return self.spark.read.schema(df.schema).parquet(at)
 
     def drop(self, *names: str) -> None:
