@@ -6,7 +6,8 @@ it.  Three strategies give the same rows:
 * ``bin`` (default): intervals are listed under every bin of 2^shift positions they overlap, so
   the lookup is an equality join on (key, bin) with a range test.  Broadcast if the binned table
   is small enough, else shuffled on (key, bin), which spreads one long sequence over many tasks;
-* ``window``: union of both sides and the last interval seen, per key and block of positions;
+* ``window``: union of both sides and the last interval seen, per key; for keys that one task can
+  sort (contigs), not for chromosomes with a large share of all points;
 * ``broadcast``: sorted starts are sent to workers for binary search, after a check of their size.
 """
 

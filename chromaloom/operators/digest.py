@@ -21,6 +21,8 @@ from .tables import Workspace
 
 CHUNK = 16_384
 REACH = 63  # bases of `after`; the longest pattern has one base more at most
+BLOCK = 22  # cuts are numbered in blocks of 2^BLOCK bases
+BROADCAST_ROWS = 250_000
 
 
 def chunked(genome: DataFrame, size: int = CHUNK) -> DataFrame:
@@ -108,23 +110,30 @@ def lengths(chunks: DataFrame) -> DataFrame:
 def fragments(chunks: DataFrame, sites: frozenset[RestrictionSite]) -> DataFrame:
     """frag_id, seq_idx, name, frag_start, frag_next (null for the last), frag_end.
 
-    Written as a table: one scan of the genome, numbered within each sequence; the ids add a prefix
-    sum over the numbers of fragments of earlier sequences, so no window runs over all fragments.
+    Written as a table: one scan of the genome.  Cuts are numbered within blocks of a sequence; the ids
+    add a prefix sum over the blocks, and the next cut of a block's last is the first of the next
+    block, so no window runs over a whole chromosome.
     """
     space = Workspace(chunks.sparkSession, "digest")
-    by = W.partitionBy("seq_idx")
-    within = by.orderBy(F.col("cut").asc_nulls_last())
-    numbered = scanned(chunks, sites).withColumn("_len", F.max("bases").over(by)).withColumn("_next", F.lead("cut").over(within)).withColumn("_n", F.row_number().over(within) - 1)
-    numbered = space.table(numbered.filter("cut is not null"), "numbered", 256)
-    earlier = numbered.groupBy("seq_idx").agg(F.count("*").alias("_count"))
-    earlier = earlier.withColumn("_base", F.coalesce(F.sum("_count").over(W.orderBy("seq_idx").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    out = numbered.join(earlier, "seq_idx")
+    found = space.table(scanned(chunks, sites).withColumn("block", F.shiftright("cut", BLOCK)), "cuts")
+    sizes = found.filter("bases > 0 or cut is null").groupBy("seq_idx").agg(F.sum("bases").alias("length"))
+    # One row per block: a chromosome has some hundred.
+    blocks = found.filter("cut is not null").groupBy("seq_idx", "block").agg(F.count("*").alias("n"), F.min("cut").alias("first"))
+    per = blocks.groupBy("seq_idx").agg(F.sum("n").alias("of_sequence"))
+    per = per.withColumn("base", F.sum("of_sequence").over(W.orderBy("seq_idx")) - F.col("of_sequence")).drop("of_sequence")
+    order = W.partitionBy("seq_idx").orderBy("block")
+    blocks = blocks.withColumn("then", F.lead("first").over(order)).withColumn("inner", F.sum("n").over(order) - F.col("n"))
+    blocks = space.table(blocks.join(per, "seq_idx").join(sizes, "seq_idx").select("seq_idx", "block", "then", (F.col("base") + F.col("inner")).alias("before"), "length"), "blocks")
+    within = W.partitionBy("seq_idx", "block").orderBy("cut")
+    side = F.broadcast(blocks) if blocks.count() <= BROADCAST_ROWS else blocks
+    out = found.filter("cut is not null").withColumn("_next", F.lead("cut").over(within)).withColumn("_n", F.row_number().over(within) - 1)
+    out = out.join(side, ["seq_idx", "block"]).withColumn("_next", F.coalesce("_next", "then"))
     out = out.select(
-        (F.col("_base") + F.col("_n")).cast("long").alias("frag_id"), "seq_idx", "name",
-        F.col("cut").alias("frag_start"), F.col("_next").alias("frag_next"), F.coalesce("_next", "_len").alias("frag_end"),
+        (F.col("before") + F.col("_n")).cast("long").alias("frag_id"), "seq_idx", "name",
+        F.col("cut").alias("frag_start"), F.col("_next").alias("frag_next"), F.coalesce("_next", "length").alias("frag_end"),
     )
     out = space.table(out, "fragments")
-    space.drop("numbered")
+    space.drop("cuts", "blocks")
     return out
 
 

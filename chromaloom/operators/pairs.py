@@ -18,7 +18,10 @@ CARRIED = ["line_no", "seq_idx", "read_start", "frag_id", "frag_start", "frag_ne
 
 def mated(good: DataFrame) -> DataFrame:
     """Adds ``mate`` (the record of the read's partner, or null) and ``closes`` (the later of two)."""
-    order = W.partitionBy("qname").orderBy("line_no")
+    return _mated(good, W.partitionBy("qname").orderBy("line_no"))
+
+
+def _mated(good: DataFrame, order) -> DataFrame:
     past = order.rowsBetween(W.unboundedPreceding, -1)
     other = F.struct(*CARRIED, "is_read1")
     out = good.withColumn("_first", F.coalesce(F.lag("is_read1").over(order) != F.col("is_read1"), F.lit(True)))
@@ -38,20 +41,24 @@ def _settled(df: DataFrame, *columns) -> DataFrame:
     return df.select(F.inline(F.array(F.struct(*columns))))
 
 
-def classify_pairs(mates: DataFrame) -> DataFrame:
-    """One row per pair: qname, hc, intra, pair_sep, frag_sep, and CARRIED of both reads as r1_*, r2_*.
+def classify_pairs(mates: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per read with a mate that closes: qname, hc, intra, pair_sep, frag_sep, and CARRIED of both reads.
 
-    r1 is read 1, unless both reads lie on one sequence and read 2 begins before it.
+    r1_* is read 1, unless both reads lie on one sequence and read 2 begins before it.  ``keep``
+    names columns of the read itself to keep.
     """
-    pairs = mates.filter("closes")
-    mine, theirs = F.col("is_read1"), F.col("mate.is_read1")
+    return _classified(mates.filter("closes").filter(F.col("is_read1") != F.col("mate.is_read1")), keep)
+
+
+def _classified(pairs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    mine = F.col("is_read1")
     ends = [F.when(mine == first, F.col(c)).otherwise(F.col(f"mate.{c}")).alias(f"{r}_{c}") for r, first in (("a", True), ("b", False)) for c in CARRIED]
-    pairs = _settled(pairs.filter(mine != theirs), F.col("qname"), *ends)
+    pairs = _settled(pairs, *map(F.col, keep), F.col("qname"), *ends)
     intra = F.col("a_seq_idx") == F.col("b_seq_idx")
     swap = intra & (F.col("a_read_start") > F.col("b_read_start"))
     pairs = pairs.withColumns({"intra": intra, "_swap": swap})
     turned = [F.when(F.col("_swap"), F.col(f"{y}_{c}")).otherwise(F.col(f"{x}_{c}")).alias(f"{r}_{c}") for r, x, y in (("r1", "a", "b"), ("r2", "b", "a")) for c in CARRIED]
-    pairs = _settled(pairs, F.col("qname"), F.col("intra"), *turned)
+    pairs = _settled(pairs, *map(F.col, keep), F.col("qname"), F.col("intra"), *turned)
     sep = F.col("r2_read_start") - F.col("r1_read_start")
     frag_sep = F.when(F.col("r1_frag_id").isNull(), sep).when(F.col("r1_frag_next").isNull(), F.lit(0).cast("long")).otherwise(F.col("r2_frag_start") - F.col("r1_frag_next"))
     rev1, rev2 = F.col("r1_is_reverse"), F.col("r2_is_reverse")
@@ -61,7 +68,7 @@ def classify_pairs(mates: DataFrame) -> DataFrame:
         .otherwise(F.concat(F.when(rev1, "R").otherwise("F"), F.when(rev2, "R").otherwise("F")))
     )
     both = [f"{r}_{c}" for r in ("r1", "r2") for c in CARRIED]
-    return pairs.select("qname", hc.alias("hc"), "intra", F.when(F.col("intra"), sep).alias("pair_sep"), F.when(F.col("intra"), frag_sep).alias("frag_sep"), *both)
+    return pairs.select(*keep, "qname", hc.alias("hc"), "intra", F.when(F.col("intra"), sep).alias("pair_sep"), F.when(F.col("intra"), frag_sep).alias("frag_sep"), *both)
 
 
 def pair_reads(good: DataFrame) -> DataFrame:
@@ -73,11 +80,30 @@ def dumped(good: DataFrame) -> DataFrame:
     return mated(good).filter("mate is null").drop("mate", "closes")
 
 
-def with_final_class(classified: DataFrame, good: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``classified`` with hc set for good reads, too: their pair's class, or DM."""
-    own = pairs.select("qname", F.explode(F.array("r1_line_no", "r2_line_no")).alias("line_no"), F.col("hc").alias("_pair"))
-    out = classified.join(own, ["qname", "line_no"], "left")
-    return out.select(*[F.coalesce("hc", "_pair", F.lit("DM")).alias("hc") if c == "hc" else F.col(c) for c in classified.columns])
+def resolve(classified: DataFrame) -> DataFrame:
+    """``classified`` with hc set for good reads, too (their pair's class, or DM), and ``pair``.
+
+    ``pair`` holds the pair, as pair_reads gives it, in the record that closes it, and is null in
+    all others: ``pairs_of`` reads it back.  One shuffle on (query name, good or not); write the result
+    once, and everything else is derived from it.
+    """
+    strand = {"is_reverse": F.col("flag").bitwiseAND(0x10) != 0, "is_read1": F.col("flag").bitwiseAND(0x40) != 0}
+    named = classified.withColumns(strand | {"_good": F.col("hc").isNull(), "_record": F.struct(*classified.columns)})
+    slim = ["qname", "_good", *CARRIED, "is_read1"]
+    mates = _mated(named.select(*slim, "_record"), W.partitionBy("qname", "_good").orderBy("line_no"))
+    # Reads without a mate are paired with themselves, so that one expression serves all; the result is not used.
+    lone = F.col("mate").isNull() | ~F.col("_good")
+    mates = mates.withColumn("_lone", lone).withColumn("mate", F.when(lone, F.struct(*CARRIED, (~F.col("is_read1")).alias("is_read1"))).otherwise(F.col("mate")))
+    done = _classified(mates, ("_record", "_good", "_lone", "closes"))
+    pair = F.struct(*[c for c in done.columns if c not in ("_record", "_good", "_lone", "closes")])
+    hc = F.coalesce("_record.hc", F.when(F.col("_lone"), "DM").otherwise(F.col("hc")))
+    columns = [hc.alias("hc") if c == "hc" else F.col(f"_record.{c}").alias(c) for c in classified.columns]
+    return done.select(*columns, F.when(~F.col("_lone") & F.col("closes"), pair).alias("pair"))
+
+
+def pairs_of(resolved: DataFrame) -> DataFrame:
+    """The pairs that ``resolve`` found."""
+    return resolved.filter("pair is not null").select("pair.*")
 
 
 def five_end(records: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.alignments import bad_flags
+from .tables import Workspace
 
 # Labels of the summary rows, with class codes.
 READ_ROWS = [
@@ -35,7 +36,8 @@ def read_summary(classified: DataFrame, pairs: DataFrame) -> DataFrame:
     """type, counts, class: flags count in every class that holds, so rows do not add up to the reads."""
     counts = {code: F.count_if(holds) for code, holds in bad_flags(F.col("flag")).items()}
     counts |= {code: F.count_if(F.col("hc") == code) for code in ("IR", "MQ", "RS")}
-    one = classified.agg(*[c.alias(k) for k, c in counts.items()], F.count_if(F.col("hc").isNull()).alias("passed"))
+    passed = F.col("hc").isNull() | F.col("hc").isin(*VALID, *INVALID, "DM")  # before and after pairing
+    one = classified.agg(*[c.alias(k) for k, c in counts.items()], F.count_if(passed).alias("passed"))
     one = one.join(pairs.agg((F.count("*") * 2).alias("good"))).withColumn("DM", F.col("passed") - F.col("good"))
     rows = [(F.lit(label), F.col(code), F.lit("valid_pairs" if code == "good" else "invalid")) for label, code in READ_ROWS]
     return _long(one, rows, ["type", "counts", "class"])
@@ -131,18 +133,20 @@ def inter_sequence_index(contacts: DataFrame, sequences: DataFrame) -> DataFrame
 def site_distance_frame(pairs: DataFrame) -> DataFrame:
     """class, valid, dir, id, dis: both ends of every pair.
 
-    Pairs are numbered by class in CLASS_ORDER, then by query name and record.  The number is a
-    prefix sum over the classes and ranges of names, so that no task numbers all pairs.
+    Pairs are numbered by class in CLASS_ORDER, then by query name and record.  They are dealt out in ranges
+    of this order, whose bounds are sampled, and written; the number is a place within the range plus a
+    prefix sum over the ranges, so no class or prefix of names meets in one task.
     """
     cls = F.lower("hc")
     rank = F.array_position(F.array(*map(F.lit, CLASS_ORDER)), cls).cast("int")
     named = pairs.select(cls.alias("class"), rank.alias("_rank"), "qname", F.col("r1_line_no").alias("_line"), "r1_site_dist", "r2_site_dist", "r1_is_reverse", "r2_is_reverse")
-    named = named.withColumn("_bin", F.substring(F.col("qname"), 1, 4))
-    ahead = named.groupBy("_rank", "_bin").agg(F.count("*").alias("_c"))
-    ahead = ahead.select("_rank", "_bin", (F.sum("_c").over(W.orderBy("_rank", "_bin")) - F.col("_c")).alias("_base"))
-    named = named.join(ahead, ["_rank", "_bin"])
-    within = W.partitionBy("_rank", "_bin").orderBy("qname", "_line")
-    named = named.withColumn("id", (F.col("_base") + F.row_number().over(within) - 1).cast("long"))
+    space = Workspace(pairs.sparkSession, "distances")
+    slots = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = space.table(named.repartitionByRange(slots, "_rank", "qname", "_line").withColumn("_range", F.spark_partition_id()), "dealt")
+    ahead = dealt.groupBy("_range").agg(F.count("*").alias("_c"))
+    ahead = ahead.select("_range", (F.sum("_c").over(W.orderBy("_range")) - F.col("_c")).alias("_base"))  # one row per range
+    within = W.partitionBy("_range").orderBy("_rank", "qname", "_line")
+    named = dealt.join(F.broadcast(ahead), "_range").withColumn("id", (F.col("_base") + F.row_number().over(within) - 1).cast("long"))
     direction = lambda r: F.when(F.col("class").isin("ss", "rl"), "UKN").when(F.col(f"{r}_is_reverse"), "R").otherwise("F")
     ends = F.array(*[F.struct(direction(r).alias("dir"), F.col(f"{r}_site_dist").alias("dis")) for r in ("r1", "r2")])
     return named.select("class", F.col("class").isin(*[c.lower() for c in VALID]).alias("valid"), "id", F.inline(ends))

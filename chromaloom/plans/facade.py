@@ -20,11 +20,13 @@ class SettingError(ValueError):
 
 @dataclass
 class Stats:
-    """Statistics of a run: every property is a DataFrame, computed when it is read."""
+    """Statistics of a run: every property is a DataFrame over the written records, computed when it is read."""
 
     classified: DataFrame
     pairs: DataFrame
     sequences: DataFrame
+    #: Whether ``tables`` and ``save`` include the dense frame, whose size is the square of the sequences'.
+    dense: bool = False
 
     @property
     def reads(self) -> DataFrame:
@@ -72,8 +74,10 @@ class Stats:
     def tables(self) -> dict[str, DataFrame]:
         out = {
             "reads": self.reads, "hic_pairs": self.pair_counts, "intra_inter": self.intra_inter, "per_sequence": self.sequence_stats,
-            "inter_sequence_indexes": self.inter_sequence_index, "valid_pairs": self.valid_pairs, "restriction_sites": self.site_distances,
+            "inter_sequence_indexes": self.inter_sequence_index, "contacts": self.contacts, "restriction_sites": self.site_distances,
         }
+        if self.dense:
+            out["valid_pairs"] = self.valid_pairs
         for name, frame in (("read_separations", self.read_separations), ("fragment_separations", self.fragment_separations)):
             out[name] = frame
             out[f"{name}_models"], out[f"{name}_f_tests"] = models.contact_models(frame)
@@ -105,6 +109,7 @@ class Pipeline:
         self._input: Callable[[], DataFrame] | None = None
         self._index_only = False
         self._header: list[str] = []
+        self.malformed = 0  # lines of the input that were no records
 
     def _once(self, name: str, value: object) -> None:
         if self._set.setdefault(name, value) != value:
@@ -119,6 +124,7 @@ class Pipeline:
     restriction_sites = property(lambda self: self._needed("restriction_sites"), lambda self, v: self._once("restriction_sites", v))
     min_mapq = property(lambda self: self._set.get("min_mapq", reads.MIN_MAPQ), lambda self, v: self._once("min_mapq", v))
     save_stats_path = property(lambda self: self._set.get("save_stats_path"), lambda self, v: self._once("save_stats_path", v))
+    dense_contacts = property(lambda self: self._set.get("dense_contacts", False), lambda self, v: self._once("dense_contacts", v))
     threads = property(lambda self: self._set.get("threads"), lambda self, v: self._once("threads", v))
 
     def register_reads(self, records: DataFrame) -> None:
@@ -135,8 +141,11 @@ class Pipeline:
                 records = files.read_bam(self.spark, path)
                 self._header = files.read_bam_header(self.spark, path)
             else:
-                records, head, _ = files.read_sam(self.spark, path)
+                records, head, malformed = files.read_sam(self.spark, path)
                 self._header = [r["value"] for r in head.orderBy("line_no").collect()]
+                self.malformed = malformed.count()
+                if self.malformed:
+                    self.logger.warning("%s: %d malformed lines are left out", path, self.malformed)
             return pairs.mark_duplicates(records) if mark_duplicates else records
 
         self._input = read
@@ -196,6 +205,13 @@ class Pipeline:
                 self.exception_callback(error)
             raise
 
+    def _log(self, done: DataFrame) -> None:
+        """Records of each class and their share, as a status line each."""
+        counts = {r[0]: r[1] for r in done.groupBy("hc").count().collect()}
+        total = sum(counts.values())
+        for name, n in sorted(counts.items()):
+            self.logger.info("%s: %d records (%.2f %%)", name, n, 100 * n / total)
+
     def _run(self) -> Stats | None:
         sites = self.sites()
         chunks = digest.chunked(self.genome())
@@ -206,10 +222,12 @@ class Pipeline:
         if self._input is None:
             raise SettingError("no input is registered")
         sequences = Workspace(self.spark, "sequences").table(digest.sequence_table(chunks, frags), "sequences")
+        # The input is read, classified and paired once; outputs and statistics derive from this table.
         classified = reads.classify(self._input(), sequences, frags, self.min_mapq)
-        good = reads.good_reads(classified)
-        found = pairs.pair_reads(good)
-        self.tagged = reads.tags(pairs.with_final_class(classified, good, found), frags)
+        done = Workspace(self.spark, "records").table(pairs.resolve(classified), "records")
+        found = pairs.pairs_of(done)
+        self._log(done)
+        self.tagged = reads.tags(done.drop("pair"), frags)
         for path, (classes, sort) in self._outputs.items():
             part = self.tagged.filter(self.tagged["hc"].isin(*[c for n in classes for c in sinks.classes_of(n)]))
             if path.endswith(".sam"):
@@ -219,7 +237,7 @@ class Pipeline:
                 sinks.write_sam(part, header.output_header(self._header, "@PG\tID:chromaloom\tPN:chromaloom", own, self.min_mapq, sites), path)
             else:
                 sinks.write_parquet(sinks.coordinate_sorted(part, sequences) if sort else part, path, by_class=not sort)
-        result = Stats(classified, found, sequences)
+        result = Stats(done, found, sequences, bool(self.dense_contacts))
         if self.save_stats_path:
             result.save(str(self.save_stats_path))
         return result

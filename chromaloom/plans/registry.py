@@ -38,7 +38,7 @@ class Run:
             "classified": lambda: self._classified(),
             "good": lambda: reads.good_reads(self.classified),
             "pairs": lambda: pairs.pair_reads(self.good),
-            "final": lambda: pairs.with_final_class(self.classified, self.good, self.pairs),
+            "final": lambda: pairs.resolve(self.classified),
         }.get(name)
         if make is None:
             raise AttributeError(name)
@@ -130,7 +130,7 @@ def asof_fragments(run: Run) -> DataFrame:
     from ..functions.alignments import five_prime
 
     points = able.join(names, "rname").select("qname", "line_no", "seq_idx", five_prime(F.col("pos"), F.col("flag"), F.col("ref_len")).alias("at"))
-    return asof.lookup(points, run.frags, "at", "window").select("qname", "line_no", "frag_id", "frag_start", "frag_next")
+    return asof.lookup(points, run.frags, "at").select("qname", "line_no", "frag_id", "frag_start", "frag_next")
 
 
 @query("flag_counts", READS + """ select count(*)::bigint as reads, count_if(flag & 1 = 0)::bigint as "UP", count_if(flag & 4 <> 0)::bigint as "UM",
@@ -282,7 +282,7 @@ def inter_sequence_index(run: Run) -> DataFrame:
 
 
 DISTANCES = PAIRS + """,
-nu as (select *, (row_number() over (order by list_position(['ff','fr','rf','rr','sc','de','ss','rl'], lower(hc)), substring(qname, 1, 4), qname, r1.line_no) - 1)::bigint as id from pr),
+nu as (select *, (row_number() over (order by list_position(['ff','fr','rf','rr','sc','de','ss','rl'], lower(hc)), qname, r1.line_no) - 1)::bigint as id from pr),
 en as (select hc, id, r1 as r from nu union all select hc, id, r2 from nu),
 df as (select lower(hc) as class, hc in ('FF','FR','RF','RR') as valid, id, case when hc in ('SS','RL') then 'UKN' when r.rev then 'R' else 'F' end as dir, r.site_dist as dis from en)"""
 

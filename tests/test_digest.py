@@ -31,7 +31,9 @@ def test_cuts_do_not_depend_on_chunks(spark, size):
         assert sorted(r["cut"] for r in got if r["seq_idx"] == i) == brute_cuts(seq, SITES), seq
 
 
-def test_fragments_tile(spark):
+@pytest.mark.parametrize("block", [2, 4, 22])
+def test_fragments_tile(spark, monkeypatch, block):
+    monkeypatch.setattr(digest, "BLOCK", block)
     chunks = digest.chunked(genome(spark, CASES), 5)
     rows = digest.fragments(chunks, SITES).orderBy("frag_id").collect()
     assert [r["frag_id"] for r in rows] == list(range(len(rows)))

@@ -97,6 +97,31 @@ def test_mates_like_a_state_machine(spark):
         assert (one, sorted(r["line_no"] for r in mine if r["mate"] is None)) == machine(run), run
 
 
+def test_resolve_agrees_with_pairing(spark):
+    """One shuffle gives the classes of reads and the pairs, bad reads among them or not."""
+    rng = random.Random(8)
+    rows = []
+    for q in range(150):
+        for k in range(rng.randint(1, 9)):
+            start, seq = rng.randrange(0, 400), rng.randrange(2)
+            frag = start // 100
+            good = rng.random() < 0.8
+            placed = (seq, start, seq * 10 + frag, frag * 100, frag * 100 + 100 if frag < 3 else None, 1) if good else (None,) * 6
+            rows.append((k, f"q{q}", rng.choice([65, 129]) | rng.choice([0, 16]), "x", *placed, None if good else rng.choice(["MQ", "UM"])))
+    rng.shuffle(rows)
+    schema = "line_no long, qname string, flag int, rest string, seq_idx int, read_start long, frag_id long, frag_start long, frag_next long, site_dist long, hc string"
+    classified = spark.createDataFrame(rows, schema)
+    done = pairs.resolve(classified).persist()
+    found = pairs.pair_reads(reads.good_reads(classified))
+    assert done.columns == [*classified.columns, "pair"]
+    assert sorted(map(str, pairs.pairs_of(done).select(*found.columns).collect())) == sorted(map(str, found.collect())) and found.count() > 50
+    of_pair = {(r["qname"], r[f"{e}_line_no"]): r["hc"] for r in found.collect() for e in ("r1", "r2")}
+    want = {(q, k): hc or of_pair.get((q, k), "DM") for k, q, *_, hc in rows}
+    assert {(r["qname"], r["line_no"]): r["hc"] for r in done.collect()} == want
+    back = done.drop("pair").withColumn("hc", F.when(F.col("hc").isin("MQ", "UM"), F.col("hc")))
+    assert sorted(map(str, back.collect())) == sorted(map(str, classified.collect()))
+
+
 GOOD = "qname string, line_no long, is_read1 boolean, seq_idx int, read_start long, frag_id long, frag_start long, frag_next long, site_dist long, is_reverse boolean"
 
 

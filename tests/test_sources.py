@@ -5,6 +5,7 @@ import zlib
 
 import pytest
 
+from chromaloom.functions.sites import RestrictionSite
 from chromaloom.plans.facade import Pipeline, SettingError, load_stats
 from chromaloom.sources import files, header, sinks
 
@@ -111,19 +112,28 @@ def test_bam_header_goes_to_the_output(spark, tmp_path):
         assert [x.split("\t")[1] for x in lines if x.startswith("@PG")] == (["ID:x", "ID:chromaloom"] if name == "a" else ["ID:chromaloom"])
 
 
-def test_program_chain():
-    chain = header.ProgramChain(["@PG\tID:a\tPN:a", "@PG\tID:b\tPP:a\tVN:1"])
-    chain.append("@PG\tID:a\tPN:again")
-    assert chain.lines() == ["@PG\tID:a\tPN:a", "@PG\tID:b\tPP:a\tVN:1", "@PG\tID:a.1\tPN:again\tPP:b"]
-    two = header.ProgramChain(["@PG\tID:a", "@PG\tID:b"])
-    two.append("@PG\tID:c")
-    assert [x.split("\t")[1] for x in two.lines()] == ["ID:a", "ID:b", "ID:c", "ID:c.1"]
-    assert {x.split("PP:")[1] for x in two.lines()[2:]} == {"a", "b"}
+def test_program_graph():
+    graph = header.ProgramGraph(["@PG\tID:a\tPN:a", "@PG\tID:b\tPP:a\tVN:1"])
+    assert graph.run({"ID": "a", "PN": "again"}) == [{"ID": "a.1", "PN": "again", "PP": "b"}]
+    assert graph.run({"ID": "a"}) == [{"ID": "a.2", "PP": "a.1"}]
+    two = header.ProgramGraph(["@PG\tID:a", "@PG\tID:c.1", "@PG\tID:b\tPP:a"])
+    assert two.run({"ID": "c"}) == [{"ID": "c", "PP": "c.1"}, {"ID": "c.2", "PP": "b"}]
+    assert two.run({"ID": "d"}) == [{"ID": "d", "PP": "c"}, {"ID": "d.1", "PP": "c.2"}]
+    assert header.ProgramGraph([]).run({"ID": "z"}) == [{"ID": "z"}]
+
+
+def test_odd_programs():
     with pytest.raises(header.HeaderError):
-        header.ProgramChain(["@PG\tID:a\tPP:b", "@PG\tID:b\tPP:a"])
-    empty = header.ProgramChain()
-    empty.append("@PG\tID:z")
-    assert empty.lines() == ["@PG\tID:z"]
+        header.ProgramGraph(["@PG\tID:a\tPP:b", "@PG\tID:b\tPP:a"])
+    # a cycle beside a chain, a tag given twice, a repeated ID, a record without one
+    graph = header.ProgramGraph(["@PG\tID:a\tPP:b", "@PG\tID:b\tPP:a", "@PG\tID:c\tID:d", "@PG\tID:c", "@PG\tPN:none"])
+    assert graph.run({"ID": "e"}) == [{"ID": "e", "PP": "c"}]
+
+
+def test_header_of_an_output():
+    sites = {RestrictionSite("GATC", 0, 4), RestrictionSite("A.", 1, 1)}
+    lines = header.output_header(["@HD\tVN:1.6", "@PG\tID:x", "@CO\t@PG\tID:no"], "@PG\tID:own\tPN:own", ["FF", "RR"], 7, sites)
+    assert lines == ["@HD\tVN:1.6", "@CO\t@PG\tID:no", "@PG\tID:x", "@PG\tID:own\tPN:own\tPP:x\tmq:7\trs:A.,1\trs:GATC,0\thc:FF\thc:RR"]
 
 
 def test_routes():
@@ -145,6 +155,7 @@ def test_pipeline_object(spark, tmp_path):
     with pytest.raises(SettingError):
         p.min_mapq = 11
     p.save_stats_path = str(tmp_path / "stats")
+    p.dense_contacts = True
     p.register_sam_input(str(tmp_path / "a.sam"))
     with pytest.raises(SettingError):
         p.register_alignment_index_only()
@@ -153,6 +164,7 @@ def test_pipeline_object(spark, tmp_path):
     with pytest.raises(sinks.RouteError):
         p.register_output_file(str(tmp_path / "again"), ["FF"])
     stats = p.run()
+    assert p.malformed == 0
     assert {r["type"]: r["counts"] for r in stats.pair_counts.collect()}["re-ligation"] == 0
     assert p.output("valid_pairs").count() == 2
     lines = "".join(f.read_text() for f in sorted((tmp_path / "valid.sam").glob("part-*"))).splitlines()
@@ -172,6 +184,13 @@ def test_command_line(spark, tmp_path):
     (tmp_path / "a.sam").write_text("\n".join(SAM[:5]) + "\n")
     main(["--reference", str(tmp_path / "ref.fa"), "--sites", "DpnII", "--sam", str(tmp_path / "a.sam"), "--out", f"valid-ff={tmp_path / 'ff'}", "--out", f"bad-reads={tmp_path / 'bad'}"])
     assert spark.read.parquet(str(tmp_path / "ff")).count() == 2
+    p = Pipeline(spark)
+    (tmp_path / "b.sam").write_text("\n".join(SAM) + "\n")
+    p.reference, p.restriction_sites, p.save_stats_path = str(tmp_path / "ref.fa"), "DpnII", str(tmp_path / "sparse")
+    p.register_sam_input(str(tmp_path / "b.sam"))
+    stats = p.run()
+    assert p.malformed == 2 and not (tmp_path / "sparse" / "valid_pairs").exists()
+    assert stats.classified.count() == 3 and spark.read.parquet(str(tmp_path / "sparse" / "contacts")).count() == 1
     main(["--reference", str(tmp_path / "ref.fa"), "--sites", "DpnII", "--index-only", "--save-stats", str(tmp_path / "index")])
     (folder,) = (tmp_path / "index").iterdir()
     assert spark.read.parquet(str(folder)).count() == 3
