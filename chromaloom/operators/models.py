@@ -148,21 +148,23 @@ def fit_models(x: np.ndarray, y: np.ndarray) -> list[Model]:
     return out
 
 
-def f_test(larger: Model, smaller: Model) -> float:
-    """p-value of the larger model against the smaller; nan if it is not larger."""
+def f_statistic(larger: Model, smaller: Model) -> tuple[float, int, int]:
+    """F and its degrees of freedom, of the larger model against the smaller; nan if it is not larger."""
     dom, dof = larger.params - smaller.params, larger.n - larger.params
     if dom <= 0 or dof < 1:
-        return math.nan
+        return math.nan, dom, dof
     with np.errstate(all="ignore"):
-        return f_survival(float(np.divide((smaller.rss - larger.rss) / dom, larger.rss / dof)), dom, dof)
+        return float(np.divide((smaller.rss - larger.rss) / dom, larger.rss / dof)), dom, dof
 
 
-def contact_models(distances: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(prob, sep, type, class) and (model1, model2, p_value, class) of a frame (class, dis).
+def f_test(larger: Model, smaller: Model) -> float:
+    """p-value of the larger model against the smaller; nan if it is not larger."""
+    f, dom, dof = f_statistic(larger, smaller)
+    return math.nan if dom <= 0 or dof < 1 else f_survival(f, dom, dof)
 
-    Classes are all, ff, fr, rf and rr; undefined values are null.
-    """
-    spark = distances.sparkSession
+
+def fitted(distances: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray, np.ndarray, list[Model]]]:
+    """(class, separations, probabilities, ln of the separations that are fitted, models) of all, ff, fr, rf and rr."""
     counted = frequencies(distances).persist()
     try:
         edges = equal_edges(counted)
@@ -173,7 +175,7 @@ def contact_models(distances: DataFrame) -> tuple[DataFrame, DataFrame]:
         density = table["n"].to_numpy(float) / (table["high"] - table["low"]).to_numpy(float) / max(table["n"].sum(), 1)
         per_pair = density / table["n"].to_numpy(float)
     sep = table["sep"].to_numpy(float)
-    probs, tests = [], []
+    out = []
     for cls in ["all", *CLASSES]:
         if cls != "all" and not table[cls].sum():
             continue
@@ -182,14 +184,33 @@ def contact_models(distances: DataFrame) -> tuple[DataFrame, DataFrame]:
             select = (sep > FIT_RANGE[0]) & (sep < FIT_RANGE[1])
             x, y = np.log(sep[select]), np.log(prob[select])
         usable = np.isfinite(y)
+        out.append((cls, sep, prob, x[usable], fit_models(x[usable], y[usable])))
+    return out
+
+
+def contact_models(distances: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(prob, sep, type, class) and (model1, model2, p_value, class) of a frame (class, dis).
+
+    Classes are all, ff, fr, rf and rr; undefined values are null.
+    """
+    spark, probs, tests = distances.sparkSession, [], []
+    for cls, sep, prob, x, fits in fitted(distances):
         probs += [(p, s, "histogram", cls) for p, s in zip(prob, sep)]
-        models = fit_models(x[usable], y[usable])
-        for m in models:
-            probs += [(float(np.exp(p)), float(np.exp(s)), m.name, cls) for p, s in zip(m.predicted, x[usable])]
-            tests += [(m.name, o.name, f_test(m, o), cls) for o in models]
+        for m in fits:
+            probs += [(float(np.exp(p)), float(np.exp(s)), m.name, cls) for p, s in zip(m.predicted, x)]
+            tests += [(m.name, o.name, f_test(m, o), cls) for o in fits]
     return _frame(spark, probs, "prob double, sep double, type string, class string"), _frame(spark, tests, "model1 string, model2 string, p_value double, class string")
 
 
+def f_statistics(distances: DataFrame) -> DataFrame:
+    """model1, model2, class, dom, dof and f of every pair of models that can be compared."""
+    rows = []
+    for cls, *_, fits in fitted(distances):
+        told = [(m, o, *f_statistic(m, o)) for m in fits for o in fits]
+        rows += [(m.name, o.name, cls, dom, dof, f) for m, o, f, dom, dof in told if dom > 0 and dof > 0]
+    return _frame(distances.sparkSession, rows, "model1 string, model2 string, class string, dom int, dof int, f double")
+
+
 def _frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     clean = [tuple(None if isinstance(v, float) and not math.isfinite(v) else (float(v) if isinstance(v, np.floating) else v) for v in r) for r in rows]
     return spark.createDataFrame(clean, schema)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.sites import RestrictionSite, compile_sites
 from ..operators import digest, models, pairs, reads, stats
 from ..operators.tables import Workspace
-from ..sources import files, header, sinks
+from ..sources import blocks, files, header, sinks
 
 
 class SettingError(ValueError):
@@ -189,6 +189,11 @@ class Pipeline:
     def sites(self) -> frozenset[RestrictionSite]:
         return compile_sites(str(self.restriction_sites))
 
+    def chunks(self) -> DataFrame:
+        """The reference in chunks; a file is cut where its lines stand, without a row per sequence."""
+        ref = self.reference
+        return digest.chunked(ref) if isinstance(ref, DataFrame) else blocks.fasta_chunks(self.spark, str(ref), digest.CHUNK, digest.REACH)
+
     def genome(self) -> DataFrame:
         ref = self.reference
         return ref if isinstance(ref, DataFrame) else files.read_fasta(self.spark, str(ref))
@@ -214,7 +219,7 @@ class Pipeline:
 
     def _run(self) -> Stats | None:
         sites = self.sites()
-        chunks = digest.chunked(self.genome())
+        chunks = self.chunks()
         frags = digest.fragments(chunks, sites) if sites else None
         if self._index_only:
             digest.aligner_digest(self.genome(), sites).write.mode("overwrite").parquet(f"{self._needed('save_stats_path')}/{digest.cache_key(str(self.reference), sites)}")

@@ -322,13 +322,24 @@ def loglog_fit(run: Run) -> DataFrame:
     return out.select("bins", F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"))
 
 
-@query("separation_hist")
+@query("separation_hist", surrogate.MODELS + """ select round(prob, 12) as prob, round(sep, 6) as sep, 'histogram' as type, class from hh
+  union all select round(exp(p), 12), round(exp(x), 6), type, class from ml""")
 def separation_hist(run: Run) -> DataFrame:
-    return models.contact_models(stats.separations(run.pairs))[0]
+    out = models.contact_models(stats.separations(run.pairs))[0]
+    return out.select(F.round("prob", 12).alias("prob"), F.round("sep", 6).alias("sep"), "type", "class")
+
+
+@query("model_f_statistics", surrogate.MODELS + """, rs as (select class, type, n, params, sum((y - p) ** 2) as rss from ml group by all)
+  select l.type as model1, s.type as model2, l.class, l.params - s.params as dom, (l.n - l.params)::int as dof, round(((s.rss - l.rss) / (l.params - s.params)) / (l.rss / (l.n - l.params)), 5) as f
+  from rs l join rs s on l.class = s.class and l.params > s.params where l.n > l.params""")
+def model_f_statistics(run: Run) -> DataFrame:
+    out = models.f_statistics(stats.separations(run.pairs))
+    return out.withColumn("f", F.round("f", 5))
 
 
 @query("model_f_tests")
 def model_f_tests(run: Run) -> DataFrame:
+    """The p-values of the statistics above: the F distribution has no SQL form."""
     return models.contact_models(stats.separations(run.pairs))[1]
 
 
@@ -356,12 +367,14 @@ def primary_reads(run: Run) -> DataFrame:
     return out.select("qname", F.substring_index("comment", ":", -1).cast("long").alias("line_no"), "mate")
 
 
-@query("aligner_digest")
+@query("aligner_digest", surrogate.DIGEST + " select * from ad")
 def aligner_digest(run: Run) -> DataFrame:
     return digest.aligner_digest(run.genome, SITES)
 
 
-@query("trim_reads")
+@query("trim_reads", surrogate.TRIM + """ select qname, line_no, case when known then cg else cigar end as cigar,
+  case when known then substring(seq, head::int + 1, left_bases::int) else seq end as seq, case when known then substring(qual, head::int + 1, left_bases::int) else qual end as qual
+  from td where not known or (keep > 0 and left_bases > 0)""")
 def trim_reads(run: Run) -> DataFrame:
     """Primary reads clipped to the digest fragment that holds their position, with its overhangs.
 
@@ -375,9 +388,9 @@ def trim_reads(run: Run) -> DataFrame:
     filled = F.when(F.col("front_fwd"), F.col("front")).otherwise(0).cast("long")
     held = asof.lookup(placed, cut.select("seq_idx", F.struct("frag_name", filled.alias("filled")).alias("frag_id"), "frag_start", "frag_end", F.col("frag_end").alias("frag_next")), "_at")
     primary = held.withColumn("rname", F.coalesce("frag_id.frag_name", "rname")).withColumn("pos", F.coalesce(F.col("pos") - F.col("frag_start") + F.col("frag_id.filled"), "pos"))
-    frags = cut.select(F.col("frag_name").alias("rname"), "length", F.col("front").cast("long").alias("front"), "front_fwd", F.col("end").cast("long").alias("end"), "end_fwd")
-    bases = F.repeat(F.lit("A"), query_length(F.col("cigar")).cast("int"))
-    return trim.trim(primary.withColumn("seq", bases).withColumn("qual", bases), frags).select("qname", "line_no", "cigar", F.length("seq").cast("long").alias("bases"))
+    frags = trim.parse_fragment_names(cut.select(F.col("frag_name").alias("rname"), "length"))
+    part = lambda text: F.substr(F.lit(text), (1 + F.col("line_no") % 12).cast("int"), query_length(F.col("cigar")).cast("int"))
+    return trim.trim(primary.withColumns({"seq": part(surrogate.SEQ), "qual": part(surrogate.QUAL)}), frags).select("qname", "line_no", "cigar", "seq", "qual")
 
 
 def _output(alias: str) -> None:

@@ -122,3 +122,78 @@ pr as (select qname, intra,
               case when intra then r2.read_start - r1.read_start end as pair_sep,
               case when intra then case when r1.frag_next is null then 0 else r2.frag_start - r1.frag_next end end as frag_sep, r1, r2
        from ps)"""
+
+
+def _found(k: int, site) -> str:
+    """Matches of a site that do not overlap, by the lengths of what lies between them."""
+    low, high = sorted((site.loc, site.rev_loc))
+    side = (site.loc < site.rev_loc) - (site.rev_loc < site.loc)
+    return f"""
+       union all select seq_idx, spot + {site.loc}, {k + 2}, i, {side}, substring(seq, spot + {low} + 1, {high - low}) from (
+         select seq_idx, seq, i, n, (sum(length(p)) over (partition by seq_idx order by i) + (i - 1) * {site.width})::bigint as spot from (
+           select seq_idx, seq, unnest(ps) as p, generate_subscripts(ps, 1) as i, len(ps) as n from (select seq_idx, seq, regexp_split_to_array(seq, '{site.pattern}') as ps from g))) where i < n"""
+
+
+DIGEST = GENOME + r""",
+mt(seq_idx, spot, o, i, side, hang) as (select seq_idx, 0::bigint, 0, 0, 0, '' from g
+       union all select seq_idx, length(seq)::bigint, 1, 0, 0, '' from g""" + "".join(_found(k, s) for k, s in enumerate(sorted(SITES, key=lambda s: (s.pattern, s.loc)))) + r"""),
+ft as (select seq_idx, spot as a, side as s, hang as h, lead(spot) over w as b, lead(side) over w as t, lead(hang) over w as e from mt window w as (partition by seq_idx order by spot, o, i)),
+ad as (select g.seq_idx, name, a as frag_start, b as frag_end, length(h)::int as front, s < 0 as front_fwd, length(e)::int as "end", t > 0 as end_fwd,
+              name || '_' || a || '_' || length(h) || case when s < 0 then '+' else '-' end || '_' || length(e) || case when t > 0 then '+' else '-' end as frag_name,
+              case when s < 0 then h else '' end || substring(seq, a + 1, b - a) || case when t > 0 then e else '' end as bases
+       from ft join g on ft.seq_idx = g.seq_idx where b is not null)"""
+
+#: Bases and qualities of a read, so that a slice shows where it was cut.
+SEQ, QUAL = "ACGTTGCAACTG" * 8, "ABCDEFGHIJKL" * 8
+
+TRIM = DIGEST + READS.removeprefix(GENOME) + rf""",
+fg as (select seq_idx, frag_start, frag_name, length(bases)::bigint as len, front, front_fwd, "end" as back, end_fwd, case when front_fwd then front else 0 end as filled from ad where frag_end > frag_start),
+pl as (select rl.line_no, rl.qname, rl.flag, rl.cigar, rl.query_len, rl.pos, sq.seq_idx, case when rl.pos > 0 then least(rl.pos, sq.length) - 1 end as spot
+       from rl left join sq on rl.rname = sq.name where rl.flag & 2304 = 0),
+hd as (select pl.*, fg.* exclude (seq_idx), fg.seq_idx is not null as held from pl asof left join fg on pl.seq_idx = fg.seq_idx and pl.spot >= fg.frag_start),
+sz as (select * exclude (pos), case when held then pos - frag_start + filled else pos end as pos,
+              case when (flag & 16 <> 0) = front_fwd then 0 else front end as f, case when (flag & 16 <> 0) = end_fwd then 0 else back end as e,
+              substring('{SEQ}', (1 + line_no % 12)::int, query_len::int) as seq, substring('{QUAL}', (1 + line_no % 12)::int, query_len::int) as qual from hd),
+op as (select line_no, qname, i, k, n, sum(n) over (partition by line_no, qname order by i) - n as b from (
+         select line_no, qname, unnest(ks) as k, generate_subscripts(ks, 1) as i, unnest(list_transform(ns, lambda x: case when x = '' then 1 else x::bigint end)) as n from (
+           select line_no, qname, regexp_extract_all(cigar, '([0-9]*)[MIDNSHPX=]', 1) as ns, regexp_extract_all(cigar, '[0-9]*([MIDNSHPX=])', 1) as ks from sz))),
+ld as (select line_no, qname, coalesce(min(b) filter (where k in ('M', 'D', 'N', '=', 'X')), sum(n)) as lead from op group by all),
+sk as (select sz.*, greatest(coalesce(lead, 0) + f - (pos - 1), 0) as skip from sz left join ld on sz.line_no = ld.line_no and sz.qname = ld.qname),
+kp as (select *, greatest(greatest(greatest(len - f, 0) - e, 0) - case when skip > 0 then 0 else pos - 1 - f end, 0) as keep from sk),
+cl2 as (select op.line_no, op.qname, i, k, k in ('M', 'I', 'S', '=', 'X') as query, least(greatest(skip - b, 0), n) as cut,
+               case when skip - b > n then 0 else least(n - least(greatest(skip - b, 0), n), greatest(keep - greatest(b - skip, 0), 0)) end as taken, n
+        from op join kp on op.line_no = kp.line_no and op.qname = kp.qname),
+cs as (select line_no, qname, sum(case when query then cut else 0 end) as head, sum(case when query then n - cut - taken else 0 end) as tail,
+              coalesce(string_agg(taken::bigint || k, '' order by i) filter (where taken > 0), '') as cg from cl2 group by all),
+td as (select kp.line_no, kp.qname, held and pos > 0 and cigar <> '*' as known, keep, query_len - coalesce(head, 0) - coalesce(tail, 0) as left_bases, cigar, coalesce(cg, '') as cg, coalesce(head, 0) as head, seq, qual
+       from kp left join cs on kp.line_no = cs.line_no and kp.qname = cs.qname)"""
+
+#: Histograms with equal counts and the models fitted to them, as contact_models gives them.
+MODELS = PAIRS + r""",
+dd as (select lower(hc) as class, pair_sep as dis from pr where intra and hc in ('FF', 'FR', 'RF', 'RR')),
+rk as (select dis, row_number() over (order by dis) - 1 as r from dd),
+st as (select count(*) as n, min(dis) as lo, max(dis) as hi, quantile_cont(dis, 0.25) as q1, quantile_cont(dis, 0.75) as q3 from dd),
+bc as (select n, hi, case when hi > lo then least(greatest(ceil((hi - lo) / greatest(least((hi - lo) / (log2(n) + 1), greatest(2 * (q3 - q1) / pow(n, 1.0::double / 3), (hi - lo) / sqrt(n) / 2)), 1)), 1), 1024) else 1 end::bigint as bins from st),
+kk as (select n, hi, bins, unnest(range(bins + 1)) as k from bc),
+sp as (select *, (n * k)::double / bins as spot from kk),
+eg as (select k, bins, case when spot < n - 1 then a.dis + (b.dis - a.dis) * (spot - floor(spot)) else hi::double end as edge
+       from sp left join rk a on a.r = floor(spot) left join rk b on b.r = floor(spot) + 1),
+eu as (select edge, bins, max(k) as k from eg group by edge, bins),
+pb as (select class, least(k, bins - 1) as bin from dd asof join eu on dd.dis >= eu.edge),
+hb as (select bin, count(*) as n, count_if(class = 'ff') as ff, count_if(class = 'fr') as fr, count_if(class = 'rf') as rf, count_if(class = 'rr') as rr from pb group by bin),
+tb as (select x.k, (x.edge + y.edge) / 2 as sep, coalesce(hb.n, 0)::double as n, coalesce(hb.n, 0)::double / nullif(y.edge - x.edge, 0) / greatest((select n from bc), 1) as density,
+              coalesce(ff, 0) as ff, coalesce(fr, 0) as fr, coalesce(rf, 0) as rf, coalesce(rr, 0) as rr
+       from eg x join eg y on y.k = x.k + 1 left join hb on hb.bin = x.k),
+hi as (select sep, density as prob, 'all' as class from tb
+       union all select sep, density / nullif(n, 0) * ff, 'ff' from tb union all select sep, density / nullif(n, 0) * fr, 'fr' from tb
+       union all select sep, density / nullif(n, 0) * rf, 'rf' from tb union all select sep, density / nullif(n, 0) * rr, 'rr' from tb),
+hh as (select * from hi where class = 'all' or class in (select class from dd)),
+xy as (select class, ln(sep) as x, ln(prob) as y from hh where sep > 1000 and sep < 7000000 and prob > 0),
+ce as (select class, count(*) as n, avg(x) as mx, avg(y) as my, avg(y + x) as i1, avg(y + 0.5 * x) as m1 from xy group by class),
+mo as (select xy.class, n, my, i1, m1, mx, sum((x - mx) ** 2) as s2, sum((x - mx) ** 3) as s3, sum((x - mx) ** 4) as s4, sum((x - mx) * (y - my)) as t1, sum((x - mx) ** 2 * (y - my)) as t2
+       from xy join ce on xy.class = ce.class group by all),
+co as (select *, n * (s2 * s4 - s3 * s3) - s2 * s2 * s2 as det, t1 / s2 as slope from mo),
+cf as (select *, -s2 * (s2 * t2 - s3 * t1) / det as a2, (n * (t1 * s4 - s3 * t2) - s2 * s2 * t1) / det as b2, n * (s2 * t2 - s3 * t1) / det as c2 from co),
+pd as (select xy.class, n, x, y, my as p0, my + slope * (x - mx) as p1, my + a2 + b2 * (x - mx) + c2 * (x - mx) ** 2 as p2, i1 - x as pi, m1 - 0.5 * x as pm from xy join cf on xy.class = cf.class),
+ml as (select class, n, x, y, p0 as p, 'poly model deg 0' as type, 1 as params from pd union all select class, n, x, y, p1, 'poly model deg 1', 2 from pd union all select class, n, x, y, p2, 'poly model deg 2', 3 from pd
+       union all select class, n, x, y, pi, 'I-phase model', 1 from pd union all select class, n, x, y, pm, 'M-phase model', 1 from pd)"""

@@ -1,19 +1,20 @@
 """Readers of sequence and alignment files.
 
 Plain, gzip and bzip2 files are read by Spark's own codecs, by file ending.  BAM is decoded from
-its BGZF blocks.  CRAM is not read.
+its BGZF blocks, by byte ranges.  CRAM is not read.
 """
 
 from __future__ import annotations
 
 import struct
-import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from . import blocks
+
 FIELDS = ["qname", "flag", "rname", "pos", "mapq", "cigar"]
 
 
@@ -61,25 +62,19 @@ def read_sam(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, Data
 
 
 def read_fastq(spark: SparkSession, path: str, mate: int | None = None) -> DataFrame:
-    """record_no, qname, comment, mate, seq, qual of a four-line FASTQ file; mate None: interleaved.
+    """file, record_no, qname, comment, mate, seq, qual of four-line FASTQ files; mate None: interleaved.
 
-    One file is one task's work, as lines have no address of their own; give many files for scale.
+    Plain and bzip2 files are split, gzip files are not.  Lines meet in their record by the number
+    of the line within the file; an incomplete last record is left out.
     """
-
-    def parse(batches):
-        for batch in batches:
-            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
-                content = zlib.decompress(content, wbits=47) if content[:2] == b"\x1f\x8b" else content
-                lines = content.decode().split("\n")
-                rows = [(i // 4, *(lines[i][1:].split(None, 1) + ["", ""])[:2], lines[i + 1], lines[i + 3]) for i in range(0, len(lines) - 3, 4)]
-                for k in range(0, len(rows), 5000):
-                    number, name, comment, seq, qual = zip(*rows[k : k + 5000])
-                    yield pa.RecordBatch.from_pydict({"file": pa.array([path] * len(number)), "record_no": pa.array(number, pa.int64()), "qname": pa.array(name), "comment": pa.array(comment), "seq": pa.array(seq), "qual": pa.array(qual)})
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    out = files.mapInArrow(parse, "file string, record_no long, qname string, comment string, seq string, qual string")
+    lines = blocks.numbered_lines(spark, path).filter("value is not null")
+    line = lambda k: F.first(F.when(F.col("line") % 4 == k, F.col("value")), ignorenulls=True)
+    rows = lines.groupBy("file", F.floor(F.col("line") / 4).alias("record_no")).agg(F.count("*").alias("_n"), line(0).alias("_head"), line(1).alias("seq"), line(3).alias("qual"))
+    head = F.substr(F.col("_head"), F.lit(2), F.length("_head"))
+    name = F.regexp_extract(head, r"^\s*(\S*)", 1)
+    comment = F.regexp_extract(head, r"^\s*\S+\s+(.*)$", 1)
     side = F.lit(mate).cast("int") if mate else (F.col("record_no") % 2 + 1).cast("int")
-    return out.withColumn("mate", side).withColumn("qname", F.regexp_replace("qname", "/[12]$", ""))
+    return rows.filter("_n = 4").select("file", "record_no", F.regexp_replace(name, "/[12]$", "").alias("qname"), comment.alias("comment"), "seq", "qual", side.alias("mate"))
 
 
 def sam_to_fastq(records: DataFrame, keep_tags: list[str] | None = None) -> DataFrame:
@@ -101,24 +96,9 @@ _CIGAR, _BASES = "MIDNSHP=X", "=ACMGRSVTWYHKDBN"
 _TAG_NUMBERS = {"c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
 
 
-def _bgzf_blocks(content: bytes):
-    """The unpacked blocks of a BGZF file."""
-    at = 0
-    while at < len(content):
-        extra = struct.unpack_from("<H", content, at + 10)[0]
-        field, size = at + 12, 0
-        while field < at + 12 + extra:
-            a, b, n = struct.unpack_from("<BBH", content, field)
-            if (a, b) == (66, 67):
-                size = struct.unpack_from("<H", content, field + 4)[0] + 1
-            field += 4 + n
-        yield zlib.decompress(content[at + 12 + extra : at + size - 8], wbits=-15)
-        at += size
-
-
 def _bam_header(data: bytes):
     """(header text, names and lengths of sequences, where records begin) of unpacked bytes of a BAM file."""
-    if data[:4] != b"BAM\x01":
+    if data[:4] != b"BAM\x01"[: len(data)]:
         raise ValueError("not a BAM file")
     text = struct.unpack_from("<i", data, 4)[0]
     head = data[8 : 8 + text].rstrip(b"\0").decode()
@@ -157,15 +137,21 @@ def _bam_tags(data: bytes, p: int, end: int) -> list[str]:
     return tags
 
 
-def _bam_records(content: bytes):
-    """(header text, records) of the bytes of a BAM file."""
-    data = bytearray().join(_bgzf_blocks(content))
-    head, known, at = _bam_header(data)
-    names = [x for x, _ in known]
-    rows = []
-    while at < len(data):
-        size, ref, pos, nl, mapq, _, ops, flag, bases, mref, mpos, tlen = struct.unpack_from("<iiiBBHHHiiii", data, at)
-        p = at + 36
+def _header_end(data: bytes) -> int | None:
+    """Where the records begin, or None if the header goes on beyond these bytes."""
+    try:
+        at = _bam_header(data)[2]
+    except (struct.error, UnicodeDecodeError):
+        return None
+    return at if at <= len(data) else None
+
+
+def _bam_parser(names: list[str]):
+    """The fields of read_sam, from the bytes of a record."""
+
+    def parse(data, begin: int, end: int) -> tuple:
+        _, ref, pos, nl, mapq, _, ops, flag, bases, mref, mpos, tlen = struct.unpack_from("<iiiBBHHHiiii", data, begin)
+        p = begin + 36
         qname = data[p : p + nl - 1].decode()
         p += nl
         cigar = "".join(f"{x >> 4}{_CIGAR[x & 15]}" for x in struct.unpack_from(f"<{ops}I", data, p)) or "*"
@@ -176,47 +162,33 @@ def _bam_records(content: bytes):
         qual = "*" if not bases or raw[0] == 255 else "".join(chr(x + 33) for x in raw)
         name = lambda i: names[i] if i >= 0 else "*"
         mate = "=" if mref == ref and ref >= 0 else name(mref)
-        rows.append((qname, flag, name(ref), pos + 1, mapq, cigar, "\t".join([mate, str(mpos + 1), str(tlen), seq, qual, *_bam_tags(data, p + bases, at + 4 + size)])))
-        at += 4 + size
-    return head, rows
+        return qname, flag, name(ref), pos + 1, mapq, cigar, "\t".join([mate, str(mpos + 1), str(tlen), seq, qual, *_bam_tags(data, p + bases, end)])
 
+    return parse
 
-def read_bam(spark: SparkSession, path: str) -> DataFrame:
-    """Records of BAM files, as read_sam gives them; one task per file."""
 
-    def decode(batches):
-        for batch in batches:
-            for content in batch.column("content").to_pylist():
-                _, rows = _bam_records(content)
-                for k in range(0, len(rows), 5000):
-                    part = list(zip(*rows[k : k + 5000]))
-                    number = pa.array(range(k, k + len(part[0])), pa.int64())
-                    yield pa.RecordBatch.from_arrays([number, pa.array(part[0]), pa.array(part[1], pa.int32()), pa.array(part[2]), pa.array(part[3], pa.int64()), pa.array(part[4], pa.int32()), pa.array(part[5]), pa.array(part[6])], names=["line_no", *FIELDS, "rest"])
+def read_bam(spark: SparkSession, path: str) -> DataFrame:
+    """Records of BAM files, as read_sam gives them; line_no grows with the place in its file.
 
-    files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInArrow(decode, "line_no long, qname string, flag int, rname string, pos long, mapq int, cigar string, rest string")
+    Files are read in byte ranges of BGZF blocks, by as many tasks as text of that size.  Files
+    that are read together must list the same sequences.
+    """
+    heads = blocks.bam_heads(spark, path, _header_end)
+    known = [[name for name, _ in _bam_header(data)[1]] for _, data in heads]
+    if any(x != known[0] for x in known):
+        raise ValueError("the BAM files list different sequences")
+    names = known[0] if known else []
+    columns = [("qname", pa.string(), "string"), ("flag", pa.int32(), "int"), ("rname", pa.string(), "string"), ("pos", pa.int64(), "long"), ("mapq", pa.int32(), "int"), ("cigar", pa.string(), "string"), ("rest", pa.string(), "string")]
+    return blocks.bam_rows(spark, path, len(names), _header_end, _bam_parser(names), columns)
 
 
 def read_bam_header(spark: SparkSession, path: str) -> list[str]:
     """Header lines of BAM files, each once; sequences without an @SQ line get one."""
-
-    def decode(batches):
-        for batch in batches:
-            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
-                data = bytearray()
-                for block in _bgzf_blocks(content):
-                    data += block
-                    try:
-                        head, known, at = _bam_header(data)
-                    except (struct.error, UnicodeDecodeError):  # goes on in the next block
-                        continue
-                    if at <= len(data):
-                        break
-                lines = head.splitlines()
-                if not any(x.startswith("@SQ") for x in lines):
-                    lines += [f"@SQ\tSN:{name}\tLN:{length}" for name, length in known]
-                yield pa.RecordBatch.from_pydict({"path": pa.array([path] * len(lines), pa.string()), "line_no": pa.array(range(len(lines)), pa.int64()), "value": pa.array(lines, pa.string())})
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    lines = files.mapInArrow(decode, "path string, line_no long, value string").orderBy("path", "line_no").collect()
-    return list(dict.fromkeys(r["value"] for r in lines))
+    out: dict[str, None] = {}
+    for _, data in blocks.bam_heads(spark, path, _header_end):
+        head, known, _ = _bam_header(data)
+        lines = head.splitlines()
+        if not any(x.startswith("@SQ") for x in lines):
+            lines += [f"@SQ\tSN:{name}\tLN:{length}" for name, length in known]
+        out |= dict.fromkeys(lines)
+    return list(out)

@@ -1,13 +1,16 @@
 import bz2
 import gzip
+import random
 import struct
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from chromaloom.functions.sites import RestrictionSite
 from chromaloom.plans.facade import Pipeline, SettingError, load_stats
-from chromaloom.sources import files, header, sinks
+from chromaloom.operators import digest
+from chromaloom.sources import blocks, files, header, sinks
 
 FASTA = ">c1 a comment > with a mark\nACGT\nacgtNN\n>c2\n>c3\tx\nGATC GATC\r\nTT\n"
 
@@ -112,6 +115,68 @@ def test_bam_header_goes_to_the_output(spark, tmp_path):
         assert [x.split("\t")[1] for x in lines if x.startswith("@PG")] == (["ID:x", "ID:chromaloom"] if name == "a" else ["ID:chromaloom"])
 
 
+@pytest.fixture
+def small_ranges(spark):
+    """Byte ranges of 700 bytes."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    was = {n: spark.conf.get(n) for n in names}
+    for n in names:
+        spark.conf.set(n, "700")
+    yield
+    for n, v in was.items():
+        spark.conf.set(n, v)
+
+
+def test_bam_by_ranges(spark, tmp_path, small_ranges):
+    """Records cross blocks of 100 bytes and byte ranges; two files at once."""
+    rng = random.Random(3)
+    want = []
+    for f in range(2):
+        lines = [(f"read{f}.{i}".encode() + b"x" * rng.randrange(60), 65, 5 + i) for i in range(60 + f)]
+        (tmp_path / f"{f}.bam").write_bytes(bam_of(lines, b"@HD\tVN:1.6\n" + b"@CO\tlong\n" * 50, TAGS if f else b""))
+        want += [(n.decode(), pos) for n, _, pos in lines]
+    records = files.read_bam(spark, str(tmp_path / "*.bam")).persist()
+    assert sorted((r["qname"], r["pos"]) for r in records.collect()) == sorted(want)
+    for f in range(2):
+        mine = records.filter(F.col("qname").startswith(f"read{f}.")).orderBy("line_no").collect()
+        assert [r["pos"] for r in mine] == list(range(5, 65 + f)) and len({r["line_no"] for r in mine}) == len(mine)
+    assert files.read_bam_header(spark, str(tmp_path / "*.bam")) == ["@HD\tVN:1.6", "@CO\tlong", "@SQ\tSN:c1\tLN:300"]
+    broken = bgzf(b"BAM\x01" + struct.pack("<iii", 0, 0, 500) + b"x" * 20)
+    (tmp_path / "broken.bam").write_bytes(broken)
+    with pytest.raises(Exception, match="no whole records"):
+        files.read_bam(spark, str(tmp_path / "broken.bam")).collect()
+
+
+@pytest.mark.parametrize("pack", [lambda b: b, gzip.compress, bz2.compress])
+def test_fastq_by_ranges(spark, tmp_path, small_ranges, pack):
+    end = {gzip.compress: ".gz", bz2.compress: ".bz2"}.get(pack, "")
+    text = "".join(f"@r{i // 2}/{i % 2 + 1}\tnote {i}\n{'ACGT' * (i % 7 + 1)}\n+\n{'@+II' * (i % 7 + 1)}\n" for i in range(80))
+    for f in range(2):
+        (tmp_path / f"{f}.fq{end}").write_bytes(pack((text + "@cut\nA\n").encode()))
+    got = files.read_fastq(spark, str(tmp_path / f"*.fq{end}")).orderBy("file", "record_no").collect()
+    assert len(got) == 160 and [r["record_no"] for r in got[:80]] == list(range(80))
+    for i, r in enumerate(got[80:]):
+        assert (r["qname"], r["mate"], r["comment"], r["seq"], r["qual"]) == (f"r{i // 2}", i % 2 + 1, f"note {i}", "ACGT" * (i % 7 + 1), "@+II" * (i % 7 + 1))
+
+
+@pytest.mark.parametrize("run", [2, 12])
+def test_fasta_chunks(spark, tmp_path, small_ranges, monkeypatch, run):
+    monkeypatch.setattr(blocks, "RUN", run)
+    rng = random.Random(5)
+    texts = [FASTA, "", "junk\n>a\n\n\nAC\nGT\n>b>c d\nTTT>d\nACGT"]
+    texts += ["".join(f">s{k} c\n" + "".join("".join(rng.choice("ACGTN") for _ in range(60)) + "\n" for _ in range(rng.randrange(12))) + "AC\n" * (k % 3) for k in range(12))]
+    texts += [">one\n" + "ACGTT" * 600]
+    for i, text in enumerate(texts):
+        (tmp_path / f"{i}.fa").write_text(text)
+        path = str(tmp_path / f"{i}.fa")
+        got = blocks.fasta_chunks(spark, path, 100, 20).orderBy("seq_idx", "chunk_start").collect()
+        monkeypatch.setattr(digest, "REACH", 20)
+        want = digest.chunked(files.read_fasta(spark, path).filter("name <> 'junk'"), 100).orderBy("seq_idx", "chunk_start").collect()
+        low = min([r["seq_idx"] for r in want], default=0)
+        assert [(r["seq_idx"], r["name"], r["chunk_start"], r["bases"]) for r in got] == [(r["seq_idx"] - low, r["name"], r["chunk_start"], r["bases"]) for r in want]
+        assert [r["after"] for r in got] == [r["after"][:20] for r in want]
+
+
 def test_program_graph():
     graph = header.ProgramGraph(["@PG\tID:a\tPN:a", "@PG\tID:b\tPP:a\tVN:1"])
     assert graph.run({"ID": "a", "PN": "again"}) == [{"ID": "a.1", "PN": "again", "PP": "b"}]
