@@ -15,6 +15,8 @@ def parser() -> argparse.ArgumentParser:
     out = argparse.ArgumentParser(prog="chromaloom", description="Classify aligned Hi-C reads and summarise their contacts.")
     out.add_argument("--reference", required=True, help="FASTA file, plain, gzip or bzip2")
     out.add_argument("--sites", required=True, help="comma-separated sites, enzymes or kits; DNASE for none")
+    out.add_argument("--enzymes", help="table of further enzymes, in REBASE's EMBOSS form")
+    out.add_argument("--dense", action="store_true", help="save the dense frame of contacts, too")
     out.add_argument("--min-mapq", type=int, default=10)
     out.add_argument("--save-stats", help="folder for the tables of statistics")
     source = out.add_mutually_exclusive_group(required=True)
@@ -31,6 +33,9 @@ def main(argv: list[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO)
     pipeline = Pipeline(SparkSession.builder.appName("chromaloom").getOrCreate())
     pipeline.reference, pipeline.restriction_sites, pipeline.min_mapq = args.reference, args.sites, args.min_mapq
+    if args.enzymes:
+        pipeline.enzymes = args.enzymes
+    pipeline.dense_contacts = args.dense
     if args.save_stats:
         pipeline.save_stats_path = args.save_stats
     if args.index_only:

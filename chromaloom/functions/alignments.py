@@ -72,3 +72,10 @@ def query_length(cigar: Column) -> Column:
 def five_prime(pos: Column, flag: Column, ref_len: Column) -> Column:
     """0-based coordinate of the 5' end of a read that begins at 1-based ``pos``."""
     return F.when(has(flag, 0x10), pos + ref_len - 2).otherwise(pos - 1)
+
+
+def unclipped_five_prime(pos: Column, flag: Column, cigar: Column) -> Column:
+    """The same with the clipped bases at the 5' end counted as aligned."""
+    clip = lambda pattern: F.coalesce(F.regexp_extract(cigar, pattern, 1).try_cast("long"), F.lit(0).cast("long"))
+    aligned = five_prime(pos, flag, reference_length(cigar))
+    return F.when(has(flag, 0x10), aligned + clip("([0-9]+)[SH]$")).otherwise(aligned - clip("^([0-9]+)[SH]"))

@@ -8,6 +8,7 @@ for a digest without sites.  Everything here is a handful of values on the drive
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
 # IUPAC codes with the bases they stand for, and their complements.
@@ -28,12 +29,14 @@ KITS = {
     "QIAGEN": ("DpnII",),
 }
 
-# Recognition sites of common enzymes (public REBASE data), with both cuts.
+# Recognition sites of common enzymes (public REBASE data), with both cuts; enzymes
+# that cut on both sides of their site have two.
 ENZYMES = {
     "AatII": "G_ACGT^C", "AccI": "GT^MK_AC", "AciI": "C^CG_C", "AclI": "AA^CG_TT", "AcuI": "CTGAAGNNNNNNNNNNNNNN_NN^N",
     "AfeI": "AGC^_GCT", "AflII": "C^TTAA_G", "AgeI": "A^CCGG_T", "AluI": "AG^_CT", "ApaI": "G_GGCC^C",
     "ApaLI": "G^TGCA_C", "ApoI": "R^AATT_Y", "AscI": "GG^CGCG_CC", "AseI": "AT^TA_AT", "AvaI": "C^YCGR_G",
     "AvaII": "G^GWC_C", "AvrII": "C^CTAG_G", "BamHI": "G^GATC_C", "BbvCI": "CC^TCA_GC", "BclI": "T^GATC_A",
+    "BcgI": "_NN^NNNNNNNNNNCGANNNNNNTGC,CGANNNNNNTGCNNNNNNNNNN_NN^",
     "BfaI": "C^TA_G", "BglII": "A^GATC_T", "BsaJI": "C^CNNG_G", "BsiWI": "C^GTAC_G", "BspHI": "T^CATG_A",
     "BsrGI": "T^GTAC_A", "BssHII": "G^CGCG_C", "BstBI": "TT^CG_AA", "BstEII": "G^GTNAC_C", "BstNI": "CC^W_GG",
     "BstUI": "CG^_CG", "ClaI": "AT^CG_AT", "Csp6I": "G^TA_C", "CviAII": "C^AT_G", "CviQI": "G^TA_C",
@@ -113,8 +116,39 @@ def _with_reverse_cut(site: str, compat: bool) -> str:
     return site[:place] + "_" + site[place:]
 
 
-def compile_sites(spec: str, compat: bool = False) -> frozenset[RestrictionSite]:
-    """All sites of a specification.  compat: cuts right of the centre without '_' are off by one."""
+def read_catalogue(lines: Iterable[str]) -> dict[str, str]:
+    """Enzymes and their sites from lines of a REBASE table in EMBOSS form (``emboss_e``).
+
+    Fields: name, site, length, number of cuts, blunt, and up to four cuts: forward and reverse before,
+    forward and reverse behind.  Cuts count the bases up to the cut; those before the site count from -1
+    for its edge, without a zero.  Enzymes whose cuts are unknown are left out.
+    """
+    found = {}
+    for fields in (line.split() for line in lines if line.strip() and not line.startswith("#")):
+        name, site, cuts = fields[0], fields[1].upper(), [int(x) for x in fields[5:9]]
+        places = [x + (x < 0) for x in cuts[: int(fields[3])]]
+        sites = [_marked(site, *places[k : k + 2]) for k in range(0, len(places) - 1, 2)]
+        if sites and set(site) <= set(IUPAC):
+            found[name] = ",".join(sites)
+    return found
+
+
+def _marked(site: str, forward: int, reverse: int) -> str:
+    """The site with both marks, padded with N where a cut lies outside of it."""
+    ahead = max(0, -min(forward, reverse))
+    behind = max(0, max(forward, reverse) - len(site))
+    bases, forward, reverse = "N" * ahead + site + "N" * behind, forward + ahead, reverse + ahead
+    low, high = sorted((forward, reverse))
+    first, second = ("^", "_") if forward <= reverse else ("_", "^")
+    return bases[:low] + first + bases[low:high] + second + bases[high:]
+
+
+def compile_sites(spec: str, compat: bool = False, catalogue: Mapping[str, str] | None = None) -> frozenset[RestrictionSite]:
+    """All sites of a specification.
+
+    compat: cuts right of the centre without '_' are off by one.  catalogue: enzymes beside ENZYMES, by name.
+    """
+    enzymes = ENZYMES | dict(catalogue or {})
     found: set[RestrictionSite] = set()
     for item in (x.strip() for x in spec.split(",")):
         upper = item.upper()
@@ -125,8 +159,8 @@ def compile_sites(spec: str, compat: bool = False) -> frozenset[RestrictionSite]
             found.add(_site(site))
             if not is_palindrome(site):
                 found.add(_site(reverse_complement(site)))
-        elif item in ENZYMES:
-            found |= compile_sites(ENZYMES[item], compat)
+        elif item in enzymes:
+            found |= compile_sites(enzymes[item], compat)
         elif upper in KITS:
             found |= compile_sites(",".join(KITS[upper]), compat)
         elif upper not in ("DNASE", "<NA>"):

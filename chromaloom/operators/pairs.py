@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.alignments import unclipped_five_prime
+
 CARRIED = ["line_no", "seq_idx", "read_start", "frag_id", "frag_start", "frag_next", "site_dist", "is_reverse"]
 
 
@@ -127,15 +129,16 @@ def five_end(records: DataFrame) -> DataFrame:
 def mark_duplicates(reads: DataFrame) -> DataFrame:
     """Sets bit 0x400 on all but one of the templates with equal 5' ends and strands of both mates.
 
-    The template with the highest sum of mapping qualities stays; ties go to the least name.  This
-    stands in for an external duplicate marker, whose tie-breaking it does not copy.
+    5' ends count clipped bases.  The template with the highest sum of base qualities of 15 and more
+    (from ``rest``, if there is such a column) stays; ties go to the least name.
     """
     primary = reads.filter(F.col("flag").bitwiseAND(0x904) == 0)
-    from ..functions.alignments import five_prime, reference_length
-
-    end = F.struct("rname", five_prime(F.col("pos"), F.col("flag"), reference_length(F.col("cigar"))).alias("at"), (F.col("flag").bitwiseAND(16) != 0).alias("rev"))
-    ends = primary.select("qname", "mapq", (F.col("flag").bitwiseAND(64) != 0).alias("one"), end.alias("end"))
-    templates = ends.groupBy("qname").agg(F.min(F.when(F.col("one"), F.col("end"))).alias("a"), F.min(F.when(~F.col("one"), F.col("end"))).alias("b"), F.sum("mapq").alias("quality"))
+    end = F.struct("rname", unclipped_five_prime(F.col("pos"), F.col("flag"), F.col("cigar")).alias("at"), (F.col("flag").bitwiseAND(16) != 0).alias("rev"))
+    shown = F.coalesce(F.get(F.split("rest", "\t"), 4), F.lit("*")) if "rest" in reads.columns else F.lit("*")
+    phred = F.transform(F.split(F.when(shown == "*", F.lit("")).otherwise(shown), ""), lambda c: F.ascii(c) - 33)
+    quality = F.aggregate(F.filter(phred, lambda q: q >= 15), F.lit(0).cast("long"), lambda a, q: a + q)
+    ends = primary.select("qname", quality.alias("quality"), (F.col("flag").bitwiseAND(64) != 0).alias("one"), end.alias("end"))
+    templates = ends.groupBy("qname").agg(F.min(F.when(F.col("one"), F.col("end"))).alias("a"), F.min(F.when(~F.col("one"), F.col("end"))).alias("b"), F.sum("quality").alias("quality"))
     key = [F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"), (F.col("a").isNull() | F.col("b").isNull()).alias("single")]
     templates = templates.select("qname", "quality", *key)
     best = templates.groupBy("low", "high", "single").agg(F.min(F.struct(-F.col("quality"), "qname")).alias("best"))

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.sites import RestrictionSite, compile_sites
+from ..functions.sites import RestrictionSite, compile_sites, read_catalogue
 from ..operators import digest, models, pairs, reads, stats
 from ..operators.tables import Workspace
 from ..sources import blocks, files, header, sinks
@@ -124,6 +124,7 @@ class Pipeline:
     restriction_sites = property(lambda self: self._needed("restriction_sites"), lambda self, v: self._once("restriction_sites", v))
     min_mapq = property(lambda self: self._set.get("min_mapq", reads.MIN_MAPQ), lambda self, v: self._once("min_mapq", v))
     save_stats_path = property(lambda self: self._set.get("save_stats_path"), lambda self, v: self._once("save_stats_path", v))
+    enzymes = property(lambda self: self._set.get("enzymes"), lambda self, v: self._once("enzymes", v))  # path of a table for read_catalogue
     dense_contacts = property(lambda self: self._set.get("dense_contacts", False), lambda self, v: self._once("dense_contacts", v))
     threads = property(lambda self: self._set.get("threads"), lambda self, v: self._once("threads", v))
 
@@ -187,7 +188,8 @@ class Pipeline:
             raise
 
     def sites(self) -> frozenset[RestrictionSite]:
-        return compile_sites(str(self.restriction_sites))
+        lines = [r[0] for r in self.spark.read.text(str(self.enzymes)).collect()] if self.enzymes else []  # some thousand at most
+        return compile_sites(str(self.restriction_sites), catalogue=read_catalogue(lines))
 
     def chunks(self) -> DataFrame:
         """The reference in chunks; a file is cut where its lines stand, without a row per sequence."""

@@ -15,7 +15,7 @@ from ..sources import files, sinks
 from . import surrogate
 from .surrogate import CUTS, GENOME, PAIRS, READS, SITES
 
-ENZYME_ROWS = sorted(ENZYMES.items())
+ENZYME_ROWS = sorted((enzyme, site) for enzyme, sites in ENZYMES.items() for site in sites.split(","))
 
 
 class Run:
@@ -82,11 +82,11 @@ def rc_sites(run: Run) -> DataFrame:
 
 
 @query("site_patterns", f"""v(enzyme, site) as (values {_values(ENZYME_ROWS)}),
-c as (select enzyme, unnest(string_split(translate(site, '^_', ''), '')) as b,
+c as (select enzyme, site, unnest(string_split(translate(site, '^_', ''), '')) as b,
              generate_subscripts(string_split(translate(site, '^_', ''), ''), 1) as i from v),
 d(b, s) as (values ('W','[AT]'),('S','[CG]'),('M','[AC]'),('K','[GT]'),('R','[AG]'),('Y','[CT]'),
                    ('B','[CGT]'),('D','[AGT]'),('H','[ACT]'),('V','[ACG]'),('N','[ACGT]'))
-select enzyme, string_agg(coalesce(d.s, c.b), '' order by i) as pattern from c left join d on c.b = d.b group by enzyme""")
+select enzyme, string_agg(coalesce(d.s, c.b), '' order by i) as pattern from c left join d on c.b = d.b group by enzyme, site""")
 def site_patterns(run: Run) -> DataFrame:
     return run.spark.createDataFrame([(e, expand(s)) for e, s in ENZYME_ROWS], "enzyme string, pattern string")
 
@@ -351,14 +351,19 @@ def five_end_filter(run: Run) -> DataFrame:
     return pairs.five_end(run.records).select("qname", "line_no", "flag")
 
 
-@query("duplicate_marking", READS + """,
-pm as (select qname, mapq, flag & 64 <> 0 as one, {'rname': rname, 'p': case when flag & 16 <> 0 then pos + ref_len - 2 else pos - 1 end, 'rev': flag & 16 <> 0} as e from rl where flag & 2308 = 0),
-te as (select qname, min(e) filter (where one) as a, min(e) filter (where not one) as b, sum(mapq) as q from pm group by qname),
+@query("duplicate_marking", READS + f""",
+qu as (select *, substring('{surrogate.PHRED}', (1 + line_no % 12)::int, query_len::int) as qual, regexp_extract(cigar, '^([0-9]+)[SH]', 1) as c1, regexp_extract(cigar, '([0-9]+)[SH]$', 1) as c2 from rl),
+pm as (select qname, list_sum(list_transform(string_split(qual, ''), lambda x: case when x <> '' and ascii(x) >= 48 then ascii(x) - 33 else 0 end)) as q, flag & 64 <> 0 as one,
+              {{'rname': rname, 'p': case when flag & 16 <> 0 then pos + ref_len - 2 + coalesce(try_cast(c2 as bigint), 0) else pos - 1 - coalesce(try_cast(c1 as bigint), 0) end, 'rev': flag & 16 <> 0}} as e
+       from qu where flag & 2308 = 0),
+te as (select qname, min(e) filter (where one) as a, min(e) filter (where not one) as b, sum(q) as q from pm group by qname),
 ke as (select qname, q, least(a, b) as lo, greatest(a, b) as hi, a is null or b is null as single from te),
 ra as (select qname, row_number() over (partition by lo, hi, single order by q desc, qname) as k from ke)
 select rd.qname, line_no, (case when flag & 2308 = 0 and coalesce(k, 1) > 1 then flag | 1024 else flag end)::int as flag from rd left join ra on rd.qname = ra.qname""")
 def duplicate_marking(run: Run) -> DataFrame:
-    return pairs.mark_duplicates(run.records).select("qname", "line_no", "flag")
+    qual = F.substr(F.lit(surrogate.PHRED), (1 + F.col("line_no") % 12).cast("int"), query_length(F.col("cigar")).cast("int"))
+    records = run.records.withColumn("rest", F.concat(F.lit("*\t0\t0\t*\t"), qual))
+    return pairs.mark_duplicates(records).select("qname", "line_no", "flag")
 
 
 @query("primary_reads", READS + " select qname, line_no, case when flag & 64 <> 0 then 1 when flag & 128 <> 0 then 2 else 0 end as mate from rd where flag & 2304 = 0")

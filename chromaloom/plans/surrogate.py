@@ -145,6 +145,7 @@ ad as (select g.seq_idx, name, a as frag_start, b as frag_end, length(h)::int as
 
 #: Bases and qualities of a read, so that a slice shows where it was cut.
 SEQ, QUAL = "ACGTTGCAACTG" * 8, "ABCDEFGHIJKL" * 8
+PHRED = "!+5AI?./0FJ#" * 8
 
 TRIM = DIGEST + READS.removeprefix(GENOME) + rf""",
 fg as (select seq_idx, frag_start, frag_name, length(bases)::bigint as len, front, front_fwd, "end" as back, end_fwd, case when front_fwd then front else 0 end as filled from ad where frag_end > frag_start),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import pandas as pd
@@ -12,8 +13,12 @@ OUTPUT = "qname string, line1 long, line2 long"
 STATE = "side int, line long"
 
 
-def _pair(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+def _pair(key, chunks: Iterator[pd.DataFrame], state: GroupState, waits: int) -> Iterator[pd.DataFrame]:
     side, line = state.get if state.exists else (-1, -1)
+    if state.hasTimedOut:  # nothing came for this name: its read stays without a mate
+        state.remove()
+        yield pd.DataFrame([(key[0], line, None)], columns=["qname", "line1", "line2"]).astype({"line1": "Int64", "line2": "Int64"})
+        return
     out = []
     for pdf in chunks:
         for one, at in pdf.sort_values("line_no")[["is_read1", "line_no"]].itertuples(index=False):
@@ -29,14 +34,19 @@ def _pair(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd
         state.remove()
     elif side != -1:
         state.update((side, int(line)))
+        if waits:
+            state.setTimeoutDuration(waits)
     frame = pd.DataFrame(out, columns=["qname", "line1", "line2"])
     yield frame.astype({"line1": "Int64", "line2": "Int64"})
 
 
-def pair_stream(good: DataFrame) -> DataFrame:
+def pair_stream(good: DataFrame, waits: float | None = 3600.0) -> DataFrame:
     """(qname, line1, line2) as pairs close; line2 is null for a read that a later one replaced.
 
-    Records of a name are taken in record order within a micro-batch.  Unmated reads stay in
-    the state of their name.
+    Records of a name are taken in record order within a micro-batch.  A read waits ``waits`` seconds for its
+    mate; after that it leaves the state as one without a mate, so the state does not grow for ever.  Spark runs
+    batches without data for this; None, for bounded input, lets reads wait without end.
     """
-    return good.groupBy("qname").applyInPandasWithState(_pair, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout)
+    pair = functools.partial(_pair, waits=int((waits or 0) * 1000))
+    timeout = GroupStateTimeout.NoTimeout if waits is None else GroupStateTimeout.ProcessingTimeTimeout
+    return good.groupBy("qname").applyInPandasWithState(pair, OUTPUT, STATE, "append", timeout)

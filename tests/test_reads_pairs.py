@@ -122,6 +122,24 @@ def test_resolve_agrees_with_pairing(spark):
     assert sorted(map(str, back.collect())) == sorted(map(str, classified.collect()))
 
 
+def test_duplicates_by_quality_and_unclipped_ends(spark):
+    rest = lambda q: "=\t1\t0\t" + "A" * len(q) + "\t" + q
+    rows = [
+        # a and b: equal ends once clips count; b has the better bases; c has the same with bases below 15 only
+        ("a", 65, 105, "5S10M", rest("0" * 15)), ("a", 145, 300, "10M5S", rest("0" * 15)),
+        ("b", 65, 100, "15M", rest("I" * 15)), ("b", 145, 295, "20M", rest("I" * 20)),
+        ("c", 65, 103, "3H12M", rest("/" * 12)), ("c", 145, 300, "15M", rest("/" * 15)),
+        ("d", 65, 100, "15M", rest("I" * 15)), ("d", 145, 296, "20M", rest("I" * 20)),  # another end
+        ("e", 65, 100, "15M", "*\t0\t0\t*\t*"),  # a single read
+        ("f", 65, 100, "15M", "*\t0\t0\t*\t*"), ("f", 321, 100, "15M", "*\t0\t0\t*\t*"), ("g", 69, 100, "15M", "short"),
+    ]
+    table = spark.createDataFrame([(i, q, f, "c1", p, 60, c, r) for i, (q, f, p, c, r) in enumerate(rows)], COLUMNS + ", rest string")
+    got = pairs.mark_duplicates(table).collect()
+    assert {r["qname"] for r in got if r["flag"] & 0x400} == {"a", "c", "f"}
+    assert sorted(r["flag"] & ~0x400 for r in got) == sorted(f for _, f, *_ in rows)
+    assert pairs.mark_duplicates(table.drop("rest")).filter("flag & 1024 <> 0").count() == 5
+
+
 GOOD = "qname string, line_no long, is_read1 boolean, seq_idx int, read_start long, frag_id long, frag_start long, frag_next long, site_dist long, is_reverse boolean"
 
 
@@ -162,13 +180,29 @@ def test_stream_pairs_like_batch(spark, tmp_path):
     rows = [("a", 0, True), ("a", 1, True), ("a", 2, False), ("b", 0, False), ("b", 1, True), ("c", 0, True)]
     spark.createDataFrame(rows, "qname string, line_no long, is_read1 boolean").write.parquet(str(tmp_path / "in"))
     source = spark.readStream.schema("qname string, line_no long, is_read1 boolean").parquet(str(tmp_path / "in"))
-    run = pair_stream(source).writeStream.format("memory").queryName("paired").outputMode("append").option("checkpointLocation", str(tmp_path / "state")).start()
+    run = pair_stream(source, waits=None).writeStream.format("memory").queryName("paired").outputMode("append").option("checkpointLocation", str(tmp_path / "state")).start()
     run.processAllAvailable()
     run.stop()
     got = {tuple(r) for r in spark.table("paired").collect()}
     assert got == {("a", 0, None), ("a", 1, 2), ("b", 1, 0)}
 
 
+def test_reads_leave_the_stream_after_their_wait(spark, tmp_path):
+    import time
+
+    from chromaloom.streaming.pairing import pair_stream
+
+    schema = "qname string, line_no long, is_read1 boolean"
+    spark.createDataFrame([("a", 0, True), ("b", 1, True), ("b", 2, False)], schema).write.parquet(str(tmp_path / "in"))
+    paired = pair_stream(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), waits=1.0)
+    run = paired.writeStream.format("memory").queryName("waited").outputMode("append").option("checkpointLocation", str(tmp_path / "state")).start()
+    end = time.time() + 60
+    while time.time() < end and spark.table("waited").count() < 2:
+        time.sleep(0.5)
+    run.stop()
+    assert {tuple(r) for r in spark.table("waited").collect()} == {("b", 1, 2), ("a", 0, None)}
+
+
 def test_dense_frame_of_unmerged_sequences(spark):
     sequences = spark.createDataFrame([(k, f"c{k}", n) for k, n in enumerate((10, 20, 0, 40))], "seq_idx int, name string, length long")
     held = {(0, 0, "FF"): 3, (0, 1, "FF"): 1, (0, 1, "RR"): 4, (1, 3, "FR"): 2, (3, 3, "RF"): 5}
