@@ -298,7 +298,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bad = leaks(docs, benchmark, space).select(F.col("doc_id").alias("_dc_id"), F.col("_dc_x").alias("_dc_lx")).distinct()
     bad = space.table(bad, "bad")
     named = docs.withColumn("_dc_x", F.xxhash64("text"))
-    return join_checked(named, bad, named["doc_id"].eqNullSafe(bad["_dc_id"]) & (named["_dc_x"] == bad["_dc_lx"]), "left_anti").select(*docs.columns)
+    return join_checked(named, bad, [("doc_id", "_dc_id"), ("_dc_x", "_dc_lx")], "left_anti").select(*docs.columns)
 
 
 def op9_decontamination(spark, sf_dir: str) -> DataFrame:

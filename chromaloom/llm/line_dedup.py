@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import BROADCAST_ROWS, Workspace, refuse
+from .shared import BROADCAST_ROWS, Workspace, join_checked, refuse
 
 BLANKS = " \t\x0b\x0c\r"
 
@@ -87,8 +87,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     covered = removed_lines(docs.select("doc_id", "text"), space)
     positions = covered.agg(F.sum(F.size("covered"))).first()[0] or 0
     named = docs.withColumn("_ld_x", F.xxhash64("text"))
-    side = F.broadcast(covered) if positions <= 4 * BROADCAST_ROWS else covered
-    out = named.join(side, named["doc_id"].eqNullSafe(covered["_ld_id"]) & (named["_ld_x"] == covered["_ld_lx"]), "left")
+    out = join_checked(named, covered, [("doc_id", "_ld_id"), ("_ld_x", "_ld_lx")], "left", rows=positions // 4)  # positions take 4 bytes
     lines = _lines(F.col("text"))
     text = _rest(F.col("text"), F.col("covered"))
     filled = F.size(F.filter(lines, lambda x: ~_blank(x)))

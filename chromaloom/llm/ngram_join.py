@@ -308,7 +308,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float
     # Texts of what is still a candidate, each read once.
     needed = alive.select(F.explode(F.array("a", "b")).alias("tid")).unionByName(cand.filter("wide <> 0").select("tid")).distinct()
     leads = space.table(cand.join(needed, "tid").select("tid", F.col("lead.doc_id").alias("_nj_id"), F.col("lead._nj_x").alias("_nj_lx")), "leads")
-    found = join_checked(texts, leads, texts["doc_id"].eqNullSafe(leads["_nj_id"]) & (texts["_nj_x"] == leads["_nj_lx"]))
+    found = join_checked(texts, leads, [("doc_id", "_nj_id"), ("_nj_x", "_nj_lx")])
     sets = found.select("tid", "_nj_text").mapInArrow(_shingle_sets, "tid long, shingles binary")
     repeated = rows.groupBy("doc_id", "_nj_x").count().filter("count > 1").limit(1).count() > 0
     sets = space.table(sets.dropDuplicates(["tid"]) if repeated else sets, "sets")
@@ -337,9 +337,9 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float
     )
     grouped = space.table(grouped, "grouped")
     classes = grouped.groupBy("root").agg(F.min("lead").alias("class_lead"), F.min("low").alias("class_low"))
-    told = space.table(grouped.join(classes, "root").select("tid", "links", "class_lead", "class_low"), "told")
+    told = space.table(grouped.join(classes, "root").select(F.col("tid").alias("_nj_tid"), "links", "class_lead", "class_low"), "told")
     space.drop("reps", "buckets", "members", "pairs", "named", "cand", "alive", "leads", "sets", "links", "blocks", "grouped")
-    out = join_checked(rows.select("doc_id", "_nj_x", "tid"), told, "tid", "left")
+    out = join_checked(rows.select("doc_id", "_nj_x", "tid"), told, [("tid", "_nj_tid")], "left")
     alone = F.col("links").isNull()
     return out.select(
         "doc_id",
@@ -360,7 +360,7 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     drop = near_classes(docs).filter("not leads or n_links > 0").groupBy("doc_id", "_nj_x").agg(F.count("*").alias("_nj_n"), F.max("leads").alias("_nj_leads"))
     drop = space.table(drop.filter("not _nj_leads or _nj_n > 1").withColumnRenamed("doc_id", "_nj_id").withColumnRenamed("_nj_x", "_nj_lx"), "drop")
     named = docs.withColumn("_nj_x", F.xxhash64("text"))
-    out = join_checked(named, drop, named["doc_id"].eqNullSafe(drop["_nj_id"]) & (named["_nj_x"] == drop["_nj_lx"]), "left")
+    out = join_checked(named, drop, [("doc_id", "_nj_id"), ("_nj_x", "_nj_lx")], "left")
     kept = out.filter("_nj_n is null").select(*docs.columns)
     if drop.filter("_nj_leads").limit(1).count():  # repeated rows: they are equal in doc_id and text
         again = out.filter("_nj_leads").dropDuplicates(["doc_id", "_nj_x"]).select(*docs.columns)

@@ -7,6 +7,9 @@ without making a Python object for each word.
 
 from __future__ import annotations
 
+import functools
+import operator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -20,6 +23,9 @@ __all__ = ["Workspace", "shared_dir"]
 #: Most rows of a side that is broadcast; with rows of at most 64 bytes that is 16 MB.
 BROADCAST_ROWS = 250_000
 
+#: Logarithm of the rows of the filter that joins beyond that sift with: 2^18 rows of 64 bits, 4 MB.
+SIFT = 18
+
 #: Bytes that end a word: U+0020 and U+0009 to U+000D.
 SPACES = b" \t\n\x0b\x0c\r"
 
@@ -31,13 +37,31 @@ def refuse(docs: DataFrame, prefix: str) -> None:
         raise ValueError(f"columns {clash} clash: names starting with {prefix} are reserved")
 
 
-def join_checked(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Join that broadcasts ``right`` only if it was counted to hold at most ``BROADCAST_ROWS`` rows.
+def join_checked(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], how: str = "inner", rows: int | None = None) -> DataFrame:
+    """Null-safe join on pairs of column names that broadcasts ``right`` only if it was counted to be small.
 
-    Beyond that it is a shuffled join, whose skewed partitions adaptive execution splits.
-    ``right`` is a written table, so that the count reads only Parquet footers.
+    ``right`` is a written table, so that the count (or ``rows``, if its size is told by something
+    else) reads only Parquet footers.  Beyond ``BROADCAST_ROWS`` the join is shuffled, and
+    adaptive execution splits its skewed partitions; rows of ``left`` that a filter of fixed size shows to
+    have no partner stay out of the shuffle.  ``how`` is inner, left or left_anti.
     """
-    return left.join(F.broadcast(right) if right.count() <= BROADCAST_ROWS else right, on, how)
+    match = lambda x: functools.reduce(operator.and_, [x[a].eqNullSafe(right[b]) for a, b in pairs])
+    if (right.count() if rows is None else rows) <= BROADCAST_ROWS:
+        return left.join(F.broadcast(right), match(left), how)
+    place = lambda names: F.xxhash64(*names).bitwiseAND((64 << SIFT) - 1)
+    words = lambda h: F.shiftright(h, 6).cast("int")
+    mine, theirs = place([a for a, _ in pairs]), place([b for _, b in pairs])
+    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(63).cast("int"))
+    table = right.groupBy(words(theirs).alias("_sift_word")).agg(F.bit_or(bit(theirs)).alias("_sift_bits"))  # at most 2^SIFT rows
+    marked = left.withColumn("_sift_at", words(mine)).join(F.broadcast(table), F.col("_sift_at") == F.col("_sift_word"), "left")
+    maybe = F.coalesce(F.col("_sift_bits").bitwiseAND(bit(mine)) != 0, F.lit(False))
+    some = marked.filter(maybe).select(*left.columns)
+    met = some.join(right, match(some), how)
+    if how == "inner":
+        return met
+    rest = marked.filter(~maybe).select(*left.columns)
+    lacking = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields] if how == "left" else []
+    return met.unionByName(rest.select("*", *lacking))
 
 
 def arrow_text(column) -> tuple[np.ndarray, np.ndarray]:
