@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of a batch that written tables hand to Python at most (one row more at least).
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 _opened: list[tuple[SparkSession, str]] = []
 
