@@ -5,12 +5,12 @@ sections (by default its lines, each with its line end) as sorted intervals.  A
 a boundary is allocated by ``rule``: ``first`` gives it to the section in which it begins,
 ``last`` to that in which it ends, ``share`` to each section by its part of the token's bytes.
 
-The vocabulary is a rank file of a public byte-level tokenizer; its path is a parameter, read by
-every worker once.
+The vocabulary is a rank file of a public byte-level tokenizer; its path is a parameter.  The driver
+reads it and broadcasts it (a few MB at most); workers need no copy on their disks.
 
 Defined results: null and empty texts have one section, 0, without tokens.  Repeated rows each
 get their own rows.  Ill-formed characters cannot occur in Spark strings.  Extra columns are
-ignored.
+ignored.  An empty table gives no row.
 """
 
 from __future__ import annotations
@@ -29,19 +29,31 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-@functools.cache
-def encoder(path: str):
-    """The tokenizer and the number of bytes of each token id."""
+@functools.lru_cache(1)
+def _encoding(table: bytes):
     import tiktoken
 
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, table.splitlines())}
     sizes = np.zeros(max(ranks.values()) + 1, np.int64)
     for token, rank in ranks.items():
         sizes[rank] = len(token)
     return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), sizes
 
 
+def encoder(path: str):
+    """The tokenizer and the number of bytes of each token id."""
+    with open(path, "rb") as file:
+        return _encoding(file.read())
+
+
+def _table(spark, path: str) -> bytes:
+    """The bytes of a rank file: on the driver's disk, or in a store that Spark reads."""
+    if "://" in path:
+        return bytes(spark.read.format("binaryFile").load(path).first()["content"])
+    with open(path, "rb") as file:
+        return file.read()
+
+
 def line_sections(data: np.ndarray) -> np.ndarray:
     """Byte offsets at which the lines of a text begin."""
     return np.append(0, np.flatnonzero(data == 10) + 1)
@@ -69,9 +81,9 @@ def attribute(token_ends: np.ndarray, begins: np.ndarray, size: int, rule: str)
     return np.diff(before), touching
 
 
-def _counter(path: str, rule: str):
+def _counter(handle, rule: str):
     def count(batches):
-        encoding, sizes = encoder(path)
+        encoding, sizes = _encoding(handle.value)
         for batch in batches:
             data, ends = arrow_text(batch.column("text"))
             rows, parts = [], []
@@ -108,7 +120,8 @@ def section_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, rule: str = "f
         raise ValueError(f"rule is first, last or share, not {rule}")
     kind = docs.schema["doc_id"].dataType.simpleString()
     shape = f"doc_id {kind}, section long, char_begin long, char_end long, n_tokens double, n_touching long, doc_tokens long"
-    return Workspace(docs.sparkSession, "tokens").table(docs.select("doc_id", "text").mapInArrow(_counter(vocabulary, rule), shape), "sections")
+    handle = docs.sparkSession.sparkContext.broadcast(_table(docs.sparkSession, vocabulary))
+    return Workspace(docs.sparkSession, "tokens").table(docs.select("doc_id", "text").mapInArrow(_counter(handle, rule), shape), "sections")
 
 
 def op10_token_counts(spark, sf_dir: str) -> DataFrame:

@@ -6,7 +6,9 @@ length.  The reader parses the end-of-central-directory record, its ZIP64 form a
 central directory with ZIP64 extra fields and the local headers, and then reads records by byte
 ranges: neighbouring records are fetched together, up to ``RANGE`` bytes, and nothing is extracted.
 
-Packages lie in the shared folder and are written and read through ``pyarrow.fs``.  A task names
+Packages lie in the shared folder and are written and read through ``pyarrow.fs``: on paths and
+schemes that it knows (file, hdfs with libhdfs on the workers, s3 and s3a, gs, abfss); the driver checks the
+folder first, and an unknown scheme raises an error.  A task names
 its file uniquely and tells of it only when it is whole, so a repeated task leaves no trace in the
 result.
 
@@ -120,10 +122,11 @@ def directory(read, size: int) -> dict[str, tuple[int, int]]:
 
 
 def _open(path: str):
+    """The file system of a path, and the path in it."""
     from pyarrow import fs
 
-    system, at = fs.FileSystem.from_uri(path)
-    return system, at
+    scheme, mark, rest = path.partition("://")
+    return fs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + mark + rest)
 
 
 def record(page_id, url, payload: bytes, digest: str, refers_to, revisit: bool) -> bytes:
@@ -203,6 +206,7 @@ def _writer(folder: str, zip64: bool):
 def write_packages(pages: DataFrame, folder: str, least: int = LEAST, zip64: bool = False, space: Workspace | None = None) -> DataFrame:
     """Write the pages as packages into a shared folder; a written table (path, records)."""
     space = space or Workspace(pages.sparkSession, "warc")
+    _open(folder)  # an unknown scheme fails here, not in the tasks
     html = F.coalesce("html", F.lit("")).cast("binary")
     named = pages.select("page_id", "url", html.alias("html"), F.sha1(html).alias("digest"))
     same = named.filter(F.octet_length("html") >= least).groupBy("digest").agg(F.count("*").alias("n"), F.max("page_id").alias("keeper"))
