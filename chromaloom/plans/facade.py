@@ -138,19 +138,21 @@ class Pipeline:
         self._once("input", path)
 
         def read() -> DataFrame:
-            if path.endswith(".bam"):
-                records = files.read_bam(self.spark, path)
-                self._header = files.read_bam_header(self.spark, path)
-            else:
-                records, head, malformed = files.read_sam(self.spark, path)
-                self._header = [r["value"] for r in head.orderBy("line_no").collect()]
-                self.malformed = malformed.count()
-                if self.malformed:
-                    self.logger.warning("%s: %d malformed lines are left out", path, self.malformed)
+            records, self._header = self._records(path)
             return pairs.mark_duplicates(records) if mark_duplicates else records
 
         self._input = read
 
+    def _records(self, path: str) -> tuple[DataFrame, list[str]]:
+        """Records and header lines of SAM text or BAM; malformed lines are counted."""
+        if path.endswith(".bam"):
+            return files.read_bam(self.spark, path), files.read_bam_header(self.spark, path)
+        records, head, malformed = files.read_sam(self.spark, path)
+        self.malformed = malformed.count()
+        if self.malformed:
+            self.logger.warning("%s: %d malformed lines are left out", path, self.malformed)
+        return records, [r["value"] for r in head.orderBy("line_no").collect()]
+
     def register_alignment(self, paths: list[str], aligner: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
         """FASTQ files (one interleaved, or two) and a function that aligns them.
 
@@ -167,10 +169,15 @@ class Pipeline:
         self._input = read
 
     def register_alignment_sam_reads(self, path: str, aligner: Callable[[DataFrame, DataFrame], DataFrame], keep_tags: list[str] | None = None) -> None:
-        """Primary records of a SAM or BAM file, aligned anew."""
+        """Primary records of a SAM or BAM file, aligned anew; its @PG and @RG lines go to the outputs."""
         self._once("input", path)
-        records = lambda: files.read_bam(self.spark, path) if path.endswith(".bam") else files.read_sam(self.spark, path)[0]
-        self._input = lambda: aligner(files.sam_to_fastq(records(), keep_tags), self.genome())
+
+        def read() -> DataFrame:
+            records, head = self._records(path)
+            self._header = [x for x in head if x.startswith(("@PG\t", "@RG\t"))]
+            return aligner(files.sam_to_fastq(records, keep_tags), self.genome())
+
+        self._input = read
 
     def register_alignment_index_only(self) -> None:
         """Only digest the reference; ``run`` gives nothing."""

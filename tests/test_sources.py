@@ -159,9 +159,8 @@ def test_fastq_by_ranges(spark, tmp_path, small_ranges, pack):
         assert (r["qname"], r["mate"], r["comment"], r["seq"], r["qual"]) == (f"r{i // 2}", i % 2 + 1, f"note {i}", "ACGT" * (i % 7 + 1), "@+II" * (i % 7 + 1))
 
 
-@pytest.mark.parametrize("run", [2, 12])
-def test_fasta_chunks(spark, tmp_path, small_ranges, monkeypatch, run):
-    monkeypatch.setattr(blocks, "RUN", run)
+def test_fasta_chunks(spark, tmp_path, small_ranges, monkeypatch):
+    monkeypatch.setattr(blocks, "RUN", 3)
     rng = random.Random(5)
     texts = [FASTA, "", "junk\n>a\n\n\nAC\nGT\n>b>c d\nTTT>d\nACGT"]
     texts += ["".join(f">s{k} c\n" + "".join("".join(rng.choice("ACGTN") for _ in range(60)) + "\n" for _ in range(rng.randrange(12))) + "AC\n" * (k % 3) for k in range(12))]
@@ -242,6 +241,26 @@ def test_pipeline_object(spark, tmp_path):
     assert spark.read.csv(str(tmp_path / "csv"), header=True).count() == 11
 
 
+def test_programs_and_groups_are_carried_through_realignment(spark, tmp_path):
+    (tmp_path / "ref.fa").write_text(">c1\n" + "A" * 100 + "GATC" + "A" * 96 + "GATC" + "A" * 96 + "\n")
+    (tmp_path / "a.sam").write_text("\n".join([*SAM[:3], "@RG\tID:a\tSM:s", *SAM[3:5]]) + "\n")
+
+    def aligner(reads, genome):
+        assert genome.columns == ["seq_idx", "name", "seq"]
+        flag = F.when(F.col("mate") == 1, 65).otherwise(129)
+        return reads.select(F.col("mate").cast("long").alias("line_no"), "qname", flag.alias("flag"), F.lit("c1").alias("rname"), F.when(flag == 65, 5).otherwise(205).cast("long").alias("pos"),
+                            F.lit(60).alias("mapq"), F.lit("20M").alias("cigar"), F.concat_ws("\t", F.lit("*\t0\t0"), "seq", "qual", "comment").alias("rest"))
+
+    p = Pipeline(spark)
+    p.reference, p.restriction_sites = str(tmp_path / "ref.fa"), "DpnII"
+    p.register_alignment_sam_reads(str(tmp_path / "a.sam"), aligner, ["RG"])
+    p.register_output_file(str(tmp_path / "out.sam"), ["valid_pairs"])
+    p.run()
+    lines = "".join(f.read_text() for f in sorted((tmp_path / "out.sam").glob("part-*"))).splitlines()
+    assert lines[:2] == ["@RG\tID:a\tSM:s", "@PG\tID:x\tPN:x"] and "PP:x" in lines[2]
+    assert len(lines) == 5 and sum("\tRG:Z:a\t" in x for x in lines) == 1
+
+
 def test_command_line(spark, tmp_path):
     from chromaloom.__main__ import main
 
