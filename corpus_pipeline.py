@@ -49,7 +49,7 @@ STAGES = [
     ("mixing", mixing),
 ]
 
-#: The classifier and the join have no SQL form; tests compare the stages with brute force.
+#: The classifier and the join have no SQL form; tests compare the stages with their operators.
 ORACLE_SQL = None
 
 
