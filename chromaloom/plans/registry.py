@@ -378,7 +378,8 @@ def aligner_digest(run: Run) -> DataFrame:
 
 
 @query("trim_reads", surrogate.TRIM + """ select qname, line_no, case when known then cg else cigar end as cigar,
-  case when known then substring(seq, head::int + 1, left_bases::int) else seq end as seq, case when known then substring(qual, head::int + 1, left_bases::int) else qual end as qual
+  case when known then substring(seq, head::int + 1, left_bases::int) else seq end as seq, case when known then substring(qual, head::int + 1, left_bases::int) else qual end as qual,
+  case when known then left_bases else length(seq) end::bigint as bases
   from td where not known or (keep > 0 and left_bases > 0)""")
 def trim_reads(run: Run) -> DataFrame:
     """Primary reads clipped to the digest fragment that holds their position, with its overhangs.
@@ -395,7 +396,7 @@ def trim_reads(run: Run) -> DataFrame:
     primary = held.withColumn("rname", F.coalesce("frag_id.frag_name", "rname")).withColumn("pos", F.coalesce(F.col("pos") - F.col("frag_start") + F.col("frag_id.filled"), "pos"))
     frags = trim.parse_fragment_names(cut.select(F.col("frag_name").alias("rname"), "length"))
     part = lambda text: F.substr(F.lit(text), (1 + F.col("line_no") % 12).cast("int"), query_length(F.col("cigar")).cast("int"))
-    return trim.trim(primary.withColumns({"seq": part(surrogate.SEQ), "qual": part(surrogate.QUAL)}), frags).select("qname", "line_no", "cigar", "seq", "qual")
+    return trim.trim(primary.withColumns({"seq": part(surrogate.SEQ), "qual": part(surrogate.QUAL)}), frags).select("qname", "line_no", "cigar", "seq", "qual", F.length("seq").cast("long").alias("bases"))
 
 
 def _output(alias: str) -> None:
