@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, line_dedup, mixture, ngram_join, pseudonyms, quality, token_counts, toxicity, warc
+from . import chat, decontaminate, filter_audit, importance, line_dedup, mixture, ngram_join, pseudonyms, quality, simhash, token_counts, toxicity, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_pseudonyms": pseudonyms.op8_pseudonyms,
     "op9_decontamination": decontaminate.op9_decontamination,
     "op10_token_counts": token_counts.op10_token_counts,
+    "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op12_importance_resampling": importance.op12_importance_resampling,
+    "op13_simhash": simhash.op13_simhash,
 }
 
 ORACLES: dict[str, str] = {
@@ -24,4 +27,6 @@ ORACLES: dict[str, str] = {
     "op4_chat_rotation": chat.ORACLE,
     "op5_quality_rules": quality.ORACLE,
     "op6_warc_packages": warc.ORACLE,
+    "op11_filter_audit": filter_audit.ORACLE,
+    "op12_importance_resampling": importance.ORACLE,
 }

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import functools
 import operator
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -94,6 +95,19 @@ def pieces(ends: np.ndarray, most: int = 1 << 18):
         at = min(to, rows)
 
 
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def parts_of(text: bytes, most: int = 1 << 18):
+    """A long text in parts of about ``most`` bytes that end at blanks: no word is cut."""
+    at = 0
+    while at < len(text):
+        found = _BLANK.search(text, at + most) if len(text) - at > most else None
+        to = found.end() if found else len(text)
+        yield text[at:to]
+        at = to
+
+
 _rng = np.random.default_rng(20)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
