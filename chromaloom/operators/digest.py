@@ -16,17 +16,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.sites import RestrictionSite, scan_patterns
+from ..functions.sites import RestrictionSite, SiteError, scan_patterns
+from .overhangs import CHUNK, aligner_digest
 from .tables import Workspace
 
-CHUNK = 16_384
-REACH = 63  # bases of `after`; the longest pattern has one base more at most
+__all__ = ["CHUNK", "aligner_digest"]
+
+REACH = 63  # bases of `after`; a pattern has one base more at most
 BLOCK = 22  # cuts are numbered in blocks of 2^BLOCK bases
 BROADCAST_ROWS = 250_000
 
 
-def chunked(genome: DataFrame, size: int = CHUNK) -> DataFrame:
-    """(seq_idx, name, chunk_start, bases, after) of a table (seq_idx, name, seq)."""
+def reach_of(sites: frozenset[RestrictionSite]) -> int:
+    """Bases behind a chunk that these sites need."""
+    return max([REACH, *(s.width - 1 for s in sites)])
+
+
+def chunked(genome: DataFrame, size: int = CHUNK, reach: int = REACH) -> DataFrame:
+    """(seq_idx, name, chunk_start, bases, after) of a table (seq_idx, name, seq); ``reach`` bases are in ``after``."""
 
     def cut(batches):
         for batch in batches:
@@ -34,7 +41,7 @@ def chunked(genome: DataFrame, size: int = CHUNK) -> DataFrame:
             for idx, name, seq in zip(*[batch.column(x).to_pylist() for x in ("seq_idx", "name", "seq")]):
                 seq = seq or ""
                 for at in range(0, max(len(seq), 1), size):
-                    for column, value in zip(rows, (idx, name, at, seq[at : at + size], seq[at + size : at + size + REACH])):
+                    for column, value in zip(rows, (idx, name, at, seq[at : at + size], seq[at + size : at + size + reach])):
                         column.append(value)
                 if len(rows[0]) >= 1024:
                     yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.string()), pa.array(rows[2], pa.int64()), pa.array(rows[3], pa.string()), pa.array(rows[4], pa.string())], names=["seq_idx", "name", "chunk_start", "bases", "after"])
@@ -68,11 +75,14 @@ def find_all(data: np.ndarray, begin: int, patterns: list[tuple[list[np.ndarray]
     return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
-def scanned(chunks: DataFrame, sites: frozenset[RestrictionSite]) -> DataFrame:
+def scanned(chunks: DataFrame, sites: frozenset[RestrictionSite], reach: int = REACH) -> DataFrame:
     """(seq_idx, name, cut, bases): the distinct cuts, and one row without cut that holds the length.
 
-    Chunks are dealt out evenly before they are scanned, whatever files they came from.
+    Chunks are dealt out evenly before they are scanned, whatever files they came from.  ``reach`` is that of
+    the chunks; a pattern that is wider would be lost where chunks meet, and is an error.
     """
+    if reach_of(sites) > reach:
+        raise SiteError(f"sites of {reach_of(sites) + 1} bases need chunks that reach {reach_of(sites)} bases ahead, not {reach}")
     patterns = [(_tables(s.pattern), s.loc) for s in scan_patterns(sites)]
 
     def scan(batches):
@@ -97,9 +107,9 @@ def scanned(chunks: DataFrame, sites: frozenset[RestrictionSite]) -> DataFrame:
     return dealt.mapInArrow(scan, "seq_idx int, name string, cut long, bases long").groupBy("seq_idx", "name", "cut").agg(F.sum("bases").alias("bases"))
 
 
-def cuts(chunks: DataFrame, sites: frozenset[RestrictionSite]) -> DataFrame:
+def cuts(chunks: DataFrame, sites: frozenset[RestrictionSite], reach: int = REACH) -> DataFrame:
     """Distinct (seq_idx, cut), the start 0 of every sequence included."""
-    return scanned(chunks, sites).filter("cut is not null").select("seq_idx", "cut")
+    return scanned(chunks, sites, reach).filter("cut is not null").select("seq_idx", "cut")
 
 
 def lengths(chunks: DataFrame) -> DataFrame:
@@ -107,7 +117,7 @@ def lengths(chunks: DataFrame) -> DataFrame:
     return chunks.groupBy("seq_idx", "name").agg(F.sum(F.length("bases")).cast("long").alias("length"))
 
 
-def fragments(chunks: DataFrame, sites: frozenset[RestrictionSite]) -> DataFrame:
+def fragments(chunks: DataFrame, sites: frozenset[RestrictionSite], reach: int = REACH) -> DataFrame:
     """frag_id, seq_idx, name, frag_start, frag_next (null for the last), frag_end.
 
     Written as a table: one scan of the genome.  Cuts are numbered within blocks of a sequence; the ids
@@ -115,7 +125,7 @@ def fragments(chunks: DataFrame, sites: frozenset[RestrictionSite]) -> DataFrame
     block, so no window runs over a whole chromosome.
     """
     space = Workspace(chunks.sparkSession, "digest")
-    found = space.table(scanned(chunks, sites).withColumn("block", F.shiftright("cut", BLOCK)), "cuts")
+    found = space.table(scanned(chunks, sites, reach).withColumn("block", F.shiftright("cut", BLOCK)), "cuts")
     sizes = found.filter("bases > 0 or cut is null").groupBy("seq_idx").agg(F.sum("bases").alias("length"))
     # One row per block: a chromosome has some hundred.
     blocks = found.filter("cut is not null").groupBy("seq_idx", "block").agg(F.count("*").alias("n"), F.min("cut").alias("first"))
@@ -150,39 +160,6 @@ def site_summary(sequences: DataFrame) -> DataFrame:
     return total.select("n_sequences", "n_sites", "bases", F.try_divide("n_sites", "n_sequences").alias("mean_sites"), F.try_divide("bases", "n_sites").alias("bases_per_site"))
 
 
-def aligner_digest(genome: DataFrame, sites: frozenset[RestrictionSite]) -> DataFrame:
-    """Fragments with filled overhangs, as a reference for aligners.
-
-    Matches are case-sensitive and do not overlap within a site.  Columns: seq_idx, name,
-    frag_start, frag_end, front, front_fwd, end, end_fwd, frag_name, bases.  One row of input is one
-    sequence, as an unbroken left-to-right scan needs it.
-    """
-    order = sorted(sites, key=lambda s: (s.pattern, s.loc))
-
-    def digest(batches):
-        names = ["seq_idx", "name", "frag_start", "frag_end", "front", "front_fwd", "end", "end_fwd", "frag_name", "bases"]
-        kinds = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.bool_(), pa.string(), pa.string()]
-        for batch in batches:
-            for idx, name, seq in zip(*[batch.column(x).to_pylist() for x in ("seq_idx", "name", "seq")]):
-                seq = seq or ""
-                at = [(0, 0, ""), (len(seq), 0, "")]
-                for s in order:
-                    side = (s.loc < s.rev_loc) - (s.rev_loc < s.loc)  # 1: five-prime overhang, -1: three-prime
-                    low, high = sorted((s.loc, s.rev_loc))
-                    at += [(m.start() + s.loc, side, m.group()[low:high]) for m in re.finditer(s.pattern, seq)]
-                at.sort(key=lambda x: x[0])
-                rows = []
-                for (a, left, head), (b, right, tail) in zip(at[:-1], at[1:]):
-                    shown = f"{name}_{a}_{len(head)}{'+' if left < 0 else '-'}_{len(tail)}{'+' if right > 0 else '-'}"
-                    bases = (head if left < 0 else "") + seq[a:b] + (tail if right > 0 else "")
-                    rows.append((idx, name, a, b, len(head), left < 0, len(tail), right > 0, shown, bases))
-                for k in range(0, len(rows), 2048):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 2048]), kinds)], names=names)
-
-    shape = "seq_idx int, name string, frag_start long, frag_end long, front int, front_fwd boolean, end int, end_fwd boolean, frag_name string, bases string"
-    return genome.select("seq_idx", "name", "seq").mapInArrow(digest, shape)
-
-
 def cache_key(reference: str, sites: frozenset[RestrictionSite]) -> str:
     """Name of a digest kept on disk: depends on the reference's base name and the sites, not their order."""
     parts = [reference.rsplit("/", 1)[-1], *(f"{s.pattern},{s.loc},{s.rev_loc}" for s in sites)]

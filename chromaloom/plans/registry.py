@@ -33,7 +33,7 @@ class Run:
             "lengths": lambda: Workspace(self.spark, "names").table(digest.lengths(self.chunks), "names"),
             # with a digest at hand the lengths are known; without one the genome is only measured
             "names": lambda: self.sequences.drop("n_sites") if "frags" in self._made else self._ends() if "cut" in self._made else self.lengths,
-            "cut": lambda: Workspace(self.spark, "cut").table(digest.aligner_digest(self.genome, SITES).withColumn("length", F.length("bases").cast("long")).drop("bases"), "cut"),
+            "cut": lambda: Workspace(self.spark, "cut").table(digest.aligner_digest(self.chunks, SITES).withColumn("length", F.length("bases").cast("long")).drop("bases"), "cut"),
             "records": lambda: surrogate.reads(self.spark, self.sf_dir, self.names),
             "classified": lambda: self._classified(),
             "good": lambda: reads.good_reads(self.classified),
@@ -374,7 +374,7 @@ def primary_reads(run: Run) -> DataFrame:
 
 @query("aligner_digest", surrogate.DIGEST + " select * from ad")
 def aligner_digest(run: Run) -> DataFrame:
-    return digest.aligner_digest(run.genome, SITES)
+    return digest.aligner_digest(run.chunks, SITES)
 
 
 @query("trim_reads", surrogate.TRIM + """ select qname, line_no, case when known then cg else cigar end as cigar,

@@ -72,12 +72,71 @@ def test_lookup_strategies(spark, strategy):
 
 
 def test_aligner_digest_overhangs(spark):
-    five = digest.aligner_digest(genome(spark, ["AAGATCAA"]), compile_sites("^GATC_")).collect()
+    chunks = lambda seq: digest.chunked(genome(spark, [seq]))
+    five = digest.aligner_digest(chunks("AAGATCAA"), compile_sites("^GATC_")).collect()
     assert [(r["frag_name"], r["bases"]) for r in five] == [("c0_0_0-_4+", "AAGATC"), ("c0_2_4-_0-", "GATCAA")]
-    three = digest.aligner_digest(genome(spark, ["AACATGAA"]), compile_sites("_CATG^")).collect()
+    three = digest.aligner_digest(chunks("AACATGAA"), compile_sites("_CATG^")).collect()
     assert [(r["frag_name"], r["bases"]) for r in three] == [("c0_0_0-_4-", "AACATG"), ("c0_6_4+_0-", "CATGAA")]
 
 
+def aligned(seq, sites):
+    """The digest as one scan of a string."""
+    at = [(0, 0, ""), (len(seq), 0, "")]
+    for s in sorted(sites, key=lambda s: (s.pattern, s.loc)):
+        low, high = sorted((s.loc, s.rev_loc))
+        side = (s.loc < s.rev_loc) - (s.rev_loc < s.loc)
+        at += [(m.start() + s.loc, side, m.group()[low:high]) for m in re.finditer(s.pattern, seq)]
+    at.sort(key=lambda x: x[0])
+    for (a, left, head), (b, right, tail) in zip(at, at[1:]):
+        yield a, b, len(head), left < 0, len(tail), right > 0, (head if left < 0 else "") + seq[a:b] + (tail if right > 0 else "")
+
+
+RUNS = ["TTAATTAATTAA" * 9, "GCGC" * 30 + "GCG" + "CGCG" * 9, "A" * 90 + "CAAA" * 20, "", "GA", "GATC", "gatcGATCNN", "GCGCGATCGCGATC" * 13, "C" * 70 + "GCGCGC" * 5 + "T" * 200]
+
+
+@pytest.mark.parametrize("size", [3, 7, 64, 16384])
+@pytest.mark.parametrize("spec", ["Arima_v2", "G_CG^C,A^AA_A", "^GCGNNNGCG_,NN^AA_NN,_CATG^"])
+def test_unbroken_scan_in_chunks(spark, monkeypatch, size, spec):
+    """Matches that overlap are taken from the left, across the edges of chunks and of blocks of 32 bases."""
+    from chromaloom.operators import overhangs
+
+    monkeypatch.setattr(overhangs, "BLOCK", 5)
+    sites = compile_sites(spec)
+    got = digest.aligner_digest(digest.chunked(genome(spark, RUNS), size), sites, size).collect()
+    for i, seq in enumerate(RUNS):
+        mine = [tuple(r)[2:8] + (r["bases"],) for r in got if r["seq_idx"] == i]
+        assert sorted(mine) == sorted(aligned(seq, sites)), seq
+        assert all(r["frag_name"].startswith(f"c{i}_{r['frag_start']}_") for r in got if r["seq_idx"] == i)
+
+
+def test_no_row_holds_a_sequence(spark):
+    plan = digest.aligner_digest(digest.chunked(genome(spark, ["GATC" * 100]), 64), SITES, 64)
+    assert "seq#" not in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_which_sites_overlap_themselves():
+    from chromaloom.operators.overhangs import overlaps_itself
+
+    assert not any(overlaps_itself(s.pattern) for s in SITES)
+    assert overlaps_itself("GCGC") and overlaps_itself("A[ACGT]A") and not overlaps_itself("GATC") and not overlaps_itself("A")
+
+
+def test_wide_patterns(spark):
+    """A pattern of 100 bases is an error where it would be lost, and found where chunks reach far enough."""
+    from chromaloom.functions.sites import SiteError
+
+    wide = compile_sites("^G" + "N" * 98 + "C_")
+    seq = "A" * 40 + "G" + "T" * 98 + "C" + "A" * 60
+    assert digest.reach_of(wide) == 99
+    with pytest.raises(SiteError):
+        digest.fragments(digest.chunked(genome(spark, [seq]), 50), wide)
+    with pytest.raises(SiteError):
+        digest.aligner_digest(digest.chunked(genome(spark, [seq]), 50), wide, 50)
+    chunks = digest.chunked(genome(spark, [seq]), 50, 99)
+    assert sorted(r["cut"] for r in digest.cuts(chunks, wide, 99).collect()) == [0, 40]
+    assert sorted(r["frag_start"] for r in digest.aligner_digest(chunks, wide, 50, 99).collect()) == [0, 40]
+
+
 def test_cache_key_ignores_order():
     assert digest.cache_key("/x/ref.fa", compile_sites("DpnII,MseI")) == digest.cache_key("/y/ref.fa", compile_sites("MseI,DpnII"))
     assert digest.cache_key("ref.fa", compile_sites("DpnII")) != digest.cache_key("ref.fa", compile_sites("MseI"))

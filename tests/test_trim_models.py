@@ -76,7 +76,7 @@ def test_trim_against_a_loop(spark):
 def test_query_clips_to_the_fragments_of_the_digest(spark):
     run = registry.Run(spark, "/root/testdata/sf0.001")
     cut, size = {}, {r["name"]: r["length"] for r in run.names.collect()}
-    for f in digest.aligner_digest(run.genome, registry.SITES).filter("frag_end > frag_start").collect():
+    for f in digest.aligner_digest(run.chunks, registry.SITES).filter("frag_end > frag_start").collect():
         cut.setdefault(f["name"], []).append(f)
     want, clipped = {}, set()
     for r in run.records.filter("flag & 2304 = 0").collect():
