@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.special import f_survival
+
 MAX_BINS = 1024
 FIT_RANGE = (1_000, 7_000_000)
 CLASSES = ["ff", "fr", "rf", "rr"]
@@ -91,38 +93,6 @@ def histogram(counted: DataFrame, edges: list[float]) -> pd.DataFrame:
     return out
 
 
-def _beta_fraction(a: float, b: float, x: float) -> float:
-    """Continued fraction of the incomplete beta function (modified Lentz)."""
-    tiny, c, d = 1e-300, 1.0, 1.0 - (a + b) * x / (a + 1)
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    value = d
-    for m in range(1, 400):
-        for up in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
-            d = 1.0 + up * d
-            c = 1.0 + up / c
-            d, c = 1.0 / (d if abs(d) > tiny else tiny), (c if abs(c) > tiny else tiny)
-            value *= d * c
-        if abs(d * c - 1) < 1e-15:
-            break
-    return value
-
-
-def f_survival(f: float, dfn: float, dfd: float) -> float:
-    """P(F > f) of the F distribution."""
-    if not math.isfinite(f) and not f > 0:
-        return math.nan
-    if f <= 0:
-        return 1.0
-    if math.isinf(f):
-        return 0.0
-    a, b = dfd / 2, dfn / 2
-    x = dfd / (dfd + dfn * f)
-    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) if 0 < x < 1 else 0.0
-    if x < (a + 1) / (a + b + 2):
-        return front * _beta_fraction(a, b, x) / a
-    return 1 - front * _beta_fraction(b, a, 1 - x) / b
-
-
 class Model:
     """A polynomial in log separation, fitted or with a fixed slope."""
 
@@ -157,12 +127,6 @@ def f_statistic(larger: Model, smaller: Model) -> tuple[float, int, int]:
         return float(np.divide((smaller.rss - larger.rss) / dom, larger.rss / dof)), dom, dof
 
 
-def f_test(larger: Model, smaller: Model) -> float:
-    """p-value of the larger model against the smaller; nan if it is not larger."""
-    f, dom, dof = f_statistic(larger, smaller)
-    return math.nan if dom <= 0 or dof < 1 else f_survival(f, dom, dof)
-
-
 def fitted(distances: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray, np.ndarray, list[Model]]]:
     """(class, separations, probabilities, ln of the separations that are fitted, models) of all, ff, fr, rf and rr."""
     counted = frequencies(distances).persist()
@@ -198,17 +162,22 @@ def contact_models(distances: DataFrame) -> tuple[DataFrame, DataFrame]:
         probs += [(p, s, "histogram", cls) for p, s in zip(prob, sep)]
         for m in fits:
             probs += [(float(np.exp(p)), float(np.exp(s)), m.name, cls) for p, s in zip(m.predicted, x)]
-            tests += [(m.name, o.name, f_test(m, o), cls) for o in fits]
-    return _frame(spark, probs, "prob double, sep double, type string, class string"), _frame(spark, tests, "model1 string, model2 string, p_value double, class string")
+            tests += _compared(cls, m, fits)
+    told = _frame(spark, tests, STATISTICS).select("model1", "model2", f_survival(F.col("f"), F.col("dom"), F.col("dof")).alias("p_value"), "class")
+    return _frame(spark, probs, "prob double, sep double, type string, class string"), told
+
+
+STATISTICS = "model1 string, model2 string, class string, dom int, dof int, f double"
+
+
+def _compared(cls: str, m: Model, others: list[Model]) -> list[tuple]:
+    return [(m.name, o.name, cls, dom, dof, f) for o in others for f, dom, dof in [f_statistic(m, o)]]
 
 
 def f_statistics(distances: DataFrame) -> DataFrame:
     """model1, model2, class, dom, dof and f of every pair of models that can be compared."""
-    rows = []
-    for cls, *_, fits in fitted(distances):
-        told = [(m, o, *f_statistic(m, o)) for m in fits for o in fits]
-        rows += [(m.name, o.name, cls, dom, dof, f) for m, o, f, dom, dof in told if dom > 0 and dof > 0]
-    return _frame(distances.sparkSession, rows, "model1 string, model2 string, class string, dom int, dof int, f double")
+    rows = [row for cls, *_, fits in fitted(distances) for m in fits for row in _compared(cls, m, fits)]
+    return _frame(distances.sparkSession, rows, STATISTICS).filter("dom > 0 and dof > 0")
 
 
 def _frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

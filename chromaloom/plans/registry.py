@@ -63,7 +63,7 @@ def query(name: str, sql: str | None = None):
     def add(f: Callable[[Run], DataFrame]):
         QUERIES[name] = lambda spark, sf_dir: f(Run(spark, sf_dir))
         if sql:
-            ORACLES[name] = f"with {sql.strip().lstrip(',')}"
+            ORACLES[name] = f"with recursive {sql.strip().lstrip(',')}"
         return f
 
     return add
@@ -337,10 +337,11 @@ def model_f_statistics(run: Run) -> DataFrame:
     return out.withColumn("f", F.round("f", 5))
 
 
-@query("model_f_tests")
+@query("model_f_tests", surrogate.F_TESTS + """ select fs.model1, fs.model2, fs.class, round(case when f <= 0 then 1 when flip then 1 - t else t end, 9) as p_value
+  from fs left join pv on fs.model1 = pv.model1 and fs.model2 = pv.model2 and fs.class = pv.class""")
 def model_f_tests(run: Run) -> DataFrame:
-    """The p-values of the statistics above: the F distribution has no SQL form."""
-    return models.contact_models(stats.separations(run.pairs))[1]
+    out = models.contact_models(stats.separations(run.pairs))[1]
+    return out.withColumn("p_value", F.round("p_value", 9))
 
 
 @query("five_end_filter", READS + """,

@@ -213,6 +213,23 @@ mo as (select xy.class, n, my, i1, m1, mx, sum((x - mx) ** 2) as s2, sum((x - mx
        from xy join ce on xy.class = ce.class group by all),
 co as (select *, n * (s2 * s4 - s3 * s3) - s2 * s2 * s2 as det, t1 / s2 as slope from mo),
 cf as (select *, -s2 * (s2 * t2 - s3 * t1) / det as a2, (n * (t1 * s4 - s3 * t2) - s2 * s2 * t1) / det as b2, n * (s2 * t2 - s3 * t1) / det as c2 from co),
-pd as (select xy.class, n, x, y, my as p0, my + slope * (x - mx) as p1, my + a2 + b2 * (x - mx) + c2 * (x - mx) ** 2 as p2, i1 - x as pi, m1 - 0.5 * x as pm from xy join cf on xy.class = cf.class),
+pd as (select xy.class, n, x, y, case when n > 1 then my end as p0, case when n > 1 then my + slope * (x - mx) end as p1, case when n > 1 then my + a2 + b2 * (x - mx) + c2 * (x - mx) ** 2 end as p2, i1 - x as pi, m1 - 0.5 * x as pm from xy join cf on xy.class = cf.class),
 ml as (select class, n, x, y, p0 as p, 'poly model deg 0' as type, 1 as params from pd union all select class, n, x, y, p1, 'poly model deg 1', 2 from pd union all select class, n, x, y, p2, 'poly model deg 2', 3 from pd
        union all select class, n, x, y, pi, 'I-phase model', 1 from pd union all select class, n, x, y, pm, 'M-phase model', 1 from pd)"""
+
+#: Statistics of the nested models and the tail of the F distribution: the continued fraction of the incomplete beta function, a term per level of recursion.
+F_TESTS = MODELS + """, rs as (select class, type, n, params, sum((y - p) ** 2) as rss from ml group by all),
+fs as (select l.type as model1, s.type as model2, l.class, case when l.params > s.params and l.n > l.params then ((s.rss - l.rss) / (l.params - s.params)) / (l.rss / (l.n - l.params)) end as f,
+              (l.params - s.params)::double as dn, (l.n - l.params)::double as dd from rs l join rs s on l.class = s.class),
+bx as (select *, case when flip then dn / 2 else dd / 2 end as a, case when flip then dd / 2 else dn / 2 end as b, case when flip then 1 - x0 else x0 end as x
+       from (select *, dd / (dd + dn * f) as x0, dd / (dd + dn * f) >= (dd / 2 + 1) / (dd / 2 + dn / 2 + 2) as flip from fs where f > 0)),
+cf0(model1, model2, class, m, c, d, v) as (select model1, model2, class, 0, 1::double, 1 / (1 - (a + b) * x / (a + 1)), 1 / (1 - (a + b) * x / (a + 1)) from bx
+       union all
+       select model1, model2, class, m, co, dq, v * c1 * d1 * co * dq from (
+         select *, 1 + up / c1 as co, 1 / (1 + up * d1) as dq from (
+           select *, -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)) as up from (
+             select *, 1 + u1 / c as c1, 1 / (1 + u1 * d) as d1 from (
+               select r.model1, r.model2, r.class, r.m + 1 as m, r.c, r.d, r.v, a, b, x, (r.m + 1) * (b - (r.m + 1)) * x / ((a + 2 * (r.m + 1) - 1) * (a + 2 * (r.m + 1))) as u1
+               from cf0 r join bx on r.model1 = bx.model1 and r.model2 = bx.model2 and r.class = bx.class where r.m < 200))))),
+pv as (select bx.model1, bx.model2, bx.class, flip, exp(lgamma(a + b) - lgamma(a) - lgamma(b) + a * ln(x) + b * ln(1 - x)) * v / a as t
+       from bx join cf0 on bx.model1 = cf0.model1 and bx.model2 = cf0.model2 and bx.class = cf0.class and m = 200)"""

@@ -5,7 +5,9 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from chromaloom.functions import special
 from chromaloom.operators import digest, models, trim
 from chromaloom.plans import registry
 
@@ -100,8 +102,29 @@ def test_unchanged_reads(spark):
 
 
 @pytest.mark.parametrize(("f", "a", "b", "p"), [(1.0, 1, 1, 0.5), (4.0, 2, 10, 0.052922), (161.45, 1, 1, 0.05), (2.71, 5, 20, 0.05), (0.0, 3, 4, 1.0)])
-def test_f_survival(f, a, b, p):
-    assert abs(models.f_survival(f, a, b) - p) < 2e-4
+def test_f_survival(spark, f, a, b, p):
+    got = spark.createDataFrame([(f, a, b)], "f double, a int, b int").select(special.f_survival(F.col("f"), F.col("a"), F.col("b"))).first()[0]
+    assert abs(got - p) < 2e-4
+
+
+def test_tail_of_the_f_distribution_in_closed_form(spark):
+    """With two and n degrees of freedom the tail is (n / (n + 2 f))^(n / 2); with one and one an arctangent; tails mirror."""
+    rows = [(f, n) for f in (0.001, 0.5, 1.0, 3.0, 40.0, 1e4) for n in (1, 2, 7, 60, 1020)]
+    df = spark.createDataFrame(rows, "f double, n int")
+    tail = lambda a, b, f=F.col("f"): special.f_survival(f, a, b)
+    got = df.select("f", "n", tail(F.lit(2), F.col("n")), tail(F.lit(1), F.lit(1)), tail(F.lit(3), F.col("n")), tail(F.col("n"), F.lit(3), 1 / F.col("f"))).collect()
+    for f, n, two, one, left, right in got:
+        assert math.isclose(two, (n / (n + 2 * f)) ** (n / 2), rel_tol=1e-10, abs_tol=1e-300)
+        assert math.isclose(one, 1 - 2 / math.pi * math.atan(math.sqrt(f)), abs_tol=1e-12)
+        assert math.isclose(left, 1 - right, abs_tol=1e-11)
+    odd = spark.createDataFrame([(float("nan"),), (None,), (float("inf"),), (-1.0,)], "f double").select(tail(F.lit(2), F.lit(5))).collect()
+    assert [r[0] for r in odd] == [None, None, 0.0, 1.0]
+
+
+def test_one_point_has_no_polynomial():
+    fits = {m.name: m for m in models.fit_models(np.array([7.0]), np.array([-9.0]))}
+    assert all(np.isnan(fits[f"poly model deg {k}"].predicted).all() for k in range(3))
+    assert fits["I-phase model"].predicted.tolist() == [-9.0]
 
 
 def test_edges_like_numpy(spark):
