@@ -34,7 +34,7 @@ def binned(fragments: DataFrame, shift: int = SHIFT) -> DataFrame:
 def lookup(points: DataFrame, fragments: DataFrame, at: str, strategy: str = "bin", shift: int = SHIFT) -> DataFrame:
     """``points`` (with seq_idx and the column ``at``) left-joined to their fragment.
 
-    Adds frag_id, frag_start and frag_next; null where no fragment holds the point, that is
+    Adds frag_id, frag_start, frag_next and frag_end; null where no fragment holds the point, that is
     below the first start or with an unknown seq_idx.  Points beyond the end of a sequence belong to its last fragment.
     """
     slim = fragments.select("seq_idx", "frag_id", "frag_start", "frag_next", "frag_end")
@@ -48,17 +48,17 @@ def lookup(points: DataFrame, fragments: DataFrame, at: str, strategy: str = "bi
         small = F.broadcast(table) if size <= BROADCAST_ROWS else table
         keyed = points.join(small_ends, F.col("seq_idx") == F.col("_s"), "left").withColumn("_bin", F.least(F.shiftright(at, shift), F.col("_top")))
         held = (keyed[at] >= small["frag_start"]) & (small["frag_next"].isNull() | (keyed[at] < small["frag_next"]))
-        out = keyed.join(small.drop("frag_end"), (keyed["seq_idx"] == small["seq_idx"]) & (keyed["_bin"] == small["bin"]) & held, "left")
-        return out.select(*[keyed[c] for c in points.columns], "frag_id", "frag_start", "frag_next")
+        out = keyed.join(small, (keyed["seq_idx"] == small["seq_idx"]) & (keyed["_bin"] == small["bin"]) & held, "left")
+        return out.select(*[keyed[c] for c in points.columns], "frag_id", "frag_start", "frag_next", "frag_end")
     if strategy == "window":
-        frag = F.struct("frag_id", "frag_start", "frag_next")
+        frag = F.struct("frag_id", "frag_start", "frag_next", "frag_end")
         left = slim.select("seq_idx", F.col("frag_start").alias("_pos"), F.lit(0).alias("_side"), frag.alias("_frag"), F.lit(None).alias("_point"))
         right = points.select("seq_idx", F.col(at).alias("_pos"), F.lit(1).alias("_side"), F.lit(None).alias("_frag"), F.struct(*points.columns).alias("_point"))
         left = left.withColumn("_point", F.lit(None).cast(right.schema["_point"].dataType))
         right = right.withColumn("_frag", F.lit(None).cast(left.schema["_frag"].dataType))
         order = W.partitionBy("seq_idx").orderBy("_pos", "_side").rowsBetween(W.unboundedPreceding, 0)
         both = left.unionByName(right).withColumn("_found", F.last("_frag", ignorenulls=True).over(order)).filter("_side = 1")
-        return both.select("_point.*", "_found.frag_id", "_found.frag_start", "_found.frag_next")
+        return both.select("_point.*", "_found.frag_id", "_found.frag_start", "_found.frag_next", "_found.frag_end")
     if strategy == "broadcast":
         if slim.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
             return lookup(points, fragments, at, "bin", shift)
@@ -78,7 +78,7 @@ def lookup(points: DataFrame, fragments: DataFrame, at: str, strategy: str = "bi
             return out
 
         named = points.withColumn("_id", find(F.col("seq_idx"), F.col(at)))
-        frags = F.broadcast(slim.select("frag_id", "frag_start", "frag_next"))
+        frags = F.broadcast(slim.drop("seq_idx"))
         out = named.join(frags, named["_id"] == frags["frag_id"], "left")
-        return out.select(*points.columns, "frag_id", "frag_start", "frag_next")
+        return out.select(*points.columns, "frag_id", "frag_start", "frag_next", "frag_end")
     raise ValueError(f"no strategy {strategy}")

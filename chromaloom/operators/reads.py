@@ -24,7 +24,7 @@ def site_distance(start: Column, frag_start: Column, frag_next: Column) -> Colum
 
 
 def classify(reads: DataFrame, sequences: DataFrame, fragments: DataFrame | None, min_mapq: int = MIN_MAPQ, strategy: str = "bin") -> DataFrame:
-    """Adds ref_len, query_len, seq_idx, read_start, frag_id, frag_start, frag_next, site_dist, hc.
+    """Adds ref_len, query_len, seq_idx, read_start, frag_id, frag_start, frag_next, frag_end, site_dist, hc.
 
     ``hc`` is null for good reads, and the columns from seq_idx on are set for good reads only.
     Without ``fragments`` nothing is digested: no read is too far from a site.
@@ -38,7 +38,7 @@ def classify(reads: DataFrame, sequences: DataFrame, fragments: DataFrame | None
         .withColumn("_start", five_prime(F.col("pos"), F.col("flag"), F.col("ref_len")))
     )
     if fragments is None:
-        out = out.withColumns({"_dist": F.lit(0).cast("long"), "frag_id": F.lit(None).cast("long"), "frag_start": F.lit(None).cast("long"), "frag_next": F.lit(None).cast("long")})
+        out = out.withColumns({"_dist": F.lit(0).cast("long"), "frag_id": F.lit(None).cast("long"), "frag_start": F.lit(None).cast("long"), "frag_next": F.lit(None).cast("long"), "frag_end": F.lit(None).cast("long")})
     else:
         key = F.when(F.col("_early").isNull(), F.col("_seq")).otherwise(-1 - F.pmod(F.hash("qname"), F.lit(4096)))
         out = lookup(out.withColumn("seq_idx", key), fragments, "_start", strategy).drop("seq_idx")
@@ -46,7 +46,7 @@ def classify(reads: DataFrame, sequences: DataFrame, fragments: DataFrame | None
     near = F.coalesce(F.abs("_dist") < 2 * F.col("query_len"), F.lit(False))
     hc = F.coalesce("_early", F.when(~near, "RS"))
     good = hc.isNull()
-    kept = {"seq_idx": "_seq", "read_start": "_start", "frag_id": "frag_id", "frag_start": "frag_start", "frag_next": "frag_next", "site_dist": "_dist"}
+    kept = {"seq_idx": "_seq", "read_start": "_start", "frag_id": "frag_id", "frag_start": "frag_start", "frag_next": "frag_next", "frag_end": "frag_end", "site_dist": "_dist"}
     return out.select(*reads.columns, "ref_len", "query_len", *[F.when(good, F.col(c)).alias(n) for n, c in kept.items()], hc.alias("hc"))
 
 
@@ -64,12 +64,7 @@ def fragment_tag(frag_id: Column, start: Column, end: Column) -> Column:
     return F.concat(F.lit("rf:B:I,"), F.concat_ws(",", frag_id.cast("string"), start.cast("string"), end.cast("string")))
 
 
-def tags(classified: DataFrame, fragments: DataFrame | None) -> DataFrame:
+def tags(classified: DataFrame) -> DataFrame:
     """Adds ``tags``: hc:Z:<class>, and for reads with a fragment its id, start and end."""
-    if fragments is None:
-        return classified.withColumn("tags", F.concat(F.lit("hc:Z:"), F.col("hc")))
-    ends = fragments.select(F.col("frag_id").alias("_f"), "frag_end")
-    small = F.broadcast(ends) if ends.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else ends
-    out = classified.join(small, F.col("frag_id") == F.col("_f"), "left")
-    tag = F.concat_ws("\t", F.concat(F.lit("hc:Z:"), F.col("hc")), F.when(F.col("frag_id").isNotNull(), fragment_tag(F.col("frag_id"), F.col("frag_start"), F.col("frag_end"))))
-    return out.withColumn("tags", tag).drop("_f", "frag_end")
+    fragment = F.when(F.col("frag_id").isNotNull(), fragment_tag(F.col("frag_id"), F.col("frag_start"), F.col("frag_end")))
+    return classified.withColumn("tags", F.concat_ws("\t", F.concat(F.lit("hc:Z:"), F.col("hc")), fragment))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.sites import RestrictionSite, compile_sites, read_catalogue
 from ..operators import digest, models, pairs, reads, stats
+from ..operators.index import DigestIndex
 from ..operators.tables import Workspace
 from ..sources import blocks, files, header, sinks
 
@@ -125,6 +126,7 @@ class Pipeline:
     min_mapq = property(lambda self: self._set.get("min_mapq", reads.MIN_MAPQ), lambda self, v: self._once("min_mapq", v))
     save_stats_path = property(lambda self: self._set.get("save_stats_path"), lambda self, v: self._once("save_stats_path", v))
     enzymes = property(lambda self: self._set.get("enzymes"), lambda self, v: self._once("enzymes", v))  # path of a table for read_catalogue
+    index_path = property(lambda self: self._set.get("index_path"), lambda self, v: self._once("index_path", v))  # folder of digests that are read again
     dense_contacts = property(lambda self: self._set.get("dense_contacts", False), lambda self, v: self._once("dense_contacts", v))
     threads = property(lambda self: self._set.get("threads"), lambda self, v: self._once("threads", v))
 
@@ -185,7 +187,7 @@ class Pipeline:
         self._index_only = True
 
     def register_output_file(self, path: str, classes: list[str], sort: bool = False) -> None:
-        """Send classes or groups of classes to a folder (.sam: text; otherwise Parquet)."""
+        """Send classes or groups of classes to a folder (.sam: text; .bam: BAM parts, with an index each if sorted; otherwise Parquet)."""
         known, sorted_before = self._outputs.get(path, ([], False))
         self._outputs[path] = (known + classes, sort or sorted_before)
         try:
@@ -200,8 +202,32 @@ class Pipeline:
 
     def chunks(self) -> DataFrame:
         """The reference in chunks; a file is cut where its lines stand, without a row per sequence."""
-        ref = self.reference
-        return digest.chunked(ref) if isinstance(ref, DataFrame) else blocks.fasta_chunks(self.spark, str(ref), digest.CHUNK, digest.REACH)
+        ref, reach = self.reference, digest.reach_of(self.sites())
+        return digest.chunked(ref, reach=reach) if isinstance(ref, DataFrame) else blocks.fasta_chunks(self.spark, str(ref), digest.CHUNK, reach)
+
+    def _index(self, sites: frozenset[RestrictionSite]) -> DigestIndex | None:
+        """Digests of this reference on disk; a reference that is a table has no name to keep them under."""
+        root = self.index_path or (self.save_stats_path if self._index_only else None)
+        return DigestIndex(self.spark, str(root), str(self.reference), sites) if root and not isinstance(self.reference, DataFrame) else None
+
+    def _digested(self, sites: frozenset[RestrictionSite]) -> tuple[DataFrame | None, DataFrame]:
+        """Fragments (none without sites) and sequences: from the index if it holds them, else made and kept there."""
+        index, chunks, reach = self._index(sites), self.chunks, digest.reach_of(sites)
+        found = [index.get("fragments") if sites else None, index.get("sequences")] if index else [None, None]
+        if found[1] is not None and (found[0] is not None or not sites):
+            return found[0], found[1]
+        frags = digest.fragments(chunks(), sites, reach) if sites else None
+        sequences = digest.sequence_table(None if sites else chunks(), frags)
+        if index:
+            return index.put("fragments", frags) if sites else None, index.put("sequences", sequences)
+        return frags, Workspace(self.spark, "sequences").table(sequences, "sequences")
+
+    def aligned_digest(self) -> DataFrame:
+        """The digest with filled overhangs: from the index if it holds it, else made (and kept there, if there is one)."""
+        sites = self.sites()
+        make = lambda: digest.aligner_digest(self.chunks(), sites, reach=digest.reach_of(sites))
+        index = self._index(sites)
+        return index.get_or_put("aligned", make) if index else make()
 
     def genome(self) -> DataFrame:
         ref = self.reference
@@ -226,31 +252,54 @@ class Pipeline:
         for name, n in sorted(counts.items()):
             self.logger.info("%s: %d records (%.2f %%)", name, n, 100 * n / total)
 
+    def _write_outputs(self, sites: frozenset[RestrictionSite], sequences: DataFrame) -> None:
+        """One job over the records for each form of output, however many outputs there are."""
+        forms: dict[tuple[str, bool], list[str]] = {}
+        for path, (_, sort) in self._outputs.items():
+            kind = path.rsplit(".", 1)[-1] if path.endswith((".sam", ".bam")) else "parquet"
+            if kind == "sam" and sort:
+                self.logger.warning("%s is text and stays unsorted", path)
+            forms.setdefault((kind, sort and kind != "sam"), []).append(path)
+        for (kind, sort), paths in forms.items():
+            classes = [self._outputs[p][0] for p in paths]
+            part = sinks.routed(self.tagged, classes)
+            if sort:
+                part = sinks.coordinate_sorted(part, sequences, ["route"])
+            head = self._header
+            if kind == "bam" and not any(x.startswith("@SQ") for x in head):
+                lines = [f"@SQ\tSN:{r['name']}\tLN:{r['length']}" for r in sequences.orderBy("seq_idx").select("name", "length").toLocalIterator()]  # the form lists them all
+                head = [x for x in head if x.startswith("@HD")] + lines + [x for x in head if not x.startswith("@HD")]
+            if kind == "bam" and sort:
+                fields = next((x.split("\t")[1:] for x in head if x.startswith("@HD")), ["VN:1.6"])
+                head = ["\t".join(["@HD", *(f for f in fields if not f.startswith(("SO:", "GO:"))), "SO:coordinate"])] + [x for x in head if not x.startswith("@HD")]
+            own = [[c for n in names for c in sinks.classes_of(n)] for names in classes]
+            headers = [header.output_header(head, "@PG\tID:chromaloom\tPN:chromaloom", c, self.min_mapq, sites) for c in own]
+            if kind == "sam":
+                sinks.write_sams(part, headers, paths)
+            elif kind == "bam":
+                sinks.write_bams(part if sort else part.sortWithinPartitions("route"), headers, paths)
+            else:
+                sinks.write_parquets(part, paths, by_class=not sort)
+
     def _run(self) -> Stats | None:
         sites = self.sites()
-        chunks = self.chunks()
-        frags = digest.fragments(chunks, sites) if sites else None
         if self._index_only:
-            digest.aligner_digest(self.genome(), sites).write.mode("overwrite").parquet(f"{self._needed('save_stats_path')}/{digest.cache_key(str(self.reference), sites)}")
+            if isinstance(self.reference, DataFrame):
+                self.aligned_digest().write.mode("overwrite").parquet(f"{self._needed('save_stats_path')}/{digest.cache_key('table', sites)}/aligned")
+            else:
+                self._needed("index_path" if self.index_path else "save_stats_path")
+                self.aligned_digest()
             return None
         if self._input is None:
             raise SettingError("no input is registered")
-        sequences = Workspace(self.spark, "sequences").table(digest.sequence_table(chunks, frags), "sequences")
+        frags, sequences = self._digested(sites)
         # The input is read, classified and paired once; outputs and statistics derive from this table.
         classified = reads.classify(self._input(), sequences, frags, self.min_mapq)
         done = Workspace(self.spark, "records").table(pairs.resolve(classified), "records")
         found = pairs.pairs_of(done)
         self._log(done)
-        self.tagged = reads.tags(done.drop("pair"), frags)
-        for path, (classes, sort) in self._outputs.items():
-            part = self.tagged.filter(self.tagged["hc"].isin(*[c for n in classes for c in sinks.classes_of(n)]))
-            if path.endswith(".sam"):
-                if sort:
-                    self.logger.warning("%s is text and stays unsorted", path)
-                own = [c for n in classes for c in sinks.classes_of(n)]
-                sinks.write_sam(part, header.output_header(self._header, "@PG\tID:chromaloom\tPN:chromaloom", own, self.min_mapq, sites), path)
-            else:
-                sinks.write_parquet(sinks.coordinate_sorted(part, sequences) if sort else part, path, by_class=not sort)
+        self.tagged = reads.tags(done.drop("pair"))
+        self._write_outputs(sites, sequences)
         result = Stats(done, found, sequences, bool(self.dense_contacts))
         if self.save_stats_path:
             result.save(str(self.save_stats_path))

@@ -157,7 +157,7 @@ fc as (select cl.* exclude (hc), coalesce(cl.hc, p, 'DM') as hc from cl left joi
 @query("tagged_reads", FINAL + """ select qname, line_no, 'hc:Z:' || hc || case when fr.frag_id is null then '' else chr(9) || 'rf:B:I,' || fr.frag_id || ',' || fr.frag_start || ',' || frag_end end as tags
   from fc left join fr on fc.frag_id = fr.frag_id""")
 def tagged_reads(run: Run) -> DataFrame:
-    return reads.tags(run.final, run.frags).select("qname", "line_no", "tags")
+    return reads.tags(run.final).select("qname", "line_no", "tags")
 
 
 @query("pair_classes", PAIRS + " select hc, count(*)::bigint as pairs from pr group by hc")
@@ -393,7 +393,7 @@ def trim_reads(run: Run) -> DataFrame:
     primary = run.records.filter(F.col("flag").bitwiseAND(0x900) == 0)
     placed = primary.join(contigs, "rname", "left").withColumn("_at", F.when(F.col("pos") > 0, F.least(F.col("pos"), F.col("_contig")) - 1))
     filled = F.when(F.col("front_fwd"), F.col("front")).otherwise(0).cast("long")
-    held = asof.lookup(placed, cut.select("seq_idx", F.struct("frag_name", filled.alias("filled")).alias("frag_id"), "frag_start", "frag_end", F.col("frag_end").alias("frag_next")), "_at")
+    held = asof.lookup(placed, cut.select("seq_idx", F.struct("frag_name", filled.alias("filled")).alias("frag_id"), "frag_start", "frag_end", F.col("frag_end").alias("frag_next")), "_at").drop("frag_end")
     primary = held.withColumn("rname", F.coalesce("frag_id.frag_name", "rname")).withColumn("pos", F.coalesce(F.col("pos") - F.col("frag_start") + F.col("frag_id.filled"), "pos"))
     frags = trim.parse_fragment_names(cut.select(F.col("frag_name").alias("rname"), "length"))
     part = lambda text: F.substr(F.lit(text), (1 + F.col("line_no") % 12).cast("int"), query_length(F.col("cigar")).cast("int"))

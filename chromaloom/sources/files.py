@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import blocks
+from .bam import NUMBERS, OPERATIONS, bases_of, qualities_of
 
 FIELDS = ["qname", "flag", "rname", "pos", "mapq", "cigar"]
 
@@ -90,12 +91,6 @@ def sam_to_fastq(records: DataFrame, keep_tags: list[str] | None = None) -> Data
     )
 
 
-_CIGAR, _BASES = "MIDNSHP=X", "=ACMGRSVTWYHKDBN"
-
-
-_TAG_NUMBERS = {"c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
-
-
 def _bam_header(data: bytes):
     """(header text, names and lengths of sequences, where records begin) of unpacked bytes of a BAM file."""
     if data[:4] != b"BAM\x01"[: len(data)]:
@@ -126,11 +121,11 @@ def _bam_tags(data: bytes, p: int, end: int) -> list[str]:
             value, p = data[p:stop].decode(), stop + 1
         elif kind == "B":
             of, n = chr(data[p]), struct.unpack_from("<i", data, p + 1)[0]
-            form = f"<{n}{_TAG_NUMBERS[of]}"
+            form = f"<{n}{NUMBERS[of]}"
             value = ",".join([of, *(shown(of, x) for x in struct.unpack_from(form, data, p + 5))])
             p += 5 + struct.calcsize(form)
         else:
-            form = f"<{_TAG_NUMBERS[kind]}"
+            form = f"<{NUMBERS[kind]}"
             value, p = shown(kind, struct.unpack_from(form, data, p)[0]), p + struct.calcsize(form)
             kind = "f" if kind == "f" else "i"
         tags.append(f"{tag}:{kind}:{value}")
@@ -154,12 +149,11 @@ def _bam_parser(names: list[str]):
         p = begin + 36
         qname = data[p : p + nl - 1].decode()
         p += nl
-        cigar = "".join(f"{x >> 4}{_CIGAR[x & 15]}" for x in struct.unpack_from(f"<{ops}I", data, p)) or "*"
+        cigar = "".join(f"{x >> 4}{OPERATIONS[x & 15]}" for x in struct.unpack_from(f"<{ops}I", data, p)) or "*"
         p += 4 * ops
-        seq = "".join(_BASES[(data[p + i // 2] >> (4 if i % 2 == 0 else 0)) & 15] for i in range(bases)) or "*"
+        seq = bases_of(data, p, bases)
         p += (bases + 1) // 2
-        raw = data[p : p + bases]
-        qual = "*" if not bases or raw[0] == 255 else "".join(chr(x + 33) for x in raw)
+        qual = qualities_of(data, p, bases)
         name = lambda i: names[i] if i >= 0 else "*"
         mate = "=" if mref == ref and ref >= 0 else name(mref)
         return qname, flag, name(ref), pos + 1, mapq, cigar, "\t".join([mate, str(mpos + 1), str(tlen), seq, qual, *_bam_tags(data, p + bases, end)])
