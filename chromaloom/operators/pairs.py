@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.alignments import unclipped_five_prime
+from .tables import Workspace
 
 CARRIED = ["line_no", "seq_idx", "read_start", "frag_id", "frag_start", "frag_next", "site_dist", "is_reverse"]
 
@@ -126,11 +127,15 @@ def five_end(records: DataFrame) -> DataFrame:
     return kept.withColumn("flag", flag.cast("int")).drop("_side", "_five", "_n", "_fives", "_at")
 
 
-def mark_duplicates(reads: DataFrame) -> DataFrame:
-    """Sets bit 0x400 on all but one of the templates with equal 5' ends and strands of both mates.
+#: A name with coordinates on a flow cell: what comes before x is the tile.
+PLACE = r"^(.*):([0-9]{1,9}):([0-9]{1,9})(?:[#/].*)?$"
+OPTICAL = 100
 
-    5' ends count clipped bases.  The template with the highest sum of base qualities of 15 and more
-    (from ``rest``, if there is such a column) stays; ties go to the least name.
+
+def templates_of(reads: DataFrame) -> DataFrame:
+    """(qname, quality, low, high, single) of every template: both 5' ends in order, and the sum of base qualities.
+
+    5' ends count clipped bases; qualities of 15 and more count, from ``rest``, if there is such a column.
     """
     primary = reads.filter(F.col("flag").bitwiseAND(0x904) == 0)
     end = F.struct("rname", unclipped_five_prime(F.col("pos"), F.col("flag"), F.col("cigar")).alias("at"), (F.col("flag").bitwiseAND(16) != 0).alias("rev"))
@@ -138,12 +143,49 @@ def mark_duplicates(reads: DataFrame) -> DataFrame:
     phred = F.transform(F.split(F.when(shown == "*", F.lit("")).otherwise(shown), ""), lambda c: F.ascii(c) - 33)
     quality = F.aggregate(F.filter(phred, lambda q: q >= 15), F.lit(0).cast("long"), lambda a, q: a + q)
     ends = primary.select("qname", quality.alias("quality"), (F.col("flag").bitwiseAND(64) != 0).alias("one"), end.alias("end"))
-    templates = ends.groupBy("qname").agg(F.min(F.when(F.col("one"), F.col("end"))).alias("a"), F.min(F.when(~F.col("one"), F.col("end"))).alias("b"), F.sum("quality").alias("quality"))
-    key = [F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"), (F.col("a").isNull() | F.col("b").isNull()).alias("single")]
-    templates = templates.select("qname", "quality", *key)
-    best = templates.groupBy("low", "high", "single").agg(F.min(F.struct(-F.col("quality"), "qname")).alias("best"))
-    same = templates.join(best, (templates["low"] == best["low"]) & (templates["high"] == best["high"]) & (templates["single"] == best["single"]))
-    repeats = same.filter(F.col("qname") != F.col("best.qname")).select("qname", F.lit(0x400).alias("_dup"))
-    out = reads.join(repeats, "qname", "left")
-    flag = F.when(F.col("flag").bitwiseAND(0x904) == 0, F.col("flag").bitwiseOR(F.coalesce("_dup", F.lit(0)))).otherwise(F.col("flag"))
-    return out.select(*[flag.cast("int").alias("flag") if c == "flag" else F.col(c) for c in reads.columns])
+    found = ends.groupBy("qname").agg(F.min(F.when(F.col("one"), F.col("end"))).alias("a"), F.min(F.when(~F.col("one"), F.col("end"))).alias("b"), F.sum("quality").alias("quality"))
+    return found.select("qname", "quality", F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"), (F.col("a").isNull() | F.col("b").isNull()).alias("single"))
+
+
+def duplicates(reads: DataFrame, optical: int = OPTICAL) -> DataFrame:
+    """(qname, original, dt) of the templates whose 5' ends and strands are those of another that stays.
+
+    The template with the highest sum of qualities stays; ties go to the least name.  ``dt`` is SQ (a copy
+    made in sequencing) if another template of the set, the one that stays included, lies on the same tile
+    within ``optical`` in x and in y, by the coordinates in the names; LB (made in the library) otherwise.
+    Places are met by cells of a grid: a semi-join on (set, tile, cell) with the nine cells around, which makes no pairs.
+    """
+    templates = templates_of(reads)
+    best = templates.groupBy(F.col("low").alias("_low"), F.col("high").alias("_high"), F.col("single").alias("_single"))
+    best = best.agg(F.min(F.struct(-F.col("quality"), "qname")).alias("best"), F.count("*").alias("n")).filter("n > 1")
+    same = templates.join(best, (F.col("low") == F.col("_low")) & (F.col("high") == F.col("_high")) & (F.col("single") == F.col("_single")))
+    same = same.select("qname", F.col("best.qname").alias("original"))
+    part = lambda k: F.regexp_extract("qname", PLACE, k)
+    cell = lambda c: F.floor(F.col(c) / (optical + 1))
+    members = Workspace(reads.sparkSession, "duplicates").table(
+        same.select("qname", "original", part(1).alias("tile"), part(2).try_cast("long").alias("x"), part(3).try_cast("long").alias("y")), "members"
+    )
+    placed = members.filter("x is not null and y is not null").withColumn("cx", cell("x")).withColumn("cy", cell("y"))
+    around = F.explode(F.array(*[F.struct((F.col("cx") + i).alias("cx"), (F.col("cy") + j).alias("cy")) for i in (0, -1, 1) for j in (0, -1, 1)]))
+    asking = placed.filter("qname <> original").select("qname", "original", "tile", "x", "y", around.alias("c")).select("qname", "original", "tile", "x", "y", "c.cx", "c.cy").alias("l")
+    near = (F.abs(F.col("l.x") - F.col("r.x")) <= optical) & (F.abs(F.col("l.y") - F.col("r.y")) <= optical) & (F.col("l.qname") != F.col("r.qname"))
+    equal = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("original", "tile", "cx", "cy")]
+    close = asking.join(placed.alias("r"), [*equal, near], "left_semi").select(F.col("qname").alias("_close")).distinct()
+    out = members.filter("qname <> original").join(close, F.col("qname") == F.col("_close"), "left")
+    return out.select("qname", "original", F.when(F.col("_close").isNotNull(), "SQ").otherwise("LB").alias("dt"))
+
+
+def mark_duplicates(reads: DataFrame, supplementary: bool = True, optical: int = OPTICAL) -> DataFrame:
+    """Sets bit 0x400 on the primary records of duplicates, and on their supplementary ones unless told not to.
+
+    If there is a column ``rest``, marked records get a tag dt:Z with the kind of their duplicate.
+    """
+    found = duplicates(reads, optical).select("qname", "dt")
+    out = reads.join(found, "qname", "left")
+    flag = F.col("flag")
+    kind = flag.bitwiseAND(0x904)
+    marked = F.col("dt").isNotNull() & ((kind == 0) | (F.lit(supplementary) & (kind == 0x800)))
+    new = {"flag": F.when(marked, flag.bitwiseOR(0x400)).otherwise(flag).cast("int")}
+    if "rest" in reads.columns:
+        new["rest"] = F.when(marked, F.concat_ws("\t", "rest", F.concat(F.lit("dt:Z:"), "dt"))).otherwise(F.col("rest"))
+    return out.select(*[new[c].alias(c) if c in new else F.col(c) for c in reads.columns])

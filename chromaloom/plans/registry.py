@@ -352,19 +352,44 @@ def five_end_filter(run: Run) -> DataFrame:
     return pairs.five_end(run.records).select("qname", "line_no", "flag")
 
 
-@query("duplicate_marking", READS + f""",
-qu as (select *, substring('{surrogate.PHRED}', (1 + line_no % 12)::int, query_len::int) as qual, regexp_extract(cigar, '^([0-9]+)[SH]', 1) as c1, regexp_extract(cigar, '([0-9]+)[SH]$', 1) as c2 from rl),
+#: Duplicate templates ``ra`` with the rank k of each in its set, of the records ``rl``.
+DUPLICATES = f""",
+qu as (select *, substring('{surrogate.PHRED}', (1 + line_no % 12)::int, query_len::int) as qual, regexp_extract(cigar, '^([0-9]+)[SH]', 1) as c1, regexp_extract(cigar, '([0-9]+)[SH]$', 1) as c2 from rx),
 pm as (select qname, list_sum(list_transform(string_split(qual, ''), lambda x: case when x <> '' and ascii(x) >= 48 then ascii(x) - 33 else 0 end)) as q, flag & 64 <> 0 as one,
               {{'rname': rname, 'p': case when flag & 16 <> 0 then pos + ref_len - 2 + coalesce(try_cast(c2 as bigint), 0) else pos - 1 - coalesce(try_cast(c1 as bigint), 0) end, 'rev': flag & 16 <> 0}} as e
        from qu where flag & 2308 = 0),
 te as (select qname, min(e) filter (where one) as a, min(e) filter (where not one) as b, sum(q) as q from pm group by qname),
-ke as (select qname, q, least(a, b) as lo, greatest(a, b) as hi, a is null or b is null as single from te),
-ra as (select qname, row_number() over (partition by lo, hi, single order by q desc, qname) as k from ke)
-select rd.qname, line_no, (case when flag & 2308 = 0 and coalesce(k, 1) > 1 then flag | 1024 else flag end)::int as flag from rd left join ra on rd.qname = ra.qname""")
-def duplicate_marking(run: Run) -> DataFrame:
+ke as (select qname, q, least(a, b) as lo, greatest(a, b) as hi, a is null or b is null as alone from te),
+ra as (select qname, row_number() over w as k, first_value(qname) over w as original from ke window w as (partition by lo, hi, alone order by q desc, qname))"""
+
+
+def _with_qualities(records: DataFrame) -> DataFrame:
     qual = F.substr(F.lit(surrogate.PHRED), (1 + F.col("line_no") % 12).cast("int"), query_length(F.col("cigar")).cast("int"))
-    records = run.records.withColumn("rest", F.concat(F.lit("*\t0\t0\t*\t"), qual))
-    return pairs.mark_duplicates(records).select("qname", "line_no", "flag")
+    return records.withColumn("rest", F.concat(F.lit("*\t0\t0\t*\t"), qual))
+
+
+@query("duplicate_marking", READS + ", rx as (select * from rl)" + DUPLICATES + """
+select rd.qname, line_no, (case when flag & 2308 in (0, 2048) and coalesce(k, 1) > 1 then flag | 1024 else flag end)::int as flag from rd left join ra on rd.qname = ra.qname""")
+def duplicate_marking(run: Run) -> DataFrame:
+    return pairs.mark_duplicates(_with_qualities(run.records)).select("qname", "line_no", "flag")
+
+
+@query("optical_duplicates", READS + """,
+rx as (select * replace ('i:1:f:1:' || (substring(qname, 2)::bigint % 3) || ':' || (substring(qname, 2)::bigint * 37 % 900) || ':' || (substring(qname, 2)::bigint * 91 % 700) || '#' || qname as qname,
+                         's' || (substring(qname, 2)::bigint % 11) as rname, 1 + pos % 5 as pos, (query_len // 20 + 1)::bigint as ref_len, (query_len // 20 + 1) || 'M' as cigar) from rl)""" + DUPLICATES + """,
+pl as (select *, regexp_extract(qname, '^(.*):([0-9]+):([0-9]+)#', 1) as tile, regexp_extract(qname, '^(.*):([0-9]+):([0-9]+)#', 2)::bigint as x, regexp_extract(qname, '^(.*):([0-9]+):([0-9]+)#', 3)::bigint as y from ra),
+op as (select distinct l.qname from pl l join pl r on l.original = r.original and l.tile = r.tile and l.qname <> r.qname and abs(l.x - r.x) <= 100 and abs(l.y - r.y) <= 100 where l.k > 1)
+select rx.qname, line_no, (flag | 1024)::int as flag, case when op.qname is null then 'LB' else 'SQ' end as dt from rx join ra on rx.qname = ra.qname and k > 1 left join op on rx.qname = op.qname where flag & 2308 in (0, 2048)""")
+def optical_duplicates(run: Run) -> DataFrame:
+    """Marked records of line items that are dealt out to eleven sequences of five positions and three tiles."""
+    order = F.substring("qname", 2, 20).cast("long")
+    text = lambda x: x.cast("string")
+    named = F.concat(F.lit("i:1:f:1:"), text(order % 3), F.lit(":"), text(order * 37 % 900), F.lit(":"), text(order * 91 % 700), F.lit("#"), "qname")
+    records = _with_qualities(run.records)
+    records = records.withColumns({"_q": named, "rname": F.concat(F.lit("s"), text(order % 11)), "pos": 1 + F.col("pos") % 5, "cigar": F.concat(text(F.floor(query_length(F.col("cigar")) / 20) + 1), F.lit("M"))})
+    out = pairs.mark_duplicates(records.withColumn("qname", F.col("_q")).drop("_q"))
+    kind = F.regexp_extract("rest", "\tdt:Z:(..)$", 1)
+    return out.filter(F.col("flag").bitwiseAND(1024) != 0).filter(kind != "").select("qname", "line_no", "flag", kind.alias("dt"))
 
 
 @query("primary_reads", READS + " select qname, line_no, case when flag & 64 <> 0 then 1 when flag & 128 <> 0 then 2 else 0 end as mate from rd where flag & 2304 = 0")

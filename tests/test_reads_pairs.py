@@ -216,3 +216,41 @@ def test_dense_frame_of_unmerged_sequences(spark):
                 want[f"c{a}", f"c{b}", kind.lower(), False] = float(n)
                 want[f"c{a}", f"c{b}", kind.lower(), True] = n / (size[a] * size[b]) if size[a] * size[b] else None
     assert len(got) == len(want) and {tuple(r)[:4]: r["count"] for r in got} == want
+
+
+def test_duplicates_of_supplementary_records_and_optical_copies(spark):
+    """Against brute force: five sets, tiles and distances on both sides of the limit, names without coordinates."""
+    import random
+
+    rng = random.Random(11)
+    rows, templates = [], []
+    for i in range(120):
+        at = rng.randrange(5)
+        name = f"n{i}" if i % 10 == 0 else f"m:1:f:1:{rng.randrange(2)}:{rng.randrange(0, 1200, 50)}:{rng.randrange(0, 800, 100)}{rng.choice(['', '#ACGT', '/1'])}"
+        if name in {t[0] for t in templates}:
+            continue
+        quality = rng.randrange(20, 40)
+        templates.append((name, at, quality))
+        shown = "*\t0\t0\t*\t" + chr(quality + 33) * 10
+        rows += [(name, 65, "c", 10 + at, "10M", shown), (name, 129, "c", 300, "10M", shown), (name, 65 | 2048, "c", 50, "10M", shown), (name, 65 | 256, "c", 50, "10M", shown)]
+    places = {t[0]: __import__("re").fullmatch(r"(.*):(\d+):(\d+)([#/].*)?", t[0]) for t in templates}
+    want = {}
+    for name, at, _ in templates:
+        members = [t for t in templates if t[1] == at]
+        stays = min(members, key=lambda t: (-t[2], t[0]))[0]
+        if name == stays:
+            continue
+        near = False
+        for other, *_ in members:
+            a, b = places[name], places[other]
+            if other != name and a and b and a[1] == b[1]:
+                near |= abs(int(a[2]) - int(b[2])) <= 100 and abs(int(a[3]) - int(b[3])) <= 100
+        want[name] = "SQ" if near else "LB"
+    table = spark.createDataFrame(rows, "qname string, flag int, rname string, pos long, cigar string, rest string")
+    assert {r["qname"]: r["dt"] for r in pairs.duplicates(table).collect()} == want and set(want.values()) == {"SQ", "LB"}
+    marked = pairs.mark_duplicates(table).filter("flag & 1024 <> 0").collect()
+    assert len(marked) == 3 * len(want) and not any(r["flag"] & 256 for r in marked) and sum(r["flag"] & 2048 > 0 for r in marked) == len(want)
+    assert {(r["qname"], r["rest"].rsplit("\t", 1)[1]) for r in marked} == {(q, f"dt:Z:{k}") for q, k in want.items()}
+    assert pairs.mark_duplicates(table, supplementary=False).filter("flag & 1024 <> 0").count() == 2 * len(want)
+    closer = {r["qname"]: r["dt"] for r in pairs.duplicates(table, optical=0).collect()}
+    assert set(closer) == set(want) and sum(k == "SQ" for k in closer.values()) < sum(k == "SQ" for k in want.values())
