@@ -4,10 +4,15 @@ One pass over whole texts measures each document.  Mergeable quantile sketches (
 buckets of relative width ``GROWTH``, merged by adding counts) hold the distribution of each
 measure per language and source.  To each group's sketch that of its language is added as if it
 were ``PRIOR`` more documents, to that of a language the sketch of all documents in the same way: a small
-group leans on its language, a large one on itself, without a switch at some size.  From the
-quartiles q1 and q3 of its sketch every group gets its own fences, q3 + ``REACH``
-(q3 - q1 + slack) and, for word length, also q1 - REACH (q3 - q1 + slack); the thresholds are
-joined to the documents and filter them.
+group leans on its language, a large one on itself, without a switch at some size.  From its sketch every
+group gets its own fences; the thresholds are joined to the documents and filter them.
+
+* Marks, capitals and word length: from the quartiles q1 and q3, q3 + ``REACH`` (q3 - q1 + slack) and,
+  for word length, also q1 - REACH (q3 - q1 + slack).
+* Symbols, repeated lines and repeated triples are 0 in most documents of most groups.  Their fence is the geometric mean of
+  the group's 90th percentile among documents that have any, and of a scale that tells what is much
+  in itself; and q3 + REACH (q3 - q1), if that is more.  So a group whose documents use some symbols, or many, gets another fence
+  than one where only junk has any.
 
 Measures: symbols, repeated lines, words in repeated triples, punctuation marks and capitals,
 each as a share, and characters per word.
@@ -32,16 +37,20 @@ MAX_REPEATED = 50  # per cent of words
 GROWTH = 1.02
 PRIOR = 100  # documents
 REACH = 3.0
-#: Measure: column expression, slack, whether low values fail too.
+#: Percentile of the documents with any that sparse measures go by.
+UPPER = 90
+#: Measure: column expression, slack (scale of sparse measures), whether low values fail too.
 MEASURES: dict[str, tuple[str, float, bool]] = {
     "symbols": ("n_symbols / word_chars", 0.01, False),
-    "dup_lines": ("n_dup_lines / n_lines", 0.2, False),
-    "repeats": ("n_repeat_words / n_words", 0.15, False),
+    "dup_lines": ("n_dup_lines / n_lines", 1.0, False),
+    "repeats": ("n_repeat_words / n_words", 1.0, False),
     "marks": ("n_marks / word_chars", 0.01, False),
     "capitals": ("n_capitals / word_chars", 0.02, False),
     "word_length": ("word_chars / n_words", 0.5, True),
 }
 
+SPARSE = ("symbols", "dup_lines", "repeats")
+
 _INSIDE, _IN_LINE = separators(), separators(b"\n")
 _SYMBOL = ~separators(b"#*$%&|<>")
 _MARK = ~separators(b"!\"'()+,-./:;=?@[\\]^_`{}~")
@@ -153,11 +162,14 @@ def thresholds(sketch: DataFrame, groups: DataFrame) -> DataFrame:
     table = table.withColumn("upto", whole(F.sum("weight").over(W.partitionBy(*key).orderBy("bucket"))))
     value = F.when(F.col("bucket") == 0, 0.0).otherwise(F.pow(F.lit(GROWTH), F.col("bucket") - 0.5) / 1e6)
     quartile = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("all") * q, value))
-    fences = table.groupBy(*key).agg(quartile(1).alias("q1"), quartile(3).alias("q3"))
+    table = table.withColumn("none", F.sum(F.when(F.col("bucket") == 0, F.col("weight")).otherwise(whole(F.lit(0)))).over(W.partitionBy(*key)))
+    upper = F.min(F.when((F.col("bucket") > 0) & ((F.col("upto") - F.col("none")) * 100 >= (F.col("all") - F.col("none")) * UPPER), value))
+    fences = table.groupBy(*key).agg(quartile(1).alias("q1"), quartile(3).alias("q3"), upper.alias("upper"))
     slack = F.create_map(*[F.lit(y) for k, (_, s, _) in MEASURES.items() for y in (k, s)])[F.col("measure")]
     low = F.create_map(*[F.lit(y) for k, (_, _, b) in MEASURES.items() for y in (k, b)])[F.col("measure")]
     reach = REACH * (F.col("q3") - F.col("q1") + slack)
-    fences = fences.withColumn("high", F.col("q3") + reach).withColumn("low", F.when(low, F.col("q1") - reach))
+    sparse = F.greatest(F.col("q3") + REACH * (F.col("q3") - F.col("q1")), F.sqrt(slack * F.coalesce("upper", F.lit(0.0))))
+    fences = fences.withColumn("high", F.when(F.col("measure").isin(*SPARSE), sparse).otherwise(F.col("q3") + reach)).withColumn("low", F.when(low, F.col("q1") - reach))
     return fences.groupBy(F.col("lang").alias("_lang"), F.col("source").alias("_source")).agg(
         *[F.max(F.when(F.col("measure") == k, F.col(side))).alias(f"{k}_{side}") for k in MEASURES for side in ("low", "high")]
     )
@@ -205,18 +217,18 @@ so as (select lang, source, measure, sum(n)::hugeint as n from o group by all),
 sl as (select lang, measure, sum(n)::hugeint as n from o group by all),
 sa as (select measure, sum(n)::hugeint as n from o group by all),
 g as (select distinct lang, source, measure, slack, two from k),
-q as (select g.*, al.bucket, sa.n * (sl.n + 100) * (so.n + 100) as total,
-             sum(coalesce(o.n, 0) * sa.n * (sl.n + 100) + 100 * (coalesce(la.n, 0) * sa.n + 100 * al.n))
-               over (partition by g.lang, g.source, g.measure order by al.bucket) as upto,
+qq as (select g.*, al.bucket, coalesce(o.n, 0) * sa.n * (sl.n + 100) + 100 * (coalesce(la.n, 0) * sa.n + 100 * al.n) as weight, sa.n * (sl.n + 100) * (so.n + 100) as total,
              case when al.bucket = 0 then 0 else pow(1.02::double, al.bucket - 0.5) / 1e6 end as val
       from g join sa on sa.measure = g.measure join al on al.measure = g.measure
       join sl on sl.lang is not distinct from g.lang and sl.measure = g.measure
       join so on so.lang is not distinct from g.lang and so.source is not distinct from g.source and so.measure = g.measure
       left join la on la.lang is not distinct from g.lang and la.measure = g.measure and la.bucket = al.bucket
       left join o on o.lang is not distinct from g.lang and o.source is not distinct from g.source and o.measure = g.measure and o.bucket = al.bucket),
-f as (select lang, source, measure, slack, two, min(case when upto * 4 >= total then val end) as q1, min(case when upto * 4 >= total * 3 then val end) as q3
+q as (select *, sum(weight) over (partition by lang, source, measure order by bucket) as upto, sum(case when bucket = 0 then weight else 0 end) over (partition by lang, source, measure) as none from qq),
+f as (select lang, source, measure, slack, two, min(case when upto * 4 >= total then val end) as q1, min(case when upto * 4 >= total * 3 then val end) as q3,
+             min(case when bucket > 0 and (upto - none) * 100 >= (total - none) * 90 then val end) as upper
       from q group by all),
-h as (select *, q3 + 3 * (q3 - q1 + slack) as high, case when two then q1 - 3 * (q3 - q1 + slack) end as low from f),
+h as (select *, case when measure in ('symbols', 'dup_lines', 'repeats') then greatest(q3 + 3 * (q3 - q1), sqrt(slack * coalesce(upper, 0))) else q3 + 3 * (q3 - q1 + slack) end as high, case when two then q1 - 3 * (q3 - q1 + slack) end as low from f),
 x as (select k.doc_id, k.o, k.measure, h.high, h.low, v
       from k join h on h.lang is not distinct from k.lang and h.source is not distinct from k.source and h.measure = k.measure),
 w as (select doc_id, arg_min(measure, o) as failed_measure from x where v > high or v < low group by doc_id)

@@ -166,6 +166,29 @@ def test_adaptive_thresholds(spark):
     assert quality.apply_rules(docs(spark, [])).count() == 0
 
 
+def test_equal_texts_in_other_groups(spark):
+    """The same text stays where such texts are usual and goes where they are not; fences differ in every sparse measure."""
+    rng = random.Random(13)
+    lines = lambda n, k: "\n".join([prose(rng, 9) for _ in range(n - k)] + [prose(rng, 9)] * (k + 1))
+    triples = lambda n, k: " ".join([prose(rng, n - 3 * k), *([prose(rng, 3)] * k)])
+    signs = lambda k: " ".join(w + "$" * (i < k) for i, w in enumerate(prose(rng, 100).split()))
+    rows = [(i, prose(rng, 120) if i % 4 else [signs(1), lines(20, 1), triples(120, 2)][i // 4 % 3], "en", "plain") for i in range(600)]
+    for k in range(300):
+        rows.append((1000 + k, signs(rng.randrange(30, 100)), "c", "code"))
+        rows.append((2000 + k, lines(20, rng.randrange(3, 9)), "l", "lists"))
+        rows.append((3000 + k, triples(120, rng.randrange(4, 17)), "f", "forms"))
+    shared = {"symbols": (signs(70), "c", "code"), "dup_lines": (lines(20, 8), "l", "lists"), "repeats": (triples(120, 15), "f", "forms")}
+    rows += [(5000 + 2 * i + j, text, *[(lang, usual), ("en", "plain")][j]) for i, (text, lang, usual) in enumerate(shared.values()) for j in (0, 1)]
+    got = {r["doc_id"]: r for r in quality.apply_rules(docs(spark, rows)).collect()}
+    for i, name in enumerate(shared):
+        here, there = got[5000 + 2 * i], got[5001 + 2 * i]
+        assert not here["base_failed"] and here["kept"] and not there["kept"] and there["failed_measure"] == name
+    assert sum(got[i]["kept"] for i in range(600)) > 570
+    table = quality.measured(docs(spark, rows))
+    fences = quality.thresholds(quality.sketches(table), table.select("lang", "source").distinct()).collect()
+    assert all(len({r[f"{m}_high"] for r in fences}) > 2 for m in quality.SPARSE)
+
+
 def labelled(spark, n):
     rng = random.Random(7)
     bad = ["grobnik", "vilestump", "drecksack"]
