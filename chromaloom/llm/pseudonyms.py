@@ -12,14 +12,16 @@ documents, different ones stay different, and ``inverse=True`` with the key rest
 | card | 13 to 19 digits, plain or in printed groups, Luhn | all digits but the last, which is computed anew |
 | iban | letters, length, check digits mod 97, plain or in printed groups of four | letters and digits of the account, check computed anew |
 | ssn | nnn-nn-nnnn, no reserved group | digits, walking until valid |
-| phone | (nnn) nnn-nnnn or nnn-nnn-nnnn, with or without +1; or + and 8 to 15 digits | digits after the country code |
+| phone | (nnn) nnn-nnnn or nnn-nnn-nnnn, with or without +1; or + and 8 to 15 digits | digits after the country code, whatever the marks between; without a code that of +1 |
 | ipv4 | four numbers up to 255 | the four numbers |
-| date | a real day as yyyy-mm-dd, dd/mm/yyyy or dd.mm.yyyy; or else mm/dd/yyyy; years 0001 to 9999 | the day within its cycle of 400 years, walking until the year has four digits |
+| date | a real day as yyyy-mm-dd, dd/mm/yyyy or dd.mm.yyyy; or else mm/dd/yyyy; years 0001 to 9999 | the day within its cycle of 400 years, walking until the year has four digits and the day of the month is on the same side of the 12th |
 
 Defined results: null stays null, texts without valid matches stay as they are; candidates that
 fail validation are left alone (also a printed IBAN that runs on into a further group of capitals and
 digits).  Repeated rows get equal results.  Columns other than the text pass unchanged; names
-starting with ``_pii`` are refused.  An empty table gives no row.  IPv6 addresses are no kind.
+starting with ``_pii`` are refused.  An empty table gives no row.  Spellings of one phone number, card,
+IBAN or day get the same new number or day, each in its own spelling.  IPv6 addresses, and social security numbers with other
+marks than hyphens, are no kind.
 """
 
 from __future__ import annotations
@@ -164,21 +166,37 @@ def _ssn(text: Column, key: Column, inverse: bool) -> Column:
     return F.when(valid(text), walk(text, lambda v: _permuted(v, _never, key, inverse), valid)).otherwise(text)
 
 
+# Country codes of one and of two digits (ITU-T E.164); all others have three.
+ONE_DIGIT = ("1", "7")
+TWO_DIGITS = ("20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "51", "52", "53", "54", "55", "56", "57", "58",
+              "60", "61", "62", "63", "64", "65", "66", "81", "82", "84", "86", "90", "91", "92", "93", "94", "95", "98")
+
+
 def _phone(text: Column, key: Column, inverse: bool) -> Column:
-    digits = F.length(F.regexp_replace(text, "[^0-9]", ""))
-    country = F.regexp_extract(text, r"^(\+1[ .-]?(?=\()|\+1[ .-]|\+[0-9]{1,3}[ .-]|\+[0-9]{2}|)", 1)
-    rest = F.substr(text, F.length(country) + 1, F.length(text))
-    national = rest.rlike(r"^\(?[0-9]{3}\)? ?[.-]?[0-9]{3}[ .-][0-9]{4}$")
+    digits = F.regexp_replace(text, "[^0-9]", "")
+    part = lambda d, a, n: F.substr(d, F.lit(a), F.lit(n))
+    known = F.when(~text.startswith("+"), 0).when(part(digits, 1, 1).isin(*ONE_DIGIT), 1).when(part(digits, 1, 2).isin(*TWO_DIGITS), 2).otherwise(3)
+    # a number without a country is one of +1: its spellings are one number
+    country = F.when(known == 0, "1").otherwise(F.substr(digits, F.lit(1), known))
+    own = F.substr(digits, known + 1, F.length(digits))
+    national = (country == "1") & (F.length(own) == 10)
 
     def low(base: Column, radix: Column, c: Column, i: Column):
         # first digits of area and exchange stay in 2 to 9, or else in 0 and 1
-        first = national & ((i == F.instr(rest, "(")) | (i == F.length(rest) - 8))
+        first = national & ((i == 0) | (i == 3))
         high = F.ascii(c) >= 50
-        digit = c.rlike("[0-9]")
-        return F.when(first & digit, F.when(high, 50).otherwise(48)).otherwise(base), F.when(first & digit, F.when(high, 8).otherwise(2)).otherwise(radix)
+        return F.when(first, F.when(high, 50).otherwise(48)).otherwise(base), F.when(first, F.when(high, 8).otherwise(2)).otherwise(radix)
+
+    def put(new: Column) -> Column:
+        """The new digits in the places of the old; those of the country stay."""
+        step = lambda s, c: F.struct(
+            F.when(c.rlike("[0-9]"), s["j"] + 1).otherwise(s["j"]).alias("j"),
+            F.concat(s["out"], F.when(c.rlike("[0-9]") & (s["j"] >= known), F.substr(new, s["j"] - known + 1, F.lit(1))).otherwise(c)).alias("out"),
+        )
+        return F.aggregate(F.filter(_characters(text), lambda c: c != ""), F.struct(F.lit(0).alias("j"), F.lit("").alias("out")), step, lambda s: s["out"])
 
-    able = (digits >= 8) & (digits <= 15)
-    return F.when(able, F.concat(country, _permuted(rest, lambda c, i: ~c.rlike("[0-9]"), F.concat(key, country), inverse, low))).otherwise(text)
+    able = F.length(digits).between(8, 15)
+    return F.when(able, let(_permuted(own, _never, F.concat(key, country), inverse, low), put)).otherwise(text)
 
 
 def _ipv4(text: Column, key: Column, inverse: bool) -> Column:
@@ -214,14 +232,12 @@ def _date(text: Column, key: Column, inverse: bool) -> Column:
 
     shown = lambda n, form: F.date_format(F.date_add(F.lit(_DAY_0), n), form)
     european = lambda n: F.concat(shown(n, "dd"), sep, shown(n, "MM"), sep, shown(n, "yyyy"))
-    four_digits = lambda n: n.between(_FIRST, _LAST)
-    days_first = walk(day, once, four_digits)
-    months_first = walk(american, once, lambda n: four_digits(n) & (shown(n, "dd").cast("int") > 12))
-    return (
-        F.when(day.isNotNull(), let(days_first, lambda n: F.when(iso, shown(n, "yyyy-MM-dd")).otherwise(european(n))))
-        .when(~iso & american.isNotNull(), let(months_first, lambda n: F.concat(shown(n, "MM"), sep, shown(n, "dd"), sep, shown(n, "yyyy"))))
-        .otherwise(text)
-    )
+    # Of mm/dd/yyyy only days after the 12th can be told from dd/mm/yyyy: the walk stays on the side it comes from, in all forms.
+    late = lambda n: shown(n, "dd").cast("int") > 12
+    real = F.coalesce(day, F.when(~iso, american))
+    new = walk(real, once, lambda n: n.between(_FIRST, _LAST) & (late(n) == late(real)))
+    american_of = lambda n: F.concat(shown(n, "MM"), sep, shown(n, "dd"), sep, shown(n, "yyyy"))
+    return F.when(real.isNotNull(), let(new, lambda n: F.when(iso, shown(n, "yyyy-MM-dd")).when(day.isNotNull(), european(n)).otherwise(american_of(n)))).otherwise(text)
 
 
 def _email(text: Column, key: Column, inverse: bool) -> Column:

@@ -2,6 +2,7 @@ import hashlib
 import io
 import random
 import re
+import time
 import zipfile
 from datetime import date, timedelta
 
@@ -93,20 +94,38 @@ def own_characters(text, key):
 
 
 def own_day(n, key):
-    low, high = (date.min - date(1800, 1, 1)).days, (date.max - date(1800, 1, 1)).days
+    zero = date(1800, 1, 1)
+    low, high = (date.min - zero).days, (date.max - zero).days
+    late = lambda x: (zero + timedelta(x)).day > 12
+    side = late(n)
     while True:
         cycle, at = divmod(n, 146097)
         a, b = own_feistel([at // 773, at % 773], [189, 773], f"{key}{cycle}")
         n = cycle * 146097 + a * 773 + b
-        if low <= n <= high:
+        if low <= n <= high and late(n) == side:
             return n
 
 
+def own_phone(v, key):
+    digits = re.sub(r"\D", "", v)
+    known = 0 if v[0] != "+" else 1 if digits[0] in "17" else 2 if digits[:2] in pseudonyms.TWO_DIGITS else 3
+    country, own = digits[:known] or "1", digits[known:]
+    base = [(50, 8) if c >= "2" else (48, 2) if country == "1" and len(own) == 10 and i in (0, 3) else (48, 10) for i, c in enumerate(own)]
+    base = [b if country == "1" and len(own) == 10 and i in (0, 3) else (48, 10) for i, b in enumerate(base)]
+    new = own_feistel([ord(c) - b for c, (b, _) in zip(own, base)], [r for _, r in base], key + country)
+    put = iter(digits[:known] + "".join(chr(b + x) for x, (b, _) in zip(new, base)))
+    return "".join(next(put) if c.isdigit() else c for c in v)
+
+
 def own_pseudonym(kind, v, key):
     key = f"{key}|{kind}"
+    if kind == "phone":
+        return own_phone(v, key)
     if kind == "date":
-        new = date(1800, 1, 1) + timedelta(own_day((date.fromisoformat(v) - date(1800, 1, 1)).days, key))
-        return new.isoformat()
+        form = "%Y-%m-%d" if v[4] == "-" else f"%d{v[2]}%m{v[2]}%Y" if int(v[3:5]) <= 12 else f"%m{v[2]}%d{v[2]}%Y"
+        old = date(*time.strptime(v, form)[:3])
+        new = date(1800, 1, 1) + timedelta(own_day((old - date(1800, 1, 1)).days, key))
+        return form.replace("%Y", f"{new.year:04}").replace("%m", f"{new.month:02}").replace("%d", f"{new.day:02}")
     if kind == "ipv4":
         return ".".join(map(str, own_feistel(list(map(int, v.split("."))), [256] * 4, key)))
     if kind == "card":
@@ -129,6 +148,34 @@ def own_pseudonym(kind, v, key):
     raise ValueError(kind)
 
 
+#: Spellings of one number each.
+PHONES = [
+    ["+1 212-555-1234", "+1-212-555-1234", "212-555-1234", "(212) 555-1234", "+1 (212) 555-1234", "+12125551234", "212.555.1234"],
+    ["+44 20 7946 0958", "+442079460958", "+44-20-7946-0958", "+44 2079 460958"],
+    ["+49 30 1234567", "+49301234567"],
+]
+DAYS = [["2024-03-15", "15/03/2024", "15.03.2024", "03/15/2024"], ["1999-04-05", "05/04/1999", "05.04.1999"], ["0001-12-31", "12/31/0001"]]
+
+
+def test_spellings_of_one_value_are_linked(spark):
+    of = [(x, k) for k, spellings in enumerate(PHONES + DAYS) for x in spellings]
+    table = docs(spark, [(i, f"at {x} now") for i, (x, _) in enumerate(of)])
+    out = pseudonyms.pseudonymise(table, "secret").persist()
+    got = {r["doc_id"]: r["text"][3:-4] for r in out.collect()}
+    for k, spellings in enumerate(PHONES + DAYS):
+        new = [(x, got[i]) for i, (x, own) in enumerate(of) if own == k]
+        assert all(re.sub(r"\d", "9", x) == re.sub(r"\d", "9", y) and x != y for x, y in new)
+        if k < len(PHONES):
+            lone = {"1" * (x[0] != "+" and k == 0) + re.sub(r"\D", "", y) for x, y in new}
+            assert len(lone) == 1, new
+        else:
+            days = {x: y for x, y in new}
+            iso = days[spellings[0]]
+            assert all({y[:4], y[5:7], y[8:]} == {iso[:4], iso[5:7], iso[8:]} if y[4] == "-" else sorted(re.split(r"\D", y)) == sorted(iso.split("-")) for y in days.values()), new
+    back = pseudonyms.pseudonymise(out.drop("_pii_found"), "secret", inverse=True).drop("_pii_found")
+    assert sorted(map(str, back.collect())) == sorted(map(str, table.collect()))
+
+
 def test_pseudonyms_like_brute_force(spark):
     rng = random.Random(4)
     edges = ["0001-01-01", "0001-12-31", "0100-03-01", "0200-02-28", "9800-01-01", "9900-05-05", "9998-01-01", "9999-01-01", "9999-12-31", "1800-01-01", "2199-12-31", "2200-01-01"]
@@ -137,6 +184,8 @@ def test_pseudonyms_like_brute_force(spark):
     of += [("card", x) for x in ("3782 822463 10005", "3782-822463-10005", "378282246310005", "4111 1111 1111 1111", "4222222222222", card(rng), card(rng, 19))]
     of += [("iban", x) for x in ("DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "GB82WEST12345698765432")]
     of += [("email", "Jane.Doe-42@Mail.example.org"), ("email", "x9@y.io"), ("ssn", "123-45-6789"), ("ssn", "665-01-0001")]
+    of += [("date", x) for x in ("03/15/2024", "12/31/0001", "02.29.2000", "29/02/2000", "05/04/1999", "13.01.2020")]
+    of += [("phone", x) for x in (*PHONES[0], *PHONES[1], *PHONES[2], "+7 495 123-45-67", "+351 21 123 4567", "100-020-3000", "+1 23456789")]
     table = docs(spark, [(i, f"on {v} ,") for i, (_, v) in enumerate(of)])
     out = pseudonyms.pseudonymise(table, "secret").persist()
     got = {r["doc_id"]: r["text"][3:-2] for r in out.collect()}
