@@ -13,15 +13,16 @@ every whole text.
 
 Training takes at most ``MOST[label]`` labelled documents per label, those with the least
 md5(seed, doc_id), one text of each (that with the least hash among rows that repeat a doc_id), and of
-all at most about ``SEGMENTS[label]`` segments of up to ``LONGEST`` characters, as many of each
-document, drawn by seed.  Executors cut and draw the segments and score the documents for the
+all at most about ``SEGMENTS[label]`` segments, as many of each document, drawn by seed; a segment of more than
+``LONGEST`` characters counts as several of that length.  Executors cut and draw the segments and score the documents for the
 calibration; the driver gets segments (about 12 MB) and one number per document.  Rows with
 crc32(doc_id as text) mod 4 = 2 are never used.  Labels, lang, source and doc_id are no inputs.
 
 Defined results: a null or wordless text scores the base rate of the labels; so does every text
 if the labels of the documents there are of one class or none (base rate 0 without labels).  A doc_id labelled more
 than once counts as toxic if any label says so; null labels are ignored.  Repeated rows count once
-in training and score alike.  Columns of the input are not touched; names starting with ``_tx_`` are refused.
+in training and score alike.  Texts of any length are read in parts of about ``PIECE`` characters that end where segments do; one
+segment that is longer is summed over parts.  Columns of the input are not touched; names starting with ``_tx_`` are refused.
 An empty table gives no row.
 """
 
@@ -41,6 +42,7 @@ GRAMS = (3, 4, 5)
 MOST = {1: 2000, 0: 4000}
 SEGMENTS = {1: 60_000, 0: 32_000}
 LONGEST = 4096
+PIECE = 1 << 18
 EPOCHS, UPDATES, BATCH, RATE = 6, 150, 256, 1.0
 THRESHOLD = 0.3
 SEED = "tox-1"
@@ -48,7 +50,19 @@ SEED = "tox-1"
 _rng = np.random.default_rng(7)
 _FACTOR = _rng.integers(1, 1 << 62, max(GRAMS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SPACE = np.array(list(SPACES) + [0x85, 0xA0], np.uint32)
-_BETWEEN = re.compile("[" + re.escape("".join(map(chr, _SPACE))) + "]+")
+_WORD = re.compile("[^" + re.escape("".join(map(chr, _SPACE))) + "]+")
+
+
+def _gram_ids(value: np.ndarray, space: np.ndarray, n: int, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and ids of the n-grams that begin in the first ``count`` places and have no blank inside."""
+    total = np.zeros(count, np.uint64)
+    whole = np.ones(count, bool)
+    for k in range(n):
+        total += value[k : k + count] * _FACTOR[k]
+        if 0 < k < n - 1:
+            whole &= ~space[k : k + count]
+    at = np.flatnonzero(whole)
+    return at, (mix(total[at] + np.uint64(n)) >> np.uint64(64 - 17)).astype(np.int32)
 
 
 def grams_of(texts: list[str]):
@@ -66,14 +80,7 @@ def grams_of(texts: list[str]):
         count = len(code) - n + 1
         if count <= 0:
             continue
-        total = np.zeros(count, np.uint64)
-        whole = np.ones(count, bool)
-        for k in range(n):
-            total += value[k : k + count] * _FACTOR[k]
-            if 0 < k < n - 1:
-                whole &= ~space[k : k + count]
-        at = np.flatnonzero(whole)
-        ids = (mix(total[at] + np.uint64(n)) >> np.uint64(64 - 17)).astype(np.int32)
+        at, ids = _gram_ids(value, space, n, count)
         out.append((word[at + space[at]], ids))  # one that begins with a blank belongs to the next word
     return out, row
 
@@ -104,14 +111,72 @@ def highest(texts: list[str], table: np.ndarray) -> np.ndarray:
     return best
 
 
+def parts_of_text(text: str):
+    """A text in parts that end where segments do: of about PIECE characters, or one segment that is longer."""
+    start = segment = words = 0
+    for found in _WORD.finditer(text):
+        if words % SEGMENT == 0:
+            segment = found.start()
+        words += 1
+        if words % SEGMENT == 0:
+            end = found.end()
+            if end - segment > PIECE and segment > start:
+                yield text[start:segment]
+                start = segment
+            if end - start >= PIECE:
+                yield text[start:end]
+                start = end
+    if words % SEGMENT and len(text) - segment > PIECE and segment > start:
+        yield text[start:segment]
+        start = segment
+    yield text[start:]
+
+
+def _segment_logit(text: str, table: np.ndarray) -> float:
+    """The logit of one long segment, summed over parts: n-grams are looked for where they begin."""
+    joined, total, count = f" {text} ", 0.0, 0
+    for a in range(0, len(joined), PIECE):
+        code = np.frombuffer(joined[a : a + PIECE + max(GRAMS) - 1].encode("utf-32-le", "replace"), np.uint32)
+        space = np.isin(code, _SPACE)
+        value = mix(np.where(space, 32, code).astype(np.uint64))
+        for n in GRAMS:
+            size = min(PIECE, len(code) - n + 1)
+            if size > 0:
+                ids = _gram_ids(value, space, n, size)[1]
+                total, count = total + float(table[ids].sum(dtype=np.float64)), count + len(ids)
+    return total / max(count, 1) if _WORD.search(text) else np.nan
+
+
+def highest_of_long(text: str, table: np.ndarray) -> float:
+    """``highest`` of one text of any length."""
+    tops = [_segment_logit(part, table) if len(part) > 2 * PIECE else float(highest([part], table)[0]) for part in parts_of_text(text)]
+    known = [x for x in tops if not np.isnan(x)]
+    return max(known) if known else np.nan
+
+
+def _segments_in(text: str):
+    """The segments that training draws from, one at a time."""
+    words: list[str] = []
+    for found in _WORD.finditer(text):
+        words.append(found[0])
+        if len(words) == SEGMENT:
+            yield from _cut(" ".join(words))
+            words = []
+    if words:
+        yield from _cut(" ".join(words))
+
+
+def _cut(segment: str):
+    return (segment[a : a + LONGEST] for a in range(0, len(segment), LONGEST))
+
+
 def drawn(text: str, share: int, seed: int) -> list[str]:
     """Up to ``share`` segments of a text, in order, drawn by seed."""
-    words = [w for w in _BETWEEN.split(text) if w]
-    every = [" ".join(words[a : a + SEGMENT]) for a in range(0, len(words), SEGMENT)]
-    every = [x for x in every if len(x) <= LONGEST]
-    if len(every) > share:
-        every = [every[i] for i in np.sort(np.random.default_rng(seed).choice(len(every), share, replace=False))]
-    return every
+    count = sum(1 for _ in _segments_in(text))
+    if count <= share:
+        return list(_segments_in(text))
+    taken = set(np.random.default_rng(seed).choice(count, share, replace=False).tolist())
+    return [x for i, x in enumerate(_segments_in(text)) if i in taken]
 
 
 class Bags:
@@ -268,7 +333,10 @@ def _scorer(handle, raw: bool = False):
             for a, b in pieces(ends):
                 part = data[ends[a] : ends[b]].tobytes()
                 cut = ends[a : b + 1] - ends[a]
-                top = highest([part[x:y].decode("utf-8", "replace") for x, y in zip(cut[:-1], cut[1:])], model["table"])
+                if len(part) > 2 * PIECE:  # one long text
+                    top = np.array([highest_of_long(part.decode("utf-8", "replace"), model["table"])])
+                else:
+                    top = highest([part[x:y].decode("utf-8", "replace") for x, y in zip(cut[:-1], cut[1:])], model["table"])
                 if raw:
                     out.append(top)
                     continue

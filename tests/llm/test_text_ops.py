@@ -357,3 +357,23 @@ def test_word_hashes_are_exact():
         word = re.match(rb"[^\x20\x09-\x0D]+", text[s : len(text) // 3 if s < len(text) // 3 else None])[0]
         assert seen.setdefault(word, h) == h
     assert len(set(seen.values())) == len(seen)
+
+
+def test_long_texts_score_as_in_one_piece(monkeypatch):
+    """Parts end where segments do; one segment longer than a part is summed over parts."""
+    rng = random.Random(17)
+    table = np.random.default_rng(2).normal(0, 1, toxicity.BUCKETS).astype(np.float32)
+    word = lambda n: "".join(rng.choice("abcdeé ßx中") for _ in range(n)).replace(" ", "_")
+    texts = [prose(rng, 500), " ".join(word(rng.choice([3, 9, 400])) for _ in range(120)), word(3000), word(900) + " " + prose(rng, 40) + "\n\n" + word(700), " \n ", "a b", prose(rng, 47) + " " + word(500)]
+    whole = [float(toxicity.highest([t], table)[0]) for t in texts]
+    monkeypatch.setattr(toxicity, "PIECE", 64)
+    for text, want in zip(texts, whole):
+        assert "".join(toxicity.parts_of_text(text)) == text
+        assert np.isclose(toxicity.highest_of_long(text, table), want, rtol=1e-5, equal_nan=True)
+
+
+def test_training_reads_long_segments():
+    text = "x" * 10_000 + " " + " ".join(["w"] * 31)
+    got = toxicity.drawn(text, 100, 1)
+    assert [len(x) for x in got[:3]] == [4096, 4096, 10_030 - 2 * 4096] and len(got) == 4 and "".join(got[:3]).startswith("x" * 10_000)
+    assert len(toxicity.drawn(text, 2, 1)) == 2
