@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.alignments import ALIASES, query_length, reference_length
+from ..functions.alignments import ALIASES, five_prime, query_length, reference_length
 from ..functions.sites import ENZYMES, expand, reverse_complement
 from ..operators import asof, digest, models, pairs, reads, stats, trim
 from ..operators.tables import Workspace
@@ -123,14 +123,21 @@ def cigar_lengths(run: Run) -> DataFrame:
     return run.records.select("qname", "line_no", "cigar", reference_length(F.col("cigar")).alias("ref_len"), query_length(F.col("cigar")).alias("query_len"))
 
 
-@query("asof_fragments", READS + " select qname, line_no, fi as frag_id, fs as frag_start, fn as frag_next from lk")
-def asof_fragments(run: Run) -> DataFrame:
+def _looked_up(run: Run, strategy: str) -> DataFrame:
     names = run.names.select(F.col("name").alias("rname"), "seq_idx")
     able = reads.classify(run.records, run.names, None).filter("hc is null or hc = 'RS'").select("qname", "line_no", "flag", "pos", "rname", "ref_len")
-    from ..functions.alignments import five_prime
-
     points = able.join(names, "rname").select("qname", "line_no", "seq_idx", five_prime(F.col("pos"), F.col("flag"), F.col("ref_len")).alias("at"))
-    return asof.lookup(points, run.frags, "at").select("qname", "line_no", "frag_id", "frag_start", "frag_next")
+    return asof.lookup(points, run.frags, "at", strategy).select("qname", "line_no", "frag_id", "frag_start", "frag_next")
+
+
+@query("asof_fragments", READS + " select qname, line_no, fi as frag_id, fs as frag_start, fn as frag_next from lk")
+def asof_fragments(run: Run) -> DataFrame:
+    return _looked_up(run, "bin")
+
+
+@query("asof_merge", READS + " select qname, line_no, fi as frag_id, fs as frag_start, fn as frag_next from lk")
+def asof_merge(run: Run) -> DataFrame:
+    return _looked_up(run, "merge")
 
 
 @query("flag_counts", READS + """ select count(*)::bigint as reads, count_if(flag & 1 = 0)::bigint as "UP", count_if(flag & 4 <> 0)::bigint as "UM",

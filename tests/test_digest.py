@@ -59,7 +59,7 @@ def test_scan_against_lookahead(seq, size):
     assert sorted(found) == brute_cuts(seq, SITES)
 
 
-@pytest.mark.parametrize("strategy", ["bin", "window", "broadcast"])
+@pytest.mark.parametrize("strategy", ["bin", "merge", "window", "broadcast"])
 def test_lookup_strategies(spark, strategy):
     seqs = ["GATCAAGATC" * 20, "A" * 50, "TTAACC" * 100]
     frags = digest.fragments(digest.chunked(genome(spark, seqs), 64), SITES).persist()
@@ -71,6 +71,25 @@ def test_lookup_strategies(spark, strategy):
     assert got == want
 
 
+def test_merge_splits_a_hot_place(spark):
+    """All points on one base of one sequence, some before and behind all fragments, others on unknown sequences."""
+    frags = digest.fragments(digest.chunked(genome(spark, ["GATCAAGATC" * 20, "A" * 50]), 64), SITES).persist()
+    points = [(i, 0, 105) for i in range(4000)] + [(5000 + i, i % 3 if i % 3 < 2 else None, i * 17 - 40) for i in range(60)] + [(6000, 7, 5), (6001, 0, None)]
+    df = spark.createDataFrame(points, "id int, seq_idx int, at long")
+    want = {(r["id"], r["frag_id"], r["frag_end"]) for r in asof.lookup(df, frags, "at", "window").collect()}
+    assert {(r["id"], r["frag_id"], r["frag_end"]) for r in asof.lookup(df, frags, "at", "merge").collect()} == want and len(want) == len(points)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        slim = frags.select("seq_idx", *asof.FOUND)
+        sizes = [r["count"] for r in asof.merged_ranges(df, slim, "at").groupBy("part").count().collect()]
+        assert len(sizes) == 4 and max(sizes) < 2 * sum(sizes) / 4
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    empty = df.filter("false")
+    assert asof.lookup(empty, frags, "at", "merge").count() == 0
+    assert asof.lookup(df, frags.filter("false"), "at", "merge").filter("frag_id is null").count() == len(points)
+
+
 def test_aligner_digest_overhangs(spark):
     chunks = lambda seq: digest.chunked(genome(spark, [seq]))
     five = digest.aligner_digest(chunks("AAGATCAA"), compile_sites("^GATC_")).collect()
