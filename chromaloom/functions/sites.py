@@ -11,6 +11,9 @@ import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 # IUPAC codes with the bases they stand for, and their complements.
 IUPAC = {
     "A": "A", "C": "C", "G": "G", "T": "T",
@@ -94,6 +97,19 @@ def expand(site: str) -> str:
     return "".join(b if len(b := IUPAC.get(x, x)) == 1 else f"[{b}]" for x in without_marks(site))
 
 
+def reverse_complement_of(site: Column) -> Column:
+    """``reverse_complement`` of a column of sites."""
+    return F.translate(F.reverse(site), "".join(COMPLEMENT), "".join(COMPLEMENT.values()))
+
+
+def pattern_of(site: Column) -> Column:
+    """``expand`` of a column of sites."""
+    shown = {k: v if len(v) == 1 else f"[{v}]" for k, v in IUPAC.items()}
+    table = F.create_map(*[F.lit(x) for pair in shown.items() for x in pair])
+    letters = F.filter(F.split(F.translate(site, "^_", ""), ""), lambda x: x != "")
+    return F.array_join(F.transform(letters, lambda x: F.coalesce(table[x], x)), "")
+
+
 def is_palindrome(site: str) -> bool:
     return site == reverse_complement(site)
 

@@ -7,14 +7,20 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.sites import RestrictionSite, compile_sites, read_catalogue
 from ..operators import digest, models, pairs, reads, stats
+from ..operators import trim as trimming
 from ..operators.index import DigestIndex
 from ..operators.tables import Workspace
 from ..sources import blocks, files, header, sinks
 
 
+#: Takes reads (qname, mate, seq, qual, comment) and sequences (seq_idx, name, seq); returns records as read_sam gives them.
+Aligner = Callable[[DataFrame, DataFrame], DataFrame]
+
+
 class SettingError(ValueError):
     """A setting that is missing, or given twice with different values."""
 
@@ -155,10 +161,11 @@ class Pipeline:
             self.logger.warning("%s: %d malformed lines are left out", path, self.malformed)
         return records, [r["value"] for r in head.orderBy("line_no").collect()]
 
-    def register_alignment(self, paths: list[str], aligner: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+    def register_alignment(self, paths: list[str], aligner: Aligner, trim: bool = False, mark_duplicates: bool = False) -> None:
         """FASTQ files (one interleaved, or two) and a function that aligns them.
 
         ``aligner`` takes the reads (qname, mate, seq, qual, comment) and the genome, and returns records.
+        ``trim`` aligns to the digest first and clips reads to their fragment.
         """
         if not 1 <= len(paths) <= 2:
             raise SettingError("one or two files of reads are expected")
@@ -166,18 +173,20 @@ class Pipeline:
 
         def read() -> DataFrame:
             parts = [files.read_fastq(self.spark, p, mate=i + 1 if len(paths) == 2 else None) for i, p in enumerate(paths)]
-            return aligner(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]), self.genome())
+            records = self._align(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]), aligner, trim)
+            return pairs.mark_duplicates(records) if mark_duplicates else records
 
         self._input = read
 
-    def register_alignment_sam_reads(self, path: str, aligner: Callable[[DataFrame, DataFrame], DataFrame], keep_tags: list[str] | None = None) -> None:
+    def register_alignment_sam_reads(self, path: str, aligner: Aligner, keep_tags: list[str] | None = None, trim: bool = False, mark_duplicates: bool = False) -> None:
         """Primary records of a SAM or BAM file, aligned anew; its @PG and @RG lines go to the outputs."""
         self._once("input", path)
 
         def read() -> DataFrame:
             records, head = self._records(path)
             self._header = [x for x in head if x.startswith(("@PG\t", "@RG\t"))]
-            return aligner(files.sam_to_fastq(records, keep_tags), self.genome())
+            records = self._align(files.sam_to_fastq(records, keep_tags), aligner, trim, keep_tags)
+            return pairs.mark_duplicates(records) if mark_duplicates else records
 
         self._input = read
 
@@ -230,8 +239,29 @@ class Pipeline:
         return index.get_or_put("aligned", make) if index else make()
 
     def genome(self) -> DataFrame:
+        """(seq_idx, name, seq) for an aligner: whole sequences, put together from chunks."""
         ref = self.reference
-        return ref if isinstance(ref, DataFrame) else files.read_fasta(self.spark, str(ref))
+        if isinstance(ref, DataFrame):
+            return ref
+        parts = F.sort_array(F.collect_list(F.struct("chunk_start", "bases")))
+        return self.chunks().groupBy("seq_idx", "name").agg(F.array_join(F.transform(parts, lambda x: x["bases"]), "").alias("seq"))
+
+    def _align(self, reads: DataFrame, aligner: Aligner, trim: bool, keep_tags: list[str] | None = None) -> DataFrame:
+        """Aligned records; with ``trim`` in two passes.
+
+        The first aligns to the digest with filled overhangs, and primary records are clipped to their fragment;
+        the second aligns what is left to the reference.  Without sites there is nothing to trim by.
+        """
+        if not trim or not self.sites():
+            return aligner(reads, self.genome())
+        cut = Workspace(self.spark, "trim").table(self.aligned_digest().filter("frag_end > frag_start"), "digest")
+        first = aligner(reads, cut.select(F.monotonically_increasing_id().alias("seq_idx"), F.col("frag_name").alias("name"), F.col("bases").alias("seq")))
+        part = F.split("rest", "\t")
+        primary = first.filter(F.col("flag").bitwiseAND(0x900) == 0).withColumns({"seq": F.get(part, 3), "qual": F.get(part, 4)})
+        frags = trimming.parse_fragment_names(cut.select(F.col("frag_name").alias("rname"), F.length("bases").cast("long").alias("length")))
+        rest = F.concat_ws("\t", F.array_join(F.slice(part, 1, 3), "\t"), "seq", "qual", F.array_join(F.slice(part, 6, F.greatest(F.size(part) - 5, F.lit(0))), "\t"))
+        left = trimming.trim(primary, frags).withColumn("rest", rest)
+        return aligner(files.sam_to_fastq(left, keep_tags), self.genome())
 
     def output(self, name: str) -> DataFrame:
         """The tagged records of a class or of a group of classes."""

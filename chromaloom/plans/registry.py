@@ -8,16 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.alignments import ALIASES, five_prime, query_length, reference_length
-from ..functions.sites import ENZYMES, expand, reverse_complement
+from ..functions.sites import pattern_of, reverse_complement_of
 from ..operators import asof, digest, models, pairs, reads, stats, trim
 from ..operators.tables import Workspace
 from ..sources import files, sinks
 from . import surrogate
 from .surrogate import CUTS, GENOME, PAIRS, READS, SITES
 
-ENZYME_ROWS = sorted((enzyme, site) for enzyme, sites in ENZYMES.items() for site in sites.split(","))
-
-
 class Run:
     """The chain from tables to pairs; parts are built when they are asked for, and only once."""
 
@@ -73,22 +70,31 @@ def _values(rows: list[tuple[str, ...]]) -> str:
     return ", ".join("(" + ", ".join(f"'{x}'" for x in r) + ")" for r in rows)
 
 
-@query("rc_sites", f"""v(enzyme, site) as (values {_values(ENZYME_ROWS)})
-select enzyme, site, translate(reverse(site), 'ACGTWSMKRYBDHVN^_', 'TGCAWSKMYRVHDBN_^') as rev_comp,
-       translate(site, '^_', '') as bases from v""")
+#: Part names as sites: the IUPAC letters of the name, with both cuts at places that the key tells.
+SITE_ROWS = """pn as (select p_partkey, substring(regexp_replace(upper(p_name), '[^ACGTWSMKRYBDHVN]', '', 'g'), 1, 14) as n from part),
+ps as (select p_partkey, substring(n, 1, p_partkey % (len(n) + 1)) || '^' || substring(n, p_partkey % (len(n) + 1) + 1) || '_' as site from pn)"""
+
+
+def _sites(run: Run) -> DataFrame:
+    letters = F.substring(F.regexp_replace(F.upper("p_name"), "[^ACGTWSMKRYBDHVN]", ""), 1, 14)
+    named = run.spark.read.parquet(f"{run.sf_dir}/part.parquet").select("p_partkey", letters.alias("n"))
+    place = (F.col("p_partkey") % (F.length("n") + 1)).cast("int")
+    return named.select("p_partkey", F.concat(F.substr("n", F.lit(1), place), F.lit("^"), F.substr(F.col("n"), place + 1, F.length("n")), F.lit("_")).alias("site"))
+
+
+@query("rc_sites", SITE_ROWS + """ select p_partkey, site, translate(reverse(site), 'ACGTWSMKRYBDHVN^_', 'TGCAWSKMYRVHDBN_^') as rev_comp, translate(site, '^_', '') as bases from ps""")
 def rc_sites(run: Run) -> DataFrame:
-    rows = [(e, s, reverse_complement(s), s.replace("^", "").replace("_", "")) for e, s in ENZYME_ROWS]
-    return run.spark.createDataFrame(rows, "enzyme string, site string, rev_comp string, bases string")
+    site = F.col("site")
+    return _sites(run).select("p_partkey", "site", reverse_complement_of(site).alias("rev_comp"), F.translate(site, "^_", "").alias("bases"))
 
 
-@query("site_patterns", f"""v(enzyme, site) as (values {_values(ENZYME_ROWS)}),
-c as (select enzyme, site, unnest(string_split(translate(site, '^_', ''), '')) as b,
-             generate_subscripts(string_split(translate(site, '^_', ''), ''), 1) as i from v),
+@query("site_patterns", SITE_ROWS + """,
+c as (select p_partkey, unnest(string_split(translate(site, '^_', ''), '')) as b, generate_subscripts(string_split(translate(site, '^_', ''), ''), 1) as i from ps),
 d(b, s) as (values ('W','[AT]'),('S','[CG]'),('M','[AC]'),('K','[GT]'),('R','[AG]'),('Y','[CT]'),
                    ('B','[CGT]'),('D','[AGT]'),('H','[ACT]'),('V','[ACG]'),('N','[ACGT]'))
-select enzyme, string_agg(coalesce(d.s, c.b), '' order by i) as pattern from c left join d on c.b = d.b group by enzyme, site""")
+select p_partkey, string_agg(coalesce(d.s, c.b), '' order by i) as pattern from c left join d on c.b = d.b group by p_partkey""")
 def site_patterns(run: Run) -> DataFrame:
-    return run.spark.createDataFrame([(e, expand(s)) for e, s in ENZYME_ROWS], "enzyme string, pattern string")
+    return _sites(run).select("p_partkey", pattern_of(F.col("site")).alias("pattern"))
 
 
 @query("digest_cuts", CUTS + " select seq_idx, cut from cu")

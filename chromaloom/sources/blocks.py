@@ -46,7 +46,10 @@ def fasta_chunks(spark: SparkSession, path: str, size: int, reach: int) -> DataF
     sequence and position come from prefix sums over runs of lines.  A ``>`` within a line of bases
     begins a header, as in read_fasta.
     """
-    lines = _placed(spark.read.text(path, lineSep="\n")).withColumn("run", F.shiftright("k", RUN))
+    raw = spark.read.text(path, lineSep="\n")
+    if len(files := raw.inputFiles()) > 1:
+        raise ValueError(f"{path}: one FASTA file is expected, not {len(files)}; their lines would have no order")
+    lines = _placed(raw).withColumn("run", F.shiftright("k", RUN))
     bases = F.substring_index("value", ">", 1)
     head = F.when(F.col("value").contains(">"), F.expr("substring(value, length(substring_index(value, '>', 1)) + 2)"))
     lines = lines.select("block", "run", "k", bases.alias("bases"), head.alias("head"), F.length(bases).cast("long").alias("n"), head.isNotNull().cast("long").alias("h"))

@@ -264,3 +264,81 @@ def test_index_only_makes_one_digest(spark, tmp_path):
     assert sorted(x.name.split("-")[0] for x in folder.iterdir() if not x.name.startswith(".")) == ["aligned", "aligned.json"]
     p.chunks = lambda: pytest.fail("the reference is read again")
     assert sorted(r["bases"] for r in p.aligned_digest().collect()) == sorted(["A" * 100 + "GATC", "GATC" + "A" * 96 + "GATC", "GATC" + "A" * 96])
+
+
+# ---------------------------------------------------------------- alignment, trimming and the command line
+
+GENOME = "A" * 60 + "CCGTTGCA" + "GATC" + "CATTCGGA" * 12 + "GATC" + "TGCCATGA" * 12 + "GATC" + "C" * 80
+
+
+def exact_aligner(reads, genome):
+    """Finds a read where it stands, or as much of its beginning as stands somewhere; the rest is clipped."""
+    import pyarrow as pa
+
+    known = [(r["name"], r["seq"]) for r in genome.collect()]
+
+    def align(batches):
+        for batch in batches:
+            rows = []
+            for name, mate, seq, qual, comment in zip(*[batch.column(c).to_pylist() for c in ("qname", "mate", "seq", "qual", "comment")]):
+                size, place = next(((n, (s, g.index(seq[:n]))) for n in range(len(seq), 9, -1) for s, g in known if seq[:n] in g), (0, None))
+                flag = 65 if mate == 1 else 129
+                clip = f"{len(seq) - size}S" if size < len(seq) else ""
+                tail = "\t".join(["*\t0\t0", seq, qual, *([comment] if comment else [])])
+                rows.append((mate, name, flag if place else flag | 4, place[0] if place else "*", place[1] + 1 if place else 0, 60, f"{size}M{clip}" if place else "*", tail))
+            kinds = [pa.int64(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string()]
+            names = ["line_no", "qname", "flag", "rname", "pos", "mapq", "cigar", "rest"]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
+
+    return reads.mapInArrow(align, "line_no long, qname string, flag int, rname string, pos long, mapq int, cigar string, rest string")
+
+
+def fastq(tmp_path):
+    """A read that runs over a junction of two places, which only its trimmed part explains, and one that does not."""
+    junction = GENOME[40:72] + GENOME[3:23]
+    pairs = [(junction, GENOME[180:220]), (GENOME[80:120], GENOME[185:225])]
+    for k in (0, 1):
+        (tmp_path / f"{k + 1}.fq").write_text("".join(f"@q{i} x\n{p[k]}\n+\n{'I' * len(p[k])}\n" for i, p in enumerate(pairs)))
+    return [str(tmp_path / "1.fq"), str(tmp_path / "2.fq")], junction
+
+
+@pytest.mark.parametrize("trim", [False, True])
+def test_alignment_in_two_passes(spark, tmp_path, trim):
+    (tmp_path / "ref.fa").write_text(f">c1\n{GENOME}\n")
+    paths, junction = fastq(tmp_path)
+    p = Pipeline(spark)
+    p.reference, p.restriction_sites = str(tmp_path / "ref.fa"), "DpnII"
+    p.register_alignment(paths, exact_aligner, trim=trim)
+    p.run()
+    got = {(r["qname"], r["line_no"]): (r["cigar"], r["rest"].split("\t")[3]) for r in p.tagged.collect()}
+    cigar, seq = got["q0", 1]
+    # a forward read keeps nothing of the filled overhang at its fragment's end
+    assert (cigar, seq) == (("28M", junction[:28]) if trim else ("32M20S", junction))
+    assert got["q1", 1] == ("40M", GENOME[80:120]) and len(got) == 4
+
+
+def test_command_line_aligns_sorts_and_indexes(spark, tmp_path, monkeypatch):
+    from chromaloom.__main__ import main
+
+    (tmp_path / "ref.fa").write_text(f">c1\n{GENOME}\n")
+    paths, _ = fastq(tmp_path)
+    base = ["--reference", str(tmp_path / "ref.fa"), "--sites", "DpnII"]
+    monkeypatch.syspath_prepend(str(__import__("pathlib").Path(__file__).parent))
+    main([*base, "--fastq", *paths, "--aligner", "test_outputs:exact_aligner", "--trim", "--mark-duplicates", "--index", str(tmp_path / "index"), "--out", f"all-reads={tmp_path / 'all.bam'}:sort"])
+    assert spark.read.format("bam").load(str(tmp_path / "all.bam")).count() == 4
+    assert list((tmp_path / "all.bam").glob("*.bai")) and list((tmp_path / "index").rglob("aligned.json")) and list((tmp_path / "index").rglob("fragments.json"))
+    main([*base, "--sam-reads", str(tmp_path / "all.bam" / "*.bam"), "--aligner", "test_outputs:exact_aligner", "--keep-tag", "hc", "--out", f"all-reads={tmp_path / 'again'}"])
+    again = spark.read.parquet(str(tmp_path / "again"))
+    assert again.count() == 4 and again.filter(F.col("rest").contains("hc:Z:")).count() == 4
+    for wrong in (["--sam", "x.sam", "--aligner", "a:b"], ["--fastq", "x.fq"], ["--sam", "x.sam", "--trim"]):
+        with pytest.raises(SystemExit):
+            main([*base, *wrong])
+
+
+def test_one_fasta_file_is_expected(spark, tmp_path):
+    from chromaloom.sources import blocks
+
+    for k in (0, 1):
+        (tmp_path / f"{k}.fa").write_text(">a\nACGT\n")
+    with pytest.raises(ValueError, match="one FASTA file"):
+        blocks.fasta_chunks(spark, str(tmp_path / "*.fa"), 16, 3)

@@ -1,5 +1,7 @@
 import pytest
 
+from chromaloom.functions import sites
+
 from chromaloom.functions.sites import ENZYMES, RestrictionSite, SiteError, compile_sites, expand, read_catalogue, reverse_complement, scan_patterns
 
 
@@ -92,3 +94,12 @@ Unknown\tACGT\t4\t0\t0\t0\t0\t0\t0
     assert compile_sites("FokI", catalogue=found) and compile_sites("BcgI", catalogue=found) == compile_sites("BcgI")
     with pytest.raises(SiteError):
         compile_sites("FokI")
+
+
+def test_columns_of_sites_like_the_compiler(spark):
+    from pyspark.sql import functions as F
+
+    every = sorted({x for v in sites.ENZYMES.values() for x in v.split(",")})
+    df = spark.createDataFrame([(x,) for x in every], "site string")
+    for r in df.select("site", sites.reverse_complement_of(F.col("site")).alias("r"), sites.pattern_of(F.col("site")).alias("p")).collect():
+        assert (r["r"], r["p"]) == (sites.reverse_complement(r["site"]), sites.expand(r["site"]))
