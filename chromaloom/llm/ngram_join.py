@@ -270,6 +270,11 @@ def _bands(sig: Column) -> Column:
     return F.array(*[F.struct(F.lit(k).alias("band"), F.xxhash64(F.substring(sig, k * ROWS * 4 + 1, ROWS * 4), F.lit(k)).alias("key")) for k in range(BANDS)])
 
 
+def chunks_of(size: Column, total: Column) -> Column:
+    """Chunks of a bucket of ``size`` texts with ``total`` shingles: each text is copied as often, whatever the longest has."""
+    return F.greatest(F.ceil(size / CHUNK), F.ceil(total * 8 / BLOCK_BYTES)).cast("int")
+
+
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id, n_links, and the row that leads the class.
 
@@ -287,9 +292,9 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float
     )
     entries = reps.select("tid", "n", F.explode(_bands(F.col("sig"))).alias("e")).select("tid", "n", "e.band", "e.key")
     buckets = space.table(
-        entries.groupBy("key").agg(F.count("*").alias("size"), F.min("tid").alias("a"), F.max("tid").alias("b"), F.max("n").alias("longest")).filter("size >= 2"), "buckets"
+        entries.groupBy("key").agg(F.count("*").alias("size"), F.min("tid").alias("a"), F.max("tid").alias("b"), F.sum("n").alias("total")).filter("size >= 2"), "buckets"
     )
-    several = buckets.filter("size >= 3").select("key", "size", "longest")
+    several = buckets.filter("size >= 3").select("key", "size", "total")
     members = space.table(entries.drop("n").join(several, "key"), "members")
     few = members.filter(F.col("size") <= SMALL)
     pairs = (
@@ -314,9 +319,8 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float
     sets = space.table(sets.dropDuplicates(["tid"]) if repeated else sets, "sets")
     named_set = lambda x: sets.select(F.col("tid").alias(x), F.col("shingles").alias(f"set_{x}"))
     links = space.table(alive.join(named_set("a"), "a").join(named_set("b"), "b").mapInArrow(_verifier(threshold), "a long, b long"), "links")
-    chunks = F.greatest(F.ceil(F.col("size") / CHUNK), F.ceil(F.col("size") * F.col("longest") * 8 / BLOCK_BYTES)).cast("int")
     dealt = (
-        wide.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64(F.lit("chunk"), "tid"), F.col("chunks")).cast("int"))
+        wide.withColumn("chunks", chunks_of(F.col("size"), F.col("total"))).withColumn("chunk", F.pmod(F.xxhash64(F.lit("chunk"), "tid"), F.col("chunks")).cast("int"))
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .select("key", "band", "tid", "chunk", F.least("chunk", "with").alias("low"), F.greatest("chunk", "with").alias("high"))
         .join(cand.select("tid", "sig", "wide", "m"), "tid").join(sets, "tid")

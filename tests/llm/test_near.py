@@ -5,6 +5,7 @@ import re
 import numpy as np
 import pytest
 from helpers import docs, prose
+from pyspark.sql import functions as F
 
 from chromaloom.llm import ngram_join as nj
 
@@ -105,3 +106,21 @@ def test_long_chain_is_one_component(spark, tmp_path):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501), (501, 502)], "a long, b long")
     got = {r["node"]: r["root"] for r in nj.components(edges, Workspace(spark, "test")).collect()}
     assert all(got[i] == 0 for i in range(1, 201)) and got[501] == got[502] == 500
+
+
+def test_one_long_text_does_not_multiply_a_bucket(spark, monkeypatch):
+    """A text of a million shingles among a thousand of a hundred: five chunks, not four thousand; and links are the same in tiny blocks."""
+    row = spark.sql("select 1000L as size, 1000L * 100 + 1000000L as total").select(nj.chunks_of(F.col("size"), F.col("total"))).first()
+    assert row[0] == 5
+    monkeypatch.setattr(nj, "SMALL", 4)
+    monkeypatch.setattr(nj, "BLOCK_BYTES", 8 * 700)
+    rng = random.Random(15)
+    words = prose(rng, 100).split()
+    rows = []
+    for i in range(40):
+        edited = words[:]
+        edited[rng.randrange(len(edited))] = f"e{i}"
+        rows.append((i, " ".join(edited + ["end"] * (i % 7 == 0))))
+    rows.append((99, " ".join(words * 30 + [f"t{k}" for k in range(2000)])))
+    got = nj.near_classes(docs(spark, rows)).select("doc_id", "class_id", "n_links").collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)
