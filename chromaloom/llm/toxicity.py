@@ -193,16 +193,20 @@ class Bags:
             flat = np.concatenate([i for _, i in grams])
             ids.append(flat[np.argsort(segment, kind="stable")])
             size.append(np.bincount(segment, minlength=len(part)))
-        self.ids, self.size = np.concatenate(ids), np.concatenate(size).astype(np.int64)
+        self.size = np.concatenate(size).astype(np.int64)
+        self.ids, at = np.empty(sum(map(len, ids)), np.int32), 0
+        for k, part in enumerate(ids):  # each part is let go as soon as it is copied
+            self.ids[at : at + len(part)], at, ids[k] = part, at + len(part), None
+        del part
         self.begin = np.cumsum(self.size) - self.size
 
     def means(self, value: np.ndarray) -> np.ndarray:
         """The mean of a number per n-gram over every segment, a slice of segments at a time."""
         out = np.zeros(len(self.size))
-        for a in range(0, len(out), 8192):
-            ids, seg = self.pick(np.arange(a, min(a + 8192, len(out))))
-            part = self.size[a : a + 8192]
-            out[a : a + 8192] = np.bincount(seg, value[ids], len(part)) / np.maximum(part, 1)
+        for a in range(0, len(out), 1024):
+            ids, seg = self.pick(np.arange(a, min(a + 1024, len(out))))
+            part = self.size[a : a + 1024]
+            out[a : a + 1024] = np.bincount(seg, value[ids], len(part)) / np.maximum(part, 1)
         return out
 
     def pick(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
