@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .shared import Workspace, arrow_text, firsts, join_checked, mix, parts_of, pieces, separators, words_of
+from .shared import Workspace, arrow_text, join_checked, mix, parts_of, pieces, separators, words_of
 
 FILTERS = "ABCDE"
 MIN_WORDS = 200
@@ -74,8 +74,8 @@ def measure(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
             blocks.append(_measure_long(data[ends[a] : ends[b]].tobytes())[:, None])
             continue
         counts, row, word = _measure(data[ends[a] : ends[b]], ends[a : b + 1] - ends[a])
-        key = np.unique(np.stack([row.astype(np.uint64), word]), axis=1)[0] if len(row) else row
-        counts[1] = np.bincount(key.astype(np.int64), minlength=b - a)
+        _, once = np.unique(word ^ mix(row.astype(np.uint64)), return_index=True)  # words of different rows differ
+        counts[1] = np.bincount(row[once], minlength=b - a)
         blocks.append(counts)
     return np.concatenate(blocks, 1)
 
