@@ -254,3 +254,55 @@ def test_duplicates_of_supplementary_records_and_optical_copies(spark):
     assert pairs.mark_duplicates(table, supplementary=False).filter("flag & 1024 <> 0").count() == 2 * len(want)
     closer = {r["qname"]: r["dt"] for r in pairs.duplicates(table, optical=0).collect()}
     assert set(closer) == set(want) and sum(k == "SQ" for k in closer.values()) < sum(k == "SQ" for k in want.values())
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_records_of_a_bad_flag_need_no_lookup(spark, digested):
+    names, frags = digested
+    df = spark.createDataFrame([(i, f"q{i}", *r[0]) for i, r in enumerate(READS)], COLUMNS)
+    whole = reads.classify(df, names, frags)
+    able, rejected = reads.by_flags(df)
+    rest = reads.flagged(rejected)
+    assert "Join" not in plan_of(rest) and "Exchange" not in plan_of(rest)
+    parts = reads.classify(able, names, frags).unionByName(rest)
+    assert parts.columns == whole.columns and parts.dtypes == whole.dtypes
+    assert sorted(map(str, parts.collect())) == sorted(map(str, whole.collect())) and 0 < rest.count() < whole.count()
+    good = reads.good_reads(reads.classify(reads.candidates(df), names, frags))
+    assert sorted(map(str, good.collect())) == sorted(map(str, reads.good_reads(whole).collect()))
+
+
+def test_lookup_of_reads_joins_names_and_fragments_only(spark, digested, monkeypatch):
+    """Also beyond the bounds of broadcasts, where each further join would shuffle every read."""
+    from chromaloom.operators import asof
+
+    names, frags = digested
+    df = spark.createDataFrame([(i, f"q{i}", *r[0]) for i, r in enumerate(READS)], COLUMNS)
+    monkeypatch.setattr(asof, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(reads, "BROADCAST_ROWS", 0)
+    got = reads.classify(df, names, frags)
+    told = got._jdf.queryExecution().optimizedPlan().toString()
+    assert told.count("Join ") == 2
+    assert [(r["hc"], r["site_dist"]) for r in got.orderBy("line_no").collect()] == [(c, d) for _, c, d in READS]
+
+
+def test_resolve_shuffles_only_what_is_asked_for(spark):
+    schema = "line_no long, qname string, flag int, rest string, seq_idx int, read_start long, frag_id long, frag_start long, frag_next long, site_dist long, hc string"
+    classified = spark.createDataFrame([], schema)
+    done = pairs.resolve(classified)
+    held = lambda df: any("rest#" in line and "Scan" not in line for line in plan_of(df).splitlines())
+    assert held(done) and not held(done.select("qname", "hc"))
+
+
+def test_read_summary_in_one_pass(spark):
+    schema = "line_no long, qname string, flag int, seq_idx int, read_start long, frag_id long, frag_start long, frag_next long, site_dist long, hc string"
+    rows = [(0, "a", 65, 0, 5, 0, 0, 100, 5, None), (1, "a", 129, 0, 205, 2, 200, 300, 5, None), (0, "b", 65, 0, 5, 0, 0, 100, 5, None), (1, "b", 65 | 0x800, *(None,) * 6, "SP"), (2, "b", 129, *(None,) * 6, "MQ")]
+    classified = spark.createDataFrame(rows, schema)
+    done = pairs.resolve(classified)
+    one = stats.read_summary(done)
+    assert plan_of(one).count("Window [") == plan_of(done).count("Window [")
+    want = stats.read_summary(classified, pairs.pair_reads(reads.good_reads(classified)))
+    assert sorted(map(str, one.collect())) == sorted(map(str, want.collect()))
+    assert {r["type"]: r["counts"] for r in one.collect() if r["counts"]} == {"good read": 2, "dumped": 1, "supplementary": 1, "mapping quality too low": 1}
