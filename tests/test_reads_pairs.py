@@ -306,3 +306,22 @@ def test_read_summary_in_one_pass(spark):
     want = stats.read_summary(classified, pairs.pair_reads(reads.good_reads(classified)))
     assert sorted(map(str, one.collect())) == sorted(map(str, want.collect()))
     assert {r["type"]: r["counts"] for r in one.collect() if r["counts"]} == {"good read": 2, "dumped": 1, "supplementary": 1, "mapping quality too low": 1}
+
+
+def test_optical_copies_ask_around_only_if_alone_in_their_cell(spark):
+    rng = random.Random(4)
+    places = {f"t:{rng.randrange(2)}:{rng.randrange(700)}:{rng.randrange(700)}#{k}": rng.choice("IJK") for k in range(120)}
+    rows = [(k, q, 65, "c", 10, 60, "5M", "=\t1\t0\tACGTA\t" + c * 5) for k, (q, c) in enumerate(places.items())]
+    found = pairs.duplicates(spark.createDataFrame(rows, COLUMNS + ", rest string"))
+    assert any("/cells" in path for path in found.inputFiles())  # counts of cells, not nine rows per template
+    at = {q: (q.split(":")[1], *map(int, q.split("#")[0].split(":")[2:])) for q in places}
+    close = lambda a, b: a[0] == b[0] and abs(a[1] - b[1]) <= 100 and abs(a[2] - b[2]) <= 100
+    first = min(places, key=lambda q: (-ord(places[q]), q))
+    want = {(q, first, "SQ" if any(close(at[q], at[r]) for r in places if r != q) else "LB") for q in places if q != first}
+    assert {tuple(r) for r in found.collect()} == want and {dt for *_, dt in want} == {"SQ", "LB"}
+
+
+def test_qualities_are_summed_from_fifteen_on(spark):
+    shown = spark.createDataFrame([(x,) for x in ["*", None, "", "/0I", "!!!", "~*"]], "q string").repartition(2)
+    got = {r["q"]: r["s"] for r in shown.select("q", pairs._quality_sum(F.coalesce("q", F.lit("*"))).alias("s")).collect()}
+    assert got == {"*": 0, None: 0, "": 0, "/0I": 15 + 40, "!!!": 0, "~*": 93}
