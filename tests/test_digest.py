@@ -159,3 +159,14 @@ def test_wide_patterns(spark):
 def test_cache_key_ignores_order():
     assert digest.cache_key("/x/ref.fa", compile_sites("DpnII,MseI")) == digest.cache_key("/y/ref.fa", compile_sites("MseI,DpnII"))
     assert digest.cache_key("ref.fa", compile_sites("DpnII")) != digest.cache_key("ref.fa", compile_sites("MseI"))
+
+
+def test_measured_aligner_digest_has_the_lengths_of_the_bases(spark):
+    from chromaloom.functions.sites import compile_sites
+
+    sites = compile_sites("Arima_v2")
+    chunks = digest.chunked(genome(spark, ["AAGATCTTAAGACTCTTAAGATC" * 5, "", "CTAAGNNGATC"]), 16)
+    whole = digest.aligner_digest(chunks, sites, 16)
+    measured = digest.aligner_digest(chunks, sites, 16, measured=True)
+    want = whole.selectExpr("frag_name", "frag_start", "frag_end", "front", "end", "cast(length(bases) as long) as length")
+    assert sorted(map(str, measured.select(*want.columns).collect())) == sorted(map(str, want.collect())) and want.count() > 10

@@ -155,3 +155,13 @@ def test_slope_of_scaling_distances(spark):
 def test_empty_distances(spark):
     probs, tests = models.contact_models(spark.createDataFrame([], "class string, dis long"))
     assert probs.filter("type = 'histogram'").count() == 0 and tests.filter("p_value is not null").count() == 0
+
+
+def test_clips_are_computed_once_per_read(spark):
+    from chromaloom.operators import trim as operator
+
+    held = "struct<length long, front long, front_fwd boolean, end long, end_fwd boolean>"
+    reads = spark.createDataFrame([("q", 0, 1, "3S5M", "ACGTACGT", "IIIIIIII", (6, 0, True, 0, True)), ("r", 0, 1, "8M", "ACGTACGT", "IIIIIIII", None)], f"qname string, flag int, pos long, cigar string, seq string, qual string, _held {held}".replace("length long", "length: long").replace("front long", "front: long").replace("front_fwd b", "front_fwd: b").replace("end long", "end: long").replace("end_fwd b", "end_fwd: b"))
+    out = operator.clip(reads)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") <= 2  # the lead and the clip
+    assert {r["qname"]: r["cigar"] for r in out.collect()}["r"] == "8M" and "_held" not in out.columns
