@@ -1,5 +1,6 @@
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -59,6 +60,25 @@ def test_scan_against_lookahead(seq, size):
     assert sorted(found) == brute_cuts(seq, SITES)
 
 
+def test_texts_are_scanned_together_and_bytes_looked_up_once_per_set():
+    class Told(np.ndarray):
+        lookups = 0
+
+        def __getitem__(self, key):
+            Told.lookups += 1
+            return np.asarray(self)[key]
+
+    patterns = [([t.view(Told) for t in digest._tables(s.pattern)], s.loc) for s in digest.scan_patterns(SITES)]
+    texts = [x.encode() for x in [*CASES, "GA", "TC", "TTA"]]
+    begins = np.array([max(len(x) - 1, 0) for x in texts])
+    text, cut = digest.find_each(texts, begins, patterns)
+    sets = {t.tobytes() for places, _ in patterns for t in places}
+    assert Told.lookups == len(sets) < sum(len(places) for places, _ in patterns)
+    for k, x in enumerate(texts):
+        assert cut[text == k].tolist() == digest.find_all(np.frombuffer(x, np.uint8), int(begins[k]), patterns).tolist()
+    assert not digest.find_each([b""], np.zeros(1, int), patterns)[0].size
+
+
 @pytest.mark.parametrize("strategy", ["bin", "merge", "window", "broadcast"])
 def test_lookup_strategies(spark, strategy):
     seqs = ["GATCAAGATC" * 20, "A" * 50, "TTAACC" * 100]
