@@ -190,3 +190,22 @@ def test_measured_aligner_digest_has_the_lengths_of_the_bases(spark):
     measured = digest.aligner_digest(chunks, sites, 16, measured=True)
     want = whole.selectExpr("frag_name", "frag_start", "frag_end", "front", "end", "cast(length(bases) as long) as length")
     assert sorted(map(str, measured.select(*want.columns).collect())) == sorted(map(str, want.collect())) and want.count() > 10
+
+
+@pytest.mark.parametrize("block", [2, 4, 22])
+def test_cuts_are_shuffled_as_arrays_of_blocks(spark, monkeypatch, block):
+    """One row for each block of a sequence, whatever its cuts; the next cut comes from the array, not from a window over cuts."""
+    monkeypatch.setattr(digest, "BLOCK", block)
+    chunks = digest.chunked(genome(spark, CASES), 5)
+    rows = digest.scanned(chunks, SITES).collect()
+    assert len(rows) == len({(r["seq_idx"], r["block"]) for r in rows})
+    for i, seq in enumerate(CASES):
+        own = sorted((r for r in rows if r["seq_idx"] == i), key=lambda r: r["block"])
+        assert [x for r in own for x in r["cuts"]] == brute_cuts(seq, SITES) and sum(r["bases"] for r in own) == len(seq)
+        assert all(x >> block == r["block"] for r in own for x in r["cuts"])
+
+
+def test_cuts_of_chunks_by_block():
+    text, cut, start = np.array([0, 0, 1, 1]), np.array([3, 9, 12, 17]), np.array([0, 8, 16])
+    of, block, cuts, offsets = digest._by_block(text, cut, start, 3)
+    assert [(int(k), int(b), cuts[i:j].tolist()) for k, b, i, j in zip(of, block, offsets, offsets[1:])] == [(0, 0, [0, 3]), (0, 1, [9]), (1, 1, [12]), (1, 2, [17]), (2, 2, [])]
