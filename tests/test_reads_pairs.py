@@ -274,6 +274,32 @@ def test_records_of_a_bad_flag_need_no_lookup(spark, digested):
     assert sorted(map(str, good.collect())) == sorted(map(str, reads.good_reads(whole).collect()))
 
 
+@pytest.mark.parametrize("digest_given", [True, False])
+def test_good_reads_alone_are_those_of_all(spark, digested, digest_given):
+    names, frags = digested
+    df = spark.createDataFrame([(i, f"q{i}", *r[0]) for i, r in enumerate(READS)], COLUMNS)
+    whole = reads.classify(df, names, frags if digest_given else None)
+    good = reads.classify(df, names, frags if digest_given else None, good_only=True)
+    want = whole.filter("hc is null")
+    assert good.dtypes == whole.dtypes and 0 < want.count() < whole.count()
+    assert sorted(map(str, good.collect())) == sorted(map(str, want.collect()))
+
+
+def test_classes_without_details(spark):
+    """The classes of reads are the same without the pairs, and nothing else is carried for them."""
+    places = [(0, 5, 0, 0, 100), (0, 205, 2, 200, 300), (0, 105, 1, 100, 200), (1, 40, 10, 0, None)]
+    rows = [(line, f"q{i}{j}{k}", flag | k, *at, 5, None) for i, a in enumerate(places) for j, b in enumerate(places) for k in (0, 16) for line, (flag, at) in enumerate(((65, a), (129 | 16, b), (65, b)))]
+    rows.append((9, "q000", 129, *(None,) * 6, "MQ"))
+    schema = "line_no long, qname string, flag int, seq_idx int, read_start long, frag_id long, frag_start long, frag_next long, site_dist long, hc string"
+    classified = spark.createDataFrame(rows, schema)
+    done, slim = pairs.resolve(classified), pairs.resolve(classified, details=False)
+    assert slim.columns == classified.columns
+    assert sorted(map(str, slim.collect())) == sorted(map(str, done.drop("pair").collect()))
+    assert {r["hc"] for r in slim.collect()} >= {"DE", "SS", "RL", "RR", "FR", "DM", "MQ"}
+    held = lambda df: any("site_dist#" in line and "Scan" not in line for line in plan_of(df).splitlines())
+    assert held(done.select("qname", "hc")) and not held(slim.select("qname", "hc"))
+
+
 def test_lookup_of_reads_joins_names_and_fragments_only(spark, digested, monkeypatch):
     """Also beyond the bounds of broadcasts, where each further join would shuffle every read."""
     from chromaloom.operators import asof
