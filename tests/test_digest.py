@@ -209,3 +209,16 @@ def test_cuts_of_chunks_by_block():
     text, cut, start = np.array([0, 0, 1, 1]), np.array([3, 9, 12, 17]), np.array([0, 8, 16])
     of, block, cuts, offsets = digest._by_block(text, cut, start, 3)
     assert [(int(k), int(b), cuts[i:j].tolist()) for k, b, i, j in zip(of, block, offsets, offsets[1:])] == [(0, 0, [0, 3]), (0, 1, [9]), (1, 1, [12]), (1, 2, [17]), (2, 2, [])]
+
+
+@pytest.mark.parametrize("group", [0, 1, 10])
+def test_no_task_numbers_all_sequences(spark, monkeypatch, group):
+    monkeypatch.setattr(digest, "GROUP", group)
+    sizes = [(i, b, 1 + (i * 7 + b) % 5) for i in (0, 1, 2, 5, 6, 7, 40, 3000) for b in range(1 + i % 3)]
+    found = digest._cuts_before(spark.createDataFrame(sizes, "seq_idx int, block long, n int"))
+    assert {r["seq_idx"]: r["base"] for r in found.collect()} == {i: sum(n for j, _, n in sizes if j < i) for i, _, _ in sizes}
+    windows = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in line]
+    assert len(windows) == 2 and not any("windowspecdefinition(seq_idx#" in line for line in windows)
+    monkeypatch.setattr(digest, "BLOCK", 2)
+    rows = digest.fragments(digest.chunked(genome(spark, CASES), 5), SITES).collect()
+    assert [(r["frag_id"], r["seq_idx"]) for r in sorted(rows, key=lambda r: (r["seq_idx"], r["frag_start"]))] == [(k, i) for k, i in enumerate(i for i, seq in enumerate(CASES) for _ in brute_cuts(seq, SITES))]
